@@ -12,6 +12,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hourcast.functions.numeric import round_doubles
+from hourcast import schema as S
+from hourcast.operators import evaluate as EVL
+from hourcast.operators import features as FE
+from hourcast.operators import linear as LN
+from hourcast.operators import monitor as MON
 from hourcast.operators import profile as P
 from hourcast.session import scratch_path
 from hourcast.sources import events as EV
@@ -126,3 +131,222 @@ def q_union_segments(spark, sf_dir):
     back = RD.read_parquet(spark, path).select(*P.PROFILE_KEYS, *P.MEASURES)
     frames = [P.segment_filter(back, s) for s in range(EV.DEFAULT_SEGMENTS)]
     return round_doubles(P.union_segments(frames))
+
+
+# ---------------------------------------------------------------- projections, filters, preview
+
+@register("preview_first_rows")
+def q_preview_first_rows(spark, sf_dir):
+    """show(5) made deterministic: a top-5 by key (TakeOrderedAndProject, no full sort)."""
+    return round_doubles(P.preview(hourly(spark, sf_dir), ["carrier_id", "datepart", "hour_of_day"], 5))
+
+
+@register("project_measures")
+def q_project_measures(spark, sf_dir):
+    return round_doubles(P.project_measures(hourly(spark, sf_dir)))
+
+
+@register("segment_filter")
+def q_segment_filter(spark, sf_dir):
+    return round_doubles(P.segment_filter(cumulative(spark, sf_dir), 1))
+
+
+@register("point_filter_raw")
+def q_point_filter_raw(spark, sf_dir):
+    e = enriched(spark, sf_dir)
+    out = P.point_filter(e, "carrier_id = 4 AND hour_of_day = 19 and WEEk_of_month = 5")
+    return round_doubles(out.select("carrier_id", "datepart", "hour_of_day", "week_of_month", *P.MEASURES))
+
+
+@register("point_filter_profile")
+def q_point_filter_profile(spark, sf_dir):
+    return round_doubles(P.point_filter(profile(spark, sf_dir),
+                                        "carrier_id = 4 AND hour_of_day = 19 and WEEk_of_month = 5"))
+
+
+# ---------------------------------------------------------------- labels and features
+
+def features(spark, sf_dir):
+    return FE.feature_rows(enriched(spark, sf_dir))
+
+
+def labeled(spark, sf_dir):
+    return FE.labeled(features(spark, sf_dir))
+
+
+def split_scaled(spark, sf_dir):
+    """Hash split 70/30, scaler fitted on the training part and applied to both."""
+    train, test = FE.hash_split(labeled(spark, sf_dir))
+    return FE.scale_split(train, test)
+
+
+@register("log_label_null")
+def q_log_label_null(spark, sf_dir):
+    f = FE.with_label(features(spark, sf_dir), kind="null")
+    return round_doubles(f.select("segment", "row_key", "successful_charges", "label"))
+
+
+@register("log_label_zero_guard")
+def q_log_label_zero_guard(spark, sf_dir):
+    f = FE.with_label(features(spark, sf_dir), kind="zero_guard")
+    return round_doubles(f.select("segment", "row_key", "successful_charges", "label"))
+
+
+@register("label_not_null")
+def q_label_not_null(spark, sf_dir):
+    f = FE.with_label(features(spark, sf_dir), kind="null")
+    return round_doubles(f.where(F.col("label").isNotNull()).select("segment", "row_key", "label"))
+
+
+@register("drop_label_project")
+def q_drop_label_project(spark, sf_dir):
+    return round_doubles(FE.drop_label(features(spark, sf_dir), keep=["row_key"]))
+
+
+@register("labeled_features")
+def q_labeled_features(spark, sf_dir):
+    lab = labeled(spark, sf_dir)
+    return round_doubles(lab.select("row_key", "label", FE.features_array(FE.FEATURES_7).alias("features")))
+
+
+@register("assemble_features")
+def q_assemble_features(spark, sf_dir):
+    """VectorAssembler output, exposed as array<double> so SQL can see it."""
+    from pyspark.ml.functions import vector_to_array
+    e = enriched(spark, sf_dir)
+    v = FE.assemble(e.select(FE.row_key("carrier_id", "datepart", "hour_of_day").alias("row_key"),
+                             *S.FEATURES_6), S.FEATURES_6, "features_success")
+    return round_doubles(v.select("row_key", vector_to_array("features_success").alias("features_success")))
+
+
+@register("hash_split")
+def q_hash_split(spark, sf_dir):
+    f = FE.with_split_flag(features(spark, sf_dir))
+    return f.groupBy("is_train").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+@register("random_split_cover")
+def q_random_split_cover(spark, sf_dir):
+    """Seeded 70/30 Bernoulli split: parts are disjoint and cover the input."""
+    f = features(spark, sf_dir).select("row_key")
+    a, b = FE.random_split(f, [0.7, 0.3], seed=13)
+    return a.withColumn("part", F.lit("train")).unionByName(b.withColumn("part", F.lit("test")))
+
+
+@register("scaler_stats")
+def q_scaler_stats(spark, sf_dir):
+    train, _ = FE.hash_split(labeled(spark, sf_dir))
+    return round_doubles(FE.scaler_stats(train))
+
+
+@register("scaler_apply")
+def q_scaler_apply(spark, sf_dir):
+    _, test = split_scaled(spark, sf_dir)
+    return round_doubles(test.select("segment", "row_key", *FE.FEATURES_7))
+
+
+# ---------------------------------------------------------------- linear models
+
+def coefficients(spark, sf_dir):
+    """GD coefficients of all model kinds, persisted as a small model table.
+
+    Writing the table cuts the lineage (a lost executor does not re-run the
+    scan) and gives the planner a measured size for the scoring join.
+    """
+    train, _ = split_scaled(spark, sf_dir)
+    coefs = LN.gd_fit(LN.moments(train))
+    path = WR.write_checkpoint(coefs, scratch_path(spark, "gd-coefs"))
+    return RD.read_parquet(spark, path)
+
+
+def linear_predictions(spark, sf_dir):
+    train, test = split_scaled(spark, sf_dir)
+    coefs = LN.gd_fit(LN.moments(train))
+    path = WR.write_checkpoint(coefs, scratch_path(spark, "gd-coefs"))
+    return LN.score_linear(test, RD.read_parquet(spark, path))
+
+
+@register("moments_per_segment")
+def q_moments_per_segment(spark, sf_dir):
+    train, _ = split_scaled(spark, sf_dir)
+    return round_doubles(LN.moments(train))
+
+
+def _coefs_of(kind):
+    def q(spark, sf_dir):
+        c = coefficients(spark, sf_dir).where(F.col("model") == kind)
+        return round_doubles(LN.coefs_wide(c))
+    return q
+
+
+register("linear_gd_coefs")(_coefs_of("linear"))
+register("ridge_gd_coefs")(_coefs_of("ridge"))
+register("lasso_gd_coefs")(_coefs_of("lasso"))
+
+
+@register("linear_coefs_long")
+def q_linear_coefs_long(spark, sf_dir):
+    return round_doubles(LN.coefs_long(coefficients(spark, sf_dir)))
+
+
+@register("linear_score_join")
+def q_linear_score_join(spark, sf_dir):
+    p = linear_predictions(spark, sf_dir)
+    return round_doubles(p.select("model", "segment", "row_key", "label", "prediction"))
+
+
+# ---------------------------------------------------------------- evaluation
+
+@register("metrics_log_space")
+def q_metrics_log_space(spark, sf_dir):
+    m = EVL.metrics(linear_predictions(spark, sf_dir), by=["model"])
+    return round_doubles(m.select("model", "n", "mse", "rmse", "mean_rel_error", "accuracy_one_sided"))
+
+
+@register("metrics_per_segment")
+def q_metrics_per_segment(spark, sf_dir):
+    return round_doubles(EVL.metrics(linear_predictions(spark, sf_dir), by=["model", "segment"]))
+
+
+@register("metrics_r2")
+def q_metrics_r2(spark, sf_dir):
+    m = EVL.metrics(linear_predictions(spark, sf_dir), by=["model"])
+    return round_doubles(m.select("model", "n", "r2"))
+
+
+@register("accuracy_one_sided")
+def q_accuracy_one_sided(spark, sf_dir):
+    p = linear_predictions(spark, sf_dir)
+    ok = EVL.one_sided_ok(F.exp("label"), F.exp("prediction"), EVL.ONE_SIDED_T)
+    return round_doubles(p.groupBy("model").agg(F.avg(ok).alias("accuracy_one_sided")))
+
+
+@register("accuracy_two_sided")
+def q_accuracy_two_sided(spark, sf_dir):
+    p = linear_predictions(spark, sf_dir)
+    ok = EVL.two_sided_ok(F.exp("label"), F.exp("prediction"), EVL.TWO_SIDED_T)
+    return round_doubles(p.groupBy("model").agg(F.avg(ok).alias("accuracy_two_sided")))
+
+
+# ---------------------------------------------------------------- alerts
+
+def linear_alert_input(spark, sf_dir):
+    return linear_predictions(spark, sf_dir).where(F.col("model") == "linear")
+
+
+@register("score_alerts")
+def q_score_alerts(spark, sf_dir):
+    """Score the held-out hours with the linear model and keep the alert rows."""
+    return round_doubles(MON.alerts(linear_alert_input(spark, sf_dir)))
+
+
+@register("outage_alerts")
+def q_outage_alerts(spark, sf_dir):
+    a = MON.alerts(linear_alert_input(spark, sf_dir))
+    return a.where(F.col("measured") == 0).select("segment", "row_key", "measured", "predicted", "message")
+
+
+@register("alert_message")
+def q_alert_message(spark, sf_dir):
+    a = MON.alerts(linear_alert_input(spark, sf_dir))
+    return a.select("row_key", "message")

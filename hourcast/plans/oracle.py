@@ -79,3 +79,200 @@ select carrier_id, hour_of_day, week_of_month, {rnd(MEASURES)} from c"""
 
 SQL["checkpoint_roundtrip"] = SQL["cumulative_profile"]
 SQL["union_segments"] = SQL["cumulative_profile"]
+
+HOURLY_KEYS_ORDER = "carrier_id, datepart, hour_of_day"
+
+SQL["preview_first_rows"] = f"with {HOURLY} " + _hourly_select(
+    f"(select * from h order by {HOURLY_KEYS_ORDER} limit 5)")
+
+SQL["project_measures"] = f"with {HOURLY} select carrier_id, hour_of_day, {rnd(MEASURES)} from h"
+
+SQL["segment_filter"] = f"""with {CUMULATIVE}
+select carrier_id, hour_of_day, week_of_month, {rnd(MEASURES)} from c where carrier_id = 1"""
+
+SQL["point_filter_raw"] = f"""with {ENRICHED}
+select carrier_id, datepart, hour_of_day, week_of_month, {rnd(MEASURES)} from w
+where carrier_id = 4 and hour_of_day = 19 and week_of_month = 5"""
+
+SQL["point_filter_profile"] = f"""with {PROFILE}
+select carrier_id, hour_of_day, week_of_month, {rnd(MEASURES)} from g
+where carrier_id = 4 and hour_of_day = 19 and week_of_month = 5"""
+
+# ---------------------------------------------------------------- features, labels, split, scaler
+
+F7 = ["carrier_id", "hour_of_day", "week_of_month", "avg_response_time", "no_credit", "errors", "total_attempts"]
+F6 = ["hour_of_day", "week_of_month", "avg_response_time", "no_credit", "errors", "total_attempts"]
+F8 = ["carrier_id", "hour_of_day", "week_of_month", "avg_response_time", "successful_charges",
+      "no_credit", "errors", "total_attempts"]
+
+FEATURES = ENRICHED + """,
+f as (select carrier_id as segment, concat_ws('|', carrier_id, datepart, hour_of_day) as row_key, """ + ", ".join(
+    f"{c}::double as {c}" for c in F8) + """ from w)"""
+
+LABELED = FEATURES + """,
+lz as (select *, case when successful_charges = 0 then 0.0 when successful_charges > 0 then ln(successful_charges) end
+              as label from f),
+l as (select segment, row_key, label, successful_charges as raw_label, """ + ", ".join(F7) + """
+      from lz where label is not null),
+lb as (select *, (('0x' || substr(md5(row_key), 1, 8))::bigint % 100) < 70 as is_train from l),
+tr as (select * from lb where is_train),
+te as (select * from lb where not is_train),
+st as (select """ + ", ".join(f"stddev_samp({c}) as std_{c}" for c in F7) + """ from tr)"""
+
+
+def _scaled(src: str) -> str:
+    cols = ", ".join(f"case when coalesce(std_{c}, 0.0) = 0.0 then 0.0 else {c} / std_{c} end as {c}" for c in F7)
+    return f"select segment, row_key, label, raw_label, {cols} from {src} cross join st"
+
+
+SCALED = LABELED + f""",
+trs as ({_scaled('tr')}),
+tes as ({_scaled('te')})"""
+
+XS = F7 + ["1.0::double"]
+
+
+def _x(i: int) -> str:
+    return XS[i]
+
+
+MOMENT_COLS = ["n"] + [f"g{i}_{j}" for i in range(8) for j in range(i, 8)] + [f"b{i}" for i in range(8)]
+
+MOMENTS = SCALED + """,
+mo as (select segment, count(*)::double as n, """ + ", ".join(
+    f"sum({_x(i)} * {_x(j)}) as g{i}_{j}" for i in range(8) for j in range(i, 8)) + ", " + ", ".join(
+    f"sum({_x(i)} * label) as b{i}" for i in range(8)) + """ from trs group by segment)"""
+
+
+def _g(i, j):
+    return f"g{min(i, j)}_{max(i, j)}"
+
+
+_G_LIST = "[" + ", ".join("[" + ", ".join(_g(i, j) for j in range(8)) + "]" for i in range(8)) + "]"
+_B_LIST = "[" + ", ".join(f"b{i}" for i in range(8)) + "]"
+_STEP = "(0.1 / sqrt(gd.i + 1))"
+_GRAD = "(list_dot_product(z[2], gd.w) - z[3]) / mm.n"
+_ZIP = "list_zip(gd.w, mm.g, mm.b)"
+
+# Gradient descent of all three model kinds as one recursive CTE over the moments.
+GD = MOMENTS + f""",
+mm as (select segment, n, {_G_LIST} as g, {_B_LIST} as b from mo),
+kinds as (select * from (values ('linear'), ('ridge'), ('lasso')) t(model)),
+gd as (
+  select model, segment, 0 as i, [0.0, 0.0, 0.0, 0.0, 0.0, 0.0, 0.0, 1.0]::double[] as w, false as done
+  from mm cross join kinds
+  union all
+  select model, segment, i + 1 as i, nw as w,
+         (i + 1 > 1 and sqrt(list_sum(list_transform(list_zip(nw, w), lambda z: (z[1] - z[2]) * (z[1] - z[2]))))
+            < 0.001 * greatest(sqrt(list_sum(list_transform(nw, lambda z: z * z))), 1.0)) as done
+  from (
+    select gd.model, gd.segment, gd.i, gd.w,
+      case gd.model
+        when 'linear' then list_transform({_ZIP}, lambda z: z[1] - {_STEP} * {_GRAD})
+        when 'ridge' then list_transform({_ZIP}, lambda z: z[1] * (1.0 - {_STEP} * 0.01) - {_STEP} * {_GRAD})
+        else list_transform(list_transform({_ZIP}, lambda z: z[1] - {_STEP} * {_GRAD}),
+                            lambda v: sign(v) * greatest(abs(v) - {_STEP} * 0.01, 0.0))
+      end as nw
+    from gd join mm using (segment)
+    where not gd.done and gd.i < 100) t
+),
+coefs as (select model, segment, max(i)::int as iterations, arg_max(w, i) as w from gd group by model, segment),
+pred as (select c.model, t.segment, t.row_key, t.label, t.raw_label,
+                c.w[8] + list_dot_product(c.w[1:7], [{', '.join('t.' + c for c in F7)}]) as prediction
+         from tes t join coefs c using (segment))"""
+
+SQL["log_label_null"] = f"""with {FEATURES}
+select segment, row_key, round(successful_charges, 6) as successful_charges,
+       round(case when successful_charges > 0 then ln(successful_charges) end, 6) as label from f"""
+
+SQL["log_label_zero_guard"] = f"""with {FEATURES}
+select segment, row_key, round(successful_charges, 6) as successful_charges,
+       round(case when successful_charges = 0 then 0.0
+                  when successful_charges > 0 then ln(successful_charges) end, 6) as label from f"""
+
+SQL["label_not_null"] = f"""with {FEATURES}
+select segment, row_key, round(ln(successful_charges), 6) as label from f where successful_charges > 0"""
+
+SQL["drop_label_project"] = f"with {FEATURES} select row_key, {rnd(F7)} from f"
+
+SQL["labeled_features"] = f"""with {LABELED}
+select row_key, round(label, 6) as label, [{', '.join(f'round({c}, 6)' for c in F7)}] as features from l"""
+
+SQL["assemble_features"] = f"""with {ENRICHED}
+select concat_ws('|', carrier_id, datepart, hour_of_day) as row_key,
+       [{', '.join(f'round({c}::double, 6)' for c in F6)}] as features_success from w"""
+
+SQL["hash_split"] = f"""with {FEATURES}
+select (('0x' || substr(md5(row_key), 1, 8))::bigint % 100) < 70 as is_train, count(*) as n_rows
+from f group by 1"""
+
+SQL["scaler_stats"] = f"with {LABELED} select {rnd(['std_' + c for c in F7])} from st"
+
+SQL["scaler_apply"] = f"with {SCALED} select segment, row_key, {rnd(F7)} from tes"
+
+SQL["moments_per_segment"] = f"with {MOMENTS} select segment, {rnd(MOMENT_COLS)} from mo"
+
+
+def _coefs_wide(kind: str) -> str:
+    ws = ", ".join(f"round(w[{i + 1}], 6) as w_{c}" for i, c in enumerate(F7))
+    return f"""with recursive {GD}
+select model, segment, iterations, round(w[8], 6) as intercept, {ws} from coefs where model = '{kind}'"""
+
+
+SQL["linear_gd_coefs"] = _coefs_wide("linear")
+SQL["ridge_gd_coefs"] = _coefs_wide("ridge")
+SQL["lasso_gd_coefs"] = _coefs_wide("lasso")
+
+SQL["linear_coefs_long"] = f"""with recursive {GD}
+select model, segment, unnest([{', '.join(repr(c) for c in F7)}, 'intercept']) as feature,
+       round(unnest(w), 6) as weight from coefs"""
+
+SQL["linear_score_join"] = f"""with recursive {GD}
+select model, segment, row_key, round(label, 6) as label, round(prediction, 6) as prediction from pred"""
+
+_ONE = "case when (exp(label) - exp(prediction)) / exp(label) > 0.35 then 0.0 else 1.0 end"
+_TWO = ("case when exp(label) = 0 then (case when exp(prediction) = 0 then 1.0 else 0.0 end) "
+        "when abs((exp(label) - exp(prediction)) / exp(label)) < 0.15 then 1.0 else 0.0 end")
+_SQ = "(label - prediction) * (label - prediction)"
+_MREL = "avg(case when prediction <> 0 then abs(label - prediction) / prediction end)"
+
+SQL["metrics_log_space"] = f"""with recursive {GD}
+select model, count(*) as n, round(avg({_SQ}), 6) as mse, round(sqrt(avg({_SQ})), 6) as rmse,
+       round({_MREL}, 6) as mean_rel_error, round(avg({_ONE}), 6) as accuracy_one_sided
+from pred group by model"""
+
+SQL["metrics_per_segment"] = f"""with recursive {GD}
+select model, segment, count(*) as n, round(avg({_SQ}), 6) as mse, round(sqrt(avg({_SQ})), 6) as rmse,
+       round(avg(abs(label - prediction)), 6) as mae, round({_MREL}, 6) as mean_rel_error,
+       round(1.0 - sum({_SQ}) / nullif(var_pop(label) * count(*), 0), 6) as r2,
+       round(avg({_ONE}), 6) as accuracy_one_sided, round(avg({_TWO}), 6) as accuracy_two_sided
+from pred group by model, segment"""
+
+SQL["metrics_r2"] = f"""with recursive {GD}
+select model, count(*) as n, round(1.0 - sum({_SQ}) / nullif(var_pop(label) * count(*), 0), 6) as r2
+from pred group by model"""
+
+SQL["accuracy_one_sided"] = f"""with recursive {GD}
+select model, round(avg({_ONE}), 6) as accuracy_one_sided from pred group by model"""
+
+SQL["accuracy_two_sided"] = f"""with recursive {GD}
+select model, round(avg({_TWO}), 6) as accuracy_two_sided from pred group by model"""
+
+ALERTS = GD + """,
+sc as (select segment, row_key, floor(raw_label)::bigint as measured,
+              floor(exp(prediction))::bigint as predicted from pred where model = 'linear'),
+se as (select *, case when measured <> 0 then (predicted - measured)::double / measured * 100.0 end as error_pct
+       from sc),
+al as (select segment, row_key, measured, predicted, error_pct,
+              concat('[ALERT] segment ', segment, ' hour ', row_key, ': measured ', measured,
+                     ', predicted ', predicted, ', error ',
+                     case when measured = 0 then 'outage' else concat(round(error_pct)::bigint, '%') end) as message
+       from se where coalesce(error_pct > 45.0, false) or (measured = 0 and predicted > 0))"""
+
+SQL["score_alerts"] = f"""with recursive {ALERTS}
+select segment, row_key, measured, predicted, round(error_pct, 6) as error_pct, message from al"""
+
+SQL["outage_alerts"] = f"""with recursive {ALERTS}
+select segment, row_key, measured, predicted, message from al where measured = 0"""
+
+SQL["alert_message"] = f"with recursive {ALERTS} select row_key, message from al"
