@@ -18,10 +18,12 @@ from hourcast.operators import features as FE
 from hourcast.operators import linear as LN
 from hourcast.operators import monitor as MON
 from hourcast.operators import profile as P
+from hourcast.operators import tree as TR
 from hourcast.session import scratch_path
 from hourcast.sources import events as EV
 from hourcast.sources import readers as RD
 from hourcast.sources import writers as WR
+from hourcast import streaming as ST
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, QueryFn] = {}
@@ -350,3 +352,152 @@ def q_outage_alerts(spark, sf_dir):
 def q_alert_message(spark, sf_dir):
     a = MON.alerts(linear_alert_input(spark, sf_dir))
     return a.select("row_key", "message")
+
+
+# ---------------------------------------------------------------- positional feature files
+
+@register("feature_vector_scan")
+def q_feature_vector_scan(spark, sf_dir):
+    """Hourly rows exported as headerless 8-double lines, parsed back (bad field = job failure)."""
+    path = WR.write_feature_csv(features(spark, sf_dir), scratch_path(spark, "features-csv"))
+    return round_doubles(RD.read_feature_csv(spark, path))
+
+
+@register("feature_parquet_scan")
+def q_feature_parquet_scan(spark, sf_dir):
+    path = WR.write_feature_parquet(features(spark, sf_dir), scratch_path(spark, "features-pq"))
+    return round_doubles(RD.read_feature_parquet(spark, path))
+
+
+# ---------------------------------------------------------------- trees
+
+def segment_ids(df: DataFrame) -> list[int]:
+    """Distinct segment ids (one value per segment, bounded by the segmentation)."""
+    return sorted(r[0] for r in df.select("segment").distinct().collect())
+
+
+def persisted(spark, df: DataFrame, name: str, partition_by: list[str] | None = None) -> DataFrame:
+    """Write a training frame once (partitioned by segment) and read it back.
+
+    Later per-segment fits and scans prune to their own files and do not
+    re-run the upstream aggregation; lineage is cut for executor loss.
+    """
+    path = WR.write_checkpoint(df, scratch_path(spark, name), partition_by=partition_by)
+    return RD.read_parquet(spark, path)
+
+
+def raw_tree_frames(spark, sf_dir):
+    """Hourly rows with the 7 raw features, zero-guard label, 70/30 hash split."""
+    lab = FE.with_split_flag(labeled(spark, sf_dir))
+    frame = persisted(spark, lab, "tree-frame", ["segment"])
+    return frame.where(F.col("is_train")), frame.where(~F.col("is_train"))
+
+
+def profile_frame(spark, sf_dir):
+    """Running profile rows with ln(success) label (NULLs removed) and 6 features."""
+    cum = cumulative(spark, sf_dir)
+    lab = cum.select(
+        F.col("carrier_id").alias("segment"),
+        FE.row_key("carrier_id", "week_of_month", "hour_of_day").alias("row_key"),
+        FE.log_label(F.col("successful_charges")).alias("label"),
+        F.col("successful_charges").alias("raw_label"),
+        *[F.col(c).cast("double").alias(c) for c in S.FEATURES_6],
+    ).where(F.col("label").isNotNull())
+    return persisted(spark, lab, "profile-frame", ["segment"])
+
+
+@register("tree_score_segments")
+def q_tree_score_segments(spark, sf_dir):
+    train, test = raw_tree_frames(spark, sf_dir)
+    models = TR.fit_segment_trees(train, FE.FEATURES_7, segment_ids(train))
+    return TR.score_segments(test, models, ["segment", "row_key", "label"])
+
+
+@register("tree_save_load_score")
+def q_tree_save_load_score(spark, sf_dir):
+    """Fit, save one model directory per segment, load back, score and flag alerts."""
+    train, test = raw_tree_frames(spark, sf_dir)
+    segs = segment_ids(train)
+    root = TR.save_segment_models(TR.fit_segment_trees(train, FE.FEATURES_7, segs),
+                                  scratch_path(spark, "tree-models"))
+    loaded = TR.load_segment_models(root, segs)
+    scored = TR.score_segments(test, loaded, ["segment", "row_key", "label", "raw_label"])
+    return MON.score_errors(scored).select("segment", "row_key", "measured", "predicted", "error_pct", "is_alert")
+
+
+SMALL_DEPTHS = [6, 7, 8]
+SMALL_BINS = [16, 32]
+
+
+@register("grid_search_report")
+def q_grid_search_report(spark, sf_dir):
+    frame = profile_frame(spark, sf_dir)
+    searches = TR.grid_search(frame, S.FEATURES_6, segment_ids(frame), depths=SMALL_DEPTHS, bins=SMALL_BINS)
+    return TR.grid_report(spark, searches)
+
+
+@register("tree_rules")
+def q_tree_rules(spark, sf_dir):
+    frame = profile_frame(spark, sf_dir)
+    segs = segment_ids(frame)
+    root = TR.save_segment_models(TR.fit_segment_trees(frame, S.FEATURES_6, segs),
+                                  scratch_path(spark, "rule-models"))
+    return TR.tree_rules(TR.tree_nodes(spark, root), S.FEATURES_6)
+
+
+@register("train_segments_report")
+def q_train_segments_report(spark, sf_dir):
+    """Per segment: 90/10 split, grid search on 90, score the 10, one metrics pass."""
+    frame = FE.with_split_flag(profile_frame(spark, sf_dir), train_pct=90)
+    train, test = frame.where(F.col("is_train")), frame.where(~F.col("is_train"))
+    segs = segment_ids(train)
+    searches = TR.grid_search(train, S.FEATURES_6, segs, depths=SMALL_DEPTHS, bins=SMALL_BINS)
+    best = {s: m.bestModel for s, m in searches.items()}
+    scored = TR.score_segments(test, best, ["segment", "label"])
+    met = EVL.metrics(scored, by=["segment"], one_sided_t=0.1)
+    params = spark.createDataFrame(
+        [(int(s), TR.tree_of(m).getMaxDepth(), TR.tree_of(m).getMaxBins(), TR.tree_of(m).numNodes)
+         for s, m in best.items()],
+        "segment int, max_depth int, max_bins int, num_nodes int")
+    return params.join(met, "segment", "left")
+
+
+@register("elastic_family_rmse")
+def q_elastic_family_rmse(spark, sf_dir):
+    frame = profile_frame(spark, sf_dir)
+    train, _ = FE.hash_split(frame, train_pct=80)
+    rows = TR.fit_elastic_family(train, S.FEATURES_6, segment_ids(train))
+    return spark.createDataFrame(rows, TR.ELASTIC_SCHEMA)
+
+
+# ---------------------------------------------------------------- streaming
+
+def event_stream(spark, sf_dir):
+    schema = EV.load_table(spark, sf_dir, "events").schema
+    return ST.read_event_stream(spark, sf_dir, schema, glob="events.parquet")
+
+
+@register("stream_hourly_replay")
+def q_stream_hourly_replay(spark, sf_dir):
+    """Replay the event table as a stream (availableNow, complete mode)."""
+    out = ST.replay_to_parquet(ST.stream_hourly(event_stream(spark, sf_dir)),
+                               scratch_path(spark, "stream-hourly"), scratch_path(spark, "stream-hourly-ckpt"))
+    return round_doubles(RD.read_parquet(spark, out))
+
+
+@register("stream_alerts_replay")
+def q_stream_alerts_replay(spark, sf_dir):
+    """Closed hours from the stream scored with the batch-trained linear model."""
+    train, _ = FE.hash_split(labeled(spark, sf_dir))
+    stats = persisted(spark, FE.scaler_stats(train), "stream-scaler")
+    coefs = persisted(spark, LN.gd_fit(LN.moments(FE.apply_scaler(train, stats))), "stream-coefs")
+    linear = coefs.where(F.col("model") == "linear")
+
+    def score(batch: DataFrame) -> DataFrame:
+        rows = FE.labeled(FE.feature_rows(P.with_week_of_month(batch)))
+        scored = LN.score_linear(FE.apply_scaler(rows, stats), linear)
+        return MON.alerts(scored)
+
+    out = ST.stream_alerts(ST.stream_hourly(event_stream(spark, sf_dir)), score,
+                           scratch_path(spark, "stream-alerts"), scratch_path(spark, "stream-alerts-ckpt"))
+    return RD.read_parquet(spark, out)

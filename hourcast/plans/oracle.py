@@ -276,3 +276,7 @@ SQL["outage_alerts"] = f"""with recursive {ALERTS}
 select segment, row_key, measured, predicted, message from al where measured = 0"""
 
 SQL["alert_message"] = f"with recursive {ALERTS} select row_key, message from al"
+
+SQL["feature_vector_scan"] = f"with {FEATURES} select {rnd(F8)} from f"
+SQL["feature_parquet_scan"] = SQL["feature_vector_scan"]
+SQL["stream_hourly_replay"] = SQL["hourly_from_events"]

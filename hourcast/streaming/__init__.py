@@ -1,0 +1,5 @@
+"""Streaming jobs: hourly aggregation with watermarks and alerting per micro-batch."""
+
+from hourcast.streaming.hourly import read_event_stream, replay_to_parquet, stream_alerts, stream_hourly
+
+__all__ = ["read_event_stream", "stream_hourly", "replay_to_parquet", "stream_alerts"]
