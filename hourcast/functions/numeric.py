@@ -22,14 +22,27 @@ def trunc_to_long(x: Column | str) -> Column:
     return F.when(x >= 9.2e18, F.lit(9223372036854775807)).otherwise(F.floor(x)).cast("bigint")
 
 
+def round_half_up(x: Column | str, digits: int = 6) -> Column:
+    """floor(x * 10^d + 0.5) / 10^d for |x| < 1e12 (else x unchanged).
+
+    Pure IEEE arithmetic, so every engine that evaluates the same formula on
+    the same double returns the same double; ``round`` itself differs between
+    engines on decimal ties (half-up on the shortest decimal text vs.
+    half-even on the binary value).
+    """
+    x = _c(x)
+    f = float(10 ** digits)
+    return F.when(F.abs(x) < F.lit(1e12), F.floor(x * F.lit(f) + F.lit(0.5)) / F.lit(f)).otherwise(x)
+
+
 def round_doubles(df: DataFrame, digits: int = 6) -> DataFrame:
-    """Round every double column so results compare across engines."""
+    """Round every double column (and double arrays) so results compare across engines."""
     cols = []
     for f in df.schema.fields:
         if isinstance(f.dataType, (T.DoubleType, T.FloatType)):
-            cols.append(F.round(F.col(f.name), digits).alias(f.name))
+            cols.append(round_half_up(F.col(f.name), digits).alias(f.name))
         elif isinstance(f.dataType, T.ArrayType) and isinstance(f.dataType.elementType, T.DoubleType):
-            cols.append(F.transform(F.col(f.name), lambda v: F.round(v, digits)).alias(f.name))
+            cols.append(F.transform(F.col(f.name), lambda v: round_half_up(v, digits)).alias(f.name))
         else:
             cols.append(F.col(f.name))
     return df.select(*cols)

@@ -32,7 +32,7 @@ def score_errors(scored: DataFrame, prediction: str = "prediction", raw: str = "
 def alert_message() -> Column:
     """Readable alert line built from typed columns (no Python formatting)."""
     err_txt = F.when(F.col("measured") == 0, F.lit("outage")).otherwise(
-        F.concat(F.round(F.col("error_pct"), 0).cast("bigint").cast("string"), F.lit("%")))
+        F.concat(F.floor(F.col("error_pct") + F.lit(0.5)).cast("string"), F.lit("%")))
     return F.concat(
         F.lit("[ALERT] segment "), F.col("segment").cast("string"),
         F.lit(" hour "), F.col("row_key"),

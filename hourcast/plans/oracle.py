@@ -9,11 +9,42 @@ from __future__ import annotations
 
 R = 6  # rounding digits, same as the Spark side
 
+
+def r6_sql(expr: str) -> str:
+    """Round half up on the binary value: floor(x * 1e6 + 0.5) / 1e6.
+
+    Pure IEEE arithmetic, so Spark and DuckDB give identical doubles for
+    identical inputs (their built-in round functions break ties differently).
+    """
+    return f"(case when abs({expr}) < 1e12 then floor(({expr}) * 1e6 + 0.5) / 1e6 else ({expr}) end)"
+
+
+def _expand_r6(sql: str) -> str:
+    """Expand the ``r6(...)`` shorthand used in the statements below."""
+    out, i = [], 0
+    while True:
+        k = sql.find("r6(", i)
+        if k < 0:
+            out.append(sql[i:])
+            return "".join(out)
+        depth, j = 0, k + 2
+        while True:
+            if sql[j] == "(":
+                depth += 1
+            elif sql[j] == ")":
+                depth -= 1
+                if depth == 0:
+                    break
+            j += 1
+        out.append(sql[i:k])
+        out.append(r6_sql(_expand_r6(sql[k + 3:j])))
+        i = j + 1
+
 MEASURES = ["avg_response_time", "successful_charges", "no_credit", "errors", "total_attempts"]
 
 
 def rnd(cols: list[str], prefix: str = "") -> str:
-    return ", ".join(f"round({prefix}{c}, {R}) as {c}" for c in cols)
+    return ", ".join(f"r6({prefix}{c}) as {c}" for c in cols)
 
 
 # Hourly telemetry rows from the event log (segment = user_id % 5).
@@ -52,7 +83,7 @@ HOURLY_COLS = ["carrier_id", "datepart", "hour_of_day", "avg_response_time", "fi
 
 
 def _hourly_select(src: str) -> str:
-    return ("select carrier_id, datepart, hour_of_day, round(avg_response_time, 6) as avg_response_time, "
+    return ("select carrier_id, datepart, hour_of_day, r6(avg_response_time) as avg_response_time, "
             "first_attempt, last_attempt, " + rnd(MEASURES[1:]) + f" from {src}")
 
 
@@ -182,25 +213,25 @@ pred as (select c.model, t.segment, t.row_key, t.label, t.raw_label,
          from tes t join coefs c using (segment))"""
 
 SQL["log_label_null"] = f"""with {FEATURES}
-select segment, row_key, round(successful_charges, 6) as successful_charges,
-       round(case when successful_charges > 0 then ln(successful_charges) end, 6) as label from f"""
+select segment, row_key, r6(successful_charges) as successful_charges,
+       r6(case when successful_charges > 0 then ln(successful_charges) end) as label from f"""
 
 SQL["log_label_zero_guard"] = f"""with {FEATURES}
-select segment, row_key, round(successful_charges, 6) as successful_charges,
-       round(case when successful_charges = 0 then 0.0
-                  when successful_charges > 0 then ln(successful_charges) end, 6) as label from f"""
+select segment, row_key, r6(successful_charges) as successful_charges,
+       r6(case when successful_charges = 0 then 0.0
+                  when successful_charges > 0 then ln(successful_charges) end) as label from f"""
 
 SQL["label_not_null"] = f"""with {FEATURES}
-select segment, row_key, round(ln(successful_charges), 6) as label from f where successful_charges > 0"""
+select segment, row_key, r6(ln(successful_charges)) as label from f where successful_charges > 0"""
 
 SQL["drop_label_project"] = f"with {FEATURES} select row_key, {rnd(F7)} from f"
 
 SQL["labeled_features"] = f"""with {LABELED}
-select row_key, round(label, 6) as label, [{', '.join(f'round({c}, 6)' for c in F7)}] as features from l"""
+select row_key, r6(label) as label, [{', '.join(f'r6({c})' for c in F7)}] as features from l"""
 
 SQL["assemble_features"] = f"""with {ENRICHED}
 select concat_ws('|', carrier_id, datepart, hour_of_day) as row_key,
-       [{', '.join(f'round({c}::double, 6)' for c in F6)}] as features_success from w"""
+       [{', '.join(f'r6({c}::double)' for c in F6)}] as features_success from w"""
 
 SQL["hash_split"] = f"""with {FEATURES}
 select (('0x' || substr(md5(row_key), 1, 8))::bigint % 100) < 70 as is_train, count(*) as n_rows
@@ -214,9 +245,9 @@ SQL["moments_per_segment"] = f"with {MOMENTS} select segment, {rnd(MOMENT_COLS)}
 
 
 def _coefs_wide(kind: str) -> str:
-    ws = ", ".join(f"round(w[{i + 1}], 6) as w_{c}" for i, c in enumerate(F7))
+    ws = ", ".join(f"r6(w[{i + 1}]) as w_{c}" for i, c in enumerate(F7))
     return f"""with recursive {GD}
-select model, segment, iterations, round(w[8], 6) as intercept, {ws} from coefs where model = '{kind}'"""
+select model, segment, iterations, r6(w[8]) as intercept, {ws} from coefs where model = '{kind}'"""
 
 
 SQL["linear_gd_coefs"] = _coefs_wide("linear")
@@ -224,11 +255,12 @@ SQL["ridge_gd_coefs"] = _coefs_wide("ridge")
 SQL["lasso_gd_coefs"] = _coefs_wide("lasso")
 
 SQL["linear_coefs_long"] = f"""with recursive {GD}
-select model, segment, unnest([{', '.join(repr(c) for c in F7)}, 'intercept']) as feature,
-       round(unnest(w), 6) as weight from coefs"""
+select model, segment, feature, r6(weight) as weight from (
+  select model, segment, unnest([{', '.join(repr(c) for c in F7)}, 'intercept']) as feature,
+         unnest(w) as weight from coefs) u"""
 
 SQL["linear_score_join"] = f"""with recursive {GD}
-select model, segment, row_key, round(label, 6) as label, round(prediction, 6) as prediction from pred"""
+select model, segment, row_key, r6(label) as label, r6(prediction) as prediction from pred"""
 
 _ONE = "case when (exp(label) - exp(prediction)) / exp(label) > 0.35 then 0.0 else 1.0 end"
 _TWO = ("case when exp(label) = 0 then (case when exp(prediction) = 0 then 1.0 else 0.0 end) "
@@ -237,26 +269,26 @@ _SQ = "(label - prediction) * (label - prediction)"
 _MREL = "avg(case when prediction <> 0 then abs(label - prediction) / prediction end)"
 
 SQL["metrics_log_space"] = f"""with recursive {GD}
-select model, count(*) as n, round(avg({_SQ}), 6) as mse, round(sqrt(avg({_SQ})), 6) as rmse,
-       round({_MREL}, 6) as mean_rel_error, round(avg({_ONE}), 6) as accuracy_one_sided
+select model, count(*) as n, r6(avg({_SQ})) as mse, r6(sqrt(avg({_SQ}))) as rmse,
+       r6({_MREL}) as mean_rel_error, r6(avg({_ONE})) as accuracy_one_sided
 from pred group by model"""
 
 SQL["metrics_per_segment"] = f"""with recursive {GD}
-select model, segment, count(*) as n, round(avg({_SQ}), 6) as mse, round(sqrt(avg({_SQ})), 6) as rmse,
-       round(avg(abs(label - prediction)), 6) as mae, round({_MREL}, 6) as mean_rel_error,
-       round(1.0 - sum({_SQ}) / nullif(var_pop(label) * count(*), 0), 6) as r2,
-       round(avg({_ONE}), 6) as accuracy_one_sided, round(avg({_TWO}), 6) as accuracy_two_sided
+select model, segment, count(*) as n, r6(avg({_SQ})) as mse, r6(sqrt(avg({_SQ}))) as rmse,
+       r6(avg(abs(label - prediction))) as mae, r6({_MREL}) as mean_rel_error,
+       r6(1.0 - sum({_SQ}) / nullif(var_pop(label) * count(*), 0)) as r2,
+       r6(avg({_ONE})) as accuracy_one_sided, r6(avg({_TWO})) as accuracy_two_sided
 from pred group by model, segment"""
 
 SQL["metrics_r2"] = f"""with recursive {GD}
-select model, count(*) as n, round(1.0 - sum({_SQ}) / nullif(var_pop(label) * count(*), 0), 6) as r2
+select model, count(*) as n, r6(1.0 - sum({_SQ}) / nullif(var_pop(label) * count(*), 0)) as r2
 from pred group by model"""
 
 SQL["accuracy_one_sided"] = f"""with recursive {GD}
-select model, round(avg({_ONE}), 6) as accuracy_one_sided from pred group by model"""
+select model, r6(avg({_ONE})) as accuracy_one_sided from pred group by model"""
 
 SQL["accuracy_two_sided"] = f"""with recursive {GD}
-select model, round(avg({_TWO}), 6) as accuracy_two_sided from pred group by model"""
+select model, r6(avg({_TWO})) as accuracy_two_sided from pred group by model"""
 
 ALERTS = GD + """,
 sc as (select segment, row_key, floor(raw_label)::bigint as measured,
@@ -266,11 +298,11 @@ se as (select *, case when measured <> 0 then (predicted - measured)::double / m
 al as (select segment, row_key, measured, predicted, error_pct,
               concat('[ALERT] segment ', segment, ' hour ', row_key, ': measured ', measured,
                      ', predicted ', predicted, ', error ',
-                     case when measured = 0 then 'outage' else concat(round(error_pct)::bigint, '%') end) as message
+                     case when measured = 0 then 'outage' else concat(floor(error_pct + 0.5)::bigint, '%') end) as message
        from se where coalesce(error_pct > 45.0, false) or (measured = 0 and predicted > 0))"""
 
 SQL["score_alerts"] = f"""with recursive {ALERTS}
-select segment, row_key, measured, predicted, round(error_pct, 6) as error_pct, message from al"""
+select segment, row_key, measured, predicted, r6(error_pct) as error_pct, message from al"""
 
 SQL["outage_alerts"] = f"""with recursive {ALERTS}
 select segment, row_key, measured, predicted, message from al where measured = 0"""
@@ -280,3 +312,5 @@ SQL["alert_message"] = f"with recursive {ALERTS} select row_key, message from al
 SQL["feature_vector_scan"] = f"with {FEATURES} select {rnd(F8)} from f"
 SQL["feature_parquet_scan"] = SQL["feature_vector_scan"]
 SQL["stream_hourly_replay"] = SQL["hourly_from_events"]
+
+SQL = {k: _expand_r6(v) for k, v in SQL.items()}

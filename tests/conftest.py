@@ -1,0 +1,18 @@
+import os
+import sys
+
+import pytest
+
+ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+sys.path.insert(0, ROOT)
+
+SF_SMALL = "/root/testdata/sf0.001"
+SF_MID = "/root/testdata/sf0.01"
+
+
+@pytest.fixture(scope="session")
+def spark():
+    from hourcast.session import build_session
+    s = build_session(master="local[*]", shuffle_partitions=8, extra={"spark.driver.memory": "6g"})
+    yield s
+    s.stop()
