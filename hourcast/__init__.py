@@ -1 +1,11 @@
 """hourcast: hourly expected-volume monitoring on Spark."""
+
+import sys as _sys
+
+try:  # Ship our Python functions (grouped-map bodies) by value to executors,
+    # so Python workers need pyspark/numpy/pandas but not this package installed.
+    from pyspark import cloudpickle as _cloudpickle
+
+    _cloudpickle.register_pickle_by_value(_sys.modules[__name__])
+except Exception:  # noqa: BLE001 - older cloudpickle: fall back to by-reference
+    pass

@@ -38,6 +38,22 @@ def register(name: str):
 
 # ---------------------------------------------------------------- inputs
 
+def segment_ids(df: DataFrame) -> list[int]:
+    """Distinct segment ids (one value per segment, bounded by the segmentation)."""
+    return sorted(r[0] for r in df.select("segment").distinct().collect())
+
+
+def persisted(spark, df: DataFrame, name: str, partition_by: list[str] | None = None) -> DataFrame:
+    """Write a training frame once (partitioned by segment) and read it back.
+
+    Later per-segment fits and scans prune to their own files and do not
+    re-run the upstream aggregation; lineage is cut for executor loss.
+    """
+    path = WR.write_checkpoint(df, scratch_path(spark, name), partition_by=partition_by)
+    return RD.read_parquet(spark, path)
+
+
+
 def hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = EV.load_table(spark, sf_dir, "events")
     return EV.hourly_from_events(events)
@@ -176,10 +192,22 @@ def labeled(spark, sf_dir):
     return FE.labeled(features(spark, sf_dir))
 
 
-def split_scaled(spark, sf_dir):
+def ml_frame(spark, sf_dir):
+    """Labeled hourly feature rows with the 70/30 hash-split flag, written once.
+
+    Every model job (scaler fit, moments, scoring) reads this small table, so
+    the raw event log is scanned exactly once per job however many consumers
+    follow, and a lost executor never re-runs the scan.
+    """
+    lab = FE.with_split_flag(labeled(spark, sf_dir))
+    return persisted(spark, lab, "ml-frame", ["segment"])
+
+
+def split_scaled(spark, sf_dir, frame=None):
     """Hash split 70/30, scaler fitted on the training part and applied to both."""
-    train, test = FE.hash_split(labeled(spark, sf_dir))
-    return FE.scale_split(train, test)
+    frame = frame if frame is not None else ml_frame(spark, sf_dir)
+    train, test = frame.where(F.col("is_train")), frame.where(~F.col("is_train"))
+    return FE.scale_split(train.drop("is_train"), test.drop("is_train"))
 
 
 @register("log_label_null")
@@ -249,23 +277,24 @@ def q_scaler_apply(spark, sf_dir):
 
 # ---------------------------------------------------------------- linear models
 
-def coefficients(spark, sf_dir):
+def fit_coefficients(spark, train):
     """GD coefficients of all model kinds, persisted as a small model table.
 
-    Writing the table cuts the lineage (a lost executor does not re-run the
-    scan) and gives the planner a measured size for the scoring join.
+    Writing the table cuts the lineage and gives the planner a measured size
+    for the scoring join (broadcast below the threshold, shuffle join above).
     """
-    train, _ = split_scaled(spark, sf_dir)
     coefs = LN.gd_fit(LN.moments(train))
-    path = WR.write_checkpoint(coefs, scratch_path(spark, "gd-coefs"))
-    return RD.read_parquet(spark, path)
+    return persisted(spark, coefs, "gd-coefs")
+
+
+def coefficients(spark, sf_dir):
+    train, _ = split_scaled(spark, sf_dir)
+    return fit_coefficients(spark, train)
 
 
 def linear_predictions(spark, sf_dir):
     train, test = split_scaled(spark, sf_dir)
-    coefs = LN.gd_fit(LN.moments(train))
-    path = WR.write_checkpoint(coefs, scratch_path(spark, "gd-coefs"))
-    return LN.score_linear(test, RD.read_parquet(spark, path))
+    return LN.score_linear(test, fit_coefficients(spark, train))
 
 
 @register("moments_per_segment")
@@ -371,25 +400,9 @@ def q_feature_parquet_scan(spark, sf_dir):
 
 # ---------------------------------------------------------------- trees
 
-def segment_ids(df: DataFrame) -> list[int]:
-    """Distinct segment ids (one value per segment, bounded by the segmentation)."""
-    return sorted(r[0] for r in df.select("segment").distinct().collect())
-
-
-def persisted(spark, df: DataFrame, name: str, partition_by: list[str] | None = None) -> DataFrame:
-    """Write a training frame once (partitioned by segment) and read it back.
-
-    Later per-segment fits and scans prune to their own files and do not
-    re-run the upstream aggregation; lineage is cut for executor loss.
-    """
-    path = WR.write_checkpoint(df, scratch_path(spark, name), partition_by=partition_by)
-    return RD.read_parquet(spark, path)
-
-
 def raw_tree_frames(spark, sf_dir):
     """Hourly rows with the 7 raw features, zero-guard label, 70/30 hash split."""
-    lab = FE.with_split_flag(labeled(spark, sf_dir))
-    frame = persisted(spark, lab, "tree-frame", ["segment"])
+    frame = ml_frame(spark, sf_dir)
     return frame.where(F.col("is_train")), frame.where(~F.col("is_train"))
 
 
@@ -488,7 +501,8 @@ def q_stream_hourly_replay(spark, sf_dir):
 @register("stream_alerts_replay")
 def q_stream_alerts_replay(spark, sf_dir):
     """Closed hours from the stream scored with the batch-trained linear model."""
-    train, _ = FE.hash_split(labeled(spark, sf_dir))
+    frame = ml_frame(spark, sf_dir)
+    train = frame.where(F.col("is_train")).drop("is_train")
     stats = persisted(spark, FE.scaler_stats(train), "stream-scaler")
     coefs = persisted(spark, LN.gd_fit(LN.moments(FE.apply_scaler(train, stats))), "stream-coefs")
     linear = coefs.where(F.col("model") == "linear")
