@@ -4,9 +4,9 @@ With full batches the gradient of the squared loss is ``(G w - b) / n`` with
 ``G = X'X`` and ``b = X'y`` (a bias column of 1.0 appended last).  One hash
 aggregate therefore computes everything all iterations of all three model
 kinds need: per segment ``n``, the upper triangle of ``G`` and ``b``.  Each
-segment's moments are one row, and the iterations run inside a grouped
-``applyInPandas`` task per segment: nothing but the final coefficients leaves
-the executors, and the row data is scanned once instead of once per iteration.
+segment's moments are one row, and the iterations run as one JVM-side
+expression on that row: nothing but the final coefficients is produced, and
+the row data is scanned once instead of once per iteration.
 
 Update rules (step ``s_i = step / sqrt(i)``, bias starts at 1.0 and is
 regularised like every weight):
@@ -21,8 +21,6 @@ Iteration stops after ``max_iter`` steps or, from the second step on, when
 
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -35,8 +33,6 @@ REG_PARAM = 0.01
 CONV_TOL = 0.001
 MODEL_KINDS = ["linear", "ridge", "lasso"]
 
-COEF_SCHEMA = "model string, segment int, iterations int, intercept double, weights array<double>"
-
 
 def _xcols(features: list[str]):
     return [F.col(c) for c in features] + [F.lit(1.0)]
@@ -58,59 +54,61 @@ def moments(df: DataFrame, features: list[str] | None = None, label: str = "labe
     return df.groupBy(segment).agg(*aggs)
 
 
-def gd_solve(G: np.ndarray, b: np.ndarray, n: float, kind: str, step: float = STEP_SIZE,
-             max_iter: int = MAX_ITER, reg: float = REG_PARAM, tol: float = CONV_TOL):
-    d = len(b)
-    w = np.zeros(d)
-    w[-1] = 1.0
-    it = 0
-    for i in range(1, max_iter + 1):
-        s = step / np.sqrt(i)
-        g = (G @ w - b) / n
-        if kind == "linear":
-            nw = w - s * g
-        elif kind == "ridge":
-            nw = w * (1.0 - s * reg) - s * g
-        elif kind == "lasso":
-            v = w - s * g
-            nw = np.sign(v) * np.maximum(np.abs(v) - s * reg, 0.0)
-        else:
-            raise ValueError(f"unknown model kind {kind}")
-        it = i
-        done = i > 1 and np.linalg.norm(nw - w) < tol * max(np.linalg.norm(nw), 1.0)
-        w = nw
-        if done:
-            break
-    return w, it
-
-
-def _gd_group(kinds, step, max_iter, reg, tol, d):
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        out = []
-        for _, r in pdf.iterrows():
-            n = float(r["n"])
-            if n <= 0:
-                continue
-            G = np.zeros((d, d))
-            for i in range(d):
-                for j in range(i, d):
-                    G[i, j] = G[j, i] = float(r[f"g{i}_{j}"])
-            b = np.array([float(r[f"b{i}"]) for i in range(d)])
-            for kind in kinds:
-                w, it = gd_solve(G, b, n, kind, step, max_iter, reg, tol)
-                out.append({"model": kind, "segment": int(r["segment"]), "iterations": it,
-                            "intercept": float(w[-1]), "weights": [float(x) for x in w[:-1]]})
-        return pd.DataFrame(out, columns=["model", "segment", "iterations", "intercept", "weights"])
-    return run
+def _sum(arr):
+    return F.aggregate(arr, F.lit(0.0), lambda acc, x: acc + x)
+
+
+def _dot(a, b):
+    return _sum(F.zip_with(a, b, lambda x, y: x * y))
+
+
+def _gd_step(kind, G, b, n, d, step, reg, tol):
+    """One gradient step as a Column function of (state, iteration)."""
+    def fn(state, it):
+        w = state["w"]
+        s = F.lit(step) / F.sqrt(it.cast("double"))
+        grad = F.transform(F.sequence(F.lit(0), F.lit(d - 1)),
+                           lambda k: (_dot(G[k], w) - b[k]) / n)
+        plain = F.zip_with(w, grad, lambda wi, gi: wi - s * gi)
+        ridge = F.zip_with(w, grad, lambda wi, gi: wi * (F.lit(1.0) - s * F.lit(reg)) - s * gi)
+        lasso = F.transform(plain, lambda v: F.signum(v) * F.greatest(F.abs(v) - s * F.lit(reg), F.lit(0.0)))
+        nw = F.when(kind == "ridge", ridge).when(kind == "lasso", lasso).otherwise(plain)
+        diff = F.sqrt(_sum(F.zip_with(nw, w, lambda x, y: (x - y) * (x - y))))
+        norm = F.sqrt(_sum(F.transform(nw, lambda x: x * x)))
+        done = (it > 1) & (diff < F.lit(tol) * F.greatest(norm, F.lit(1.0)))
+        nxt = F.struct(nw.alias("w"), it.alias("i"), done.alias("done"))
+        return F.when(state["done"], state).otherwise(nxt)
+    return fn
 
 
 def gd_fit(moments_df: DataFrame, n_features: int = len(FEATURES_7), kinds: list[str] | None = None,
            step: float = STEP_SIZE, max_iter: int = MAX_ITER, reg: float = REG_PARAM,
            tol: float = CONV_TOL) -> DataFrame:
-    """Coefficients per (model, segment) from the moments, one task per segment."""
+    """Coefficients per (model, segment) from the moments.
+
+    The iterations run as a Spark SQL ``aggregate`` over ``sequence(1,
+    max_iter)`` on each segment's single moments row: a JVM-side expression,
+    no Python worker, no driver round trip, and one row in / one row out per
+    segment and model kind.
+    """
     kinds = kinds or MODEL_KINDS
-    fn = _gd_group(kinds, step, max_iter, reg, tol, n_features + 1)
-    return moments_df.groupBy("segment").applyInPandas(fn, COEF_SCHEMA)
+    d = n_features + 1
+    G = F.array(*[F.array(*[F.col(f"g{min(i, j)}_{max(i, j)}") for j in range(d)]) for i in range(d)])
+    b = F.array(*[F.col(f"b{i}") for i in range(d)])
+    base = moments_df.where(F.col("n") > 0).select(
+        "segment", F.col("n"), G.alias("G"), b.alias("b"),
+        F.explode(F.array(*[F.lit(k) for k in kinds])).alias("model"))
+    w0 = F.array(*([F.lit(0.0)] * (d - 1) + [F.lit(1.0)]))
+    init = F.struct(w0.alias("w"), F.lit(0).alias("i"), F.lit(False).alias("done"))
+    fn = _gd_step(F.col("model"), F.col("G"), F.col("b"), F.col("n"), d, step, reg, tol)
+    fit = base.select("model", "segment",
+                      F.aggregate(F.sequence(F.lit(1), F.lit(max_iter)), init, fn).alias("st"))
+    return fit.select(
+        "model", F.col("segment").cast("int").alias("segment"),
+        F.col("st.i").alias("iterations"),
+        F.element_at(F.col("st.w"), d).alias("intercept"),
+        F.slice(F.col("st.w"), 1, d - 1).alias("weights"),
+    )
 
 
 def coefs_wide(coefs: DataFrame, features: list[str] | None = None) -> DataFrame:

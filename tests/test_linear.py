@@ -95,3 +95,37 @@ def test_random_split_cover(spark):
     df = spark.range(500)
     a, b = FE.random_split(df, [0.7, 0.3], 13)
     assert a.count() + b.count() == 500 and a.join(b, "id").count() == 0
+
+
+def _numpy_gd(G, b, n, kind, step=0.1, iters=100, reg=0.01, tol=0.001):
+    """Independent reference loop on the same moments."""
+    w = np.zeros(len(b))
+    w[-1] = 1.0
+    it = 0
+    for i in range(1, iters + 1):
+        s = step / np.sqrt(i)
+        g = (G @ w - b) / n
+        v = w - s * g
+        if kind == "ridge":
+            v = w * (1 - s * reg) - s * g
+        elif kind == "lasso":
+            v = np.sign(v) * np.maximum(np.abs(v) - s * reg, 0.0)
+        it = i
+        done = i > 1 and np.linalg.norm(v - w) < tol * max(np.linalg.norm(v), 1.0)
+        w = v
+        if done:
+            break
+    return w, it
+
+
+def test_gd_matches_numpy_reference(spark, synthetic):
+    m = LN.moments(synthetic, FEATS).collect()
+    coefs = {(r.model, r.segment): r for r in LN.gd_fit(LN.moments(synthetic, FEATS)).collect()}
+    for r in m:
+        G = np.array([[r[f"g{min(i, j)}_{max(i, j)}"] for j in range(8)] for i in range(8)])
+        b = np.array([r[f"b{i}"] for i in range(8)])
+        for kind in ("linear", "ridge", "lasso"):
+            w, it = _numpy_gd(G, b, r.n, kind)
+            c = coefs[(kind, r.segment)]
+            assert c.iterations == it
+            assert c.weights + [c.intercept] == pytest.approx(list(w), abs=1e-12)
