@@ -35,7 +35,7 @@ TRAIN_RATIO = 0.8
 # Elastic-net family: (name, regParam, elasticNetParam, maxIter).
 ELASTIC_FAMILY = [("lasso", 0.5, 1.0, 100), ("ridge", 0.5, 0.0, 100), ("elastic_net", 0.005, 0.2, 1000)]
 
-DEFAULT_POOL = 4
+DEFAULT_POOL = 8
 
 
 def _pool_map(fn, items, parallelism: int = DEFAULT_POOL):
@@ -105,8 +105,8 @@ def grid_search(train: DataFrame, features: list[str], segments: list[int], labe
         tvs = TrainValidationSplit(estimator=pipe, estimatorParamMaps=grid, evaluator=ev,
                                    trainRatio=train_ratio, seed=seed, parallelism=parallelism)
         return seg, tvs.fit(train.where(F.col("segment") == seg))
-    # Segments in sequence, candidates in parallel inside each search.
-    return dict(fit(s) for s in segments)
+    # Segments run concurrently (two at a time), candidates in parallel inside each search.
+    return dict(_pool_map(fit, segments, min(2, max(1, len(segments)))))
 
 
 def grid_report(spark: SparkSession, searches: dict) -> DataFrame:
@@ -145,7 +145,7 @@ def tree_rules(nodes: DataFrame, features: list[str], max_depth: int = MAX_DEPTH
     names = F.array(*[F.lit(c) for c in features])
     n = nodes.select("segment", "id", "prediction", "leftChild", "rightChild",
                      F.element_at(names, F.col("split.featureIndex") + 1).alias("feature"),
-                     F.col("split.leftCategoriesOrThreshold")[0].cast("string").alias("threshold"))
+                     F.get(F.col("split.leftCategoriesOrThreshold"), 0).cast("string").alias("threshold"))
     frontier = n.where(F.col("id") == 0).select(
         "segment", "id", F.array().cast(T.ArrayType(T.StringType())).alias("conds"), F.lit(0).alias("depth"))
     leaves = []
@@ -166,6 +166,33 @@ def tree_rules(nodes: DataFrame, features: list[str], max_depth: int = MAX_DEPTH
                         F.concat_ws(" AND ", "conds").alias("conditions"), "prediction")
 
 
+def score_by_nodes(df: DataFrame, nodes: DataFrame, features: list[str], max_depth: int = MAX_DEPTH,
+                   keep: list[str] | None = None) -> DataFrame:
+    """Score rows of every segment in one plan by walking the saved node tables.
+
+    Each level is an equi-join of the rows' current node with the node table
+    (segment, id) followed by the split test ``x[feature] <= threshold``; a
+    leaf keeps its id.  The node table has a few hundred rows per segment, so
+    the planner broadcasts it (size measured from the Parquet files) and every
+    level is a narrow pass over the rows: no per-segment branches, however
+    many segments there are.
+    """
+    keep = keep if keep is not None else [c for c in df.columns if c not in features]
+    n = nodes.select("segment", "id", "prediction", "leftChild", "rightChild",
+                     F.col("split.featureIndex").alias("fi"),
+                     F.get(F.col("split.leftCategoriesOrThreshold"), 0).alias("thr"))
+    xs = F.array(*[F.col(c).cast("double") for c in features])
+    cur = df.select(*keep, xs.alias("_x"), F.lit(0).alias("_node"))
+    for _ in range(max_depth):
+        step = cur.join(n.withColumnRenamed("id", "_node"), ["segment", "_node"], "left")
+        nxt = (F.when(F.col("leftChild") < 0, F.col("_node"))
+               .when(F.element_at("_x", F.col("fi") + 1) <= F.col("thr"), F.col("leftChild"))
+               .otherwise(F.col("rightChild")))
+        cur = step.select(*keep, "_x", nxt.alias("_node"))
+    leaf = cur.join(n.select("segment", F.col("id").alias("_node"), "prediction"), ["segment", "_node"], "left")
+    return leaf.select(*keep, "prediction")
+
+
 # ---------------------------------------------------------------- elastic-net family
 
 def fit_elastic_family(train: DataFrame, features: list[str], segments: list[int], label: str = "label",

@@ -34,3 +34,13 @@ def test_grid_report(spark):
     searches = TR.grid_search(df, FEATS, [0], depths=[2, 3], bins=[8, 16])
     rep = TR.grid_report(spark, searches).collect()
     assert len(rep) == 4 and sum(r.is_best for r in rep) >= 1
+
+
+def test_node_walk_equals_transform(spark):
+    df = _frame(spark)
+    models = TR.fit_segment_trees(df, FEATS, [0, 1], max_depth=5, max_bins=16)
+    root = TR.save_segment_models(models, scratch_path(spark, "t-walk"))
+    a = TR.score_segments(df, models, ["segment", "a", "b"])
+    b = TR.score_by_nodes(df, TR.tree_nodes(spark, root), FEATS, max_depth=5, keep=["segment", "a", "b"])
+    assert b.count() == 400
+    assert a.exceptAll(b).count() == 0
