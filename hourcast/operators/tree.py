@@ -61,14 +61,18 @@ def fit_segment_trees(train: DataFrame, features: list[str], segments: list[int]
     return dict(_pool_map(fit, segments, parallelism))
 
 
-def save_segment_models(models: dict[int, PipelineModel], root: str) -> str:
-    for seg, m in models.items():
-        m.write().overwrite().save(f"{root}/segment={seg}")
+def save_segment_models(models: dict[int, PipelineModel], root: str,
+                        parallelism: int = DEFAULT_POOL) -> str:
+    """One model directory per segment (``root/segment=<id>``), written concurrently."""
+    _pool_map(lambda kv: kv[1].write().overwrite().save(f"{root}/segment={kv[0]}"),
+              list(models.items()), parallelism)
     return root
 
 
-def load_segment_models(root: str, segments: list[int]) -> dict[int, PipelineModel]:
-    return {seg: PipelineModel.load(f"{root}/segment={seg}") for seg in segments}
+def load_segment_models(root: str, segments: list[int],
+                        parallelism: int = DEFAULT_POOL) -> dict[int, PipelineModel]:
+    return dict(_pool_map(lambda seg: (seg, PipelineModel.load(f"{root}/segment={seg}")),
+                          segments, parallelism))
 
 
 def score_segments(df: DataFrame, models: dict[int, PipelineModel], keep: list[str]) -> DataFrame:
@@ -193,6 +197,25 @@ def score_by_nodes(df: DataFrame, nodes: DataFrame, features: list[str], max_dep
     return leaf.select(*keep, "prediction")
 
 
+MAX_UNION_SEGMENTS = 64
+
+
+def score_trees(spark: SparkSession, df: DataFrame, models: dict[int, PipelineModel], features: list[str],
+                keep: list[str], scratch: str, max_depth: int = MAX_DEPTH,
+                max_union: int = MAX_UNION_SEGMENTS) -> DataFrame:
+    """Pick the scoring plan by segment count.
+
+    Up to ``max_union`` segments: one ``transform`` per segment over its own
+    (partition-pruned) rows, unioned.  Beyond that the plan would grow with
+    the segment count, so the models are saved and all rows walk the node
+    tables together (``score_by_nodes``), one join per tree level.
+    """
+    if len(models) <= max_union:
+        return score_segments(df, models, keep)
+    root = save_segment_models(models, scratch)
+    return score_by_nodes(df, tree_nodes(spark, root), features, max_depth, keep=keep)
+
+
 # ---------------------------------------------------------------- elastic-net family
 
 def fit_elastic_family(train: DataFrame, features: list[str], segments: list[int], label: str = "label",

@@ -421,12 +421,11 @@ def profile_frame(spark, sf_dir):
 
 @register("tree_score_segments")
 def q_tree_score_segments(spark, sf_dir):
-    """Row -> own segment's tree for all segments in one plan (join walk over node tables)."""
+    """Every row scored by its own segment's tree (plan chosen by segment count)."""
     train, test = raw_tree_frames(spark, sf_dir)
     models = TR.fit_segment_trees(train, FE.FEATURES_7, segment_ids(train))
-    root = TR.save_segment_models(models, scratch_path(spark, "tree-walk"))
-    return TR.score_by_nodes(test, TR.tree_nodes(spark, root), FE.FEATURES_7, TR.MAX_DEPTH,
-                             keep=["segment", "row_key", "label"])
+    return TR.score_trees(spark, test, models, FE.FEATURES_7, ["segment", "row_key", "label"],
+                          scratch_path(spark, "tree-walk"))
 
 
 @register("tree_save_load_score")

@@ -44,3 +44,12 @@ def test_node_walk_equals_transform(spark):
     b = TR.score_by_nodes(df, TR.tree_nodes(spark, root), FEATS, max_depth=5, keep=["segment", "a", "b"])
     assert b.count() == 400
     assert a.exceptAll(b).count() == 0
+
+
+def test_score_trees_both_plans_agree(spark):
+    df = _frame(spark)
+    models = TR.fit_segment_trees(df, FEATS, [0, 1], max_depth=3, max_bins=8)
+    keep = ["segment", "a", "b"]
+    union = TR.score_trees(spark, df, models, FEATS, keep, scratch_path(spark, "t-st1"), max_depth=3)
+    walk = TR.score_trees(spark, df, models, FEATS, keep, scratch_path(spark, "t-st2"), max_depth=3, max_union=1)
+    assert union.exceptAll(walk).count() == 0 and walk.count() == 400
