@@ -74,6 +74,11 @@ def preview(df: DataFrame, order_by: list[str], n: int = 5) -> DataFrame:
     return df.orderBy(*order_by).limit(n)
 
 
+def first_match(df: DataFrame, condition: str, order_by: list[str]) -> DataFrame:
+    """First row matching a predicate, deterministic: filter, then a top-1."""
+    return df.where(condition).orderBy(*order_by).limit(1)
+
+
 def project_measures(df: DataFrame, keys: list[str] | None = None) -> DataFrame:
     keys = keys if keys is not None else [SEGMENT, "hour_of_day"]
     return df.select(*keys, *MEASURES)

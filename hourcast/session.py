@@ -43,23 +43,33 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder, creating a local one only when unset."""
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:
-        return current.rstrip("/")
-    configured = sc.getConf().get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - remote (Connect) sessions have no SparkContext
+        sc = None
+    if sc is not None and sc.getCheckpointDir():
+        return sc.getCheckpointDir().rstrip("/")
+    configured = sc.getConf().get("spark.checkpoint.dir", None) if sc is not None else None
     if not configured:
         try:
             configured = spark.conf.get("spark.checkpoint.dir")
         except Exception:  # noqa: BLE001 - unset conf raises in some versions
             configured = None
     if not configured:
-        configured = tempfile.mkdtemp(prefix="hourcast-ckpt-")
+        global _LOCAL_FALLBACK
+        if _LOCAL_FALLBACK is None:
+            _LOCAL_FALLBACK = tempfile.mkdtemp(prefix="hourcast-ckpt-")
+        configured = _LOCAL_FALLBACK
+    if sc is None:
+        return configured.rstrip("/")
     sc.setCheckpointDir(configured)
-    # Spark appends a random sub folder; keep our own files beside it.
+    # Spark appends a random sub folder; keep our own files beside its files.
     return (sc.getCheckpointDir() or configured).rstrip("/")
 
 
+_LOCAL_FALLBACK: str | None = None
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, never reused path under the shared checkpoint folder."""
     root = ensure_checkpoint_dir(spark)
