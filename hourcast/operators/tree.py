@@ -93,7 +93,7 @@ def tree_of(model: PipelineModel) -> DecisionTreeRegressionModel:
 def grid_search(train: DataFrame, features: list[str], segments: list[int], label: str = "label",
                 depths: list[int] | None = None, bins: list[int] | None = None,
                 train_ratio: float = TRAIN_RATIO, seed: int = 42,
-                parallelism: int = DEFAULT_POOL):
+                parallelism: int = 4, segment_parallelism: int = DEFAULT_POOL):
     """TrainValidationSplit per segment over maxDepth x maxBins, RMSE criterion.
 
     Returns {segment: fitted TrainValidationSplitModel}; the best model is
@@ -109,8 +109,9 @@ def grid_search(train: DataFrame, features: list[str], segments: list[int], labe
         tvs = TrainValidationSplit(estimator=pipe, estimatorParamMaps=grid, evaluator=ev,
                                    trainRatio=train_ratio, seed=seed, parallelism=parallelism)
         return seg, tvs.fit(train.where(F.col("segment") == seg))
-    # Segments run concurrently (two at a time), candidates in parallel inside each search.
-    return dict(_pool_map(fit, segments, min(2, max(1, len(segments)))))
+    # Segments run concurrently (bounded pool), candidates in parallel inside each search:
+    # every fit is a short job sequence, so overlapping them keeps the executors busy.
+    return dict(_pool_map(fit, segments, min(segment_parallelism, max(1, len(segments)))))
 
 
 def grid_report(spark: SparkSession, searches: dict) -> DataFrame:

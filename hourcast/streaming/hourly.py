@@ -1,8 +1,11 @@
 """Structured Streaming: hourly telemetry from an event stream, and live alerts.
 
 ``stream_hourly`` is the streaming twin of ``hourly_from_events``: a tumbling
-one-hour event-time window per segment with a watermark, so late events
-within the allowed delay still count and older ones are dropped.  Event time
+one-hour event-time window per segment with a watermark.  Events within the
+allowed delay always count; older ones are dropped once the watermark has
+moved past them (Spark filters late rows with the previous batch's watermark,
+so a late row arriving in the very batch that advances the watermark may
+still count).  Event time
 must be a TIMESTAMP (not TIMESTAMP_NTZ) for watermarks; the session runs in
 UTC, so the cast keeps the wall clock unchanged.
 
