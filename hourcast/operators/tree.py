@@ -142,33 +142,33 @@ def tree_nodes(spark: SparkSession, root: str) -> DataFrame:
 def tree_rules(nodes: DataFrame, features: list[str], max_depth: int = MAX_DEPTH) -> DataFrame:
     """One rule per leaf: the AND of split conditions on the root-to-leaf path.
 
-    Built by a breadth-first walk with one join per tree level (``max_depth``
-    must be at least the depth of the deepest tree), so the extraction is a
-    Spark job over the node table, never a driver-side walk.  Both children of
-    a level are emitted by one ``inline`` so the plan grows linearly.
+    A breadth-first walk with one join per tree level (``max_depth`` must be at
+    least the depth of the deepest tree): internal nodes expand into their two
+    children, leaves carry themselves forward, so the plan is a single linear
+    chain of joins over the node table, never a driver-side walk.
     """
     names = F.array(*[F.lit(c) for c in features])
     n = nodes.select("segment", "id", "prediction", "leftChild", "rightChild",
-                     F.element_at(names, F.col("split.featureIndex") + 1).alias("feature"),
+                     F.get(names, F.col("split.featureIndex")).alias("feature"),
                      F.get(F.col("split.leftCategoriesOrThreshold"), 0).cast("string").alias("threshold"))
+    links = n.select("segment", "id", "leftChild", "rightChild", "feature", "threshold")
     frontier = n.where(F.col("id") == 0).select(
         "segment", "id", F.array().cast(T.ArrayType(T.StringType())).alias("conds"), F.lit(0).alias("depth"))
-    leaves = []
-    for _ in range(max_depth + 1):
-        cur = frontier.join(n, ["segment", "id"])
-        leaves.append(cur.where(F.col("leftChild") < 0)
-                      .select("segment", F.col("id").alias("rule_id"), "conds", "depth", "prediction"))
-        inner = cur.where(F.col("leftChild") >= 0)
-        children = F.array(
-            F.struct(F.col("leftChild").alias("id"),
-                     F.concat(F.col("conds"), F.array(F.concat_ws(" <= ", "feature", "threshold"))).alias("conds")),
-            F.struct(F.col("rightChild").alias("id"),
-                     F.concat(F.col("conds"), F.array(F.concat_ws(" > ", "feature", "threshold"))).alias("conds")),
-        )
-        frontier = inner.select("segment", (F.col("depth") + 1).alias("depth"), F.inline(children))
-    rules = reduce(lambda a, b: a.unionByName(b), leaves)
-    return rules.select("segment", "rule_id", "depth",
-                        F.concat_ws(" AND ", "conds").alias("conditions"), "prediction")
+    for _ in range(max_depth):
+        cur = frontier.join(links, ["segment", "id"])
+        me = F.struct(F.col("id"), F.col("conds"), F.col("depth"))
+        left = F.struct(F.col("leftChild").alias("id"),
+                        F.concat(F.col("conds"), F.array(F.concat_ws(" <= ", "feature", "threshold"))).alias("conds"),
+                        (F.col("depth") + 1).alias("depth"))
+        right = F.struct(F.col("rightChild").alias("id"),
+                         F.concat(F.col("conds"), F.array(F.concat_ws(" > ", "feature", "threshold"))).alias("conds"),
+                         (F.col("depth") + 1).alias("depth"))
+        nxt = F.when(F.col("leftChild") < 0, F.array(me)).otherwise(F.array(left, right))
+        frontier = cur.select("segment", F.inline(nxt))
+    rules = frontier.join(n.select("segment", "id", "prediction", "leftChild"), ["segment", "id"])
+    return rules.where(F.col("leftChild") < 0).select(
+        "segment", F.col("id").alias("rule_id"), "depth",
+        F.concat_ws(" AND ", "conds").alias("conditions"), "prediction")
 
 
 def score_by_nodes(df: DataFrame, nodes: DataFrame, features: list[str], max_depth: int = MAX_DEPTH,
@@ -191,7 +191,7 @@ def score_by_nodes(df: DataFrame, nodes: DataFrame, features: list[str], max_dep
     for _ in range(max_depth):
         step = cur.join(n.withColumnRenamed("id", "_node"), ["segment", "_node"], "left")
         nxt = (F.when(F.col("leftChild") < 0, F.col("_node"))
-               .when(F.element_at("_x", F.col("fi") + 1) <= F.col("thr"), F.col("leftChild"))
+               .when(F.get(F.col("_x"), F.col("fi")) <= F.col("thr"), F.col("leftChild"))
                .otherwise(F.col("rightChild")))
         cur = step.select(*keep, "_x", nxt.alias("_node"))
     leaf = cur.join(n.select("segment", F.col("id").alias("_node"), "prediction"), ["segment", "_node"], "left")
