@@ -34,3 +34,17 @@ def test_april_counts_by_week(spark):
             .crossJoin(spark.range(24).select(F.col("id").cast("int").alias("hour_of_day"))))
     got = {r.week_of_month: r["count"] for r in count_by_week(with_week_of_month(grid)).collect()}
     assert got == {1.0: 96, 2.0: 672, 3.0: 672, 4.0: 672, 5.0: 672, 6.0: 96}
+
+
+def test_week_of_month_property(spark):
+    from hypothesis import given, settings
+    from hypothesis import strategies as st
+
+    @settings(max_examples=25, deadline=None)
+    @given(st.dates(min_value=dt.date(1900, 1, 1), max_value=dt.date(2200, 12, 31)))
+    def check(d):
+        got = spark.createDataFrame([(d,)], "d date").select(week_of_month("d")).first()[0]
+        assert got == float(_py_week(d))
+        assert 1.0 <= got <= 6.0
+
+    check()

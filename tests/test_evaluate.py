@@ -50,3 +50,14 @@ def test_metrics_by_group(spark):
                                "model string, segment int, label double, prediction double")
     rows = {(r.model, r.segment): r for r in EV.metrics(df, by=["model", "segment"]).collect()}
     assert rows[("a", 2)].mse == 1.0 and rows[("b", 1)].mse == 0.0 and len(rows) == 3
+
+
+def test_metrics_of_union_are_weighted_metrics_of_parts(spark):
+    from hourcast.plans.catalog import linear_predictions
+    p = linear_predictions(spark, "/root/testdata/sf0.001").where("model = 'linear'")
+    whole = EV.metrics(p).first()
+    parts = EV.metrics(p, by=["segment"]).collect()
+    n = sum(r.n for r in parts)
+    assert n == whole.n
+    assert sum(r.mse * r.n for r in parts) / n == pytest.approx(whole.mse, rel=1e-12)
+    assert sum(r.accuracy_one_sided * r.n for r in parts) / n == pytest.approx(whole.accuracy_one_sided)
