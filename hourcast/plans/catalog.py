@@ -53,7 +53,6 @@ def persisted(spark, df: DataFrame, name: str, partition_by: list[str] | None =
     return RD.read_parquet(spark, path)
 
 
-
 def hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = EV.load_table(spark, sf_dir, "events")
     return EV.hourly_from_events(events)
@@ -87,11 +86,12 @@ def q_csv_roundtrip_hourly(spark, sf_dir):
 @register("csv_drop_malformed")
 def q_csv_drop_malformed(spark, sf_dir):
     """Good hourly lines plus derived malformed companions; only good lines survive."""
-    h = hourly(spark, sf_dir)
     path = scratch_path(spark, "hourly-csv-bad")
-    WR.write_hourly_csv(h, path + "/good")
-    line = F.concat_ws(",", *[F.col(c).cast("string") for c in h.columns])
-    bad = h.select(
+    WR.write_hourly_csv(hourly(spark, sf_dir), path + "/good")
+    # Companions derived from the written text (no second scan of the events).
+    header = ",".join(S.HOURLY_SCHEMA.fieldNames())
+    line = F.col("value")
+    bad = spark.read.text(path + "/good").where(line != F.lit(header)).select(
         F.explode(F.array(
             F.concat(F.lit("x"), line),                                   # wrong type
             F.regexp_replace(line, ",[^,]*$", ""),                         # too few fields
@@ -159,6 +159,13 @@ def q_preview_first_rows(spark, sf_dir):
     return round_doubles(P.preview(hourly(spark, sf_dir), ["carrier_id", "datepart", "hour_of_day"], 5))
 
 
+@register("first_match_row")
+def q_first_match_row(spark, sf_dir):
+    """First hourly row of segment 1 with an error, in (date, hour) order."""
+    m = P.first_match(hourly(spark, sf_dir), "carrier_id = 1 AND errors > 0", ["datepart", "hour_of_day"])
+    return round_doubles(m)
+
+
 @register("project_measures")
 def q_project_measures(spark, sf_dir):
     return round_doubles(P.project_measures(hourly(spark, sf_dir)))

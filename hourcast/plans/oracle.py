@@ -116,6 +116,9 @@ HOURLY_KEYS_ORDER = "carrier_id, datepart, hour_of_day"
 SQL["preview_first_rows"] = f"with {HOURLY} " + _hourly_select(
     f"(select * from h order by {HOURLY_KEYS_ORDER} limit 5)")
 
+SQL["first_match_row"] = f"with {HOURLY} " + _hourly_select(
+    "(select * from h where carrier_id = 1 and errors > 0 order by datepart, hour_of_day limit 1)")
+
 SQL["project_measures"] = f"with {HOURLY} select carrier_id, hour_of_day, {rnd(MEASURES)} from h"
 
 SQL["segment_filter"] = f"""with {CUMULATIVE}
