@@ -264,10 +264,18 @@ def q_hash_split(spark, sf_dir):
 
 @register("random_split_cover")
 def q_random_split_cover(spark, sf_dir):
-    """Seeded 70/30 Bernoulli split: parts are disjoint and cover the input."""
+    """Seeded 70/30 Bernoulli split: the parts are disjoint and together cover the input.
+
+    Membership depends on partitioning, so the check is on the cover: total
+    rows, distinct keys and keys present in both parts.
+    """
     f = features(spark, sf_dir).select("row_key")
     a, b = FE.random_split(f, [0.7, 0.3], seed=13)
-    return a.withColumn("part", F.lit("train")).unionByName(b.withColumn("part", F.lit("test")))
+    parts = a.withColumn("part", F.lit(0)).unionByName(b.withColumn("part", F.lit(1)))
+    per_key = parts.groupBy("row_key").agg(F.count(F.lit(1)).alias("c"),
+                                           F.countDistinct("part").alias("p"))
+    return per_key.agg(F.sum("c").alias("n_rows"), F.count(F.lit(1)).alias("n_keys"),
+                       F.count_if(F.col("p") > 1).alias("n_overlap"))
 
 
 @register("scaler_stats")
@@ -523,4 +531,5 @@ def q_stream_alerts_replay(spark, sf_dir):
 
     out = ST.stream_alerts(ST.stream_hourly(event_stream(spark, sf_dir)), score,
                            scratch_path(spark, "stream-alerts"), scratch_path(spark, "stream-alerts-ckpt"))
-    return RD.read_parquet(spark, out)
+    alerts = RD.read_parquet(spark, out)
+    return round_doubles(alerts.select("segment", "row_key", "measured", "predicted", "error_pct", "message"))

