@@ -93,21 +93,27 @@ def scaler_stats(df: DataFrame, features: list[str] | None = None) -> DataFrame:
     return df.agg(*[F.stddev_samp(c).alias(f"std_{c}") for c in features])
 
 
-def apply_scaler(df: DataFrame, stats: DataFrame, features: list[str] | None = None) -> DataFrame:
-    """x / std without centering; a zero (or undefined) std gives 0.0.
+def fit_scaler(df: DataFrame, features: list[str] | None = None) -> dict[str, float | None]:
+    """The fitted scaler: one standard deviation per feature.
 
-    ``stats`` is one row by construction (a global aggregate), so the cross
-    join is a broadcast of a single row.
+    A single global aggregate (partial aggregates per task, one row out); like
+    MLlib's scaler models, the fitted values live on the driver, so applying
+    them is a projection with literals and needs no join.
     """
     features = features or FEATURES_7
-    joined = df.crossJoin(F.broadcast(stats))
-    scaled = {
-        c: F.when(F.coalesce(F.col(f"std_{c}"), F.lit(0.0)) == 0.0, F.lit(0.0))
-            .otherwise(F.col(c) / F.col(f"std_{c}"))
-        for c in features
-    }
-    keep = [c for c in df.columns if c not in features]
-    return joined.select(*keep, *[scaled[c].alias(c) for c in features])
+    row = scaler_stats(df, features).first()
+    return {c: row[f"std_{c}"] for c in features}
+
+
+def apply_scaler(df: DataFrame, std: dict[str, float | None]) -> DataFrame:
+    """x / std without centering; a zero or undefined (single-row) std gives 0.0."""
+    def scaled(c):
+        s = std[c]
+        if s is None or s == 0.0:
+            return F.lit(0.0)
+        return F.col(c) / F.lit(float(s))
+    keep = [c for c in df.columns if c not in std]
+    return df.select(*keep, *[scaled(c).alias(c) for c in std])
 
 
 def scale_split(train: DataFrame, test: DataFrame, features: list[str] | None = None,
@@ -117,6 +123,6 @@ def scale_split(train: DataFrame, test: DataFrame, features: list[str] | None =
     ``refit=True`` scales the test part by its own statistics instead (the
     behaviour of the original trainer, kept for parity checks).
     """
-    s_train = scaler_stats(train, features)
-    s_test = scaler_stats(test, features) if refit else s_train
-    return apply_scaler(train, s_train, features), apply_scaler(test, s_test, features)
+    s_train = fit_scaler(train, features)
+    s_test = fit_scaler(test, features) if refit else s_train
+    return apply_scaler(train, s_train), apply_scaler(test, s_test)

@@ -520,7 +520,7 @@ def q_stream_alerts_replay(spark, sf_dir):
     """Closed hours from the stream scored with the batch-trained linear model."""
     frame = ml_frame(spark, sf_dir)
     train = frame.where(F.col("is_train")).drop("is_train")
-    stats = persisted(spark, FE.scaler_stats(train), "stream-scaler")
+    stats = FE.fit_scaler(train)
     coefs = persisted(spark, LN.gd_fit(LN.moments(FE.apply_scaler(train, stats))), "stream-coefs")
     linear = coefs.where(F.col("model") == "linear")
 

@@ -29,9 +29,13 @@ def test_three_years_against_calendar(spark):
 
 
 def test_april_counts_by_week(spark):
-    grid = (spark.range(30).select(F.date_add(F.lit(dt.date(2017, 4, 1)), F.col("id").cast("int")).alias("datepart"))
-            .crossJoin(spark.createDataFrame([(c,) for c in (1, 2, 4, 5)], "carrier_id int"))
-            .crossJoin(spark.range(24).select(F.col("id").cast("int").alias("hour_of_day"))))
+    # 30 days x 4 carriers x 24 hours, generated from one id range
+    ids = spark.range(30 * 4 * 24)
+    grid = ids.select(
+        F.date_add(F.lit(dt.date(2017, 4, 1)), (F.col("id") / 96).cast("int")).alias("datepart"),
+        F.element_at(F.array(*[F.lit(c) for c in (1, 2, 4, 5)]), ((F.col("id") / 24).cast("int") % 4) + 1)
+        .alias("carrier_id"),
+        (F.col("id") % 24).cast("int").alias("hour_of_day"))
     got = {r.week_of_month: r["count"] for r in count_by_week(with_week_of_month(grid)).collect()}
     assert got == {1.0: 96, 2.0: 672, 3.0: 672, 4.0: 672, 5.0: 672, 6.0: 96}
 

@@ -67,11 +67,10 @@ def test_scaler_golden_and_zero_std(spark):
               1.955909409254753, 1.5761758472523948, 2.100481657010176]
     stds = [a / b for a, b in zip(x, scaled)]
     df = spark.createDataFrame([tuple(x)], ", ".join(f"{c} double" for c in feats))
-    st = spark.createDataFrame([tuple(stds)], ", ".join(f"std_{c} double" for c in feats))
-    got = FE.apply_scaler(df, st, feats).first()
+    got = FE.apply_scaler(df, dict(zip(feats, stds))).first()
     assert [got[c] for c in feats] == pytest.approx(scaled, rel=1e-12)
-    zero = spark.createDataFrame([(0.0,) * 7], ", ".join(f"std_{c} double" for c in feats))
-    assert list(FE.apply_scaler(df, zero, feats).first()) == [0.0] * 7
+    assert list(FE.apply_scaler(df, {c: 0.0 for c in feats}).first()) == [0.0] * 7
+    assert list(FE.apply_scaler(df, {c: None for c in feats}).first()) == [0.0] * 7
 
 
 def test_labels_edges(spark):
