@@ -47,29 +47,23 @@ def hourly_profile(enriched: DataFrame, keys: list[str] | None = None,
 def running_profile(enriched: DataFrame, segment: str = SEGMENT) -> DataFrame:
     """Profile + running profile with a single shuffle of the hourly rows.
 
-    Hash partitioning on the segment satisfies both the aggregate (segment,
-    hour, week) and the window (segment, week), so neither adds an exchange.
-    The input is the hourly table (at most segments x hours rows, independent
-    of the event volume), so a segment per task is a bounded amount of work.
-    The week key cannot be part of the partitioning: it is a double, and the
-    window partitions on its NaN/zero-normalised form.
+    The hourly rows are hash-partitioned on (segment, integer week), which
+    satisfies both the profile aggregate on (segment, hour, week) and the
+    window on (segment, week), so neither adds an exchange.  The week is a
+    double in the output; the integer twin is used as the key because the
+    window would partition on the NaN/zero-normalised form of a double and
+    not match the exchange.  Each (segment, week) holds at most 7 x 24 hourly
+    rows, whatever the event volume.
     """
-    return cumulative_profile(hourly_profile(enriched, cluster_by=[segment]), segment)
-
-
-def cumulative_profile(profile: DataFrame, segment: str = SEGMENT) -> DataFrame:
-    """Running mean of response time and running sums of the counts.
-
-    Frame: rows from the first hour of the (segment, week) partition to the
-    current hour.  All five columns share one window so Spark plans a single
-    sort and a single Window operator.
-    """
-    w = (Window.partitionBy(segment, "week_of_month").orderBy("hour_of_day")
+    wk = "_week"
+    keyed = enriched.withColumn(wk, F.col("week_of_month").cast("int")).repartition(segment, wk)
+    prof = keyed.groupBy(segment, "hour_of_day", wk).agg(*[F.avg(m).alias(m) for m in MEASURES])
+    w = (Window.partitionBy(segment, wk).orderBy("hour_of_day")
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     running = {"avg_response_time": F.avg("avg_response_time").over(w)}
     running.update({m: F.sum(m).over(w) for m in SUM_MEASURES})
-    return profile.select(
-        segment, "hour_of_day", "week_of_month",
+    return prof.select(
+        segment, "hour_of_day", F.col(wk).cast("double").alias("week_of_month"),
         *[running[m].alias(m) for m in MEASURES],
     )
 
