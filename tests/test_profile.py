@@ -84,3 +84,13 @@ def test_preview_is_ordered(spark):
     keys = [(r.carrier_id, r.datepart, r.hour_of_day) for r in rows]
     assert keys == sorted(keys) and len(rows) == 5
     assert all(isinstance(r.datepart, dt.date) for r in rows)
+
+
+def test_fused_running_profile_equals_composition(spark):
+    from hourcast.plans.catalog import enriched
+    e = enriched(spark, "/root/testdata/sf0.001")
+    fused = P.running_profile(e)
+    composed = P.cumulative_profile(P.hourly_profile(e))
+    r = lambda df: sorted(tuple(round(x, 9) if isinstance(x, float) else x for x in row) for row in df.collect())
+    assert fused.columns == composed.columns
+    assert r(fused) == r(composed)
