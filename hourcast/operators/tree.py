@@ -221,7 +221,12 @@ def score_trees(spark: SparkSession, df: DataFrame, models: dict[int, PipelineMo
 
 def fit_elastic_family(train: DataFrame, features: list[str], segments: list[int], label: str = "label",
                        family=None, tol: float = 1e-6, parallelism: int = DEFAULT_POOL):
-    """Lasso / ridge / elastic-net fits per segment with their training summaries."""
+    """Lasso / ridge / elastic-net fits per segment.
+
+    Returns {(segment, name): (model, regParam, elasticNetParam, maxIter)}.
+    Fits run concurrently; the training metrics are computed afterwards for all
+    fits in one aggregate (``elastic_report``) rather than by each summary.
+    """
     family = family or ELASTIC_FAMILY
     assembled = VectorAssembler(inputCols=features, outputCol="features").transform(train)
 
@@ -229,13 +234,30 @@ def fit_elastic_family(train: DataFrame, features: list[str], segments: list[int
         seg, (name, reg, alpha, iters) = job
         lr = LinearRegression(labelCol=label, featuresCol="features", regParam=reg,
                               elasticNetParam=alpha, maxIter=iters, tol=tol)
-        m = lr.fit(assembled.where(F.col("segment") == seg))
-        s = m.summary
-        return (int(seg), name, float(reg), float(alpha), int(iters), int(s.numInstances),
-                int(s.totalIterations), float(s.rootMeanSquaredError), float(s.r2))
+        return (seg, name), (lr.fit(assembled.where(F.col("segment") == seg)), reg, alpha, iters)
     jobs = [(s, f) for s in segments for f in family]
-    return _pool_map(fit, jobs, parallelism)
+    return dict(_pool_map(fit, jobs, parallelism))
+
+
+def elastic_report(spark: SparkSession, train: DataFrame, features: list[str], fits: dict,
+                   label: str = "label") -> DataFrame:
+    """Training RMSE / R2 / instance count of every fit in one grouped aggregate."""
+    assembled = VectorAssembler(inputCols=features, outputCol="features").transform(train)
+    parts = [
+        m.transform(assembled.where(F.col("segment") == seg))
+        .select("segment", F.lit(name).alias("model"), F.col(label).alias("label"), "prediction")
+        for (seg, name), (m, _, _, _) in sorted(fits.items())
+    ]
+    preds = reduce(lambda a, b: a.unionByName(b), parts)
+    sq = (F.col("label") - F.col("prediction")) ** 2
+    n = F.count(F.lit(1))
+    met = preds.groupBy("segment", "model").agg(
+        n.alias("num_instances"), F.sqrt(F.avg(sq)).alias("rmse"),
+        (F.lit(1.0) - F.try_divide(F.sum(sq), F.var_pop("label") * n)).alias("r2"))
+    params = spark.createDataFrame(
+        [(int(seg), name, float(reg), float(alpha), int(iters), int(m.summary.totalIterations))
+         for (seg, name), (m, reg, alpha, iters) in sorted(fits.items())],
+        "segment int, model string, reg_param double, elastic_net_param double, max_iter int, iterations int")
+    return params.join(met, ["segment", "model"])
 
 
-ELASTIC_SCHEMA = ("segment int, model string, reg_param double, elastic_net_param double, max_iter int, "
-                  "num_instances bigint, iterations int, rmse double, r2 double")

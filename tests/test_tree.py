@@ -1,3 +1,4 @@
+import pytest
 from pyspark.sql import functions as F
 
 from hourcast.operators import tree as TR
@@ -53,3 +54,16 @@ def test_score_trees_both_plans_agree(spark):
     union = TR.score_trees(spark, df, models, FEATS, keep, scratch_path(spark, "t-st1"), max_depth=3)
     walk = TR.score_trees(spark, df, models, FEATS, keep, scratch_path(spark, "t-st2"), max_depth=3, max_union=1)
     assert union.exceptAll(walk).count() == 0 and walk.count() == 400
+
+
+def test_elastic_report_matches_training_summary(spark):
+    df = _frame(spark)
+    fits = TR.fit_elastic_family(df, FEATS, [0, 1])
+    rep = {(r.segment, r.model): r for r in TR.elastic_report(spark, df, FEATS, fits).collect()}
+    assert len(rep) == 6
+    for key, (m, *_rest) in fits.items():
+        s = m.summary
+        assert rep[key].rmse == pytest.approx(s.rootMeanSquaredError, rel=1e-9)
+        assert rep[key].r2 == pytest.approx(s.r2, rel=1e-9)
+        assert rep[key].num_instances == s.numInstances
+        assert rep[key].iterations == s.totalIterations
