@@ -4,6 +4,8 @@ Runs the registered queries that correspond to the recorded baseline cells at
 ``$BENCH_SF_DIR`` (default /root/testdata/sf0.1) on ``local[$BENCH_CPUS]`` and
 prints one JSON line.  Every query is executed in full through the ``noop``
 sink (no rows are pulled to the driver); times exclude session start-up.
+The ``cell_*`` entries repeat the recorded model cells (grid sizes, split and
+train ratio as recorded) on one segment's running profile.
 """
 
 from __future__ import annotations
@@ -15,7 +17,12 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from hourcast.plans.catalog import REGISTRY  # noqa: E402
+from pyspark.sql import functions as F  # noqa: E402
+
+from hourcast import schema as S  # noqa: E402
+from hourcast.operators import features as FE  # noqa: E402
+from hourcast.operators import tree as TR  # noqa: E402
+from hourcast.plans.catalog import REGISTRY, profile_frame  # noqa: E402
 from hourcast.session import build_session  # noqa: E402
 
 HEADLINE = [
@@ -35,6 +42,27 @@ HEADLINE = [
 ]
 
 
+def model_cells(spark, sf_dir: str) -> dict:
+    """The recorded model cells, on one segment's running profile with a 90/10 split:
+    54-candidate grid (depth 6-8 x bins 15-32), 18-candidate grid (depth 7-9 x bins
+    25-30), and the three elastic-family fits."""
+    frame = profile_frame(spark, sf_dir)
+    train = FE.with_split_flag(frame.where(F.col("segment") == 1), train_pct=90).where("is_train")
+    cells = {
+        "cell_grid54_one_segment": lambda: TR.grid_search(train, S.FEATURES_6, [1]),
+        "cell_grid18_one_segment": lambda: TR.grid_search(train, S.FEATURES_6, [1], depths=[7, 8, 9],
+                                                          bins=list(range(25, 31))),
+        "cell_linear3_one_segment": lambda: TR.elastic_report(
+            spark, train, S.FEATURES_6, TR.fit_elastic_family(train, S.FEATURES_6, [1])).collect(),
+    }
+    out = {}
+    for name, fn in cells.items():
+        t0 = time.perf_counter()
+        fn()
+        out[name] = round(time.perf_counter() - t0, 3)
+    return out
+
+
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
@@ -53,6 +81,7 @@ def main() -> None:
         df = REGISTRY[name](spark, sf_dir)
         df.write.format("noop").mode("overwrite").save()
         times[name] = round(time.perf_counter() - t0, 3)
+    times.update(model_cells(spark, sf_dir))
 
     sf = os.path.basename(sf_dir.rstrip("/")).removeprefix("sf")
     print(json.dumps({

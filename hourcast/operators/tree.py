@@ -93,7 +93,8 @@ def tree_of(model: PipelineModel) -> DecisionTreeRegressionModel:
 def grid_search(train: DataFrame, features: list[str], segments: list[int], label: str = "label",
                 depths: list[int] | None = None, bins: list[int] | None = None,
                 train_ratio: float = TRAIN_RATIO, seed: int = 42,
-                parallelism: int = 4, segment_parallelism: int = DEFAULT_POOL):
+                parallelism: int | None = None, segment_parallelism: int = DEFAULT_POOL,
+                max_concurrent_fits: int = 16):
     """TrainValidationSplit per segment over maxDepth x maxBins, RMSE criterion.
 
     Returns {segment: fitted TrainValidationSplitModel}; the best model is
@@ -101,6 +102,9 @@ def grid_search(train: DataFrame, features: list[str], segments: list[int], labe
     """
     depths = depths or GRID_DEPTHS
     bins = bins or GRID_BINS
+    seg_pool = min(segment_parallelism, max(1, len(segments)))
+    # Candidates per search: share a budget of concurrent fits across the segments in flight.
+    parallelism = parallelism or max(4, max_concurrent_fits // seg_pool)
 
     def fit(seg):
         pipe, tree = tree_pipeline(features, label)
@@ -111,7 +115,7 @@ def grid_search(train: DataFrame, features: list[str], segments: list[int], labe
         return seg, tvs.fit(train.where(F.col("segment") == seg))
     # Segments run concurrently (bounded pool), candidates in parallel inside each search:
     # every fit is a short job sequence, so overlapping them keeps the executors busy.
-    return dict(_pool_map(fit, segments, min(segment_parallelism, max(1, len(segments)))))
+    return dict(_pool_map(fit, segments, seg_pool))
 
 
 def grid_report(spark: SparkSession, searches: dict) -> DataFrame:
