@@ -207,17 +207,18 @@ MAX_UNION_SEGMENTS = 64
 
 def score_trees(spark: SparkSession, df: DataFrame, models: dict[int, PipelineModel], features: list[str],
                 keep: list[str], scratch: str, max_depth: int = MAX_DEPTH,
-                max_union: int = MAX_UNION_SEGMENTS) -> DataFrame:
+                max_union: int = MAX_UNION_SEGMENTS, saved_root: str | None = None) -> DataFrame:
     """Pick the scoring plan by segment count.
 
     Up to ``max_union`` segments: one ``transform`` per segment over its own
     (partition-pruned) rows, unioned.  Beyond that the plan would grow with
     the segment count, so the models are saved and all rows walk the node
-    tables together (``score_by_nodes``), one join per tree level.
+    tables together (``score_by_nodes``), one join per tree level.  Pass
+    ``saved_root`` when the models are already saved there.
     """
     if len(models) <= max_union:
         return score_segments(df, models, keep)
-    root = save_segment_models(models, scratch)
+    root = saved_root or save_segment_models(models, scratch)
     return score_by_nodes(df, tree_nodes(spark, root), features, max_depth, keep=keep)
 
 

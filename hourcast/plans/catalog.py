@@ -454,7 +454,8 @@ def q_tree_save_load_score(spark, sf_dir):
     root = TR.save_segment_models(TR.fit_segment_trees(train, FE.FEATURES_7, segs),
                                   scratch_path(spark, "tree-models"))
     loaded = TR.load_segment_models(root, segs)
-    scored = TR.score_segments(test, loaded, ["segment", "row_key", "label", "raw_label"])
+    scored = TR.score_trees(spark, test, loaded, FE.FEATURES_7, ["segment", "row_key", "label", "raw_label"],
+                            root, saved_root=root)
     return MON.score_errors(scored).select("segment", "row_key", "measured", "predicted", "error_pct", "is_alert")
 
 
