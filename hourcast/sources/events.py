@@ -29,12 +29,19 @@ def segment_of(user_col: Column, n_segments: int = DEFAULT_SEGMENTS) -> Column:
 
 
 def hourly_from_events(events: DataFrame, n_segments: int = DEFAULT_SEGMENTS,
-                       segment: Column | None = None) -> DataFrame:
+                       segment: Column | None = None, since=None, until=None) -> DataFrame:
     """events(ts, user_id, event_type, value) -> HOURLY_SCHEMA rows.
 
     segment defaults to ``user_id % n_segments``; pass any column expression
-    (for example a carrier column) to use another segmentation.
+    (for example a carrier column) to use another segmentation.  ``since`` /
+    ``until`` (inclusive / exclusive timestamps) restrict the hours; the
+    predicate is on the raw column, so it reaches the Parquet scan (row-group
+    skipping, and partition pruning when the log is partitioned by time).
     """
+    if since is not None:
+        events = events.where(F.col("ts") >= F.lit(since))
+    if until is not None:
+        events = events.where(F.col("ts") < F.lit(until))
     seg = segment if segment is not None else segment_of(F.col("user_id"), n_segments)
     et = F.col("event_type")
     return (

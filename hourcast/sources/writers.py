@@ -38,10 +38,17 @@ def write_feature_parquet(df: DataFrame, path: str, mode: str = "overwrite") ->
     return path
 
 
-def append_alerts(alerts: DataFrame, path: str, partition_by: list[str] | None = None) -> str:
-    """Append alert rows; partitioning by segment keeps replays per segment."""
-    w = alerts.write.mode("append")
+def append_alerts(alerts: DataFrame, path: str, partition_by: list[str] | None = None,
+                  run_id: str | None = None) -> str:
+    """Add alert rows to the alerts table.
+
+    With ``run_id`` the rows go to ``path/run_id=<id>`` in overwrite mode, so a
+    re-run of the same scoring run (after a failure) replaces its own rows
+    instead of duplicating them; without it the rows are appended.
+    """
+    target = f"{path}/run_id={run_id}" if run_id is not None else path
+    w = alerts.write.mode("overwrite" if run_id is not None else "append")
     if partition_by:
         w = w.partitionBy(*partition_by)
-    w.parquet(path)
+    w.parquet(target)
     return path

@@ -79,3 +79,23 @@ def test_hourly_adapter_counts(spark):
     tot = h.agg(F.sum("total_attempts")).first()[0]
     assert tot == ev.count()
     assert h.where("successful_charges + no_credit + errors > total_attempts").count() == 0
+
+
+def test_time_window_pushdown_and_counts(spark):
+    import datetime as dt
+    ev = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
+    lo, hi = dt.datetime(2024, 1, 10), dt.datetime(2024, 1, 12)
+    h = hourly_from_events(ev, since=lo, until=hi)
+    assert h.agg(F.sum("total_attempts")).first()[0] == ev.where((F.col("ts") >= lo) & (F.col("ts") < hi)).count()
+    plan = h._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [IsNotNull(ts), GreaterThanOrEqual(ts" in plan
+
+
+def test_alert_runs_are_idempotent(spark):
+    from hourcast.sources.writers import append_alerts
+    df = spark.createDataFrame([(1, "a"), (2, "b")], "segment int, message string")
+    path = scratch_path(spark, "t-alerts")
+    append_alerts(df, path, ["segment"], run_id="r1")
+    append_alerts(df, path, ["segment"], run_id="r1")
+    append_alerts(df, path, ["segment"], run_id="r2")
+    assert spark.read.parquet(path).count() == 4
