@@ -524,16 +524,11 @@ def q_stream_alerts_replay(spark, sf_dir):
     """Closed hours from the stream scored with the batch-trained linear model."""
     frame = ml_frame(spark, sf_dir)
     train = frame.where(F.col("is_train")).drop("is_train")
-    stats = FE.fit_scaler(train)
-    coefs = persisted(spark, LN.gd_fit(LN.moments(FE.apply_scaler(train, stats))), "stream-coefs")
-    linear = coefs.where(F.col("model") == "linear")
-
-    def score(batch: DataFrame) -> DataFrame:
-        rows = FE.labeled(FE.feature_rows(P.with_week_of_month(batch)))
-        scored = LN.score_linear(FE.apply_scaler(rows, stats), linear)
-        return MON.alerts(scored)
-
-    out = ST.stream_alerts(ST.stream_hourly(event_stream(spark, sf_dir)), score,
-                           scratch_path(spark, "stream-alerts"), scratch_path(spark, "stream-alerts-ckpt"))
+    std = FE.fit_scaler(train)
+    coefs = persisted(spark, LN.gd_fit(LN.moments(FE.apply_scaler(train, std))), "stream-coefs")
+    schema = EV.load_table(spark, sf_dir, "events").schema
+    out = scratch_path(spark, "stream-alerts")
+    ST.run_monitor(spark, sf_dir, schema, ST.linear_scorer(coefs, std), out,
+                   scratch_path(spark, "stream-alerts-ckpt"), glob="events.parquet")
     alerts = RD.read_parquet(spark, out)
     return round_doubles(alerts.select("segment", "row_key", "measured", "predicted", "error_pct", "message"))

@@ -43,3 +43,25 @@ def test_watermark_drops_late_events_and_rerun_is_idempotent(spark):
     n = spark.read.parquet(out).count()
     run()                          # same checkpoint, no new files: nothing new, nothing doubled
     assert spark.read.parquet(out).count() == n
+
+
+def test_tree_monitor_replay(spark):
+    from pyspark.sql import functions as F
+
+    from hourcast.operators import features as FE
+    from hourcast.operators import tree as TR
+    from hourcast.plans.catalog import ml_frame, segment_ids
+    from hourcast.session import scratch_path
+    from hourcast.streaming import run_monitor, tree_scorer
+
+    frame = ml_frame(spark, SF)
+    train = frame.where(F.col("is_train"))
+    segs = segment_ids(train)
+    root = TR.save_segment_models(TR.fit_segment_trees(train, FE.FEATURES_7, segs), scratch_path(spark, "t-mt"))
+    out = scratch_path(spark, "t-mon-out")
+    schema = spark.read.parquet(SF + "/events.parquet").schema
+    run_monitor(spark, SF, schema, tree_scorer(spark, root), out, scratch_path(spark, "t-mon-ck"),
+                glob="events.parquet")
+    alerts = spark.read.parquet(out)
+    assert set(alerts.columns) >= {"segment", "row_key", "measured", "predicted", "error_pct", "message"}
+    assert alerts.where(~F.col("message").startswith("[ALERT]")).count() == 0
