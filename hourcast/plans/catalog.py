@@ -19,7 +19,7 @@ from hourcast.operators import linear as LN
 from hourcast.operators import monitor as MON
 from hourcast.operators import profile as P
 from hourcast.operators import tree as TR
-from hourcast.session import scratch_path
+from hourcast.session import is_directory, scratch_path, table_path
 from hourcast.sources import events as EV
 from hourcast.sources import readers as RD
 from hourcast.sources import writers as WR
@@ -506,9 +506,17 @@ def q_elastic_family_rmse(spark, sf_dir):
 
 # ---------------------------------------------------------------- streaming
 
+def event_source(spark, sf_dir) -> tuple[str, str | None]:
+    """Stream source for the events table: its directory, or its folder + a file
+    filter when the table is a single Parquet file."""
+    path = table_path(sf_dir, "events")
+    return (path, None) if is_directory(spark, path) else (sf_dir, "events.parquet")
+
+
 def event_stream(spark, sf_dir):
     schema = EV.load_table(spark, sf_dir, "events").schema
-    return ST.read_event_stream(spark, sf_dir, schema, glob="events.parquet")
+    path, glob = event_source(spark, sf_dir)
+    return ST.read_event_stream(spark, path, schema, glob=glob)
 
 
 @register("stream_hourly_replay")
@@ -528,7 +536,8 @@ def q_stream_alerts_replay(spark, sf_dir):
     coefs = persisted(spark, LN.gd_fit(LN.moments(FE.apply_scaler(train, std))), "stream-coefs")
     schema = EV.load_table(spark, sf_dir, "events").schema
     out = scratch_path(spark, "stream-alerts")
-    ST.run_monitor(spark, sf_dir, schema, ST.linear_scorer(coefs, std), out,
-                   scratch_path(spark, "stream-alerts-ckpt"), glob="events.parquet")
+    path, glob = event_source(spark, sf_dir)
+    ST.run_monitor(spark, path, schema, ST.linear_scorer(coefs, std), out,
+                   scratch_path(spark, "stream-alerts-ckpt"), glob=glob)
     alerts = RD.read_parquet(spark, out)
     return round_doubles(alerts.select("segment", "row_key", "measured", "predicted", "error_pct", "message"))

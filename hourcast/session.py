@@ -76,5 +76,16 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{root}/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def is_directory(spark: SparkSession, path: str) -> bool:
+    """True when ``path`` is a directory, on any Hadoop-compatible file system."""
+    try:
+        jvm = spark.sparkContext._jvm
+        hpath = jvm.org.apache.hadoop.fs.Path(path)
+        fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        return bool(fs.getFileStatus(hpath).isDirectory())
+    except Exception:  # noqa: BLE001 - remote sessions: fall back to the local view
+        return os.path.isdir(path.removeprefix("file:"))
+
+
 def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")
