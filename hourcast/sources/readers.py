@@ -59,9 +59,14 @@ def read_hourly_csv(spark: SparkSession, path: str, schema: T.StructType = HOURL
 
 
 def read_feature_csv(spark: SparkSession, path: str, schema: T.StructType = FEATURE_SCHEMA) -> DataFrame:
-    """Headerless lines of comma separated doubles; any bad field fails the job."""
+    """Headerless lines of comma separated doubles; any bad field, or a line with
+    the wrong number of fields, fails the job."""
     lines = spark.read.text(path)
-    parsed = lines.select(F.from_csv(F.col("value"), _ddl(schema), {"mode": "FAILFAST"}).alias("r"))
+    n_fields = len(schema.fields)
+    arity = F.size(F.split(F.col("value"), ",", -1))
+    checked = F.when(arity == F.lit(n_fields), F.col("value")).otherwise(
+        F.raise_error(F.concat(F.lit(f"MALFORMED feature line (expected {n_fields} fields): "), F.col("value"))))
+    parsed = lines.select(F.from_csv(checked, _ddl(schema), {"mode": "FAILFAST"}).alias("r"))
     return parsed.select(*[F.col(f"r.{f.name}").alias(f.name) for f in schema.fields])
 
 

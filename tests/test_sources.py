@@ -99,3 +99,11 @@ def test_alert_runs_are_idempotent(spark):
     append_alerts(df, path, ["segment"], run_id="r1")
     append_alerts(df, path, ["segment"], run_id="r2")
     assert spark.read.parquet(path).count() == 4
+
+
+@pytest.mark.parametrize("bad", ["1.0,2.0,3.0,4.0,5.0,6.0,7.0", "1.0,2.0,3.0,4.0,5.0,6.0,7.0,8.0,9.0"])
+def test_feature_csv_wrong_field_count_fails(spark, bad):
+    path = scratch_path(spark, "t-feat-arity")
+    _write(path, F5.splitlines() + [bad])
+    with pytest.raises(Exception, match="MALFORMED"):
+        RD.read_feature_csv(spark, path).collect()
