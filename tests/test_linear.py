@@ -128,3 +128,24 @@ def test_gd_matches_numpy_reference(spark, synthetic):
             c = coefs[(kind, r.segment)]
             assert c.iterations == it
             assert c.weights + [c.intercept] == pytest.approx(list(w), abs=1e-12)
+
+
+def test_single_row_segment_and_empty_segment(spark, synthetic):
+    one = spark.createDataFrame([(7, 1.5, *[0.5] * 7)], synthetic.schema)
+    data = synthetic.unionByName(one)
+    coefs = {(r.model, r.segment): r for r in LN.gd_fit(LN.moments(data, FEATS)).collect()}
+    assert all((k, 7) in coefs for k in ("linear", "ridge", "lasso"))
+    assert all(np.isfinite(coefs[("linear", 7)].weights + [coefs[("linear", 7)].intercept]))
+    # a segment with no rows has no moments row, hence no model: inner scoring drops it
+    empty = LN.moments(data.where("segment = 99"), FEATS)
+    assert empty.count() == 0 and LN.gd_fit(empty).count() == 0
+
+
+def test_scaler_refit_option(spark, synthetic):
+    train, test = synthetic.where("segment = 0"), synthetic.where("segment = 1")
+    _, t_fixed = FE.scale_split(train, test, FEATS)
+    _, t_refit = FE.scale_split(train, test, FEATS, refit=True)
+    s_train, s_test = FE.fit_scaler(train, FEATS), FE.fit_scaler(test, FEATS)
+    r = test.first()
+    assert t_fixed.first()["x0"] == pytest.approx(r["x0"] / s_train["x0"])
+    assert t_refit.first()["x0"] == pytest.approx(r["x0"] / s_test["x0"])

@@ -67,3 +67,11 @@ def test_elastic_report_matches_training_summary(spark):
         assert rep[key].r2 == pytest.approx(s.r2, rel=1e-9)
         assert rep[key].num_instances == s.numInstances
         assert rep[key].iterations == s.totalIterations
+
+
+def test_single_row_segment_tree(spark):
+    df = _frame(spark).unionByName(spark.createDataFrame([(5, 1.0, 2.0, 3.0)], "segment int, a double, b double, label double"))
+    models = TR.fit_segment_trees(df, FEATS, [5], max_depth=3, max_bins=8)
+    assert TR.tree_of(models[5]).numNodes == 1
+    out = TR.score_segments(df.where("segment = 5"), models, ["segment"]).first()
+    assert out.prediction == 3.0
