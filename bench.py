@@ -24,7 +24,7 @@ from hourcast import schema as S  # noqa: E402
 from hourcast.operators import features as FE  # noqa: E402
 from hourcast.operators import tree as TR  # noqa: E402
 from hourcast.plans.catalog import REGISTRY, profile_frame  # noqa: E402
-from hourcast.session import build_session  # noqa: E402
+from hourcast.session import build_session, scratch_path  # noqa: E402
 
 HEADLINE = [
     "hourly_from_events",     # raw events -> hourly telemetry (the scan + partial aggregate)
@@ -49,10 +49,11 @@ def model_cells(spark, sf_dir: str) -> dict:
     25-30), and the three elastic-family fits."""
     frame = profile_frame(spark, sf_dir)
     train = FE.with_split_flag(frame.where(F.col("segment") == 1), train_pct=90).where("is_train")
+    scratch = lambda: scratch_path(spark, "bench-grid")
     cells = {
-        "cell_grid54_one_segment": lambda: TR.grid_search(train, S.FEATURES_6, [1]),
-        "cell_grid18_one_segment": lambda: TR.grid_search(train, S.FEATURES_6, [1], depths=[7, 8, 9],
-                                                          bins=list(range(25, 31))),
+        "cell_grid54_one_segment": lambda: TR.grid_search_truncated(spark, train, S.FEATURES_6, [1], scratch()),
+        "cell_grid18_one_segment": lambda: TR.grid_search_truncated(
+            spark, train, S.FEATURES_6, [1], scratch(), depths=[7, 8, 9], bins=list(range(25, 31))),
         "cell_linear3_one_segment": lambda: TR.elastic_report(
             spark, train, S.FEATURES_6, TR.fit_elastic_family(train, S.FEATURES_6, [1])).collect(),
     }

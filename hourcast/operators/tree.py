@@ -131,6 +131,88 @@ def grid_report(spark: SparkSession, searches: dict) -> DataFrame:
     return spark.createDataFrame(rows, schema)
 
 
+def grid_search_truncated(spark: SparkSession, train: DataFrame, features: list[str], segments: list[int],
+                          scratch: str, label: str = "label", depths: list[int] | None = None,
+                          bins: list[int] | None = None, train_ratio: float = TRAIN_RATIO, seed: int = 42,
+                          parallelism: int = DEFAULT_POOL):
+    """The depth x bins grid search with one tree fit per (segment, maxBins).
+
+    MLlib grows a tree greedily level by level and keeps a prediction on every
+    node, so the tree fitted with maxDepth=d equals the deepest candidate cut
+    at depth d.  Per segment and maxBins one tree of the largest depth is
+    fitted on the training part of the same seeded split TrainValidationSplit
+    makes (a ``rand(seed)`` column against the ratio); the validation rows of all segments and bins then walk the saved node
+    tables together (one join per level) and record the prediction at every
+    candidate depth, and one grouped aggregate gives every candidate's RMSE.
+    The best candidate per segment is refitted on the segment's whole data.
+
+    Returns (report DataFrame, {segment: PipelineModel}); the report has the
+    shape of ``grid_report``.
+    """
+    depths = sorted(depths or GRID_DEPTHS)
+    bins = bins or GRID_BINS
+    top = depths[-1]
+    splits = {}
+    for seg in segments:
+        # The split PySpark's TrainValidationSplit makes: rand(seed) >= ratio is validation.
+        df = train.where(F.col("segment") == seg).select("*", F.rand(seed).alias("_rand"))
+        fit_part = df.where(F.col("_rand") < F.lit(train_ratio)).drop("_rand")
+        val_part = df.where(F.col("_rand") >= F.lit(train_ratio)).drop("_rand")
+        splits[seg] = (fit_part.persist(), val_part.persist())
+
+    def fit_deep(job):
+        seg, b = job
+        pipe, _ = tree_pipeline(features, label, top, b)
+        tree_of(pipe.fit(splits[seg][0])).write().overwrite().save(f"{scratch}/bins={b}/segment={seg}")
+        return job
+    _pool_map(fit_deep, [(seg, b) for seg in segments for b in bins], parallelism)
+
+    nodes = spark.read.parquet(f"{scratch}/bins=*/segment=*/data")
+    path = F.col("_metadata.file_path")
+    nodes = nodes.select(F.regexp_extract(path, r"segment=(-?\d+)", 1).cast("int").alias("segment"),
+                         F.regexp_extract(path, r"bins=(\d+)", 1).cast("int").alias("bins"),
+                         "id", "prediction", "leftChild", "rightChild",
+                         F.col("split.featureIndex").alias("fi"),
+                         F.get(F.col("split.leftCategoriesOrThreshold"), 0).alias("thr"))
+    val = reduce(lambda a, b: a.unionByName(b), [splits[s][1] for s in segments])
+    cur = val.select("segment", F.col(label).alias("_y"),
+                     F.array(*[F.col(c).cast("double") for c in features]).alias("_x"),
+                     F.explode(F.array(*[F.lit(b) for b in bins])).alias("bins"), F.lit(0).alias("_node"))
+    preds = []
+    for level in range(top + 1):
+        step = cur.join(nodes.withColumnRenamed("id", "_node"), ["segment", "bins", "_node"], "left")
+        if level in depths:
+            step = step.withColumn(f"_p{level}", F.col("prediction"))
+            preds.append(level)
+        nxt = (F.when(F.col("leftChild") < 0, F.col("_node"))
+               .when(F.get(F.col("_x"), F.col("fi")) <= F.col("thr"), F.col("leftChild"))
+               .otherwise(F.col("rightChild")))
+        cur = step.select("segment", "bins", "_y", "_x", *[f"_p{d}" for d in preds], nxt.alias("_node"))
+    long = cur.select("segment", "bins", "_y", F.inline(F.array(*[
+        F.struct(F.lit(d).alias("max_depth"), F.col(f"_p{d}").alias("p")) for d in depths])))
+    rmse = long.groupBy("segment", "max_depth", "bins").agg(
+        F.sqrt(F.avg((F.col("_y") - F.col("p")) ** 2)).alias("validation_rmse"))
+    rows = rmse.collect()  # one row per candidate and segment
+    for fit_part, val_part in splits.values():
+        fit_part.unpersist()
+        val_part.unpersist()
+
+    best = {}
+    for r in rows:
+        if r.segment not in best or r.validation_rmse < best[r.segment].validation_rmse:
+            best[r.segment] = r
+
+    def refit(seg):
+        pipe, _ = tree_pipeline(features, label, best[seg].max_depth, best[seg].bins)
+        return seg, pipe.fit(train.where(F.col("segment") == seg))
+    models = dict(_pool_map(refit, list(best), parallelism))
+    report = spark.createDataFrame(
+        [(int(r.segment), int(r.max_depth), int(r.bins), float(r.validation_rmse),
+          r.validation_rmse == best[r.segment].validation_rmse) for r in rows],
+        "segment int, max_depth int, max_bins int, validation_rmse double, is_best boolean")
+    return report, models
+
+
 # ---------------------------------------------------------------- rules
 
 NODE_SCHEMA_FIELDS = ["id", "prediction", "leftChild", "rightChild", "split"]

@@ -465,9 +465,11 @@ SMALL_BINS = [16, 32]
 
 @register("grid_search_report")
 def q_grid_search_report(spark, sf_dir):
+    """Depth x bins grid per segment (one deep fit per bins value, depths by truncation)."""
     frame = profile_frame(spark, sf_dir)
-    searches = TR.grid_search(frame, S.FEATURES_6, segment_ids(frame), depths=SMALL_DEPTHS, bins=SMALL_BINS)
-    return TR.grid_report(spark, searches)
+    report, _ = TR.grid_search_truncated(spark, frame, S.FEATURES_6, segment_ids(frame),
+                                         scratch_path(spark, "grid"), depths=SMALL_DEPTHS, bins=SMALL_BINS)
+    return report
 
 
 @register("tree_rules")
@@ -485,8 +487,8 @@ def q_train_segments_report(spark, sf_dir):
     frame = FE.with_split_flag(profile_frame(spark, sf_dir), train_pct=90)
     train, test = frame.where(F.col("is_train")), frame.where(~F.col("is_train"))
     segs = segment_ids(train)
-    searches = TR.grid_search(train, S.FEATURES_6, segs, depths=SMALL_DEPTHS, bins=SMALL_BINS)
-    best = {s: m.bestModel for s, m in searches.items()}
+    _, best = TR.grid_search_truncated(spark, train, S.FEATURES_6, segs, scratch_path(spark, "grid"),
+                                       depths=SMALL_DEPTHS, bins=SMALL_BINS)
     scored = TR.score_segments(test, best, ["segment", "label"])
     met = EVL.metrics(scored, by=["segment"], one_sided_t=0.1)
     params = spark.createDataFrame(

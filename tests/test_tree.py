@@ -75,3 +75,23 @@ def test_single_row_segment_tree(spark):
     assert TR.tree_of(models[5]).numNodes == 1
     out = TR.score_segments(df.where("segment = 5"), models, ["segment"]).first()
     assert out.prediction == 3.0
+
+
+def test_truncated_grid_equals_train_validation_split(spark):
+    from hourcast.plans.catalog import profile_frame
+    from hourcast import schema as S
+    frame = profile_frame(spark, "/root/testdata/sf0.01")
+    depths, bins = [3, 4, 5], [8, 16]
+    tvs = TR.grid_search(frame, S.FEATURES_6, [1], depths=depths, bins=bins)[1]
+    tree = tvs.getEstimator().getStages()[-1]
+    ref = {(pm[tree.maxDepth], pm[tree.maxBins]): m
+           for pm, m in zip(tvs.getEstimatorParamMaps(), tvs.validationMetrics)}
+    report, models = TR.grid_search_truncated(spark, frame, S.FEATURES_6, [1], scratch_path(spark, "t-gst"),
+                                              depths=depths, bins=bins)
+    got = {(r.max_depth, r.max_bins): r.validation_rmse for r in report.collect()}
+    assert set(got) == set(ref)
+    for k in ref:
+        assert got[k] == pytest.approx(ref[k], rel=1e-9)
+    best = TR.tree_of(tvs.bestModel)
+    assert (TR.tree_of(models[1]).getMaxDepth(), TR.tree_of(models[1]).getMaxBins()) == \
+        (best.getMaxDepth(), best.getMaxBins())
