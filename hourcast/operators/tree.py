@@ -6,10 +6,12 @@ thread pool so the cluster runs several fits at once.  The training frame is
 an aggregate of the raw data (segment x date x hour rows), persisted once and
 read per segment.
 
-Scoring never loops over rows on the driver: every segment's model is applied
-with ``transform`` to that segment's rows only.  When the rows come from a
-table partitioned by segment, each per-segment read prunes to its own files,
-so the union of all segments reads the input once.
+Scoring never loops over rows on the driver.  With up to 64 segments every
+segment's model is applied with ``transform`` to that segment's rows only
+(reads of a segment-partitioned table prune to their own files, so the union
+reads the input once); beyond that all rows walk the saved node tables
+together, one join per tree level.  The grid search can fit one deep tree per
+(segment, maxBins) and read every shallower candidate off it by truncation.
 """
 
 from __future__ import annotations
