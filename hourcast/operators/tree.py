@@ -227,6 +227,13 @@ def tree_nodes(spark: SparkSession, root: str) -> DataFrame:
     return nodes.select(seg.alias("segment"), *NODE_SCHEMA_FIELDS)
 
 
+def saved_max_depth(spark: SparkSession, root: str) -> int:
+    """Largest maxDepth among the trees saved under ``root/segment=*`` (read from their metadata)."""
+    meta = spark.read.json(f"{root}/segment=*/stages/*DecisionTree*/metadata")
+    depth = F.coalesce(F.col("paramMap.maxDepth"), F.col("defaultParamMap.maxDepth"))
+    return int(meta.agg(F.max(depth)).first()[0])
+
+
 def tree_rules(nodes: DataFrame, features: list[str], max_depth: int = MAX_DEPTH) -> DataFrame:
     """One rule per leaf: the AND of split conditions on the root-to-leaf path.
 
@@ -303,7 +310,8 @@ def score_trees(spark: SparkSession, df: DataFrame, models: dict[int, PipelineMo
     if len(models) <= max_union:
         return score_segments(df, models, keep)
     root = saved_root or save_segment_models(models, scratch)
-    return score_by_nodes(df, tree_nodes(spark, root), features, max_depth, keep=keep)
+    depth = max(max_depth, max(tree_of(m).getMaxDepth() for m in models.values()))
+    return score_by_nodes(df, tree_nodes(spark, root), features, depth, keep=keep)
 
 
 # ---------------------------------------------------------------- elastic-net family

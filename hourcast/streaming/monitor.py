@@ -45,9 +45,10 @@ def linear_scorer(coefs: DataFrame, std: dict, model: str = "linear",
 
 
 def tree_scorer(spark: SparkSession, models_root: str, features: list[str] | None = None,
-                max_depth: int = TR.MAX_DEPTH, threshold: float = MON.ALERT_PCT) -> Scorer:
+                max_depth: int | None = None, threshold: float = MON.ALERT_PCT) -> Scorer:
     features = features or FE.FEATURES_7
     nodes = TR.tree_nodes(spark, models_root)
+    max_depth = max_depth or TR.saved_max_depth(spark, models_root)
 
     def score(batch: DataFrame) -> DataFrame:
         rows = _batch_rows(batch)

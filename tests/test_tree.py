@@ -95,3 +95,11 @@ def test_truncated_grid_equals_train_validation_split(spark):
     best = TR.tree_of(tvs.bestModel)
     assert (TR.tree_of(models[1]).getMaxDepth(), TR.tree_of(models[1]).getMaxBins()) == \
         (best.getMaxDepth(), best.getMaxBins())
+
+
+def test_saved_max_depth(spark):
+    df = _frame(spark)
+    models = TR.fit_segment_trees(df, FEATS, [0], max_depth=4, max_bins=8)
+    models.update(TR.fit_segment_trees(df, FEATS, [1], max_depth=6, max_bins=8))
+    root = TR.save_segment_models(models, scratch_path(spark, "t-depth"))
+    assert TR.saved_max_depth(spark, root) == 6
