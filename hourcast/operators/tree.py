@@ -24,7 +24,7 @@ from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import DecisionTreeRegressionModel, DecisionTreeRegressor, LinearRegression
 from pyspark.ml.tuning import ParamGridBuilder, TrainValidationSplit
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -194,24 +194,25 @@ def grid_search_truncated(spark: SparkSession, train: DataFrame, features: list[
         F.struct(F.lit(d).alias("max_depth"), F.col(f"_p{d}").alias("p")) for d in depths])))
     rmse = long.groupBy("segment", "max_depth", "bins").agg(
         F.sqrt(F.avg((F.col("_y") - F.col("p")) ** 2)).alias("validation_rmse"))
-    rows = rmse.collect()  # one row per candidate and segment
+    # One row per candidate and segment, written once (the walk runs a single time).
+    rmse.write.mode("overwrite").parquet(f"{scratch}/rmse")
     for fit_part, val_part in splits.values():
         fit_part.unpersist()
         val_part.unpersist()
-
-    best = {}
-    for r in rows:
-        if r.segment not in best or r.validation_rmse < best[r.segment].validation_rmse:
-            best[r.segment] = r
+    table = spark.read.parquet(f"{scratch}/rmse")
+    w = Window.partitionBy("segment")
+    report = table.select(
+        "segment", "max_depth", F.col("bins").alias("max_bins"), "validation_rmse",
+        (F.col("validation_rmse") == F.min("validation_rmse").over(w)).alias("is_best"))
+    # The first best candidate per segment (smallest depth, then bins, on ties) is refitted.
+    first = Window.partitionBy("segment").orderBy("validation_rmse", "max_depth", "max_bins")
+    best = {r.segment: r for r in report.where("is_best")
+            .withColumn("_rank", F.row_number().over(first)).where("_rank = 1").collect()}
 
     def refit(seg):
-        pipe, _ = tree_pipeline(features, label, best[seg].max_depth, best[seg].bins)
+        pipe, _ = tree_pipeline(features, label, best[seg].max_depth, best[seg].max_bins)
         return seg, pipe.fit(train.where(F.col("segment") == seg))
     models = dict(_pool_map(refit, list(best), parallelism))
-    report = spark.createDataFrame(
-        [(int(r.segment), int(r.max_depth), int(r.bins), float(r.validation_rmse),
-          r.validation_rmse == best[r.segment].validation_rmse) for r in rows],
-        "segment int, max_depth int, max_bins int, validation_rmse double, is_best boolean")
     return report, models
 
 
