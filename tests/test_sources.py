@@ -107,3 +107,10 @@ def test_feature_csv_wrong_field_count_fails(spark, bad):
     _write(path, F5.splitlines() + [bad])
     with pytest.raises(Exception, match="MALFORMED"):
         RD.read_feature_csv(spark, path).collect()
+
+
+def test_headerless_semicolon_csv(spark):
+    path = scratch_path(spark, "t-semi")
+    _write(path, [g.replace(",", ";") for g in GOOD] + ["1;2017-04-01;9;1.0"])
+    df = RD.read_hourly_csv(spark, path, header=False, delimiter=";")
+    assert sorted(r.hour_of_day for r in df.collect()) == [0, 1]
