@@ -46,3 +46,22 @@ def round_doubles(df: DataFrame, digits: int = 6) -> DataFrame:
         else:
             cols.append(F.col(f.name))
     return df.select(*cols)
+
+
+def canonical(df: DataFrame, digits: int = 6) -> DataFrame:
+    """Comparison form of a query result: doubles rounded (``round_doubles``),
+    dates / timestamps as ISO text and double vectors as ``[v1,...,vn]`` text, so
+    the values hash the same whatever client type mapping reads them (Python
+    dates vs pandas datetimes, lists vs numpy arrays)."""
+    out = round_doubles(df, digits)
+    temporal = (T.DateType, T.TimestampType, T.TimestampNTZType)
+
+    def render(f):
+        if isinstance(f.dataType, temporal):
+            return F.col(f.name).cast("string").alias(f.name)
+        if isinstance(f.dataType, T.ArrayType) and isinstance(f.dataType.elementType, T.DoubleType):
+            # Already rounded to `digits`, so fixed-point text has no rounding ties.
+            items = F.transform(F.col(f.name), lambda v: F.format_string(f"%.{digits}f", v))
+            return F.concat(F.lit("["), F.array_join(items, ","), F.lit("]")).alias(f.name)
+        return F.col(f.name)
+    return out.select(*[render(f) for f in out.schema.fields])

@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hourcast.functions.numeric import round_doubles
+from hourcast.functions.numeric import canonical
 from hourcast import schema as S
 from hourcast.operators import evaluate as EVL
 from hourcast.operators import features as FE
@@ -74,13 +74,13 @@ def cumulative(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("hourly_from_events")
 def q_hourly_from_events(spark, sf_dir):
-    return round_doubles(hourly(spark, sf_dir))
+    return canonical(hourly(spark, sf_dir))
 
 
 @register("csv_roundtrip_hourly")
 def q_csv_roundtrip_hourly(spark, sf_dir):
     path = WR.write_hourly_csv(hourly(spark, sf_dir), scratch_path(spark, "hourly-csv"))
-    return round_doubles(RD.read_hourly_csv(spark, path))
+    return canonical(RD.read_hourly_csv(spark, path))
 
 
 @register("csv_drop_malformed")
@@ -99,14 +99,14 @@ def q_csv_drop_malformed(spark, sf_dir):
             F.lit(""),                                                     # empty line
         )).alias("value"))
     bad.write.mode("overwrite").text(path + "/bad")
-    return round_doubles(RD.read_hourly_csv(spark, path + "/*"))
+    return canonical(RD.read_hourly_csv(spark, path + "/*"))
 
 
 # ---------------------------------------------------------------- calendar, profiles
 
 @register("week_of_month")
 def q_week_of_month(spark, sf_dir):
-    return enriched(spark, sf_dir).select("datepart", "week_of_month").distinct()
+    return canonical(enriched(spark, sf_dir).select("datepart", "week_of_month").distinct())
 
 
 @register("count_by_week")
@@ -121,12 +121,12 @@ def q_row_count(spark, sf_dir):
 
 @register("hourly_profile")
 def q_hourly_profile(spark, sf_dir):
-    return round_doubles(profile(spark, sf_dir))
+    return canonical(profile(spark, sf_dir))
 
 
 @register("cumulative_profile")
 def q_cumulative_profile(spark, sf_dir):
-    return round_doubles(cumulative(spark, sf_dir))
+    return canonical(cumulative(spark, sf_dir))
 
 
 @register("checkpoint_roundtrip")
@@ -134,7 +134,7 @@ def q_checkpoint_roundtrip(spark, sf_dir):
     path = WR.write_checkpoint(cumulative(spark, sf_dir), scratch_path(spark, "profile-ckpt"),
                                partition_by=["carrier_id"])
     back = RD.read_parquet(spark, path)
-    return round_doubles(back.select(*P.PROFILE_KEYS, *P.MEASURES))
+    return canonical(back.select(*P.PROFILE_KEYS, *P.MEASURES))
 
 
 @register("union_segments")
@@ -148,7 +148,7 @@ def q_union_segments(spark, sf_dir):
                                partition_by=["carrier_id"])
     back = RD.read_parquet(spark, path).select(*P.PROFILE_KEYS, *P.MEASURES)
     frames = [P.segment_filter(back, s) for s in range(EV.DEFAULT_SEGMENTS)]
-    return round_doubles(P.union_segments(frames))
+    return canonical(P.union_segments(frames))
 
 
 # ---------------------------------------------------------------- projections, filters, preview
@@ -156,36 +156,36 @@ def q_union_segments(spark, sf_dir):
 @register("preview_first_rows")
 def q_preview_first_rows(spark, sf_dir):
     """show(5) made deterministic: a top-5 by key (TakeOrderedAndProject, no full sort)."""
-    return round_doubles(P.preview(hourly(spark, sf_dir), ["carrier_id", "datepart", "hour_of_day"], 5))
+    return canonical(P.preview(hourly(spark, sf_dir), ["carrier_id", "datepart", "hour_of_day"], 5))
 
 
 @register("first_match_row")
 def q_first_match_row(spark, sf_dir):
     """First hourly row of segment 1 with an error, in (date, hour) order."""
     m = P.first_match(hourly(spark, sf_dir), "carrier_id = 1 AND errors > 0", ["datepart", "hour_of_day"])
-    return round_doubles(m)
+    return canonical(m)
 
 
 @register("project_measures")
 def q_project_measures(spark, sf_dir):
-    return round_doubles(P.project_measures(hourly(spark, sf_dir)))
+    return canonical(P.project_measures(hourly(spark, sf_dir)))
 
 
 @register("segment_filter")
 def q_segment_filter(spark, sf_dir):
-    return round_doubles(P.segment_filter(cumulative(spark, sf_dir), 1))
+    return canonical(P.segment_filter(cumulative(spark, sf_dir), 1))
 
 
 @register("point_filter_raw")
 def q_point_filter_raw(spark, sf_dir):
     e = enriched(spark, sf_dir)
     out = P.point_filter(e, "carrier_id = 4 AND hour_of_day = 19 and WEEk_of_month = 5")
-    return round_doubles(out.select("carrier_id", "datepart", "hour_of_day", "week_of_month", *P.MEASURES))
+    return canonical(out.select("carrier_id", "datepart", "hour_of_day", "week_of_month", *P.MEASURES))
 
 
 @register("point_filter_profile")
 def q_point_filter_profile(spark, sf_dir):
-    return round_doubles(P.point_filter(profile(spark, sf_dir),
+    return canonical(P.point_filter(profile(spark, sf_dir),
                                         "carrier_id = 4 AND hour_of_day = 19 and WEEk_of_month = 5"))
 
 
@@ -220,30 +220,30 @@ def split_scaled(spark, sf_dir, frame=None):
 @register("log_label_null")
 def q_log_label_null(spark, sf_dir):
     f = FE.with_label(features(spark, sf_dir), kind="null")
-    return round_doubles(f.select("segment", "row_key", "successful_charges", "label"))
+    return canonical(f.select("segment", "row_key", "successful_charges", "label"))
 
 
 @register("log_label_zero_guard")
 def q_log_label_zero_guard(spark, sf_dir):
     f = FE.with_label(features(spark, sf_dir), kind="zero_guard")
-    return round_doubles(f.select("segment", "row_key", "successful_charges", "label"))
+    return canonical(f.select("segment", "row_key", "successful_charges", "label"))
 
 
 @register("label_not_null")
 def q_label_not_null(spark, sf_dir):
     f = FE.with_label(features(spark, sf_dir), kind="null")
-    return round_doubles(f.where(F.col("label").isNotNull()).select("segment", "row_key", "label"))
+    return canonical(f.where(F.col("label").isNotNull()).select("segment", "row_key", "label"))
 
 
 @register("drop_label_project")
 def q_drop_label_project(spark, sf_dir):
-    return round_doubles(FE.drop_label(features(spark, sf_dir), keep=["row_key"]))
+    return canonical(FE.drop_label(features(spark, sf_dir), keep=["row_key"]))
 
 
 @register("labeled_features")
 def q_labeled_features(spark, sf_dir):
     lab = labeled(spark, sf_dir)
-    return round_doubles(lab.select("row_key", "label", FE.features_array(FE.FEATURES_7).alias("features")))
+    return canonical(lab.select("row_key", "label", FE.features_array(FE.FEATURES_7).alias("features")))
 
 
 @register("assemble_features")
@@ -253,7 +253,7 @@ def q_assemble_features(spark, sf_dir):
     e = enriched(spark, sf_dir)
     v = FE.assemble(e.select(FE.row_key("carrier_id", "datepart", "hour_of_day").alias("row_key"),
                              *S.FEATURES_6), S.FEATURES_6, "features_success")
-    return round_doubles(v.select("row_key", vector_to_array("features_success").alias("features_success")))
+    return canonical(v.select("row_key", vector_to_array("features_success").alias("features_success")))
 
 
 @register("hash_split")
@@ -281,13 +281,13 @@ def q_random_split_cover(spark, sf_dir):
 @register("scaler_stats")
 def q_scaler_stats(spark, sf_dir):
     train, _ = FE.hash_split(labeled(spark, sf_dir))
-    return round_doubles(FE.scaler_stats(train))
+    return canonical(FE.scaler_stats(train))
 
 
 @register("scaler_apply")
 def q_scaler_apply(spark, sf_dir):
     _, test = split_scaled(spark, sf_dir)
-    return round_doubles(test.select("segment", "row_key", *FE.FEATURES_7))
+    return canonical(test.select("segment", "row_key", *FE.FEATURES_7))
 
 
 # ---------------------------------------------------------------- linear models
@@ -315,13 +315,13 @@ def linear_predictions(spark, sf_dir):
 @register("moments_per_segment")
 def q_moments_per_segment(spark, sf_dir):
     train, _ = split_scaled(spark, sf_dir)
-    return round_doubles(LN.moments(train))
+    return canonical(LN.moments(train))
 
 
 def _coefs_of(kind):
     def q(spark, sf_dir):
         c = coefficients(spark, sf_dir).where(F.col("model") == kind)
-        return round_doubles(LN.coefs_wide(c))
+        return canonical(LN.coefs_wide(c))
     return q
 
 
@@ -332,13 +332,13 @@ register("lasso_gd_coefs")(_coefs_of("lasso"))
 
 @register("linear_coefs_long")
 def q_linear_coefs_long(spark, sf_dir):
-    return round_doubles(LN.coefs_long(coefficients(spark, sf_dir)))
+    return canonical(LN.coefs_long(coefficients(spark, sf_dir)))
 
 
 @register("linear_score_join")
 def q_linear_score_join(spark, sf_dir):
     p = linear_predictions(spark, sf_dir)
-    return round_doubles(p.select("model", "segment", "row_key", "label", "prediction"))
+    return canonical(p.select("model", "segment", "row_key", "label", "prediction"))
 
 
 # ---------------------------------------------------------------- evaluation
@@ -346,32 +346,32 @@ def q_linear_score_join(spark, sf_dir):
 @register("metrics_log_space")
 def q_metrics_log_space(spark, sf_dir):
     m = EVL.metrics(linear_predictions(spark, sf_dir), by=["model"])
-    return round_doubles(m.select("model", "n", "mse", "rmse", "mean_rel_error", "accuracy_one_sided"))
+    return canonical(m.select("model", "n", "mse", "rmse", "mean_rel_error", "accuracy_one_sided"))
 
 
 @register("metrics_per_segment")
 def q_metrics_per_segment(spark, sf_dir):
-    return round_doubles(EVL.metrics(linear_predictions(spark, sf_dir), by=["model", "segment"]))
+    return canonical(EVL.metrics(linear_predictions(spark, sf_dir), by=["model", "segment"]))
 
 
 @register("metrics_r2")
 def q_metrics_r2(spark, sf_dir):
     m = EVL.metrics(linear_predictions(spark, sf_dir), by=["model"])
-    return round_doubles(m.select("model", "n", "r2"))
+    return canonical(m.select("model", "n", "r2"))
 
 
 @register("accuracy_one_sided")
 def q_accuracy_one_sided(spark, sf_dir):
     p = linear_predictions(spark, sf_dir)
     ok = EVL.one_sided_ok(F.exp("label"), F.exp("prediction"), EVL.ONE_SIDED_T)
-    return round_doubles(p.groupBy("model").agg(F.avg(ok).alias("accuracy_one_sided")))
+    return canonical(p.groupBy("model").agg(F.avg(ok).alias("accuracy_one_sided")))
 
 
 @register("accuracy_two_sided")
 def q_accuracy_two_sided(spark, sf_dir):
     p = linear_predictions(spark, sf_dir)
     ok = EVL.two_sided_ok(F.exp("label"), F.exp("prediction"), EVL.TWO_SIDED_T)
-    return round_doubles(p.groupBy("model").agg(F.avg(ok).alias("accuracy_two_sided")))
+    return canonical(p.groupBy("model").agg(F.avg(ok).alias("accuracy_two_sided")))
 
 
 # ---------------------------------------------------------------- alerts
@@ -383,7 +383,7 @@ def linear_alert_input(spark, sf_dir):
 @register("score_alerts")
 def q_score_alerts(spark, sf_dir):
     """Score the held-out hours with the linear model and keep the alert rows."""
-    return round_doubles(MON.alerts(linear_alert_input(spark, sf_dir)))
+    return canonical(MON.alerts(linear_alert_input(spark, sf_dir)))
 
 
 @register("outage_alerts")
@@ -407,13 +407,13 @@ def q_alert_message(spark, sf_dir):
 def q_feature_vector_scan(spark, sf_dir):
     """Hourly rows exported as headerless 8-double lines, parsed back (bad field = job failure)."""
     path = WR.write_feature_csv(features(spark, sf_dir), scratch_path(spark, "features-csv"))
-    return round_doubles(RD.read_feature_csv(spark, path))
+    return canonical(RD.read_feature_csv(spark, path))
 
 
 @register("feature_parquet_scan")
 def q_feature_parquet_scan(spark, sf_dir):
     path = WR.write_feature_parquet(features(spark, sf_dir), scratch_path(spark, "features-pq"))
-    return round_doubles(RD.read_feature_parquet(spark, path))
+    return canonical(RD.read_feature_parquet(spark, path))
 
 
 # ---------------------------------------------------------------- trees
@@ -526,7 +526,7 @@ def q_stream_hourly_replay(spark, sf_dir):
     """Replay the event table as a stream (availableNow, complete mode)."""
     out = ST.replay_to_parquet(ST.stream_hourly(event_stream(spark, sf_dir)),
                                scratch_path(spark, "stream-hourly"), scratch_path(spark, "stream-hourly-ckpt"))
-    return round_doubles(RD.read_parquet(spark, out))
+    return canonical(RD.read_parquet(spark, out))
 
 
 @register("stream_alerts_replay")
@@ -542,4 +542,4 @@ def q_stream_alerts_replay(spark, sf_dir):
     ST.run_monitor(spark, path, schema, ST.linear_scorer(coefs, std), out,
                    scratch_path(spark, "stream-alerts-ckpt"), glob=glob)
     alerts = RD.read_parquet(spark, out)
-    return round_doubles(alerts.select("segment", "row_key", "measured", "predicted", "error_pct", "message"))
+    return canonical(alerts.select("segment", "row_key", "measured", "predicted", "error_pct", "message"))

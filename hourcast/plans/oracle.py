@@ -83,8 +83,9 @@ HOURLY_COLS = ["carrier_id", "datepart", "hour_of_day", "avg_response_time", "fi
 
 
 def _hourly_select(src: str) -> str:
-    return ("select carrier_id, datepart, hour_of_day, r6(avg_response_time) as avg_response_time, "
-            "first_attempt, last_attempt, " + rnd(MEASURES[1:]) + f" from {src}")
+    return ("select carrier_id, datepart::varchar as datepart, hour_of_day, "
+            "r6(avg_response_time) as avg_response_time, first_attempt::varchar as first_attempt, "
+            "last_attempt::varchar as last_attempt, " + rnd(MEASURES[1:]) + f" from {src}")
 
 
 SQL: dict[str, str] = {}
@@ -94,7 +95,7 @@ SQL["csv_roundtrip_hourly"] = SQL["hourly_from_events"]
 SQL["csv_drop_malformed"] = SQL["hourly_from_events"]
 
 SQL["week_of_month"] = f"""with {ENRICHED}
-select distinct datepart, week_of_month from w"""
+select distinct datepart::varchar as datepart, week_of_month from w"""
 
 SQL["count_by_week"] = f"""with {ENRICHED}
 select week_of_month, count(*) as count from w group by 1"""
@@ -125,7 +126,7 @@ SQL["segment_filter"] = f"""with {CUMULATIVE}
 select carrier_id, hour_of_day, week_of_month, {rnd(MEASURES)} from c where carrier_id = 1"""
 
 SQL["point_filter_raw"] = f"""with {ENRICHED}
-select carrier_id, datepart, hour_of_day, week_of_month, {rnd(MEASURES)} from w
+select carrier_id, datepart::varchar as datepart, hour_of_day, week_of_month, {rnd(MEASURES)} from w
 where carrier_id = 4 and hour_of_day = 19 and week_of_month = 5"""
 
 SQL["point_filter_profile"] = f"""with {PROFILE}
@@ -229,12 +230,17 @@ select segment, row_key, r6(ln(successful_charges)) as label from f where succes
 
 SQL["drop_label_project"] = f"with {FEATURES} select row_key, {rnd(F7)} from f"
 
+def vec_text(items: list[str]) -> str:
+    """Same text as the Spark side: [v1,...] with every (rounded) value as %.6f."""
+    return "'[' || array_to_string(list_transform([" + ", ".join(items) + "], lambda v: printf('%.6f', v)), ',') || ']'"
+
+
 SQL["labeled_features"] = f"""with {LABELED}
-select row_key, r6(label) as label, [{', '.join(f'r6({c})' for c in F7)}] as features from l"""
+select row_key, r6(label) as label, {vec_text([f'r6({c})' for c in F7])} as features from l"""
 
 SQL["assemble_features"] = f"""with {ENRICHED}
 select concat_ws('|', carrier_id, datepart, hour_of_day) as row_key,
-       [{', '.join(f'r6({c}::double)' for c in F6)}] as features_success from w"""
+       {vec_text([f'r6({c}::double)' for c in F6])} as features_success from w"""
 
 SQL["hash_split"] = f"""with {FEATURES}
 select (('0x' || substr(md5(row_key), 1, 8))::bigint % 100) < 70 as is_train, count(*) as n_rows
