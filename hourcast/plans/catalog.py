@@ -508,6 +508,14 @@ def q_elastic_family_rmse(spark, sf_dir):
 
 # ---------------------------------------------------------------- streaming
 
+def state_partitions(spark) -> int:
+    """State-store partitions for the stream queries: the cluster's default parallelism."""
+    try:
+        return int(spark.sparkContext.defaultParallelism)
+    except Exception:  # noqa: BLE001 - remote sessions: keep the session setting
+        return 0
+
+
 def event_source(spark, sf_dir) -> tuple[str, str | None]:
     """Stream source for the events table: its directory, or its folder + a file
     filter when the table is a single Parquet file."""
@@ -525,7 +533,8 @@ def event_stream(spark, sf_dir):
 def q_stream_hourly_replay(spark, sf_dir):
     """Replay the event table as a stream (availableNow, complete mode)."""
     out = ST.replay_to_parquet(ST.stream_hourly(event_stream(spark, sf_dir)),
-                               scratch_path(spark, "stream-hourly"), scratch_path(spark, "stream-hourly-ckpt"))
+                               scratch_path(spark, "stream-hourly"), scratch_path(spark, "stream-hourly-ckpt"),
+                               state_partitions=state_partitions(spark))
     return canonical(RD.read_parquet(spark, out))
 
 
@@ -540,6 +549,6 @@ def q_stream_alerts_replay(spark, sf_dir):
     out = scratch_path(spark, "stream-alerts")
     path, glob = event_source(spark, sf_dir)
     ST.run_monitor(spark, path, schema, ST.linear_scorer(coefs, std), out,
-                   scratch_path(spark, "stream-alerts-ckpt"), glob=glob)
+                   scratch_path(spark, "stream-alerts-ckpt"), glob=glob, state_partitions=state_partitions(spark))
     alerts = RD.read_parquet(spark, out)
     return canonical(alerts.select("segment", "row_key", "measured", "predicted", "error_pct", "message"))

@@ -64,7 +64,26 @@ def stream_hourly(events: DataFrame, n_segments: int = DEFAULT_SEGMENTS, waterma
     )
 
 
-def replay_to_parquet(stream_df: DataFrame, out_path: str, checkpoint: str, output_mode: str = "complete") -> str:
+def start_with_state_partitions(writer, spark: SparkSession, state_partitions: int | None):
+    """Start a streaming query whose state store has ``state_partitions`` partitions.
+
+    The number is fixed when the query first starts (then kept in its
+    checkpoint) and is read from the session configuration, which the query
+    clones at ``start()``; the session setting is restored right after.
+    """
+    if not state_partitions:
+        return writer.start()
+    key = "spark.sql.shuffle.partitions"
+    old = spark.conf.get(key)
+    spark.conf.set(key, str(state_partitions))
+    try:
+        return writer.start()
+    finally:
+        spark.conf.set(key, old)
+
+
+def replay_to_parquet(stream_df: DataFrame, out_path: str, checkpoint: str, output_mode: str = "complete",
+                      state_partitions: int | None = None) -> str:
     """Run a stream over all available input (availableNow) and keep the final table.
 
     Complete mode re-emits the whole (small, aggregated) result each batch; the
@@ -73,8 +92,9 @@ def replay_to_parquet(stream_df: DataFrame, out_path: str, checkpoint: str, outp
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(out_path)
 
-    q = (stream_df.writeStream.outputMode(output_mode).foreachBatch(write)
-         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+    w = (stream_df.writeStream.outputMode(output_mode).foreachBatch(write)
+         .option("checkpointLocation", checkpoint).trigger(availableNow=True))
+    q = start_with_state_partitions(w, stream_df.sparkSession, state_partitions)
     q.awaitTermination()
     return out_path
 

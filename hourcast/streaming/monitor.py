@@ -24,7 +24,7 @@ from hourcast.operators import linear as LN
 from hourcast.operators import monitor as MON
 from hourcast.operators import profile as P
 from hourcast.operators import tree as TR
-from hourcast.streaming.hourly import read_event_stream, stream_hourly
+from hourcast.streaming.hourly import read_event_stream, start_with_state_partitions, stream_hourly
 
 Scorer = Callable[[DataFrame], DataFrame]
 
@@ -60,7 +60,8 @@ def tree_scorer(spark: SparkSession, models_root: str, features: list[str] | Non
 
 def run_monitor(spark: SparkSession, events_path: str, events_schema, scorer: Scorer, alerts_path: str,
                 checkpoint: str, glob: str | None = None, watermark: str = "1 hour",
-                available_now: bool = True, processing_time: str = "1 hour", n_segments: int = 5):
+                available_now: bool = True, processing_time: str = "1 hour", n_segments: int = 5,
+                state_partitions: int | None = None):
     """Start the alert stream; returns the StreamingQuery (already finished when available_now)."""
     hourly = stream_hourly(read_event_stream(spark, events_path, events_schema, glob=glob),
                            n_segments=n_segments, watermark=watermark)
@@ -71,7 +72,7 @@ def run_monitor(spark: SparkSession, events_path: str, events_schema, scorer: Sc
 
     w = hourly.writeStream.outputMode("append").foreachBatch(write).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=processing_time)
-    q = w.start()
+    q = start_with_state_partitions(w, spark, state_partitions)
     if available_now:
         q.awaitTermination()
     return q
