@@ -44,12 +44,13 @@ def segment_ids(df: DataFrame) -> list[int]:
 
 
 def persisted(spark, df: DataFrame, name: str, partition_by: list[str] | None = None) -> DataFrame:
-    """Write a training frame once (partitioned by segment) and read it back.
+    """Write a (bounded, aggregated) frame once and read it back.
 
-    Later per-segment fits and scans prune to their own files and do not
-    re-run the upstream aggregation; lineage is cut for executor loss.
+    Partitioned by segment, one file per segment; later per-segment fits and
+    scans prune to their own files and do not re-run the upstream aggregation;
+    lineage is cut for executor loss.
     """
-    path = WR.write_checkpoint(df, scratch_path(spark, name), partition_by=partition_by)
+    path = WR.write_checkpoint(df, scratch_path(spark, name), partition_by=partition_by, cluster=True)
     return RD.read_parquet(spark, path)
 
 
@@ -132,7 +133,7 @@ def q_cumulative_profile(spark, sf_dir):
 @register("checkpoint_roundtrip")
 def q_checkpoint_roundtrip(spark, sf_dir):
     path = WR.write_checkpoint(cumulative(spark, sf_dir), scratch_path(spark, "profile-ckpt"),
-                               partition_by=["carrier_id"])
+                               partition_by=["carrier_id"], cluster=True)
     back = RD.read_parquet(spark, path)
     return canonical(back.select(*P.PROFILE_KEYS, *P.MEASURES))
 
@@ -145,7 +146,7 @@ def q_union_segments(spark, sf_dir):
     read prunes to its own files: the union reads the data once in total.
     """
     path = WR.write_checkpoint(cumulative(spark, sf_dir), scratch_path(spark, "profile-seg"),
-                               partition_by=["carrier_id"])
+                               partition_by=["carrier_id"], cluster=True)
     back = RD.read_parquet(spark, path).select(*P.PROFILE_KEYS, *P.MEASURES)
     frames = [P.segment_filter(back, s) for s in range(EV.DEFAULT_SEGMENTS)]
     return canonical(P.union_segments(frames))
