@@ -484,12 +484,13 @@ def q_tree_rules(spark, sf_dir):
 
 @register("train_segments_report")
 def q_train_segments_report(spark, sf_dir):
-    """Per segment: 90/10 split, grid search on 90, score the 10, one metrics pass."""
+    """Per segment: 90/10 split, grid search on 90, save the best pipeline, score the 10, one metrics pass."""
     frame = FE.with_split_flag(profile_frame(spark, sf_dir), train_pct=90)
     train, test = frame.where(F.col("is_train")), frame.where(~F.col("is_train"))
     segs = segment_ids(train)
     _, best = TR.grid_search_truncated(spark, train, S.FEATURES_6, segs, scratch_path(spark, "grid"),
                                        depths=SMALL_DEPTHS, bins=SMALL_BINS)
+    TR.save_segment_models(best, scratch_path(spark, "best-models"))   # best pipeline per segment
     scored = TR.score_segments(test, best, ["segment", "label"])
     met = EVL.metrics(scored, by=["segment"], one_sided_t=0.1)
     params = spark.createDataFrame(
