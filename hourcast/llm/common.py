@@ -8,6 +8,7 @@ from pathlib import Path
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from hourcast.session import scratch_path, table_path
 
@@ -40,7 +41,7 @@ def append_columns(df: DataFrame, new: dict[str, str], start: Callable[[], Calla
     taken = {c.lower() for c in df.columns} & {c.lower() for c in new}
     if taken:
         raise ValueError(f"the input already has columns {sorted(taken)}")
-    schema = df.schema
+    schema = StructType(list(df.schema.fields))
     for name, kind in new.items():
         schema = schema.add(name, kind)
     fields = [pa.field(name, ARROW_TYPES[kind]) for name, kind in new.items()]
