@@ -8,8 +8,11 @@ input.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from hourcast.llm.common import DOCUMENT_COLUMNS, read_table, written
+from hourcast.llm.line_dedup import line_dedup
+from hourcast.llm.quality_classifier import score_quality
 from hourcast.llm.quality_rules import quality_rules
 
 
@@ -18,8 +21,22 @@ def keep_by_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return quality_rules(docs.select(DOCUMENT_COLUMNS)).where("kept").select(DOCUMENT_COLUMNS)
 
 
+def keep_by_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier, trained on the labels of its own input, accepts."""
+    scored = score_quality(docs.select(DOCUMENT_COLUMNS), read_table(spark, sf_dir, "labels"))
+    return scored.where("predicted = 1").select(DOCUMENT_COLUMNS)
+
+
+def cut_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document, without the later repeated runs of lines; n_chars follows the text."""
+    cut = line_dedup(docs.select(DOCUMENT_COLUMNS))
+    return cut.withColumn("n_chars", F.length("text").cast("long")).select(DOCUMENT_COLUMNS)
+
+
 STAGES = [
     ("quality rules", keep_by_rules),
+    ("quality classifier", keep_by_classifier),
+    ("line dedup", cut_repeated_lines),
 ]
 
 # A stage of this pipeline trains a classifier and another encodes tokens, which SQL cannot express.

@@ -3,17 +3,34 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from hourcast.llm.common import id_and_text, read_table
+from hourcast.llm.line_dedup import dropped_lines
+from hourcast.llm.quality_classifier import score_quality
 from hourcast.llm.quality_rules import quality_rules
 
 
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document: its lines, and those that later repeated runs make up."""
+    found = dropped_lines(id_and_text(read_table(spark, sf_dir, "documents")))
+    return found.withColumn("dropped", F.concat_ws(",", F.transform("dropped", lambda p: p.cast("string"))))
+
+
+def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document, learned from the labels of the rows not held out."""
+    docs = id_and_text(read_table(spark, sf_dir, "documents"))
+    return score_quality(docs, read_table(spark, sf_dir, "labels")).drop("text")
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts and verdict of the quality rules for every document."""
     return quality_rules(id_and_text(read_table(spark, sf_dir, "documents"))).drop("text")
 
 
 REGISTRY = {
+    "op1_line_dedup": op1_line_dedup,
+    "op2_quality_classifier": op2_quality_classifier,
     "op5_quality_rules": op5_quality_rules,
 }
 
