@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hourcast.llm.common import id_and_text, read_table
 from hourcast.llm.line_dedup import dropped_lines
+from hourcast.llm.packing import pack
 from hourcast.llm.quality_classifier import score_quality
 from hourcast.llm.quality_rules import quality_rules
+from hourcast.llm.token_counts import token_counts
+from hourcast.session import scratch_path
 
 
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -28,10 +32,23 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(id_and_text(read_table(spark, sf_dir, "documents"))).drop("text")
 
 
+def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every piece of every document and its place in a sequence of 1024 tokens."""
+    return pack(id_and_text(read_table(spark, sf_dir, "documents")), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes and tokens of every document, through a digest cache that starts empty."""
+    return token_counts(read_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"),
+                        cache=scratch_path(spark, "token-cache"))
+
+
 REGISTRY = {
     "op1_line_dedup": op1_line_dedup,
     "op2_quality_classifier": op2_quality_classifier,
     "op5_quality_rules": op5_quality_rules,
+    "op7_packing": op7_packing,
+    "op8_token_counts": op8_token_counts,
 }
 
 SQL: dict[str, str] = {}
