@@ -7,11 +7,14 @@ input.
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hourcast.llm.common import DOCUMENT_COLUMNS, read_table, written
 from hourcast.llm.line_dedup import line_dedup
+from hourcast.llm.ngram_join import one_of_each
+from hourcast.llm.packing import pack
 from hourcast.llm.quality_classifier import score_quality
 from hourcast.llm.quality_rules import quality_rules
 
@@ -33,10 +36,22 @@ def cut_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     return cut.withColumn("n_chars", F.length("text").cast("long")).select(DOCUMENT_COLUMNS)
 
 
+def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The first document of each group of near copies."""
+    return one_of_each(docs.select(DOCUMENT_COLUMNS))
+
+
+def pack_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of all documents and their places in sequences."""
+    return pack(docs, public_tokenizers.path("byte_bpe_50k.json"))
+
+
 STAGES = [
     ("quality rules", keep_by_rules),
     ("quality classifier", keep_by_classifier),
     ("line dedup", cut_repeated_lines),
+    ("n-gram Jaccard join", one_of_each_group),
+    ("packing", pack_documents),
 ]
 
 # A stage of this pipeline trains a classifier and another encodes tokens, which SQL cannot express.

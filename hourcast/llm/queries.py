@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from hourcast.llm.common import id_and_text, read_table
 from hourcast.llm.line_dedup import dropped_lines
+from hourcast.llm.ngram_join import near_duplicates
 from hourcast.llm.packing import pack
 from hourcast.llm.quality_classifier import score_quality
 from hourcast.llm.quality_rules import quality_rules
@@ -27,6 +28,12 @@ def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_quality(docs, read_table(spark, sf_dir, "labels")).drop("text")
 
 
+def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate components of all documents."""
+    found = near_duplicates(id_and_text(read_table(spark, sf_dir, "documents")))
+    return found.select("doc_id", F.col("n_shingles").cast("long").alias("n_shingles"), "component_id")
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts and verdict of the quality rules for every document."""
     return quality_rules(id_and_text(read_table(spark, sf_dir, "documents"))).drop("text")
@@ -46,6 +53,7 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 REGISTRY = {
     "op1_line_dedup": op1_line_dedup,
     "op2_quality_classifier": op2_quality_classifier,
+    "op4_ngram_join": op4_ngram_join,
     "op5_quality_rules": op5_quality_rules,
     "op7_packing": op7_packing,
     "op8_token_counts": op8_token_counts,
