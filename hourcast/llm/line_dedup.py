@@ -2,19 +2,21 @@
 
 A line ends at a line feed or after ``.``, ``!`` or ``?`` followed by a space (a soft line
 break), so a passage is found whether it stands on lines of its own or inside a paragraph.
-Lines without a character other than white space are not compared and never deleted.
+Lines without a character other than white space are not compared.
 
 1. Each line is hashed.  Pairs of neighbouring line hashes form grams; of every window of
    ``window`` grams the rightmost minimum is a fingerprint.  So any run of ``window + 1`` lines
    that two places share gives both the same fingerprint.  A line of ``min_chars`` characters
    or more is a fingerprint by itself.
-2. Fingerprints are joined by hash: each occurrence with the first one, in the order of
-   (doc_id, text hash, line).  This is linear in the occurrences, however common one is: the
+2. Fingerprints are joined by hash: a document's first occurrence of one with the first of all,
+   in the order of (doc_id, text hash, line); a later occurrence with the one before it in the
+   same document.  This is linear in the occurrences, however common one is: the
    first occurrence is found with map-side partial aggregates, and the join is a plain
    equi-join whose hot partitions the adaptive planner splits.
 3. Each joined pair of positions gives a diagonal of two documents (or of one document with
    itself); matches are extended both ways along it to maximal runs of equal lines.
 4. The later one of two equal runs is deleted when its lines have ``min_chars`` characters.
+   Lines of white space inside a deleted run go with it.
 
 A deleted line always equals an earlier one, so the first occurrence of every line stays.
 
@@ -38,7 +40,8 @@ from hourcast.llm.common import written
 
 LINE_END = r"(?<=\n)|(?<=[.!?] )"
 WHITE = " \t\n\x0b\x0c\r"
-REST = 2_147_483_647
+# Longer than any array, and a start can be added to it.
+REST = 1 << 30
 
 
 @dataclass(frozen=True)
@@ -60,81 +63,83 @@ def _hash(line: Column) -> Column:
     return F.conv(F.substring(F.md5(line), 1, 15), 16, 10).cast("long")
 
 
-def _positions(n: Column) -> Column:
-    """0 to n - 1, empty for 0."""
-    return F.when(n > 0, F.sequence(F.lit(0), n - 1)).otherwise(F.array().cast("array<int>"))
+def line_table(docs: DataFrame) -> DataFrame:
+    """(doc_id, k, hashes, chars, at): the compared lines of each document in order; ``at`` is a
+    line's place among all segments of the text."""
+    trimmed = F.transform(_segments(F.col("text")), lambda s, i: F.struct(F.btrim(s, F.lit(WHITE)).alias("line"), i.alias("at")))
+    lines = F.coalesce(F.filter(trimmed, lambda x: x["line"] != ""), F.array().cast("array<struct<line:string,at:int>>"))
+    made = F.transform(lines, lambda x: F.struct(_hash(x["line"]).alias("h"), F.length(x["line"]).alias("n"), x["at"].alias("at")))
+    return (docs.select("doc_id", _key().alias("k"), made.alias("made"))
+            .select("doc_id", "k", F.col("made.h").alias("hashes"), F.col("made.n").alias("chars"), F.col("made.at").alias("at")))
 
 
-def line_table(docs: DataFrame) -> DataFrame:
-    """(doc_id, k, hashes, chars): the compared lines of each document in order."""
-    lines = F.filter(F.transform(_segments(F.col("text")), lambda s: F.btrim(s, F.lit(WHITE))), lambda s: s != "")
-    return (docs.select("doc_id", _key().alias("k"), F.coalesce(lines, F.array().cast("array<string>")).alias("lines"))
-            .select("doc_id", "k", F.transform("lines", _hash).alias("hashes"),
-                    F.transform("lines", F.length).alias("chars")))
+def _minima(values: Column, w: int) -> Column:
+    """Positions of the rightmost minimum of every window of w values (of all, if they are fewer)."""
+    placed = F.transform(values, lambda g, i: F.struct(g.alias("g"), (-i).alias("i")))
+    n, least = F.size(values), placed
+    for j in range(1, w):
+        least = F.zip_with(F.slice(least, 1, F.greatest(n - j, F.lit(0))), F.slice(placed, j + 1, REST), lambda x, y: F.least(x, y))
+    least = F.when(n >= w, least).otherwise(F.when(n > 0, F.array(F.array_min(placed))))
+    return F.transform(F.array_distinct(least), lambda m: F.struct(m["g"].alias("fp"), (-m["i"]).alias("pos")))
 
 
 def fingerprints(lines: DataFrame, cfg: Winnow) -> DataFrame:
-    """(fp, doc_id, k, pos): window minima of the pair hashes, and long lines."""
-    h, w = F.col("hashes"), cfg.window
-    grams = F.transform(_positions(F.size(h) - 1),
-                        lambda i: F.get(h, i).bitwiseXOR(F.shiftright(F.get(h, i + 1), 1)))
-
-    def minimum(start: Column) -> Column:
-        part = F.slice(F.col("grams"), start + 1, w)
-        least = F.array_min(part)
-        return start + F.size(part) - F.array_position(F.reverse(part), least).cast("int")
-
-    starts = F.when(F.size("grams") > 0, F.sequence(F.lit(0), F.greatest(F.lit(0), F.size("grams") - w)))
-    chosen = F.transform(F.array_distinct(F.transform(starts, minimum)),
-                         lambda i: F.struct(F.get(F.col("grams"), i).alias("fp"), i.alias("pos")))
-    long_lines = F.transform(F.filter(_positions(F.size(h)), lambda i: F.get(F.col("chars"), i) >= cfg.min_chars),
-                             lambda i: F.struct((-F.get(h, i)).alias("fp"), i.alias("pos")))
+    """(fp, doc_id, k, pos, prev): window minima of the pair hashes, and long lines.  ``prev`` is the
+    position of the same fingerprint before in the document, null for its first there."""
+    h, n = F.col("hashes"), F.size("hashes")
+    grams = F.zip_with(F.slice(h, 1, F.greatest(n - 1, F.lit(0))), F.slice(h, 2, REST),
+                       lambda x, y: x.bitwiseXOR(F.shiftright(y, 1)))
     none = F.array().cast("array<struct<fp:bigint,pos:int>>")
-    return (lines.withColumn("grams", grams)
-            .select("doc_id", "k", F.explode(F.concat(F.coalesce(chosen, none), long_lines)).alias("f"))
-            .select("f.fp", "doc_id", "k", "f.pos"))
+    long_lines = F.filter(F.zip_with(F.transform(h, lambda x, i: F.struct((-x).alias("fp"), i.alias("pos"))), "chars",
+                                     lambda x, c: F.when(c >= cfg.min_chars, x)), lambda x: x.isNotNull())
+    every = F.array_sort(F.concat(F.coalesce(_minima(grams, cfg.window), none), long_lines))
+    shifted = F.concat(F.array(F.lit(None).cast("struct<fp:bigint,pos:int>")), F.slice("every", 1, REST))
+    # The shifted copy is one longer; its last pair has no fingerprint of its own.
+    paired = F.zip_with("every", shifted, lambda x, y: F.struct(
+        x["fp"].alias("fp"), x["pos"].alias("pos"), F.when(x["fp"] == y["fp"], y["pos"]).alias("prev")))
+    return (lines.select("doc_id", "k", every.alias("every"))
+            .select("doc_id", "k", F.explode(F.filter(paired, lambda x: x["fp"].isNotNull())).alias("f"))
+            .select("f.fp", "doc_id", "k", "f.pos", "f.prev"))
 
 
 def diagonals(prints: DataFrame) -> DataFrame:
-    """(k, first_k, shift): a document, the earlier one it shares a fingerprint with, and the
-    difference of the lines' positions."""
+    """(k, first_k, shift): a document, the earlier one (or itself) it shares a fingerprint with, and
+    the difference of the lines' positions."""
+    within = prints.where("prev is not null").select("k", F.col("k").alias("first_k"), (F.col("pos") - F.col("prev")).alias("shift"))
+    heads = prints.where("prev is null")
     place = F.struct("doc_id", "k", "pos")
-    first = prints.groupBy("fp").agg(F.min(place).alias("first"), F.max(place).alias("last"))
+    first = heads.groupBy("fp").agg(F.min(place).alias("first"), F.max(place).alias("last"))
     first = first.where(F.col("first") != F.col("last")).select("fp", "first")
-    return (prints.join(first, "fp").where(place != F.col("first"))
-            .select("k", F.col("first.k").alias("first_k"), (F.col("pos") - F.col("first.pos")).alias("shift"))
-            .distinct())
+    across = (heads.join(first, "fp").where(place != F.col("first"))
+              .select("k", F.col("first.k").alias("first_k"), (F.col("pos") - F.col("first.pos")).alias("shift")))
+    return within.union(across).distinct()
 
 
 def _runs(eq: Column) -> Column:
     """Maximal runs of true, as struct(a, b) with b behind the last."""
-    n = F.size(eq)
-    breaks = F.filter(_positions(n), lambda i: ~F.get(eq, i))
+    breaks = F.filter(F.transform(eq, lambda x, i: F.when(~x, i)), lambda i: i.isNotNull())
     return F.filter(
-        F.zip_with(F.concat(F.array(F.lit(-1)), breaks), F.concat(breaks, F.array(n)),
+        F.zip_with(F.concat(F.array(F.lit(-1)), breaks), F.concat(breaks, F.array(F.size(eq))),
                    lambda a, b: F.struct((a + 1).alias("a"), b.alias("b"))),
         lambda r: r["b"] > r["a"])
 
 
 def repeated_lines(lines: DataFrame, cfg: Winnow) -> DataFrame:
-    """(k, dropped): the positions of the lines to delete, ascending, for documents that have any."""
+    """(k, runs): for documents that have any, the runs of lines to delete, as struct(a, b) of the
+    first line and the one behind the last; runs may overlap."""
     found = diagonals(fingerprints(lines, cfg))
     sides = lines.select("k", "hashes", "chars").dropDuplicates(["k"])
     earlier = sides.select(F.col("k").alias("first_k"), F.col("hashes").alias("first_hashes"))
     both = found.join(earlier, "first_k").join(sides, "k")
-    shift = F.col("shift")
-    begin = F.greatest(shift, F.lit(0))
+    begin = F.greatest("shift", F.lit(0))
     eq = F.zip_with(F.slice("hashes", begin + 1, REST),
-                    F.slice("first_hashes", F.greatest(-shift, F.lit(0)) + 1, REST),
+                    F.slice("first_hashes", F.greatest(-F.col("shift"), F.lit(0)) + 1, REST),
                     lambda x, y: F.coalesce(x == y, F.lit(False)))
-    chars = lambda r: F.aggregate(
-        F.slice("chars", F.col("begin") + r["a"] + 1, r["b"] - r["a"]), F.lit(0), lambda s, c: s + c)
-    runs = F.filter("runs", lambda r: chars(r) >= cfg.min_chars)
-    spans = F.transform(runs, lambda r: F.sequence(F.col("begin") + r["a"], F.col("begin") + r["b"] - 1))
-    return (both.select("k", "chars", begin.alias("begin"), eq.alias("eq"))
-            .select("k", "chars", "begin", _runs(F.col("eq")).alias("runs"))
-            .select("k", F.flatten(spans).alias("spans")).where(F.size("spans") > 0)
-            .groupBy("k").agg(F.sort_array(F.array_distinct(F.flatten(F.collect_list("spans")))).alias("dropped")))
+    runs = F.transform(_runs(eq), lambda r: F.struct((r["a"] + begin).alias("a"), (r["b"] + begin).alias("b")))
+    long_enough = F.filter(runs, lambda r: F.aggregate(
+        F.slice("chars", r["a"] + 1, r["b"] - r["a"]), F.lit(0), lambda s, c: s + c) >= cfg.min_chars)
+    return (both.select("k", long_enough.alias("runs")).where(F.size("runs") > 0)
+            .groupBy("k").agg(F.array_distinct(F.flatten(F.collect_list("runs"))).alias("runs")))
 
 
 def dropped_lines(docs: DataFrame, cfg: Winnow = Winnow()) -> DataFrame:
@@ -142,26 +147,23 @@ def dropped_lines(docs: DataFrame, cfg: Winnow = Winnow()) -> DataFrame:
     lists the deleted lines' positions among the compared lines."""
     lines = written(line_table(docs), "lines")
     out = lines.join(repeated_lines(lines, cfg), "k", "left")
-    dropped = F.coalesce("dropped", F.array().cast("array<int>"))
-    return out.select(
-        "doc_id", F.size("hashes").cast("long").alias("n_lines"), F.size(dropped).cast("long").alias("n_dropped"),
-        F.aggregate(dropped, F.lit(0).cast("long"), lambda s, i: s + F.get(F.col("chars"), i)).alias("dropped_chars"),
-        dropped.alias("dropped"))
+    gone = F.filter(F.transform("chars", lambda n, i: F.struct(i.alias("i"), n.alias("n"))),
+                    lambda x: F.exists("runs", lambda r: (r["a"] <= x["i"]) & (x["i"] < r["b"])))
+    gone = F.coalesce(F.when(F.col("runs").isNotNull(), gone), F.array().cast("array<struct<i:int,n:int>>"))
+    return out.select("doc_id", F.size("hashes").cast("long").alias("n_lines"), gone.alias("gone")).select(
+        "doc_id", "n_lines", F.size("gone").cast("long").alias("n_dropped"),
+        F.aggregate("gone", F.lit(0).cast("long"), lambda s, x: s + x["n"]).alias("dropped_chars"),
+        F.col("gone.i").alias("dropped"))
 
 
 def line_dedup(docs: DataFrame, cfg: Winnow = Winnow()) -> DataFrame:
-    """``docs`` with the later repeated runs of lines cut from ``text``; other columns as they are."""
+    """``docs`` with the later repeated runs of lines cut from ``text``, with the white space
+    between their lines; other columns as they are."""
     lines = written(line_table(docs), "lines")
-    kept = docs.withColumn("__k", _key()).join(
-        repeated_lines(lines, cfg).withColumnRenamed("k", "__k").withColumnRenamed("dropped", "__dropped"), "__k", "left")
-    segments = _segments(F.col("text"))
-    compared = F.filter(_positions(F.size("__segments")),
-                        lambda i: F.btrim(F.get(F.col("__segments"), i), F.lit(WHITE)) != "")
-    gone = F.transform("__dropped", lambda p: F.get(F.col("__compared"), p))
-    rest = F.transform(F.array_except(_positions(F.size("__segments")), gone), lambda i: F.get(F.col("__segments"), i))
-    # Segments are only split where something is deleted; other texts pass through.
-    work = F.col("__dropped").isNotNull()
-    return (kept.withColumn("__segments", F.when(work, segments))
-            .withColumn("__compared", F.when(work, compared))
-            .withColumn("text", F.when(work, F.array_join(rest, "")).otherwise(F.col("text")))
-            .select(*docs.columns))
+    places = lines.select("k", "at").dropDuplicates(["k"])
+    spans = F.transform("runs", lambda r: F.struct(F.get("at", r["a"]).alias("a"), F.get("at", r["b"] - 1).alias("b")))
+    cuts = repeated_lines(lines, cfg).join(places, "k").select(F.col("k").alias("__k"), spans.alias("__cuts"))
+    kept = docs.withColumn("__k", _key()).join(cuts, "__k", "left")
+    rest = F.filter(_segments(F.col("text")), lambda s, i: ~F.exists("__cuts", lambda r: (r["a"] <= i) & (i <= r["b"])))
+    cut = F.when(F.col("__cuts").isNotNull(), F.array_join(rest, "")).otherwise(F.col("text"))
+    return kept.withColumn("text", cut).select(*docs.columns)

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hourcast.llm.common import id_and_text, read_table
+from hourcast.llm.knn import top_k
 from hourcast.llm.line_dedup import dropped_lines
 from hourcast.llm.ngram_join import near_duplicates
 from hourcast.llm.packing import pack
@@ -50,6 +51,11 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
                         cache=scratch_path(spark, "token-cache"))
 
 
+def op9_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five best matches of every 50th vector among all other vectors."""
+    return top_k(read_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 REGISTRY = {
     "op1_line_dedup": op1_line_dedup,
     "op2_quality_classifier": op2_quality_classifier,
@@ -57,6 +63,7 @@ REGISTRY = {
     "op5_quality_rules": op5_quality_rules,
     "op7_packing": op7_packing,
     "op8_token_counts": op8_token_counts,
+    "op9_exact_top_k": op9_exact_top_k,
 }
 
 SQL: dict[str, str] = {}
