@@ -73,32 +73,55 @@ def line_table(docs: DataFrame) -> DataFrame:
             .select("doc_id", "k", F.col("made.h").alias("hashes"), F.col("made.n").alias("chars"), F.col("made.at").alias("at")))
 
 
-def _minima(values: Column, w: int) -> Column:
-    """Positions of the rightmost minimum of every window of w values (of all, if they are fewer)."""
-    placed = F.transform(values, lambda g, i: F.struct(g.alias("g"), (-i).alias("i")))
-    n, least = F.size(values), placed
+def _is_minimum(gram, i: Column, w: int) -> Column:
+    """True if value i is the rightmost minimum of a window of w values that holds it.
+
+    It is, if the values next to it that are no smaller (on the left) or larger (on the right)
+    make up the rest of a window.  Fewer than w values are one window.
+    """
+    here = gram(i)
+    left, right = [F.lit(True)], [F.lit(True)]
     for j in range(1, w):
-        least = F.zip_with(F.slice(least, 1, F.greatest(n - j, F.lit(0))), F.slice(placed, j + 1, REST), lambda x, y: F.least(x, y))
-    least = F.when(n >= w, least).otherwise(F.when(n > 0, F.array(F.array_min(placed))))
-    return F.transform(F.array_distinct(least), lambda m: F.struct(m["g"].alias("fp"), (-m["i"]).alias("pos")))
+        left.append(left[-1] & F.coalesce(gram(i - j) >= here, F.lit(False)))
+        right.append(right[-1] & F.coalesce(gram(i + j) > here, F.lit(False)))
+    found = F.lit(False)
+    for j in range(w):
+        found = found | (left[j] & right[w - 1 - j])
+    return found
 
 
-def fingerprints(lines: DataFrame, cfg: Winnow) -> DataFrame:
-    """(fp, doc_id, k, pos, prev): window minima of the pair hashes, and long lines.  ``prev`` is the
-    position of the same fingerprint before in the document, null for its first there."""
-    h, n = F.col("hashes"), F.size("hashes")
-    grams = F.zip_with(F.slice(h, 1, F.greatest(n - 1, F.lit(0))), F.slice(h, 2, REST),
-                       lambda x, y: x.bitwiseXOR(F.shiftright(y, 1)))
+def fingerprint_table(lines: DataFrame, cfg: Winnow) -> DataFrame:
+    """(doc_id, k, every): per document struct(fp, pos) of the window minima of the pair hashes, and of
+    the long lines.  ``lines`` is read from files, so that lambdas see stored arrays."""
+    h, w = F.col("hashes"), cfg.window
+
+    def gram(i: Column) -> Column:
+        return F.get(h, i).bitwiseXOR(F.shiftright(F.get(h, i + 1), 1))
+
+    n = F.size(h) - 1
     none = F.array().cast("array<struct<fp:bigint,pos:int>>")
-    long_lines = F.filter(F.zip_with(F.transform(h, lambda x, i: F.struct((-x).alias("fp"), i.alias("pos"))), "chars",
-                                     lambda x, c: F.when(c >= cfg.min_chars, x)), lambda x: x.isNotNull())
-    every = F.array_sort(F.concat(F.coalesce(_minima(grams, cfg.window), none), long_lines))
-    shifted = F.concat(F.array(F.lit(None).cast("struct<fp:bigint,pos:int>")), F.slice("every", 1, REST))
+    all_of_few = F.array_max(F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.struct((-gram(i)).alias("g"), i.alias("i"))))
+    chosen = (F.when(n >= w, F.filter(F.sequence(F.lit(0), n - 1), lambda i: _is_minimum(gram, i, w)))
+              .when(n > 0, F.array(all_of_few["i"])).otherwise(F.array().cast("array<int>")))
+    long_lines = F.filter(F.transform("chars", lambda c, i: F.when(c >= cfg.min_chars, F.struct((-F.get(h, i)).alias("fp"), i.alias("pos")))),
+                          lambda x: x.isNotNull())
+    every = F.concat(F.transform(chosen, lambda i: F.struct(gram(i).alias("fp"), i.alias("pos"))), F.coalesce(long_lines, none))
+    return lines.select("doc_id", "k", every.alias("every"))
+
+
+def with_previous(prints: DataFrame) -> DataFrame:
+    """(fp, doc_id, k, pos, prev), one row for each fingerprint of ``prints`` (doc_id, k, every).
+    ``prev`` is the place of the same fingerprint before in the document, null for its first there."""
+    every = F.col("every")
+    in_order = F.array_sort(every)
+    shifted = F.concat(F.array(F.lit(None).cast("struct<fp:bigint,pos:int>")), F.slice(in_order, 1, REST))
     # The shifted copy is one longer; its last pair has no fingerprint of its own.
-    paired = F.zip_with("every", shifted, lambda x, y: F.struct(
-        x["fp"].alias("fp"), x["pos"].alias("pos"), F.when(x["fp"] == y["fp"], y["pos"]).alias("prev")))
-    return (lines.select("doc_id", "k", every.alias("every"))
-            .select("doc_id", "k", F.explode(F.filter(paired, lambda x: x["fp"].isNotNull())).alias("f"))
+    paired = F.filter(F.zip_with(in_order, shifted, lambda x, y: F.struct(
+        x["fp"].alias("fp"), x["pos"].alias("pos"), F.when(x["fp"] == y["fp"], y["pos"]).alias("prev"))),
+        lambda x: x["fp"].isNotNull())
+    single = F.transform(every, lambda x: F.struct(x["fp"].alias("fp"), x["pos"].alias("pos"), F.lit(None).cast("int").alias("prev")))
+    repeats = F.size(F.array_distinct(every["fp"])) < F.size(every)
+    return (prints.select("doc_id", "k", F.explode(F.when(repeats, paired).otherwise(single)).alias("f"))
             .select("f.fp", "doc_id", "k", "f.pos", "f.prev"))
 
 
@@ -127,7 +150,8 @@ def _runs(eq: Column) -> Column:
 def repeated_lines(lines: DataFrame, cfg: Winnow) -> DataFrame:
     """(k, runs): for documents that have any, the runs of lines to delete, as struct(a, b) of the
     first line and the one behind the last; runs may overlap."""
-    found = diagonals(fingerprints(lines, cfg))
+    prints = written(fingerprint_table(lines, cfg), "fingerprints")
+    found = diagonals(with_previous(prints))
     sides = lines.select("k", "hashes", "chars").dropDuplicates(["k"])
     earlier = sides.select(F.col("k").alias("first_k"), F.col("hashes").alias("first_hashes"))
     both = found.join(earlier, "first_k").join(sides, "k")

@@ -7,7 +7,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hourcast.llm.common import id_and_text, read_table
+from hourcast.llm.html_extract import extract_pages
 from hourcast.llm.knn import top_k
+from hourcast.llm.license_scan import scan_licenses
 from hourcast.llm.line_dedup import dropped_lines
 from hourcast.llm.ngram_join import near_duplicates
 from hourcast.llm.packing import pack
@@ -40,6 +42,11 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(id_and_text(read_table(spark, sf_dir, "documents"))).drop("text")
 
 
+def op6_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    return extract_pages(read_table(spark, sf_dir, "pages").select("page_id", "url", "html")).drop("html")
+
+
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every piece of every document and its place in a sequence of 1024 tokens."""
     return pack(id_and_text(read_table(spark, sf_dir, "documents")), public_tokenizers.path("byte_bpe_50k.json"))
@@ -56,14 +63,21 @@ def op9_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k(read_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
 
 
+def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence notices in every document, with coverage and spans."""
+    return scan_licenses(id_and_text(read_table(spark, sf_dir, "documents"))).drop("text")
+
+
 REGISTRY = {
     "op1_line_dedup": op1_line_dedup,
     "op2_quality_classifier": op2_quality_classifier,
     "op4_ngram_join": op4_ngram_join,
     "op5_quality_rules": op5_quality_rules,
+    "op6_html_extraction": op6_html_extraction,
     "op7_packing": op7_packing,
     "op8_token_counts": op8_token_counts,
     "op9_exact_top_k": op9_exact_top_k,
+    "op10_license_scan": op10_license_scan,
 }
 
 SQL: dict[str, str] = {}
