@@ -15,6 +15,7 @@ from hourcast.llm.ngram_join import near_duplicates
 from hourcast.llm.packing import pack
 from hourcast.llm.quality_classifier import score_quality
 from hourcast.llm.quality_rules import quality_rules
+from hourcast.llm.sentencepiece_codec import encode_texts
 from hourcast.llm.token_counts import token_counts
 from hourcast.session import scratch_path
 
@@ -31,6 +32,12 @@ def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_quality(docs, read_table(spark, sf_dir, "labels")).drop("text")
 
 
+def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document encoded and decoded, with parity against the sentencepiece library."""
+    docs = id_and_text(read_table(spark, sf_dir, "documents"))
+    return encode_texts(docs, public_tokenizers.path("piece_bpe_32k.model")).drop("text")
+
+
 def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate components of all documents."""
     found = near_duplicates(id_and_text(read_table(spark, sf_dir, "documents")))
@@ -71,6 +78,7 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 REGISTRY = {
     "op1_line_dedup": op1_line_dedup,
     "op2_quality_classifier": op2_quality_classifier,
+    "op3_sentencepiece": op3_sentencepiece,
     "op4_ngram_join": op4_ngram_join,
     "op5_quality_rules": op5_quality_rules,
     "op6_html_extraction": op6_html_extraction,
