@@ -6,7 +6,8 @@ prints one JSON line.  Every query is executed in full through the ``noop``
 sink (no rows are pulled to the driver); times exclude session start-up and a
 warm-up pass of every headline query over the smallest tables.
 The ``cell_*`` entries repeat the recorded model cells (grid sizes, split and
-train ratio as recorded) on one segment's running profile.
+train ratio as recorded) on one segment's running profile;
+``csv_read_hourly`` reads a CSV file that is written before its time is taken.
 """
 
 from __future__ import annotations
@@ -23,8 +24,10 @@ from pyspark.sql import functions as F  # noqa: E402
 from hourcast import schema as S  # noqa: E402
 from hourcast.operators import features as FE  # noqa: E402
 from hourcast.operators import tree as TR  # noqa: E402
-from hourcast.plans.catalog import REGISTRY, profile_frame  # noqa: E402
+from hourcast.plans.catalog import REGISTRY, hourly, profile_frame  # noqa: E402
 from hourcast.session import build_session, scratch_path  # noqa: E402
+from hourcast.sources import readers as RD  # noqa: E402
+from hourcast.sources import writers as WR  # noqa: E402
 
 HEADLINE = [
     "hourly_from_events",     # raw events -> hourly telemetry (the scan + partial aggregate)
@@ -48,15 +51,18 @@ def model_cells(spark, sf_dir: str) -> dict:
     54-candidate grid (depth 6-8 x bins 15-32), 18-candidate grid (depth 7-9 x bins
     25-30), and the three elastic-family fits."""
     frame = profile_frame(spark, sf_dir)
-    train = FE.with_split_flag(frame.where(F.col("segment") == 1), train_pct=90).where("is_train")
+    train = FE.with_split_flag(frame.where(F.col("segment") == 1), train_pct=90).where("is_train").drop("is_train")
+    csv = WR.write_hourly_csv(hourly(spark, sf_dir), scratch_path(spark, "bench-csv"))
     scratch = lambda: scratch_path(spark, "bench-grid")
     cells = {
-        "cell_grid54_one_segment": lambda: TR.grid_search_truncated(spark, train, S.FEATURES_6, [1], scratch()),
-        "cell_grid18_one_segment": lambda: TR.grid_search_truncated(
+        "cell_grid54_one_segment": lambda: TR.grid_search(spark, train, S.FEATURES_6, [1], scratch(), train_pct=80),
+        "cell_grid18_one_segment": lambda: TR.grid_search(
             spark, train, S.FEATURES_6, [1], scratch(), depths=[7, 8, 9], bins=list(range(25, 31))),
         "cell_linear3_one_segment": lambda: TR.elastic_report(
             spark, train, S.FEATURES_6, TR.fit_elastic_family(train, S.FEATURES_6, [1])).collect(),
     }
+    # Scan and parse of an hourly CSV file that is there already.
+    cells["csv_read_hourly"] = lambda: RD.read_hourly_csv(spark, csv).write.format("noop").mode("overwrite").save()
     out = {}
     for name, fn in cells.items():
         t0 = time.perf_counter()

@@ -2,8 +2,8 @@
 
 import sys as _sys
 
-try:  # Ship our Python functions (grouped-map bodies) by value to executors,
-    # so Python workers need pyspark/numpy/pandas but not this package installed.
+try:  # Ship our Python functions (bodies of Arrow maps) by value to executors,
+    # so Python workers need pyspark and the libraries used but not this package installed.
     from pyspark import cloudpickle as _cloudpickle
 
     _cloudpickle.register_pickle_by_value(_sys.modules[__name__])

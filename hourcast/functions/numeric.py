@@ -11,28 +11,29 @@ def _c(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def safe_ratio(num: Column | str, den: Column | str) -> Column:
-    """Division that yields NULL on a zero denominator (ANSI-safe)."""
-    return F.try_divide(_c(num), _c(den))
-
-
 def trunc_to_long(x: Column | str) -> Column:
     """Truncate a non-negative double toward zero as bigint (no overflow error)."""
     x = _c(x)
     return F.when(x >= 9.2e18, F.lit(9223372036854775807)).otherwise(F.floor(x)).cast("bigint")
 
 
+# 2**14 + 1: multiplying by it and subtracting again leaves the leading 39 bits of a double.
+SPLIT = 16385.0
+
+
 def round_half_up(x: Column | str, digits: int = 6) -> Column:
-    """floor(x * 10^d + 0.5) / 10^d for |x| < 1e12 (else x unchanged).
+    """x to 39 significant bits, then half up at ``digits`` decimals where those are coarser.
 
     Pure IEEE arithmetic, so every engine that evaluates the same formula on
     the same double returns the same double; ``round`` itself differs between
     engines on decimal ties (half-up on the shortest decimal text vs.
-    half-even on the binary value).
+    half-even on the binary value), and long sums differ in their last bits
+    with the order of their terms, whatever their size.
     """
     x = _c(x)
+    leading = x * F.lit(SPLIT) - (x * F.lit(SPLIT) - x)
     f = float(10 ** digits)
-    return F.when(F.abs(x) < F.lit(1e12), F.floor(x * F.lit(f) + F.lit(0.5)) / F.lit(f)).otherwise(x)
+    return F.when(F.abs(leading) < F.lit(1e12), F.floor(leading * F.lit(f) + F.lit(0.5)) / F.lit(f)).otherwise(leading)
 
 
 def round_doubles(df: DataFrame, digits: int = 6) -> DataFrame:

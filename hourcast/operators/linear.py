@@ -73,11 +73,14 @@ def _gd_step(kind, G, b, n, d, step, reg, tol):
         ridge = F.zip_with(w, grad, lambda wi, gi: wi * (F.lit(1.0) - s * F.lit(reg)) - s * gi)
         lasso = F.transform(plain, lambda v: F.signum(v) * F.greatest(F.abs(v) - s * F.lit(reg), F.lit(0.0)))
         nw = F.when(kind == "ridge", ridge).when(kind == "lasso", lasso).otherwise(plain)
-        diff = F.sqrt(_sum(F.zip_with(nw, w, lambda x, y: (x - y) * (x - y))))
-        norm = F.sqrt(_sum(F.transform(nw, lambda x: x * x)))
-        done = (it > 1) & (diff < F.lit(tol) * F.greatest(norm, F.lit(1.0)))
-        nxt = F.struct(nw.alias("w"), it.alias("i"), done.alias("done"))
-        return F.when(state["done"], state).otherwise(nxt)
+
+        def settle(new):
+            diff = F.sqrt(_sum(F.zip_with(new, w, lambda x, y: (x - y) * (x - y))))
+            norm = F.sqrt(_sum(F.transform(new, lambda x: x * x)))
+            done = (it > 1) & (diff < F.lit(tol) * F.greatest(norm, F.lit(1.0)))
+            return F.struct(new.alias("w"), it.alias("i"), done.alias("done"))
+        # The lambda's parameter binds the new weights, so they are computed once.
+        return F.when(state["done"], state).otherwise(F.get(F.transform(F.array(nw), settle), 0))
     return fn
 
 

@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hourcast.functions.numeric import trunc_to_long
+from hourcast.functions.numeric import round_half_up, trunc_to_long
 from hourcast.operators.evaluate import ALERT_PCT
 
 
@@ -29,7 +29,15 @@ def score_errors(scored: DataFrame, prediction: str = "prediction", raw: str = "
     return out.withColumn("is_alert", F.coalesce(F.col("error_pct") > F.lit(threshold), F.lit(False)) | outage)
 
 
-def alert_message() -> Column:
+def features_text(features: list[str]) -> Column:
+    """The named feature values of a row, two decimals each."""
+    def cell(c):
+        value = F.format_string("%.2f", round_half_up(F.col(c).cast("double"), 2))
+        return F.concat(F.lit(f"{c}="), F.when(F.col(c).isNull(), F.lit("null")).otherwise(value))
+    return F.concat_ws(", ", *[cell(c) for c in features])
+
+
+def alert_message(features: Column | None = None) -> Column:
     """Readable alert line built from typed columns (no Python formatting)."""
     err_txt = F.when(F.col("measured") == 0, F.lit("outage")).otherwise(
         F.concat(F.floor(F.col("error_pct") + F.lit(0.5)).cast("string"), F.lit("%")))
@@ -39,13 +47,14 @@ def alert_message() -> Column:
         F.lit(": measured "), F.col("measured").cast("string"),
         F.lit(", predicted "), F.col("predicted").cast("string"),
         F.lit(", error "), err_txt,
+        *([] if features is None else [F.lit(" ("), features, F.lit(")")]),
     )
 
 
 def alerts(scored: DataFrame, prediction: str = "prediction", raw: str = "raw_label",
-           threshold: float = ALERT_PCT) -> DataFrame:
-    """Alert rows only, with the message column."""
+           threshold: float = ALERT_PCT, features: Column | None = None) -> DataFrame:
+    """Alert rows only, with the message column; ``features`` is a text for the message, see ``features_text``."""
     s = score_errors(scored, prediction, raw, threshold)
     return (s.where(F.col("is_alert"))
              .select("segment", "row_key", "measured", "predicted", "error_pct",
-                     alert_message().alias("message")))
+                     alert_message(features).alias("message")))

@@ -28,44 +28,24 @@ def row_count(df: DataFrame) -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias("row_count"))
 
 
-def hourly_profile(enriched: DataFrame, keys: list[str] | None = None,
-                   cluster_by: list[str] | None = None) -> DataFrame:
+def hourly_profile(enriched: DataFrame, keys: list[str] | None = None) -> DataFrame:
     """Mean of every measure per (segment, hour_of_day, week_of_month).
 
     A hash aggregate with a partial step before the shuffle; NULL measures are
-    ignored by ``avg``.  ``cluster_by`` (a subset of the keys) hash-partitions
-    the hourly rows first, so a later operator clustered on the same columns
-    (the running-profile window) reuses that partitioning instead of shuffling
-    again.
+    ignored by ``avg``.
     """
     keys = keys or PROFILE_KEYS
-    if cluster_by:
-        enriched = enriched.repartition(*cluster_by)
     return enriched.groupBy(*keys).agg(*[F.avg(m).alias(m) for m in MEASURES])
 
 
 def running_profile(enriched: DataFrame, segment: str = SEGMENT) -> DataFrame:
-    """Profile + running profile with a single shuffle of the hourly rows.
-
-    The hourly rows are hash-partitioned on (segment, integer week), which
-    satisfies both the profile aggregate on (segment, hour, week) and the
-    window on (segment, week), so neither adds an exchange.  The week is a
-    double in the output; the integer twin is used as the key because the
-    window would partition on the NaN/zero-normalised form of a double and
-    not match the exchange.  Each (segment, week) holds at most 7 x 24 hourly
-    rows, whatever the event volume.
+    """Running profile of hourly rows: the profile, then the window over it.
+
+    The average comes first, with its partial step before the shuffle, so the
+    window's exchange only carries profile rows: at most 24 for a (segment,
+    week of month), however many months the history has.
     """
-    wk = "_week"
-    keyed = enriched.withColumn(wk, F.col("week_of_month").cast("int")).repartition(segment, wk)
-    prof = keyed.groupBy(segment, "hour_of_day", wk).agg(*[F.avg(m).alias(m) for m in MEASURES])
-    w = (Window.partitionBy(segment, wk).orderBy("hour_of_day")
-         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    running = {"avg_response_time": F.avg("avg_response_time").over(w)}
-    running.update({m: F.sum(m).over(w) for m in SUM_MEASURES})
-    return prof.select(
-        segment, "hour_of_day", F.col(wk).cast("double").alias("week_of_month"),
-        *[running[m].alias(m) for m in MEASURES],
-    )
+    return cumulative_profile(hourly_profile(enriched, [segment, "hour_of_day", "week_of_month"]), segment)
 
 
 def cumulative_profile(profile: DataFrame, segment: str = SEGMENT) -> DataFrame:
@@ -85,8 +65,9 @@ def cumulative_profile(profile: DataFrame, segment: str = SEGMENT) -> DataFrame:
     )
 
 
-def segment_filter(df: DataFrame, segment_id: int, segment: str = SEGMENT) -> DataFrame:
-    return df.where(F.col(segment) == F.lit(segment_id))
+def segment_filter(df: DataFrame, segment_id: int | None, segment: str = SEGMENT) -> DataFrame:
+    """Rows of one segment; None stands for the rows without one."""
+    return df.where(F.col(segment).eqNullSafe(F.lit(segment_id)))
 
 
 def point_filter(df: DataFrame, condition: str) -> DataFrame:

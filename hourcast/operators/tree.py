@@ -6,34 +6,33 @@ thread pool so the cluster runs several fits at once.  The training frame is
 an aggregate of the raw data (segment x date x hour rows), persisted once and
 read per segment.
 
-Scoring never loops over rows on the driver.  With up to 64 segments every
-segment's model is applied with ``transform`` to that segment's rows only
-(reads of a segment-partitioned table prune to their own files, so the union
-reads the input once); beyond that all rows walk the saved node tables
-together, one join per tree level.  The grid search can fit one deep tree per
-(segment, maxBins) and read every shallower candidate off it by truncation.
+Saved trees are read back as a table with one row per tree that holds the
+tree's nodes in an array.  Rows are scored by one join with that table on the
+segment, and the walk from the root to a leaf is an expression inside the
+joined row: one plan for any number of segments and any depth.  The grid search
+fits one deep tree per (segment, maxBins) and reads every shallower candidate
+off it by stopping the walk early.
 """
 
 from __future__ import annotations
 
 from concurrent.futures import ThreadPoolExecutor
-from functools import reduce
+from contextlib import contextmanager
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import DecisionTreeRegressionModel, DecisionTreeRegressor, LinearRegression
-from pyspark.ml.tuning import ParamGridBuilder, TrainValidationSplit
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
+
+from hourcast.operators.features import with_split_flag
 
 # Tree settings and grids of the original jobs.
 MAX_DEPTH = 7
 MAX_BINS = 32
 GRID_DEPTHS = [6, 7, 8]
 GRID_BINS = list(range(15, 33))
-TRAIN_RATIO = 0.8
+TRAIN_PCT = 80
 # Elastic-net family: (name, regParam, elasticNetParam, maxIter).
 ELASTIC_FAMILY = [("lasso", 0.5, 1.0, 100), ("ridge", 0.5, 0.0, 100), ("elastic_net", 0.005, 0.2, 1000)]
 
@@ -77,242 +76,164 @@ def load_segment_models(root: str, segments: list[int],
                           segments, parallelism))
 
 
-def score_segments(df: DataFrame, models: dict[int, PipelineModel], keep: list[str]) -> DataFrame:
-    """Apply each segment's model to that segment's rows; unseen segments drop out."""
-    parts = [
-        m.transform(df.where(F.col("segment") == seg)).select(*keep, "prediction")
-        for seg, m in sorted(models.items())
-    ]
-    return reduce(lambda a, b: a.unionByName(b), parts)
-
-
 def tree_of(model: PipelineModel) -> DecisionTreeRegressionModel:
     return model.stages[-1]
 
 
-# ---------------------------------------------------------------- grid search
+# ---------------------------------------------------------------- node tables and scoring
 
-def grid_search(train: DataFrame, features: list[str], segments: list[int], label: str = "label",
-                depths: list[int] | None = None, bins: list[int] | None = None,
-                train_ratio: float = TRAIN_RATIO, seed: int = 42,
-                parallelism: int | None = None, segment_parallelism: int = DEFAULT_POOL,
-                max_concurrent_fits: int = 16):
-    """TrainValidationSplit per segment over maxDepth x maxBins, RMSE criterion.
+def _depth(nodes: Column) -> Column:
+    """Depth of a tree from its nodes in preorder: a stack holds the depths of the nodes to come."""
+    def visit(state, node):
+        here = F.element_at(state["todo"], -1)
+        rest = F.slice(state["todo"], 1, F.size(state["todo"]) - 1)
+        todo = F.when(node["left"] < 0, rest).otherwise(F.concat(rest, F.array(here + 1, here + 1)))
+        return F.struct(todo.alias("todo"), F.greatest(state["depth"], here).alias("depth"))
+    start = F.struct(F.array(F.lit(0)).alias("todo"), F.lit(0).alias("depth"))
+    return F.aggregate(nodes, start, visit, lambda state: state["depth"])
 
-    Returns {segment: fitted TrainValidationSplitModel}; the best model is
-    refitted on the segment's whole training part by Spark.
+
+def read_trees(spark: SparkSession, files: str, keys: list[str]) -> DataFrame:
+    """(keys..., nodes, depth): one row per saved tree.
+
+    ``files`` is a pattern of the trees' node files whose paths carry ``key=<int>``
+    for every key.  This is the only place that knows how MLlib stores a tree: node
+    ids number the nodes from 0 in preorder, a leaf's children are negative.
     """
-    depths = depths or GRID_DEPTHS
-    bins = bins or GRID_BINS
-    seg_pool = min(segment_parallelism, max(1, len(segments)))
-    # Candidates per search: share a budget of concurrent fits across the segments in flight.
-    parallelism = parallelism or max(4, max_concurrent_fits // seg_pool)
+    path = F.col("_metadata.file_path")
+    node = F.struct("id", "prediction", F.col("leftChild").alias("left"), F.col("rightChild").alias("right"),
+                    F.col("split.featureIndex").alias("feature"),
+                    F.get(F.col("split.leftCategoriesOrThreshold"), 0).alias("threshold"))
+    rows = spark.read.parquet(files).select(
+        *[F.regexp_extract(path, rf"{k}=(-?\d+)", 1).cast("int").alias(k) for k in keys], node.alias("node"))
+    trees = rows.groupBy(*keys).agg(F.sort_array(F.collect_list("node")).alias("nodes"))
+    return trees.withColumn("depth", _depth(F.col("nodes")))
+
+
+def segment_trees(spark: SparkSession, root: str) -> DataFrame:
+    """(segment, nodes, depth) of the pipelines saved under ``root/segment=<id>``."""
+    return read_trees(spark, f"{root}/segment=*/stages/*DecisionTree*/data", ["segment"])
+
+
+def _walk(values: Column, levels: Column) -> Column:
+    """The node reached in the row's ``nodes`` after at most ``levels`` splits."""
+    def step(at, _):
+        node = F.get("nodes", at)
+        down = F.when(F.get(values, node["feature"]) <= node["threshold"], node["left"]).otherwise(node["right"])
+        return F.when(node["left"] < 0, at).otherwise(down)
+    end = F.aggregate(F.sequence(F.lit(1), levels), F.lit(0), step)
+    return F.get("nodes", F.when(levels > 0, end).otherwise(F.lit(0)))
+
+
+def _checked(features: list[str]) -> Column:
+    """The features as an array; a NULL or NaN raises, as it does when a vector is assembled."""
+    cells = [F.col(c).cast("double") for c in features]
+    bad = F.lit(False)
+    for c in cells:
+        bad = bad | c.isNull() | F.isnan(c)
+    message = F.lit("a feature is NULL or NaN: " + ", ".join(features))
+    return F.when(bad, F.raise_error(message)).otherwise(F.array(*cells))
+
+
+def score_trees(df: DataFrame, trees: DataFrame, features: list[str], keep: list[str]) -> DataFrame:
+    """``keep`` and ``prediction`` of every row: one join on segment, the walk inside the row.
+
+    Rows of a segment without a tree are kept with a NULL prediction; a NULL
+    feature raises.  The tree table has one row per segment; the planner
+    broadcasts it when its measured size allows and shuffles otherwise.
+    """
+    rows = df.select(*keep, *[c for c in ["segment"] if c not in keep], _checked(features).alias("_x"))
+    leaf = F.when(F.col("nodes").isNotNull(), _walk(F.col("_x"), F.col("depth"))["prediction"])
+    return rows.join(trees, "segment", "left").select(*keep, leaf.alias("prediction"))
 
-    def fit(seg):
-        pipe, tree = tree_pipeline(features, label)
-        grid = ParamGridBuilder().addGrid(tree.maxDepth, depths).addGrid(tree.maxBins, bins).build()
-        ev = RegressionEvaluator(labelCol=label, predictionCol="prediction", metricName="rmse")
-        tvs = TrainValidationSplit(estimator=pipe, estimatorParamMaps=grid, evaluator=ev,
-                                   trainRatio=train_ratio, seed=seed, parallelism=parallelism)
-        return seg, tvs.fit(train.where(F.col("segment") == seg))
-    # Segments run concurrently (bounded pool), candidates in parallel inside each search:
-    # every fit is a short job sequence, so overlapping them keeps the executors busy.
-    return dict(_pool_map(fit, segments, seg_pool))
-
-
-def grid_report(spark: SparkSession, searches: dict) -> DataFrame:
-    """(segment, max_depth, max_bins, validation_rmse, is_best) for every candidate."""
-    rows = []
-    for seg, tvs_model in sorted(searches.items()):
-        tree = tvs_model.getEstimator().getStages()[-1]
-        metrics = list(tvs_model.validationMetrics)
-        best = min(metrics)
-        for pm, rmse in zip(tvs_model.getEstimatorParamMaps(), metrics):
-            rows.append((int(seg), int(pm[tree.maxDepth]), int(pm[tree.maxBins]), float(rmse), rmse == best))
-    schema = "segment int, max_depth int, max_bins int, validation_rmse double, is_best boolean"
-    return spark.createDataFrame(rows, schema)
-
-
-def grid_search_truncated(spark: SparkSession, train: DataFrame, features: list[str], segments: list[int],
-                          scratch: str, label: str = "label", depths: list[int] | None = None,
-                          bins: list[int] | None = None, train_ratio: float = TRAIN_RATIO, seed: int = 42,
-                          parallelism: int = DEFAULT_POOL):
+
+# ---------------------------------------------------------------- grid search
+
+@contextmanager
+def _cached(frames: list[DataFrame]):
+    """The frames, cached until the block ends, whichever way it does."""
+    held = [f.persist() for f in frames]
+    try:
+        yield held
+    finally:
+        for f in held:
+            f.unpersist()
+
+
+def grid_search(spark: SparkSession, train: DataFrame, features: list[str], segments: list[int], scratch: str,
+                label: str = "label", depths: list[int] | None = None, bins: list[int] | None = None,
+                train_pct: int = TRAIN_PCT, key: str = "row_key", parallelism: int = DEFAULT_POOL):
     """The depth x bins grid search with one tree fit per (segment, maxBins).
 
     MLlib grows a tree greedily level by level and keeps a prediction on every
     node, so the tree fitted with maxDepth=d equals the deepest candidate cut
-    at depth d.  Per segment and maxBins one tree of the largest depth is
-    fitted on the training part of the same seeded split TrainValidationSplit
-    makes (a ``rand(seed)`` column against the ratio); the validation rows of all segments and bins then walk the saved node
-    tables together (one join per level) and record the prediction at every
-    candidate depth, and one grouped aggregate gives every candidate's RMSE.
-    The best candidate per segment is refitted on the segment's whole data.
-
-    Returns (report DataFrame, {segment: PipelineModel}); the report has the
-    shape of ``grid_report``.
+    at depth d.  Rows are split into fit and validation part by a hash of their
+    key, so every run and engine sees the same parts.  Per segment and maxBins
+    one tree of the largest depth is fitted on the fit part; the validation rows
+    join the tree table on the segment, walk their trees once per candidate depth,
+    and one grouped aggregate gives every candidate's RMSE.  The best candidate per
+    segment (smallest depth, then bins, on ties) is refitted on the segment's
+    whole data.
+
+    Returns (report, {segment: PipelineModel}); the report has one row per
+    candidate: segment, max_depth, max_bins, n_validation, validation_rmse, is_best.
     """
     depths = sorted(depths or GRID_DEPTHS)
     bins = bins or GRID_BINS
-    top = depths[-1]
-    splits = {}
-    for seg in segments:
-        # The split PySpark's TrainValidationSplit makes: rand(seed) >= ratio is validation.
-        df = train.where(F.col("segment") == seg).select("*", F.rand(seed).alias("_rand"))
-        fit_part = df.where(F.col("_rand") < F.lit(train_ratio)).drop("_rand")
-        val_part = df.where(F.col("_rand") >= F.lit(train_ratio)).drop("_rand")
-        splits[seg] = (fit_part.persist(), val_part.persist())
+    flagged = with_split_flag(train, key, train_pct)
+    fit_rows, validation = flagged.where("is_train"), flagged.where("not is_train")
 
     def fit_deep(job):
-        seg, b = job
-        pipe, _ = tree_pipeline(features, label, top, b)
-        tree_of(pipe.fit(splits[seg][0])).write().overwrite().save(f"{scratch}/bins={b}/segment={seg}")
-        return job
-    _pool_map(fit_deep, [(seg, b) for seg in segments for b in bins], parallelism)
-
-    nodes = spark.read.parquet(f"{scratch}/bins=*/segment=*/data")
-    path = F.col("_metadata.file_path")
-    nodes = nodes.select(F.regexp_extract(path, r"segment=(-?\d+)", 1).cast("int").alias("segment"),
-                         F.regexp_extract(path, r"bins=(\d+)", 1).cast("int").alias("bins"),
-                         "id", "prediction", "leftChild", "rightChild",
-                         F.col("split.featureIndex").alias("fi"),
-                         F.get(F.col("split.leftCategoriesOrThreshold"), 0).alias("thr"))
-    val = reduce(lambda a, b: a.unionByName(b), [splits[s][1] for s in segments])
-    cur = val.select("segment", F.col(label).alias("_y"),
-                     F.array(*[F.col(c).cast("double") for c in features]).alias("_x"),
-                     F.explode(F.array(*[F.lit(b) for b in bins])).alias("bins"), F.lit(0).alias("_node"))
-    preds = []
-    for level in range(top + 1):
-        step = cur.join(nodes.withColumnRenamed("id", "_node"), ["segment", "bins", "_node"], "left")
-        if level in depths:
-            step = step.withColumn(f"_p{level}", F.col("prediction"))
-            preds.append(level)
-        nxt = (F.when(F.col("leftChild") < 0, F.col("_node"))
-               .when(F.get(F.col("_x"), F.col("fi")) <= F.col("thr"), F.col("leftChild"))
-               .otherwise(F.col("rightChild")))
-        cur = step.select("segment", "bins", "_y", "_x", *[f"_p{d}" for d in preds], nxt.alias("_node"))
-    long = cur.select("segment", "bins", "_y", F.inline(F.array(*[
-        F.struct(F.lit(d).alias("max_depth"), F.col(f"_p{d}").alias("p")) for d in depths])))
-    rmse = long.groupBy("segment", "max_depth", "bins").agg(
-        F.sqrt(F.avg((F.col("_y") - F.col("p")) ** 2)).alias("validation_rmse"))
+        part, seg, b = job
+        pipe, _ = tree_pipeline(features, label, depths[-1], b)
+        tree_of(pipe.fit(part)).write().overwrite().save(f"{scratch}/bins={b}/segment={seg}")
+    with _cached([fit_rows.where(F.col("segment") == seg) for seg in segments]) as parts:
+        _pool_map(fit_deep, [(p, seg, b) for p, seg in zip(parts, segments) for b in bins], parallelism)
+
+    trees = read_trees(spark, f"{scratch}/bins=*/segment=*/data", ["segment", "bins"])
+    rows = validation.select("segment", F.col(label).alias("_y"), _checked(features).alias("_x"))
+    at_depth = [F.struct(F.lit(d).alias("max_depth"),
+                         _walk(F.col("_x"), F.least("depth", F.lit(d)))["prediction"].alias("p")) for d in depths]
+    candidates = rows.join(trees, "segment").select("segment", "bins", "_y", F.inline(F.array(*at_depth)))
+    rmse = candidates.groupBy("segment", "max_depth", F.col("bins").alias("max_bins")).agg(
+        F.count(F.lit(1)).alias("n_validation"), F.sqrt(F.avg((F.col("_y") - F.col("p")) ** 2)).alias("validation_rmse"))
     # One row per candidate and segment, written once (the walk runs a single time).
     rmse.write.mode("overwrite").parquet(f"{scratch}/rmse")
-    for fit_part, val_part in splits.values():
-        fit_part.unpersist()
-        val_part.unpersist()
-    table = spark.read.parquet(f"{scratch}/rmse")
-    w = Window.partitionBy("segment")
-    report = table.select(
-        "segment", "max_depth", F.col("bins").alias("max_bins"), "validation_rmse",
-        (F.col("validation_rmse") == F.min("validation_rmse").over(w)).alias("is_best"))
-    # The first best candidate per segment (smallest depth, then bins, on ties) is refitted.
     first = Window.partitionBy("segment").orderBy("validation_rmse", "max_depth", "max_bins")
-    best = {r.segment: r for r in report.where("is_best")
-            .withColumn("_rank", F.row_number().over(first)).where("_rank = 1").collect()}
+    report = spark.read.parquet(f"{scratch}/rmse").withColumn("is_best", F.row_number().over(first) == 1)
+    best = {r.segment: r for r in report.where("is_best").collect()}
 
     def refit(seg):
         pipe, _ = tree_pipeline(features, label, best[seg].max_depth, best[seg].max_bins)
         return seg, pipe.fit(train.where(F.col("segment") == seg))
-    models = dict(_pool_map(refit, list(best), parallelism))
-    return report, models
+    return report, dict(_pool_map(refit, list(best), parallelism))
 
 
 # ---------------------------------------------------------------- rules
 
-NODE_SCHEMA_FIELDS = ["id", "prediction", "leftChild", "rightChild", "split"]
-
-
-def tree_nodes(spark: SparkSession, root: str) -> DataFrame:
-    """Node tables of all saved segment trees, with the segment parsed from the path."""
-    nodes = spark.read.parquet(f"{root}/segment=*/stages/*DecisionTree*/data")
-    seg = F.regexp_extract(F.col("_metadata.file_path"), r"segment=(-?\d+)", 1).cast("int")
-    return nodes.select(seg.alias("segment"), *NODE_SCHEMA_FIELDS)
-
-
-def saved_max_depth(spark: SparkSession, root: str) -> int:
-    """Largest maxDepth among the trees saved under ``root/segment=*`` (read from their metadata)."""
-    meta = spark.read.json(f"{root}/segment=*/stages/*DecisionTree*/metadata")
-    depth = F.coalesce(F.col("paramMap.maxDepth"), F.col("defaultParamMap.maxDepth"))
-    return int(meta.agg(F.max(depth)).first()[0])
-
-
-def tree_rules(nodes: DataFrame, features: list[str], max_depth: int = MAX_DEPTH) -> DataFrame:
+def tree_rules(trees: DataFrame, features: list[str]) -> DataFrame:
     """One rule per leaf: the AND of split conditions on the root-to-leaf path.
 
-    A breadth-first walk with one join per tree level (``max_depth`` must be at
-    least the depth of the deepest tree): internal nodes expand into their two
-    children, leaves carry themselves forward, so the plan is a single linear
-    chain of joins over the node table, never a driver-side walk.
+    Each tree's nodes are visited in preorder inside its row; a stack holds the
+    conditions of the nodes to come, so any depth yields all its leaves.
     """
     names = F.array(*[F.lit(c) for c in features])
-    n = nodes.select("segment", "id", "prediction", "leftChild", "rightChild",
-                     F.get(names, F.col("split.featureIndex")).alias("feature"),
-                     F.get(F.col("split.leftCategoriesOrThreshold"), 0).cast("string").alias("threshold"))
-    links = n.select("segment", "id", "leftChild", "rightChild", "feature", "threshold")
-    frontier = n.where(F.col("id") == 0).select(
-        "segment", "id", F.array().cast(T.ArrayType(T.StringType())).alias("conds"), F.lit(0).alias("depth"))
-    for _ in range(max_depth):
-        cur = frontier.join(links, ["segment", "id"])
-        me = F.struct(F.col("id"), F.col("conds"), F.col("depth"))
-        left = F.struct(F.col("leftChild").alias("id"),
-                        F.concat(F.col("conds"), F.array(F.concat_ws(" <= ", "feature", "threshold"))).alias("conds"),
-                        (F.col("depth") + 1).alias("depth"))
-        right = F.struct(F.col("rightChild").alias("id"),
-                         F.concat(F.col("conds"), F.array(F.concat_ws(" > ", "feature", "threshold"))).alias("conds"),
-                         (F.col("depth") + 1).alias("depth"))
-        nxt = F.when(F.col("leftChild") < 0, F.array(me)).otherwise(F.array(left, right))
-        frontier = cur.select("segment", F.inline(nxt))
-    rules = frontier.join(n.select("segment", "id", "prediction", "leftChild"), ["segment", "id"])
-    return rules.where(F.col("leftChild") < 0).select(
-        "segment", F.col("id").alias("rule_id"), "depth",
-        F.concat_ws(" AND ", "conds").alias("conditions"), "prediction")
-
-
-def score_by_nodes(df: DataFrame, nodes: DataFrame, features: list[str], max_depth: int = MAX_DEPTH,
-                   keep: list[str] | None = None) -> DataFrame:
-    """Score rows of every segment in one plan by walking the saved node tables.
-
-    Each level is an equi-join of the rows' current node with the node table
-    (segment, id) followed by the split test ``x[feature] <= threshold``; a
-    leaf keeps its id.  The node table has a few hundred rows per segment, so
-    the planner broadcasts it (size measured from the Parquet files) and every
-    level is a narrow pass over the rows: no per-segment branches, however
-    many segments there are.
-    """
-    keep = keep if keep is not None else [c for c in df.columns if c not in features]
-    n = nodes.select("segment", "id", "prediction", "leftChild", "rightChild",
-                     F.col("split.featureIndex").alias("fi"),
-                     F.get(F.col("split.leftCategoriesOrThreshold"), 0).alias("thr"))
-    xs = F.array(*[F.col(c).cast("double") for c in features])
-    cur = df.select(*keep, xs.alias("_x"), F.lit(0).alias("_node"))
-    for _ in range(max_depth):
-        step = cur.join(n.withColumnRenamed("id", "_node"), ["segment", "_node"], "left")
-        nxt = (F.when(F.col("leftChild") < 0, F.col("_node"))
-               .when(F.get(F.col("_x"), F.col("fi")) <= F.col("thr"), F.col("leftChild"))
-               .otherwise(F.col("rightChild")))
-        cur = step.select(*keep, "_x", nxt.alias("_node"))
-    leaf = cur.join(n.select("segment", F.col("id").alias("_node"), "prediction"), ["segment", "_node"], "left")
-    return leaf.select(*keep, "prediction")
-
-
-MAX_UNION_SEGMENTS = 64
-
-
-def score_trees(spark: SparkSession, df: DataFrame, models: dict[int, PipelineModel], features: list[str],
-                keep: list[str], scratch: str, max_depth: int = MAX_DEPTH,
-                max_union: int = MAX_UNION_SEGMENTS, saved_root: str | None = None) -> DataFrame:
-    """Pick the scoring plan by segment count.
-
-    Up to ``max_union`` segments: one ``transform`` per segment over its own
-    (partition-pruned) rows, unioned.  Beyond that the plan would grow with
-    the segment count, so the models are saved and all rows walk the node
-    tables together (``score_by_nodes``), one join per tree level.  Pass
-    ``saved_root`` when the models are already saved there.
-    """
-    if len(models) <= max_union:
-        return score_segments(df, models, keep)
-    root = saved_root or save_segment_models(models, scratch)
-    depth = max(max_depth, max(tree_of(m).getMaxDepth() for m in models.values()))
-    return score_by_nodes(df, tree_nodes(spark, root), features, depth, keep=keep)
+    none = F.array().cast("array<string>")
+    no_rules = F.array().cast("array<struct<rule_id:int,depth:int,conditions:string,prediction:double>>")
+
+    def visit(state, node):
+        here = F.element_at(state["todo"], -1)
+        rest = F.slice(state["todo"], 1, F.size(state["todo"]) - 1)
+        name, value = F.get(names, node["feature"]), node["threshold"].cast("string")
+        left = F.concat(here, F.array(F.concat_ws(" <= ", name, value)))
+        right = F.concat(here, F.array(F.concat_ws(" > ", name, value)))
+        leaf = node["left"] < 0
+        rule = F.struct(node["id"].alias("rule_id"), F.size(here).alias("depth"),
+                        F.concat_ws(" AND ", here).alias("conditions"), node["prediction"].alias("prediction"))
+        return F.struct(F.when(leaf, rest).otherwise(F.concat(rest, F.array(right, left))).alias("todo"),
+                        F.when(leaf, F.concat(state["rules"], F.array(rule))).otherwise(state["rules"]).alias("rules"))
+    start = F.struct(F.array(none).alias("todo"), no_rules.alias("rules"))
+    return trees.select("segment", F.inline(F.aggregate("nodes", start, visit, lambda state: state["rules"])))
 
 
 # ---------------------------------------------------------------- elastic-net family
@@ -326,15 +247,16 @@ def fit_elastic_family(train: DataFrame, features: list[str], segments: list[int
     fits in one aggregate (``elastic_report``) rather than by each summary.
     """
     family = family or ELASTIC_FAMILY
-    assembled = VectorAssembler(inputCols=features, outputCol="features").transform(train)
+    assembled = VectorAssembler(inputCols=features, outputCol="features").transform(train).select("segment", label, "features")
 
     def fit(job):
-        seg, (name, reg, alpha, iters) = job
+        part, seg, (name, reg, alpha, iters) = job
         lr = LinearRegression(labelCol=label, featuresCol="features", regParam=reg,
                               elasticNetParam=alpha, maxIter=iters, tol=tol)
-        return (seg, name), (lr.fit(assembled.where(F.col("segment") == seg)), reg, alpha, iters)
-    jobs = [(s, f) for s in segments for f in family]
-    return dict(_pool_map(fit, jobs, parallelism))
+        return (seg, name), (lr.fit(part), reg, alpha, iters)
+    # A segment's rows are assembled once for its fits.
+    with _cached([assembled.where(F.col("segment") == seg) for seg in segments]) as parts:
+        return dict(_pool_map(fit, [(p, seg, f) for p, seg in zip(parts, segments) for f in family], parallelism))
 
 
 def elastic_report(spark: SparkSession, train: DataFrame, features: list[str], fits: dict,

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from hourcast.functions.numeric import canonical
@@ -38,17 +38,17 @@ def register(name: str):
 
 # ---------------------------------------------------------------- inputs
 
-def segment_ids(df: DataFrame) -> list[int]:
-    """Distinct segment ids (one value per segment, bounded by the segmentation)."""
-    return sorted(r[0] for r in df.select("segment").distinct().collect())
+def segment_ids(df: DataFrame, column: str = "segment") -> list[int]:
+    """Distinct segment ids (one value per segment, bounded by the segmentation), without NULL."""
+    return sorted(r[0] for r in df.select(column).where(F.col(column).isNotNull()).distinct().collect())
 
 
 def persisted(spark, df: DataFrame, name: str, partition_by: list[str] | None = None) -> DataFrame:
     """Write a (bounded, aggregated) frame once and read it back.
 
-    Partitioned by segment, one file per segment; later per-segment fits and
-    scans prune to their own files and do not re-run the upstream aggregation;
-    lineage is cut for executor loss.
+    Partitioned by segment; later per-segment fits and scans prune to their own
+    files and do not re-run the upstream aggregation; lineage is cut for
+    executor loss.
     """
     path = WR.write_checkpoint(df, scratch_path(spark, name), partition_by=partition_by, cluster=True)
     return RD.read_parquet(spark, path)
@@ -84,6 +84,18 @@ def q_csv_roundtrip_hourly(spark, sf_dir):
     return canonical(RD.read_hourly_csv(spark, path))
 
 
+@register("csv_pipe_roundtrip")
+def q_csv_pipe_roundtrip(spark, sf_dir):
+    """The hourly rows as text with | between fields and ISO timestamps, read back."""
+    rows = hourly(spark, sf_dir)
+    cells = [F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS") if c in ("first_attempt", "last_attempt") else F.col(c).cast("string")
+             for c in S.HOURLY_SCHEMA.fieldNames()]
+    path = scratch_path(spark, "hourly-pipe")
+    rows.select(F.concat_ws("|", *[F.coalesce(c, F.lit("")) for c in cells]).alias("value")).write.text(path)
+    return canonical(RD.read_hourly_csv(spark, path, header=False, delimiter="|",
+                                        timestamp_format="yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]"))
+
+
 @register("csv_drop_malformed")
 def q_csv_drop_malformed(spark, sf_dir):
     """Good hourly lines plus derived malformed companions; only good lines survive."""
@@ -148,7 +160,7 @@ def q_union_segments(spark, sf_dir):
     path = WR.write_checkpoint(cumulative(spark, sf_dir), scratch_path(spark, "profile-seg"),
                                partition_by=["carrier_id"], cluster=True)
     back = RD.read_parquet(spark, path).select(*P.PROFILE_KEYS, *P.MEASURES)
-    frames = [P.segment_filter(back, s) for s in range(EV.DEFAULT_SEGMENTS)]
+    frames = [P.segment_filter(back, s) for s in [*segment_ids(back, "carrier_id"), None]]
     return canonical(P.union_segments(frames))
 
 
@@ -180,14 +192,14 @@ def q_segment_filter(spark, sf_dir):
 @register("point_filter_raw")
 def q_point_filter_raw(spark, sf_dir):
     e = enriched(spark, sf_dir)
-    out = P.point_filter(e, "carrier_id = 4 AND hour_of_day = 19 and WEEk_of_month = 5")
+    out = P.point_filter(e, "carrier_id = 2 AND Hour_Of_Day = 11 AND week_of_MONTH = 3")
     return canonical(out.select("carrier_id", "datepart", "hour_of_day", "week_of_month", *P.MEASURES))
 
 
 @register("point_filter_profile")
 def q_point_filter_profile(spark, sf_dir):
     return canonical(P.point_filter(profile(spark, sf_dir),
-                                        "carrier_id = 4 AND hour_of_day = 19 and WEEk_of_month = 5"))
+                                        "carrier_id = 2 AND Hour_Of_Day = 11 AND week_of_MONTH = 3"))
 
 
 # ---------------------------------------------------------------- labels and features
@@ -263,6 +275,15 @@ def q_hash_split(spark, sf_dir):
     return f.groupBy("is_train").agg(F.count(F.lit(1)).alias("n_rows"))
 
 
+@register("hash_split_ratios")
+def q_hash_split_ratios(spark, sf_dir):
+    """Sizes of the 70/30, 80/20 and 90/10 splits."""
+    bucket = FE.hash_bucket("row_key")
+    rows = features(spark, sf_dir).select(bucket.alias("bucket"), F.explode(F.array(F.lit(70), F.lit(80), F.lit(90))).alias("train_pct"))
+    return rows.groupBy("train_pct").agg(F.count_if(F.col("bucket") < F.col("train_pct")).alias("n_train"),
+                                         F.count_if(F.col("bucket") >= F.col("train_pct")).alias("n_test"))
+
+
 @register("random_split_cover")
 def q_random_split_cover(spark, sf_dir):
     """Seeded 70/30 Bernoulli split: the parts are disjoint and together cover the input.
@@ -368,6 +389,14 @@ def q_accuracy_one_sided(spark, sf_dir):
     return canonical(p.groupBy("model").agg(F.avg(ok).alias("accuracy_one_sided")))
 
 
+@register("accuracy_thresholds")
+def q_accuracy_thresholds(spark, sf_dir):
+    """One-sided accuracy in percent at the stricter thresholds 0.1 and 0.2."""
+    p = linear_predictions(spark, sf_dir)
+    pct = lambda t: F.avg(EVL.one_sided_ok(F.exp("label"), F.exp("prediction"), t)) * 100.0
+    return canonical(p.groupBy("model", "segment").agg(pct(0.1).alias("pct_at_01"), pct(0.2).alias("pct_at_02")))
+
+
 @register("accuracy_two_sided")
 def q_accuracy_two_sided(spark, sf_dir):
     p = linear_predictions(spark, sf_dir)
@@ -402,6 +431,36 @@ def q_alert_message(spark, sf_dir):
     return a.select("row_key", "message")
 
 
+def daily(spark, sf_dir):
+    """Events at the grain of segment x day (hour 0), where counts are well above 1."""
+    rows = enriched(spark, sf_dir).groupBy("carrier_id", "datepart", "week_of_month").agg(
+        F.lit(0).alias("hour_of_day"),
+        (F.sum(F.col("avg_response_time") * F.col("total_attempts")) / F.sum("total_attempts")).alias("avg_response_time"),
+        *[F.sum(m).alias(m) for m in S.SUM_MEASURES])
+    return FE.labeled(FE.feature_rows(rows))
+
+
+def scored_days(spark, sf_dir):
+    """Every held-out day, scored by its segment's tree of depth 1, and the text of its features."""
+    frame = persisted(spark, FE.with_split_flag(daily(spark, sf_dir)), "daily-frame", ["segment"])
+    _, trees = saved_trees(spark, frame.where("is_train"), STUMP_FEATURES, "day-trees", max_depth=1)
+    test = frame.where("not is_train").withColumn("features", MON.features_text(FE.FEATURES_7))
+    return TR.score_trees(test, trees, STUMP_FEATURES, ["segment", "row_key", "raw_label", "features"])
+
+
+@register("score_days")
+def q_score_days(spark, sf_dir):
+    """All scored days, alert or not."""
+    out = MON.score_errors(scored_days(spark, sf_dir))
+    return canonical(out.select("segment", "row_key", "measured", "predicted", "error_pct", "is_alert"))
+
+
+@register("day_alerts")
+def q_day_alerts(spark, sf_dir):
+    """Alerts of whole days; the message tells the named feature values."""
+    return canonical(MON.alerts(scored_days(spark, sf_dir), features=F.col("features")))
+
+
 # ---------------------------------------------------------------- positional feature files
 
 @register("feature_vector_scan")
@@ -438,48 +497,80 @@ def profile_frame(spark, sf_dir):
     return persisted(spark, lab, "profile-frame", ["segment"])
 
 
+def saved_trees(spark, train, features, name, **settings):
+    """A tree per segment, fitted and saved (``root/segment=<id>``): (root, table of the trees)."""
+    models = TR.fit_segment_trees(train, features, segment_ids(train), **settings)
+    root = TR.save_segment_models(models, scratch_path(spark, name))
+    return root, TR.segment_trees(spark, root)
+
+
 @register("tree_score_segments")
 def q_tree_score_segments(spark, sf_dir):
-    """Every row scored by its own segment's tree (plan chosen by segment count)."""
+    """Every row scored by its own segment's tree (one join, any number of segments)."""
     train, test = raw_tree_frames(spark, sf_dir)
-    models = TR.fit_segment_trees(train, FE.FEATURES_7, segment_ids(train))
-    return TR.score_trees(spark, test, models, FE.FEATURES_7, ["segment", "row_key", "label"],
-                          scratch_path(spark, "tree-walk"))
+    _, trees = saved_trees(spark, train, FE.FEATURES_7, "tree-models")
+    return TR.score_trees(test, trees, FE.FEATURES_7, ["segment", "row_key", "label"])
 
 
 @register("tree_save_load_score")
 def q_tree_save_load_score(spark, sf_dir):
-    """Fit, save one model directory per segment, load back, score and flag alerts."""
+    """Fit, save one model directory per segment, read the saved trees, score and flag alerts."""
     train, test = raw_tree_frames(spark, sf_dir)
-    segs = segment_ids(train)
-    root = TR.save_segment_models(TR.fit_segment_trees(train, FE.FEATURES_7, segs),
-                                  scratch_path(spark, "tree-models"))
-    loaded = TR.load_segment_models(root, segs)
-    scored = TR.score_trees(spark, test, loaded, FE.FEATURES_7, ["segment", "row_key", "label", "raw_label"],
-                            root, saved_root=root)
+    _, trees = saved_trees(spark, train, FE.FEATURES_7, "tree-models")
+    scored = TR.score_trees(test, trees, FE.FEATURES_7, ["segment", "row_key", "label", "raw_label"])
     return MON.score_errors(scored).select("segment", "row_key", "measured", "predicted", "error_pct", "is_alert")
 
 
-SMALL_DEPTHS = [6, 7, 8]
-SMALL_BINS = [16, 32]
+@register("tree_fit_check")
+def q_tree_fit_check(spark, sf_dir):
+    """Per segment, on the rows a tree was fitted on: rows, sums of labels and predictions, and rows
+    whose prediction is not the mean label of their leaf."""
+    train, _ = raw_tree_frames(spark, sf_dir)
+    _, trees = saved_trees(spark, train, FE.FEATURES_7, "tree-models")
+    scored = TR.score_trees(train, trees, FE.FEATURES_7, ["segment", "row_key", "label"])
+    # Rows of one leaf share its prediction; leaves with equal predictions have equal means.
+    leaves = scored.groupBy("segment", "prediction").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("label").alias("total"), F.avg("label").alias("mean"))
+    off = F.abs(F.col("mean") - F.col("prediction")) > 1e-9 * F.greatest(F.abs("mean"), F.lit(1.0))
+    return canonical(leaves.groupBy("segment").agg(
+        F.sum("n").alias("n_rows"), F.sum("total").alias("sum_label"),
+        F.sum(F.col("prediction") * F.col("n")).alias("sum_prediction"),
+        F.sum(F.when(off, F.col("n")).otherwise(0)).alias("n_off")))
+
+
+STUMP_FEATURES = ["hour_of_day", "week_of_month"]
+
+
+@register("tree_stump")
+def q_tree_stump(spark, sf_dir):
+    """Trees of depth 1 on hour and week: the rules, which plain SQL can find as well."""
+    train, _ = raw_tree_frames(spark, sf_dir)
+    _, trees = saved_trees(spark, train, STUMP_FEATURES, "stumps", max_depth=1)
+    rules = TR.tree_rules(trees, STUMP_FEATURES)
+    return canonical(rules.select("segment", "conditions", "prediction"))
 
 
 @register("grid_search_report")
 def q_grid_search_report(spark, sf_dir):
     """Depth x bins grid per segment (one deep fit per bins value, depths by truncation)."""
     frame = profile_frame(spark, sf_dir)
-    report, _ = TR.grid_search_truncated(spark, frame, S.FEATURES_6, segment_ids(frame),
-                                         scratch_path(spark, "grid"), depths=SMALL_DEPTHS, bins=SMALL_BINS)
+    report, _ = TR.grid_search(spark, frame, S.FEATURES_6, segment_ids(frame), scratch_path(spark, "grid"))
     return report
 
 
+@register("grid_search_candidates")
+def q_grid_search_candidates(spark, sf_dir):
+    """The candidates of the grid, their validation rows, and the number of winners per segment."""
+    report = q_grid_search_report(spark, sf_dir)
+    winners = F.sum(F.col("is_best").cast("int")).over(Window.partitionBy("segment"))
+    return report.select("segment", "max_depth", "max_bins", "n_validation", winners.alias("n_winners"))
+
+
 @register("tree_rules")
 def q_tree_rules(spark, sf_dir):
     frame = profile_frame(spark, sf_dir)
-    segs = segment_ids(frame)
-    root = TR.save_segment_models(TR.fit_segment_trees(frame, S.FEATURES_6, segs),
-                                  scratch_path(spark, "rule-models"))
-    return TR.tree_rules(TR.tree_nodes(spark, root), S.FEATURES_6)
+    _, trees = saved_trees(spark, frame, S.FEATURES_6, "rule-models")
+    return TR.tree_rules(trees, S.FEATURES_6)
 
 
 @register("train_segments_report")
@@ -488,10 +579,9 @@ def q_train_segments_report(spark, sf_dir):
     frame = FE.with_split_flag(profile_frame(spark, sf_dir), train_pct=90)
     train, test = frame.where(F.col("is_train")), frame.where(~F.col("is_train"))
     segs = segment_ids(train)
-    _, best = TR.grid_search_truncated(spark, train, S.FEATURES_6, segs, scratch_path(spark, "grid"),
-                                       depths=SMALL_DEPTHS, bins=SMALL_BINS)
-    TR.save_segment_models(best, scratch_path(spark, "best-models"))   # best pipeline per segment
-    scored = TR.score_segments(test, best, ["segment", "label"])
+    _, best = TR.grid_search(spark, train, S.FEATURES_6, segs, scratch_path(spark, "grid"))
+    root = TR.save_segment_models(best, scratch_path(spark, "best-models"))   # best pipeline per segment
+    scored = TR.score_trees(test, TR.segment_trees(spark, root), S.FEATURES_6, ["segment", "label"])
     met = EVL.metrics(scored, by=["segment"], one_sided_t=0.1)
     params = spark.createDataFrame(
         [(int(s), TR.tree_of(m).getMaxDepth(), TR.tree_of(m).getMaxBins(), TR.tree_of(m).numNodes)
@@ -500,6 +590,19 @@ def q_train_segments_report(spark, sf_dir):
     return params.join(met, "segment", "left")
 
 
+@register("feature_file_alerts")
+def q_feature_file_alerts(spark, sf_dir):
+    """A feature file scored with saved trees: alerts with the named feature values."""
+    train, _ = raw_tree_frames(spark, sf_dir)
+    _, trees = saved_trees(spark, train, FE.FEATURES_7, "tree-models")
+    path = WR.write_feature_csv(features(spark, sf_dir), scratch_path(spark, "features-csv"))
+    rows = RD.read_feature_csv(spark, path).withColumns({
+        "segment": F.col("carrier_id").cast("int"), "raw_label": F.col(S.LABEL_RAW),
+        "row_key": FE.row_key("carrier_id", "week_of_month", "hour_of_day")})
+    scored = TR.score_trees(rows, trees, FE.FEATURES_7, ["segment", "row_key", "raw_label", *FE.FEATURES_7])
+    return canonical(MON.alerts(scored, features=MON.features_text(FE.FEATURES_7)))
+
+
 @register("elastic_family_rmse")
 def q_elastic_family_rmse(spark, sf_dir):
     frame = profile_frame(spark, sf_dir)

@@ -7,16 +7,21 @@ Shared common table expressions are composed from the fragments below.
 
 from __future__ import annotations
 
+from hourcast.operators.tree import GRID_BINS, GRID_DEPTHS
+from hourcast.schema import FEATURE_COLUMNS, FEATURES_6, FEATURES_7, MEASURES, SUM_MEASURES
+
 R = 6  # rounding digits, same as the Spark side
 
 
 def r6_sql(expr: str) -> str:
-    """Round half up on the binary value: floor(x * 1e6 + 0.5) / 1e6.
+    """39 significant bits, then half up at 6 decimals where those are coarser.
 
     Pure IEEE arithmetic, so Spark and DuckDB give identical doubles for
     identical inputs (their built-in round functions break ties differently).
     """
-    return f"(case when abs({expr}) < 1e12 then floor(({expr}) * 1e6 + 0.5) / 1e6 else ({expr}) end)"
+    lead = "(v * 16385e0 - (v * 16385e0 - v))"
+    return (f"list_transform([({expr})::double], lambda v: case when abs{lead} < 1e12 "
+            f"then floor({lead} * 1e6 + 0.5) / 1e6 else {lead} end)[1]")
 
 
 def _expand_r6(sql: str) -> str:
@@ -40,16 +45,15 @@ def _expand_r6(sql: str) -> str:
         out.append(r6_sql(_expand_r6(sql[k + 3:j])))
         i = j + 1
 
-MEASURES = ["avg_response_time", "successful_charges", "no_credit", "errors", "total_attempts"]
 
 
 def rnd(cols: list[str], prefix: str = "") -> str:
     return ", ".join(f"r6({prefix}{c}) as {c}" for c in cols)
 
 
-# Hourly telemetry rows from the event log (segment = user_id % 5).
+# Hourly telemetry rows from the event log (segment = user_id modulo 5, never negative).
 HOURLY = """h as (
-  select (user_id % 5)::int as carrier_id, ts::date as datepart, hour(ts)::int as hour_of_day,
+  select (((user_id % 5) + 5) % 5)::int as carrier_id, ts::date as datepart, hour(ts)::int as hour_of_day,
          avg(value) as avg_response_time, min(ts) as first_attempt, max(ts) as last_attempt,
          (count(*) filter (where event_type = 'purchase'))::double as successful_charges,
          (count(*) filter (where event_type in ('view', 'signup')))::double as no_credit,
@@ -92,6 +96,7 @@ SQL: dict[str, str] = {}
 
 SQL["hourly_from_events"] = f"with {HOURLY} " + _hourly_select("h")
 SQL["csv_roundtrip_hourly"] = SQL["hourly_from_events"]
+SQL["csv_pipe_roundtrip"] = SQL["hourly_from_events"]
 SQL["csv_drop_malformed"] = SQL["hourly_from_events"]
 
 SQL["week_of_month"] = f"""with {ENRICHED}
@@ -127,18 +132,15 @@ select carrier_id, hour_of_day, week_of_month, {rnd(MEASURES)} from c where carr
 
 SQL["point_filter_raw"] = f"""with {ENRICHED}
 select carrier_id, datepart::varchar as datepart, hour_of_day, week_of_month, {rnd(MEASURES)} from w
-where carrier_id = 4 and hour_of_day = 19 and week_of_month = 5"""
+where carrier_id = 2 and hour_of_day = 11 and week_of_month = 3"""
 
 SQL["point_filter_profile"] = f"""with {PROFILE}
 select carrier_id, hour_of_day, week_of_month, {rnd(MEASURES)} from g
-where carrier_id = 4 and hour_of_day = 19 and week_of_month = 5"""
+where carrier_id = 2 and hour_of_day = 11 and week_of_month = 3"""
 
 # ---------------------------------------------------------------- features, labels, split, scaler
 
-F7 = ["carrier_id", "hour_of_day", "week_of_month", "avg_response_time", "no_credit", "errors", "total_attempts"]
-F6 = ["hour_of_day", "week_of_month", "avg_response_time", "no_credit", "errors", "total_attempts"]
-F8 = ["carrier_id", "hour_of_day", "week_of_month", "avg_response_time", "successful_charges",
-      "no_credit", "errors", "total_attempts"]
+F7, F6, F8 = FEATURES_7, FEATURES_6, FEATURE_COLUMNS
 
 FEATURES = ENRICHED + """,
 f as (select carrier_id as segment, concat_ws('|', carrier_id, datepart, hour_of_day) as row_key, """ + ", ".join(
@@ -246,6 +248,11 @@ SQL["hash_split"] = f"""with {FEATURES}
 select (('0x' || substr(md5(row_key), 1, 8))::bigint % 100) < 70 as is_train, count(*) as n_rows
 from f group by 1"""
 
+SQL["hash_split_ratios"] = f"""with {FEATURES},
+b as (select ('0x' || substr(md5(row_key), 1, 8))::bigint % 100 as bucket from f)
+select p as train_pct, count(*) filter (where bucket < p) as n_train, count(*) filter (where bucket >= p) as n_test
+from b cross join (values (70), (80), (90)) t(p) group by p"""
+
 SQL["random_split_cover"] = f"""with {FEATURES}
 select count(*) as n_rows, count(distinct row_key) as n_keys, 0::bigint as n_overlap from f"""
 
@@ -299,6 +306,13 @@ from pred group by model"""
 SQL["accuracy_one_sided"] = f"""with recursive {GD}
 select model, r6(avg({_ONE})) as accuracy_one_sided from pred group by model"""
 
+def _pct(t: float) -> str:
+    return f"r6(avg(case when (exp(label) - exp(prediction)) / exp(label) > {t} then 0.0 else 1.0 end) * 100.0)"
+
+
+SQL["accuracy_thresholds"] = f"""with recursive {GD}
+select model, segment, {_pct(0.1)} as pct_at_01, {_pct(0.2)} as pct_at_02 from pred group by model, segment"""
+
 SQL["accuracy_two_sided"] = f"""with recursive {GD}
 select model, r6(avg({_TWO})) as accuracy_two_sided from pred group by model"""
 
@@ -321,6 +335,66 @@ select segment, row_key, measured, predicted, message from al where measured = 0
 
 SQL["alert_message"] = f"with recursive {ALERTS} select row_key, message from al"
 
+# ---------------------------------------------------------------- trees
+
+SQL["tree_fit_check"] = f"""with {LABELED}
+select segment, count(*) as n_rows, r6(sum(label)) as sum_label, r6(sum(label)) as sum_prediction, 0::bigint as n_off
+from tr group by segment"""
+
+# Best single split on hour or week: thresholds are midpoints of neighbouring values, the split
+# with the largest drop of the squared error wins, the first feature and threshold on ties.
+STUMP = """,
+v as (select segment, label, 0 as f, 'hour_of_day' as name, hour_of_day as x from tr
+      union all select segment, label, 1, 'week_of_month', week_of_month from tr),
+cut as (select segment, f, name, (x + lead(x) over (partition by segment, f order by x)) / 2 as t
+        from (select distinct segment, f, name, x from v) u),
+sides as (select c.segment, c.f, c.name, c.t,
+                 avg(label) filter (where x <= t) as low, avg(label) filter (where x > t) as high,
+                 coalesce(var_pop(label) filter (where x <= t), 0) * count(*) filter (where x <= t)
+                 + coalesce(var_pop(label) filter (where x > t), 0) * count(*) filter (where x > t) as err
+          from cut c join v on v.segment = c.segment and v.f = c.f where t is not null group by all),
+best as (select * from (select *, row_number() over (partition by segment order by err, f, t) as nth from sides) u
+         where nth = 1)"""
+
+SQL["tree_stump"] = f"""with {LABELED}{STUMP}
+select segment, name || ' <= ' || t::varchar as conditions, r6(low) as prediction from best
+union all
+select segment, name || ' > ' || t::varchar, r6(high) from best"""
+
+# Days (segment x date, hour 0), scored by the best single split of their segment.
+DAILY = ENRICHED + """,
+d as (select carrier_id, datepart, week_of_month, 0 as hour_of_day,
+             sum(avg_response_time * total_attempts) / sum(total_attempts) as avg_response_time, """ + ", ".join(
+    f"sum({m}) as {m}" for m in SUM_MEASURES) + """ from w group by 1, 2, 3)"""
+DAY_LABELED = DAILY + LABELED.removeprefix(ENRICHED).replace("from w)", "from d)")
+_TEXT = " || ', ' || ".join(f"'{c}=' || printf('%.2f', floor(r6({c}) * 100.0 + 0.5) / 100.0)" for c in F7)
+DAY_ALERTS = DAY_LABELED + STUMP + f""",
+dp as (select segment, row_key, raw_label, {_TEXT} as text,
+              case when t is null then (select avg(label) from tr where tr.segment = te.segment)
+                   when (case f when 0 then hour_of_day else week_of_month end) <= t then low else high end as prediction
+       from te left join best using (segment)),
+ds as (select *, floor(raw_label)::bigint as measured, floor(exp(prediction))::bigint as predicted from dp),
+de as (select *, case when measured <> 0 then (predicted - measured)::double / measured * 100.0 end as error_pct from ds),
+da as (select *, coalesce(error_pct > 45.0, false) or (measured = 0 and predicted > 0) as is_alert from de)"""
+
+SQL["score_days"] = f"""with {DAY_ALERTS}
+select segment, row_key, measured, predicted, r6(error_pct) as error_pct, is_alert from da"""
+
+SQL["day_alerts"] = f"""with {DAY_ALERTS}
+select segment, row_key, measured, predicted, r6(error_pct) as error_pct,
+       concat('[ALERT] segment ', segment, ' hour ', row_key, ': measured ', measured, ', predicted ', predicted,
+              ', error ', case when measured = 0 then 'outage' else concat(floor(error_pct + 0.5)::bigint, '%') end,
+              ' (', text, ')') as message
+from da where is_alert"""
+
+SQL["grid_search_candidates"] = f"""with {CUMULATIVE},
+p as (select carrier_id as segment, ('0x' || substr(md5(concat_ws('|', carrier_id, week_of_month, hour_of_day)), 1, 8))::bigint
+             % 100 as bucket from c where successful_charges > 0),
+n as (select segment, count(*) filter (where bucket >= 80) as n_validation from p group by 1)
+select segment, max_depth, max_bins, n_validation, 1::bigint as n_winners
+from n cross join (select unnest({GRID_DEPTHS}) as max_depth) cross join (select unnest({GRID_BINS}) as max_bins)
+where n_validation > 0"""
+
 SQL["feature_vector_scan"] = f"with {FEATURES} select {rnd(F8)} from f"
 SQL["feature_parquet_scan"] = SQL["feature_vector_scan"]
 SQL["stream_hourly_replay"] = SQL["hourly_from_events"]

@@ -2,8 +2,8 @@
 
 Every file a job writes on its own behalf (checkpoints, CSV/Parquet round
 trips, saved models, streaming state) goes under the folder the cluster names
-in ``spark.checkpoint.dir``.  A local temporary folder is only created when
-that setting is absent, which is the case in tests and on a laptop.
+in ``spark.checkpoint.dir``.  Only a session whose master is ``local`` may do
+without: it gets a temporary folder that is removed when the process ends.
 """
 
 from __future__ import annotations
@@ -27,11 +27,19 @@ DEFAULT_CONF = {
 }
 
 
-def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
+def build_session(master: str | None = None, shuffle_partitions: int | None = None,
                   app_name: str = "hourcast", extra: dict | None = None) -> SparkSession:
-    builder = SparkSession.builder.master(master).appName(app_name)
+    """A session with the defaults above.
+
+    The master and the number of shuffle partitions are only set when they are
+    passed: a cluster's own settings, or those of a session that exists, stay.
+    """
+    builder = SparkSession.builder.appName(app_name)
+    if master is not None:
+        builder = builder.master(master)
     conf = dict(DEFAULT_CONF)
-    conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    if shuffle_partitions is not None:
+        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
     for k, v in conf.items():
         builder = builder.config(k, v)
@@ -42,32 +50,24 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder, creating a local one only when unset."""
-    try:
-        sc = spark.sparkContext
-    except Exception:  # noqa: BLE001 - remote (Connect) sessions have no SparkContext
-        sc = None
-    if sc is not None and sc.getCheckpointDir():
+    """Return the shared checkpoint folder; create a local one only for a local master without the setting."""
+    global _LOCAL_FALLBACK
+    sc = spark.sparkContext
+    if sc.getCheckpointDir():
         return sc.getCheckpointDir().rstrip("/")
-    configured = sc.getConf().get("spark.checkpoint.dir", None) if sc is not None else None
+    configured = sc.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
-        try:
-            configured = spark.conf.get("spark.checkpoint.dir")
-        except Exception:  # noqa: BLE001 - unset conf raises in some versions
-            configured = None
-    if not configured:
-        global _LOCAL_FALLBACK
+        if sc.master != "local" and not sc.master.startswith("local["):
+            raise RuntimeError(f"spark.checkpoint.dir must name a shared folder when the master is {sc.master}")
         if _LOCAL_FALLBACK is None:
-            _LOCAL_FALLBACK = tempfile.mkdtemp(prefix="hourcast-ckpt-")
-        configured = _LOCAL_FALLBACK
-    if sc is None:
-        return configured.rstrip("/")
+            _LOCAL_FALLBACK = tempfile.TemporaryDirectory(prefix="hourcast-ckpt-")
+        configured = _LOCAL_FALLBACK.name
     sc.setCheckpointDir(configured)
     # Spark appends a random sub folder; keep our own files beside its files.
-    return (sc.getCheckpointDir() or configured).rstrip("/")
+    return sc.getCheckpointDir().rstrip("/")
 
 
-_LOCAL_FALLBACK: str | None = None
+_LOCAL_FALLBACK: tempfile.TemporaryDirectory | None = None
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
@@ -77,14 +77,11 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def is_directory(spark: SparkSession, path: str) -> bool:
-    """True when ``path`` is a directory, on any Hadoop-compatible file system."""
-    try:
-        jvm = spark.sparkContext._jvm
-        hpath = jvm.org.apache.hadoop.fs.Path(path)
-        fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-        return bool(fs.getFileStatus(hpath).isDirectory())
-    except Exception:  # noqa: BLE001 - remote sessions: fall back to the local view
-        return os.path.isdir(path.removeprefix("file:"))
+    """True when ``path`` is a directory, on any Hadoop-compatible file system; a failed
+    look-up is an error, not an answer."""
+    hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return bool(fs.exists(hpath) and fs.getFileStatus(hpath).isDirectory())
 
 
 def table_path(sf_dir: str, name: str) -> str:

@@ -25,7 +25,8 @@ def load_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def segment_of(user_col: Column, n_segments: int = DEFAULT_SEGMENTS) -> Column:
-    return (user_col % F.lit(n_segments)).cast("int")
+    """0 to n_segments - 1, for negative ids too."""
+    return F.pmod(user_col, F.lit(n_segments)).cast("int")
 
 
 def hourly_from_events(events: DataFrame, n_segments: int = DEFAULT_SEGMENTS,

@@ -9,7 +9,9 @@ column gives one answer for every query shape.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import re
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -25,8 +27,21 @@ def _ddl(schema: T.StructType) -> str:
     return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
 
 
+def _n_fields(line: Column, delimiter: str, quote: str | None) -> Column:
+    """Fields of a CSV line: delimiters outside quoted parts, and one.
+
+    Quoted parts (a doubled or escaped quote stays inside) are cut from the
+    text first; the delimiter is matched as plain text.
+    """
+    if quote:
+        q = re.escape(quote)
+        line = F.regexp_replace(line, f"{q}(?:[^{q}\\\\]|\\\\.|{q}{q})*{q}", "")
+    return F.size(F.split(line, re.escape(delimiter), -1))
+
+
 def read_hourly_csv(spark: SparkSession, path: str, schema: T.StructType = HOURLY_SCHEMA,
-                    header: bool = True, delimiter: str = ",") -> DataFrame:
+                    header: bool = True, delimiter: str = ",", quote: str | None = '"',
+                    timestamp_format: str = TIMESTAMP_NTZ_FORMAT, date_format: str = DATE_FORMAT) -> DataFrame:
     """Hourly telemetry CSV with header; malformed lines are dropped.
 
     A line is malformed when a field does not parse to its type or the field
@@ -40,17 +55,19 @@ def read_hourly_csv(spark: SparkSession, path: str, schema: T.StructType = HOURL
     parse_schema = T.StructType(schema.fields + [T.StructField(BAD, T.StringType(), True)])
     opts = {
         "sep": delimiter,
+        "quote": quote or "",
         "mode": "PERMISSIVE",
         "columnNameOfCorruptRecord": BAD,
-        "timestampNTZFormat": TIMESTAMP_NTZ_FORMAT,
-        "dateFormat": DATE_FORMAT,
+        "timestampFormat": timestamp_format,
+        "timestampNTZFormat": timestamp_format,
+        "dateFormat": date_format,
     }
     n_fields = len(schema.fields)
     parsed = lines.select(
         F.from_csv(F.col("value"), _ddl(parse_schema), opts).alias("r"),
         # from_csv pads short lines with NULLs and ignores extra fields, so the
         # field count is checked on the raw text as well.
-        (F.size(F.split(F.col("value"), delimiter, -1)) == F.lit(n_fields)).alias("_arity_ok"),
+        (_n_fields(F.col("value"), delimiter, quote) == F.lit(n_fields)).alias("_arity_ok"),
     )
     return (
         parsed.where(F.col(f"r.{BAD}").isNull() & F.col("_arity_ok"))

@@ -13,13 +13,12 @@ def write_checkpoint(df: DataFrame, path: str, partition_by: list[str] | None =
                      mode: str = "overwrite", cluster: bool = False) -> str:
     """Persist a frame as Parquet; reading it back starts a new lineage.
 
-    ``cluster=True`` first hash-partitions on the ``partition_by`` columns, so
-    each partition value is written by one task (one file per value instead of
-    one per task and value).  Use it for bounded frames (aggregates) only: on
-    raw data a hot value would put all its rows in one task.
+    ``cluster=True`` first rebalances on the ``partition_by`` columns: rows of a
+    value come together (few files per value), and the adaptive planner
+    splits a value whose rows are too many for one task.
     """
     if cluster and partition_by:
-        df = df.repartition(*partition_by)
+        df = df.hint("rebalance", *partition_by)
     w = df.write.mode(mode)
     if partition_by:
         w = w.partitionBy(*partition_by)

@@ -1,7 +1,7 @@
 """Streaming jobs: hourly aggregation with watermarks and alerting per micro-batch."""
 
-from hourcast.streaming.hourly import read_event_stream, replay_to_parquet, stream_alerts, stream_hourly
+from hourcast.streaming.hourly import read_event_stream, replay_to_parquet, stream_hourly
 from hourcast.streaming.monitor import linear_scorer, run_monitor, tree_scorer
 
-__all__ = ["read_event_stream", "stream_hourly", "replay_to_parquet", "stream_alerts",
+__all__ = ["read_event_stream", "stream_hourly", "replay_to_parquet",
            "run_monitor", "linear_scorer", "tree_scorer"]

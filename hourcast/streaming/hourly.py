@@ -8,10 +8,6 @@ so a late row arriving in the very batch that advances the watermark may
 still count).  Event time
 must be a TIMESTAMP (not TIMESTAMP_NTZ) for watermarks; the session runs in
 UTC, so the cast keeps the wall clock unchanged.
-
-``stream_alerts`` scores every closed hour in ``foreachBatch`` and appends the
-alert rows under a ``batch_id=`` folder; a replayed micro-batch overwrites its
-own folder, so recovery after a failure never duplicates alerts.
 """
 
 from __future__ import annotations
@@ -97,17 +93,3 @@ def replay_to_parquet(stream_df: DataFrame, out_path: str, checkpoint: str, outp
     q = start_with_state_partitions(w, stream_df.sparkSession, state_partitions)
     q.awaitTermination()
     return out_path
-
-
-def stream_alerts(hourly_stream: DataFrame, score_batch, out_path: str, checkpoint: str) -> str:
-    """Append-mode hourly stream -> ``score_batch(df) -> alerts`` -> Parquet.
-
-    Every micro-batch holds only hours whose window the watermark has closed.
-    """
-    def write(batch: DataFrame, batch_id: int) -> None:
-        score_batch(batch).write.mode("overwrite").parquet(f"{out_path}/batch_id={batch_id}")
-
-    q = (hourly_stream.writeStream.outputMode("append").foreachBatch(write)
-         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
-    q.awaitTermination()
-    return out_path

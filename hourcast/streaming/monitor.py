@@ -6,10 +6,11 @@ micro-batch of closed hourly rows into alert rows; two are provided:
 * ``linear_scorer``: a persisted coefficient table (one row per segment) and
   the fitted scaler, joined / applied per batch;
 * ``tree_scorer``: per-segment trees saved under ``root/segment=<id>``, applied
-  by walking their node tables with joins (any number of segments, one plan).
+  by one join with the table of their nodes (any number of segments, one plan).
 
 Triggers: ``available_now=True`` processes what is there and stops (replays,
 scheduled runs); otherwise ``processing_time`` (e.g. "1 hour") keeps it running.
+``max_files_per_trigger`` bounds a micro-batch, so a backlog is worked off in several.
 """
 
 from __future__ import annotations
@@ -45,25 +46,24 @@ def linear_scorer(coefs: DataFrame, std: dict, model: str = "linear",
 
 
 def tree_scorer(spark: SparkSession, models_root: str, features: list[str] | None = None,
-                max_depth: int | None = None, threshold: float = MON.ALERT_PCT) -> Scorer:
+                threshold: float = MON.ALERT_PCT) -> Scorer:
     features = features or FE.FEATURES_7
-    nodes = TR.tree_nodes(spark, models_root)
-    max_depth = max_depth or TR.saved_max_depth(spark, models_root)
+    trees = TR.segment_trees(spark, models_root)
 
     def score(batch: DataFrame) -> DataFrame:
         rows = _batch_rows(batch)
-        scored = TR.score_by_nodes(rows, nodes, features, max_depth,
-                                   keep=["segment", "row_key", "label", "raw_label"])
-        return MON.alerts(scored.where(F.col("prediction").isNotNull()), threshold=threshold)
+        scored = TR.score_trees(rows, trees, features, ["segment", "row_key", "label", "raw_label", *features])
+        return MON.alerts(scored.where(F.col("prediction").isNotNull()), threshold=threshold,
+                          features=MON.features_text(features))
     return score
 
 
 def run_monitor(spark: SparkSession, events_path: str, events_schema, scorer: Scorer, alerts_path: str,
                 checkpoint: str, glob: str | None = None, watermark: str = "1 hour",
                 available_now: bool = True, processing_time: str = "1 hour", n_segments: int = 5,
-                state_partitions: int | None = None):
+                state_partitions: int | None = None, max_files_per_trigger: int | None = None):
     """Start the alert stream; returns the StreamingQuery (already finished when available_now)."""
-    hourly = stream_hourly(read_event_stream(spark, events_path, events_schema, glob=glob),
+    hourly = stream_hourly(read_event_stream(spark, events_path, events_schema, max_files_per_trigger, glob),
                            n_segments=n_segments, watermark=watermark)
 
     def write(batch: DataFrame, batch_id: int) -> None:

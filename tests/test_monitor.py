@@ -18,7 +18,9 @@ def test_alert_rules(spark):
     got = {r.row_key: r for r in MON.score_errors(_scored(spark, rows)).collect()}
     assert got["zero-measured"].is_alert and got["zero-measured"].error_pct is None
     assert not got["zero-both"].is_alert
-    assert got["big-drop"].is_alert and got["big-drop"].predicted == 199 or got["big-drop"].predicted == 200
+    assert got["big-drop"].is_alert
+    assert got["big-drop"].predicted in (199, 200) and got["big-drop"].error_pct in (99.0, 100.0)
+    assert got["small-drop"].error_pct in (19.0, 20.0)
     assert not got["small-drop"].is_alert and not got["over"].is_alert
     al = {r.row_key: r.message for r in MON.alerts(_scored(spark, rows)).collect()}
     assert set(al) == {"zero-measured", "big-drop"}
@@ -28,3 +30,11 @@ def test_alert_rules(spark):
 def test_measured_is_floor_of_raw(spark):
     r = MON.score_errors(_scored(spark, [(1, "k", 4021.0, math.log(4021.0))])).first()
     assert r.measured == 4021
+
+
+def test_message_names_the_features(spark):
+    from pyspark.sql import functions as F
+
+    row = _scored(spark, [(1, "k", 10.0, math.log(40.0))]).withColumns({"errors": F.lit(3.0), "no_credit": F.lit(None).cast("double")})
+    r = MON.alerts(row, features=MON.features_text(["errors", "no_credit"])).first()
+    assert r.message.endswith("(errors=3.00, no_credit=null)")

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from hourcast.operators import profile as P
 from hourcast.schema import MEASURES
 
+# Recorded inputs and results that the profiles must reproduce.
 F3_ROWS = [  # carrier 4, hour 19: (date, resp, success, no_credit, errors, total)
     ("2017-06-25", 1915, 553, 542291, 15127, 558432),
     ("2017-06-26", 1893, 1377, 586218, 24208, 612932),
@@ -34,7 +35,7 @@ def _hourly(spark, rows, carrier, hour=None):
 
 def test_profile_golden(spark):
     prof = P.hourly_profile(P.with_week_of_month(_hourly(spark, F3_ROWS, 4, 19)))
-    r = P.point_filter(prof, "carrier_id = 4 AND hour_of_day = 19 and WEEk_of_month = 5").collect()
+    r = P.point_filter(prof, "CARRIER_id = 4 AND hour_of_day = 19 AND Week_Of_Month = 5").collect()
     assert len(r) == 1
     exp = [2040.142857142857, 1172.2857142857142, 559717.7142857143, 25368.285714285714, 587511.2857142857]
     assert [r[0][m] for m in MEASURES] == pytest.approx(exp, rel=1e-15)

@@ -14,7 +14,7 @@ def test_watermark_drops_late_events_and_rerun_is_idempotent(spark):
     import datetime as dt
 
     from hourcast.session import scratch_path
-    from hourcast.streaming import read_event_stream, stream_alerts, stream_hourly
+    from hourcast.streaming import run_monitor
 
     schema = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
     src = scratch_path(spark, "t-stream-src")
@@ -32,9 +32,8 @@ def test_watermark_drops_late_events_and_rerun_is_idempotent(spark):
     out, ckpt = scratch_path(spark, "t-stream-out"), scratch_path(spark, "t-stream-ckpt")
 
     def run():
-        stream = read_event_stream(spark, src + "/*", spark.createDataFrame([], schema).schema,
-                                   max_files_per_trigger=1)
-        return stream_alerts(stream_hourly(stream), lambda b: b, out, ckpt)
+        return run_monitor(spark, src + "/*", spark.createDataFrame([], schema).schema, lambda b: b, out, ckpt,
+                           max_files_per_trigger=1, state_partitions=2)
 
     run()
     rows = {r.hour_of_day: r.total_attempts for r in spark.read.parquet(out).collect()}
@@ -45,23 +44,37 @@ def test_watermark_drops_late_events_and_rerun_is_idempotent(spark):
     assert spark.read.parquet(out).count() == n
 
 
-def test_tree_monitor_replay(spark):
+def test_tree_monitor_replay_in_several_batches_equals_batch(spark):
     from pyspark.sql import functions as F
 
     from hourcast.operators import features as FE
-    from hourcast.operators import tree as TR
-    from hourcast.plans.catalog import ml_frame, segment_ids
+    from hourcast.operators import monitor as MON
+    from hourcast.operators import profile as P
+    from hourcast.plans.catalog import ml_frame, saved_trees
     from hourcast.session import scratch_path
+    from hourcast.sources.events import hourly_from_events
+    from hourcast.operators import tree as TR
     from hourcast.streaming import run_monitor, tree_scorer
 
-    frame = ml_frame(spark, SF)
-    train = frame.where(F.col("is_train"))
-    segs = segment_ids(train)
-    root = TR.save_segment_models(TR.fit_segment_trees(train, FE.FEATURES_7, segs), scratch_path(spark, "t-mt"))
+    train = ml_frame(spark, SF).where(F.col("is_train"))
+    root, trees = saved_trees(spark, train, FE.FEATURES_7, "t-mt")
+    events = spark.read.parquet(SF + "/events.parquet")
+    src = scratch_path(spark, "t-mon-src")
+    bounds = events.selectExpr("min(ts)", "min(ts) + (max(ts) - min(ts)) / 2").first()
+    for i, part in enumerate([events.where(F.col("ts") < bounds[1]), events.where(F.col("ts") >= bounds[1])]):
+        part.coalesce(1).write.mode("append").parquet(f"{src}/part={i}")
     out = scratch_path(spark, "t-mon-out")
-    schema = spark.read.parquet(SF + "/events.parquet").schema
-    run_monitor(spark, SF, schema, tree_scorer(spark, root), out, scratch_path(spark, "t-mon-ck"),
-                glob="events.parquet")
-    alerts = spark.read.parquet(out)
-    assert set(alerts.columns) >= {"segment", "row_key", "measured", "predicted", "error_pct", "message"}
-    assert alerts.where(~F.col("message").startswith("[ALERT]")).count() == 0
+    # A threshold below any error makes every closed hour an alert.
+    run_monitor(spark, src + "/*", events.schema, tree_scorer(spark, root, threshold=-1000.0), out,
+                scratch_path(spark, "t-mon-ck"), max_files_per_trigger=1, state_partitions=2)
+    got = spark.read.parquet(out)
+    assert got.select("batch_id").distinct().count() >= 2
+    last = events.agg(F.max("ts")).first()[0]
+    hours = hourly_from_events(events).where(
+        F.col("datepart").cast("timestamp_ntz") + F.make_dt_interval(hours=F.col("hour_of_day") + 1) <= F.lit(last) - F.expr("interval 1 hour"))
+    rows = FE.labeled(FE.feature_rows(P.with_week_of_month(hours)))
+    scored = TR.score_trees(rows, trees, FE.FEATURES_7, ["segment", "row_key", "raw_label", *FE.FEATURES_7])
+    want = MON.alerts(scored, threshold=-1000.0, features=MON.features_text(FE.FEATURES_7))
+    columns = ["segment", "row_key", "measured", "predicted", "message"]
+    assert got.count() == want.count() > 100
+    assert got.select(columns).exceptAll(want.select(columns)).count() == 0

@@ -1,59 +1,118 @@
 import pytest
+from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.sql import functions as F
 
+from hourcast.operators import features as FE
 from hourcast.operators import tree as TR
 from hourcast.session import scratch_path
 
 FEATS = ["a", "b"]
+KEEP = ["segment", "a", "b"]
+
+
+def _frame(spark, segments=(0, 1), rows=200):
+    data = [(s, f"{s}|{i}", float(i % 24), float(i % 7), float((i % 24) * (s + 1) + (i % 7)))
+            for s in segments for i in range(rows)]
+    return spark.createDataFrame(data, "segment int, row_key string, a double, b double, label double")
+
+
+def _saved(spark, models, name):
+    return TR.segment_trees(spark, TR.save_segment_models(models, scratch_path(spark, name)))
+
+
+def _transformed(df, models):
+    parts = [m.transform(df.where(F.col("segment") == s)).select(*KEEP, "prediction") for s, m in models.items()]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+@pytest.mark.parametrize("segments, depth", [([3], 2), ([0, 1, 2, 3, 4], 9)])
+def test_scores_equal_transform(spark, segments, depth):
+    noise = F.pmod(F.xxhash64("row_key"), F.lit(1000)) / 100
+    df = _frame(spark, segments, 400).withColumn("label", F.col("label") + noise).withColumn("b", noise + F.col("b"))
+    models = TR.fit_segment_trees(df, FEATS, segments, max_depth=depth, max_bins=32)
+    got = TR.score_trees(df, _saved(spark, models, "t-trees"), FEATS, KEEP)
+    want = _transformed(df, models)
+    assert got.count() == 400 * len(segments)
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+
+
+def test_two_hundred_segments(spark):
+    """The same plan for many trees: one saved tree copied to 200 segments."""
+    models = TR.fit_segment_trees(_frame(spark), FEATS, [1], max_depth=4, max_bins=16)
+    one = _saved(spark, models, "t-many")
+    many = one.withColumn("segment", F.explode(F.sequence(F.lit(0), F.lit(199))))
+    df = spark.range(2000).select((F.col("id") % 200).cast("int").alias("segment"), (F.col("id") % 24).cast("double").alias("a"),
+                                  (F.col("id") % 7).cast("double").alias("b"))
+    got = TR.score_trees(df, many, FEATS, KEEP)
+    want = models[1].transform(df).select(*KEEP, "prediction")
+    assert got.count() == 2000 and got.exceptAll(want).count() == 0
+
+
+@pytest.mark.parametrize("n_segments", [1, 2])
+def test_unseen_segment_is_kept_and_null_feature_raises(spark, n_segments):
+    segments = list(range(n_segments))
+    trees = _saved(spark, TR.fit_segment_trees(_frame(spark), FEATS, segments, max_depth=3, max_bins=8), "t-edge")
+    rows = spark.createDataFrame([(0, 1.0, 2.0), (77, 1.0, 2.0), (None, 1.0, 2.0)], "segment int, a double, b double")
+    got = {r.segment: r.prediction for r in TR.score_trees(rows, trees, FEATS, KEEP).collect()}
+    assert set(got) == {0, 77, None} and got[77] is None and got[None] is None and got[0] is not None
+    bad = spark.createDataFrame([(0, None, 2.0)], "segment int, a double, b double")
+    with pytest.raises(Exception, match="NULL or NaN"):
+        TR.score_trees(bad, trees, FEATS, KEEP).collect()
+
+
+def test_rules_are_the_leaves(spark):
+    noise = F.pmod(F.xxhash64("row_key"), F.lit(1000)) / 100
+    df = _frame(spark, (0, 1), 600).withColumn("label", F.col("label") + noise).withColumn("b", noise)
+    models = TR.fit_segment_trees(df, FEATS, [0, 1], max_depth=9, max_bins=32)
+    trees = _saved(spark, models, "t-rules")
+    rules = TR.tree_rules(trees, FEATS).cache()
+    for seg, m in models.items():
+        tree = TR.tree_of(m)
+        mine = rules.where(F.col("segment") == seg)
+        assert mine.count() == (tree.numNodes + 1) // 2
+        assert mine.agg(F.max("depth")).first()[0] == tree.depth == 9
+    for r in rules.collect():
+        assert len(r.conditions.split(" AND ")) == r.depth
+        hit = df.where((F.col("segment") == r.segment) & F.expr(r.conditions)).agg(F.avg("label"), F.count("*")).first()
+        if hit[1] and r.rule_id % 37 == 0:
+            assert hit[0] == pytest.approx(r.prediction)
 
 
-def _frame(spark):
-    rows = [(s, float(i % 24), float(i % 7), float((i % 24) * (s + 1) + (i % 7)))
-            for s in (0, 1) for i in range(200)]
-    return spark.createDataFrame(rows, "segment int, a double, b double, label double")
-
-
-def test_fit_save_load_score_and_rules(spark):
-    df = _frame(spark)
-    models = TR.fit_segment_trees(df, FEATS, [0, 1], max_depth=4, max_bins=16)
-    root = TR.save_segment_models(models, scratch_path(spark, "t-trees"))
-    loaded = TR.load_segment_models(root, [0, 1])
-    a = TR.score_segments(df, models, ["segment", "a", "b"])
-    b = TR.score_segments(df, loaded, ["segment", "a", "b"])
-    assert a.exceptAll(b).count() == 0 and a.count() == 400
-    rules = TR.tree_rules(TR.tree_nodes(spark, root), FEATS, max_depth=4)
+def test_single_row_segment_tree(spark):
+    df = _frame(spark).unionByName(_frame(spark, (5,), 1))
+    models = TR.fit_segment_trees(df, FEATS, [5], max_depth=3, max_bins=8)
+    assert TR.tree_of(models[5]).numNodes == 1
+    trees = _saved(spark, models, "t-single")
+    assert trees.first().depth == 0
+    assert TR.score_trees(df.where("segment = 5"), trees, FEATS, KEEP).first().prediction == 0.0
+    assert TR.tree_rules(trees, FEATS).collect() == [(5, 0, 0, "", 0.0)]
+
+
+def test_grid_equals_a_fit_for_each_candidate(spark):
+    noise = F.pmod(F.xxhash64("row_key"), F.lit(1000)) / 100
+    df = _frame(spark, (0, 1), 300).withColumn("label", F.col("label") + noise).withColumn("b", noise)
+    depths, bins = [2, 4], [6, 16]
+    report, models = TR.grid_search(spark, df, FEATS, [0, 1], scratch_path(spark, "t-grid"), depths=depths, bins=bins)
+    got = {(r.segment, r.max_depth, r.max_bins): r for r in report.collect()}
+    assert len(got) == 8
+    fit_rows, validation = FE.hash_split(df, train_pct=80)
+    rmse = RegressionEvaluator(labelCol="label", predictionCol="prediction", metricName="rmse")
     for seg in (0, 1):
-        n_leaves = (TR.tree_of(models[seg]).numNodes + 1) // 2
-        assert rules.where(F.col("segment") == seg).count() == n_leaves
-    # every leaf's rule is a conjunction of at most depth conditions
-    r = rules.where("depth > 0").first()
-    assert r.conditions.count(" AND ") == r.depth - 1
-
-
-def test_grid_report(spark):
-    df = _frame(spark)
-    searches = TR.grid_search(df, FEATS, [0], depths=[2, 3], bins=[8, 16])
-    rep = TR.grid_report(spark, searches).collect()
-    assert len(rep) == 4 and sum(r.is_best for r in rep) >= 1
-
-
-def test_node_walk_equals_transform(spark):
-    df = _frame(spark)
-    models = TR.fit_segment_trees(df, FEATS, [0, 1], max_depth=5, max_bins=16)
-    root = TR.save_segment_models(models, scratch_path(spark, "t-walk"))
-    a = TR.score_segments(df, models, ["segment", "a", "b"])
-    b = TR.score_by_nodes(df, TR.tree_nodes(spark, root), FEATS, max_depth=5, keep=["segment", "a", "b"])
-    assert b.count() == 400
-    assert a.exceptAll(b).count() == 0
-
-
-def test_score_trees_both_plans_agree(spark):
-    df = _frame(spark)
-    models = TR.fit_segment_trees(df, FEATS, [0, 1], max_depth=3, max_bins=8)
-    keep = ["segment", "a", "b"]
-    union = TR.score_trees(spark, df, models, FEATS, keep, scratch_path(spark, "t-st1"), max_depth=3)
-    walk = TR.score_trees(spark, df, models, FEATS, keep, scratch_path(spark, "t-st2"), max_depth=3, max_union=1)
-    assert union.exceptAll(walk).count() == 0 and walk.count() == 400
+        part = validation.where(F.col("segment") == seg)
+        scores = {}
+        for d in depths:
+            for b in bins:
+                pipe, _ = TR.tree_pipeline(FEATS, "label", d, b)
+                scores[d, b] = rmse.evaluate(pipe.fit(fit_rows.where(F.col("segment") == seg)).transform(part))
+                assert got[seg, d, b].validation_rmse == pytest.approx(scores[d, b], rel=1e-9)
+                assert got[seg, d, b].n_validation == part.count()
+        winner = [k[1:] for k, r in got.items() if k[0] == seg and r.is_best]
+        assert winner == [min(scores, key=lambda k: (round(scores[k], 12), k))]
+        best = TR.tree_of(models[seg])
+        assert (best.getMaxDepth(), best.getMaxBins()) == winner[0]
 
 
 def test_elastic_report_matches_training_summary(spark):
@@ -67,39 +126,3 @@ def test_elastic_report_matches_training_summary(spark):
         assert rep[key].r2 == pytest.approx(s.r2, rel=1e-9)
         assert rep[key].num_instances == s.numInstances
         assert rep[key].iterations == s.totalIterations
-
-
-def test_single_row_segment_tree(spark):
-    df = _frame(spark).unionByName(spark.createDataFrame([(5, 1.0, 2.0, 3.0)], "segment int, a double, b double, label double"))
-    models = TR.fit_segment_trees(df, FEATS, [5], max_depth=3, max_bins=8)
-    assert TR.tree_of(models[5]).numNodes == 1
-    out = TR.score_segments(df.where("segment = 5"), models, ["segment"]).first()
-    assert out.prediction == 3.0
-
-
-def test_truncated_grid_equals_train_validation_split(spark):
-    from hourcast.plans.catalog import profile_frame
-    from hourcast import schema as S
-    frame = profile_frame(spark, "/root/testdata/sf0.01")
-    depths, bins = [3, 4, 5], [8, 16]
-    tvs = TR.grid_search(frame, S.FEATURES_6, [1], depths=depths, bins=bins)[1]
-    tree = tvs.getEstimator().getStages()[-1]
-    ref = {(pm[tree.maxDepth], pm[tree.maxBins]): m
-           for pm, m in zip(tvs.getEstimatorParamMaps(), tvs.validationMetrics)}
-    report, models = TR.grid_search_truncated(spark, frame, S.FEATURES_6, [1], scratch_path(spark, "t-gst"),
-                                              depths=depths, bins=bins)
-    got = {(r.max_depth, r.max_bins): r.validation_rmse for r in report.collect()}
-    assert set(got) == set(ref)
-    for k in ref:
-        assert got[k] == pytest.approx(ref[k], rel=1e-9)
-    best = TR.tree_of(tvs.bestModel)
-    assert (TR.tree_of(models[1]).getMaxDepth(), TR.tree_of(models[1]).getMaxBins()) == \
-        (best.getMaxDepth(), best.getMaxBins())
-
-
-def test_saved_max_depth(spark):
-    df = _frame(spark)
-    models = TR.fit_segment_trees(df, FEATS, [0], max_depth=4, max_bins=8)
-    models.update(TR.fit_segment_trees(df, FEATS, [1], max_depth=6, max_bins=8))
-    root = TR.save_segment_models(models, scratch_path(spark, "t-depth"))
-    assert TR.saved_max_depth(spark, root) == 6
