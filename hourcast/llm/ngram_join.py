@@ -48,8 +48,8 @@ from hourcast.llm.components import components
 
 MIX = np.uint64(0x9E3779B97F4A7C15)
 # Characters that are shingled together, so shared shingles among them are met before the shuffle.
-BLOCK_CHARS = 24_000_000
-KNOWN_WORDS = 500_000
+BLOCK_CHARS = 12_000_000
+KNOWN_WORDS = 300_000
 # A verification reads two sets, a scan one row of a list.
 VERIFY_COST = 16
 FILTER_BITS = 23
@@ -263,7 +263,8 @@ def near_duplicates(docs: DataFrame, cfg: Join = Join()) -> DataFrame:
     (doc_id, text) and ``first_k`` the k of the component's first row in the order of (doc_id, k).
     """
     table = written(document_table(docs, cfg), "classes")
-    sets = written(shingle_sets(docs, sharing_classes(table, cfg), cfg), "sets")
+    sharing = written(sharing_classes(table, cfg), "sharing")
+    sets = written(shingle_sets(docs, sharing, cfg), "sets")
     group = components(links(sets, cfg)).withColumnRenamed("node", "class")
     rows = table.where("n_shingles >= 0").select("doc_id", "k", "n_shingles", "class")
     rows = rows.join(group, "class", "left").withColumn("component", F.coalesce("component", "class"))
