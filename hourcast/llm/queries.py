@@ -16,6 +16,7 @@ from hourcast.llm.packing import pack
 from hourcast.llm.quality_classifier import score_quality
 from hourcast.llm.quality_rules import quality_rules
 from hourcast.llm.sentencepiece_codec import encode_texts
+from hourcast.llm.sql import SQL  # noqa: F401
 from hourcast.llm.token_counts import token_counts
 from hourcast.session import scratch_path
 
@@ -87,5 +88,3 @@ REGISTRY = {
     "op9_exact_top_k": op9_exact_top_k,
     "op10_license_scan": op10_license_scan,
 }
-
-SQL: dict[str, str] = {}

@@ -1,0 +1,24 @@
+import os
+import sys
+
+sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
+import pytest
+
+DOCS = "doc_id long, text string, lang string, source string, n_chars long"
+
+
+@pytest.fixture
+def edge_docs(spark):
+    """Null ids and texts, empty and blank texts, a repeated row, a repeated id, an extra column."""
+    long_line = "A sentence that is long enough to be looked at by every rule there is, one more time. "
+    rows = [(1, "one two three four five six seven", "en", "a", 33), (1, "one two three four five six seven", "en", "a", 33),
+            (1, "other words under the same id", "en", "a", 29), (2, None, None, None, None), (3, "", "en", "b", 0),
+            (4, " \n\t \n", "en", "b", 5), (None, "words without an id at all here", "en", None, 31),
+            (5, long_line * 400, "en", "c", len(long_line) * 400), (6, "éß　中文 \U0001f600 x", "de", "c", 9)]
+    return spark.createDataFrame([(*r, 7) for r in rows], DOCS + ", extra int")
+
+
+@pytest.fixture
+def no_docs(spark):
+    return spark.createDataFrame([], DOCS)
