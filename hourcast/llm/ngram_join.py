@@ -17,11 +17,15 @@ share the smaller one.
    of each is lengthened to the l with the least estimated cost, which is the total length
    of the lists of its prefix shingles (scan) plus VERIFY_COST times that total over l (a
    partner must appear on l of them).
-3. Stars: each list's classes are verified against its first and its last class, which is
-   linear in the lists and joins the bulk of a large group of near copies.
-4. Rest: of lists whose classes are still in several components, pairs from different components
-   that share the smaller l of the two prefixes are verified.  A pair that shares no such
-   number has no link, a pair in one component needs none, so the components are exact.
+3. Stars: each list's classes are verified against its center, the class with the most frequent
+   shingles (of a group of copies, the one they were made from).  This is linear in the lists
+   and joins the bulk of a large group.
+4. Rest: two classes of lists with one center share at most the smaller of what they share with
+   the center, and the smaller of what each shares with others but not with the center.  For a
+   class that did not reach its center's component, the pairs in different components for
+   which this bound allows a link, and which share the smaller l of the two prefixes, are
+   verified.  A pair left out has no link, a pair in one component needs none, so the
+   components are exact.
 
 Verification is exact on the full sets.
 
@@ -198,62 +202,78 @@ def prefix_size(n: Column, cfg: Join) -> Column:
 
 
 def adaptive_prefixes(sets: DataFrame, cfg: Join) -> DataFrame:
-    """(token, class, n, matches): the prefix shingles that several classes hold."""
+    """(token, class, n, held, typical, matches): the prefix shingles that several classes hold.
+
+    ``held``: the class's shingles that others hold as well; ``typical``: the mean frequency of
+    its shingles, which is highest for the class that a group's copies were made from.
+    """
     rows = sets.select("class", "n", F.explode("tokens").alias("token"))
     frequent = rows.groupBy("token").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
-    held = rows.join(frequent, "token")
-    in_order = Window.partitionBy("class").orderBy("df", "token")
+    shared = rows.join(frequent, "token")
+    of_class = Window.partitionBy("class")
+    in_order = of_class.orderBy("df", "token")
     # Shingles of one class alone come first in the order and need no rows.
-    ranked = (held.withColumn("nth", F.row_number().over(in_order))
-              .withColumn("alone", F.col("n") - F.count(F.lit(1)).over(Window.partitionBy("class")))
+    ranked = (shared.withColumn("nth", F.row_number().over(in_order))
               .withColumn("scan", F.sum(F.col("df") - 1).over(in_order.rowsBetween(Window.unboundedPreceding, 0)))
-              .withColumn("l", F.col("alone") + F.col("nth") - prefix_size(F.col("n"), cfg) + 1))
+              .withColumn("held", F.count(F.lit(1)).over(of_class))
+              .withColumn("typical", F.sum("df").over(of_class) / F.col("n"))
+              .withColumn("l", F.col("n") - F.col("held") + F.col("nth") - prefix_size(F.col("n"), cfg) + 1))
     # A class whose prefix for one match holds only shingles of its own has no partner.
-    ranked = ranked.where(F.col("alone") < prefix_size(F.col("n"), cfg))
+    ranked = ranked.where(F.col("n") - F.col("held") < prefix_size(F.col("n"), cfg))
     # l below 1: the prefix for one match holds this shingle and more.
     cost = F.col("scan") * (1 + F.lit(VERIFY_COST) / F.greatest("l", F.lit(1)))
-    best = F.min(F.when(F.col("l") >= 1, F.struct(cost.alias("cost"), F.col("l").alias("l")))).over(Window.partitionBy("class"))
+    best = F.min(F.when(F.col("l") >= 1, F.struct(cost.alias("cost"), F.col("l").alias("l")))).over(of_class)
     return (ranked.withColumn("matches", F.coalesce(best["l"], F.lit(1))).where("l <= matches")
-            .select("token", "class", "n", F.col("matches").cast("int").alias("matches")))
+            .select("token", "class", "n", F.col("held").cast("long").alias("held"), "typical",
+                    F.col("matches").cast("int").alias("matches")))
 
 
-def linked(pairs: DataFrame, sets: DataFrame, cfg: Join) -> DataFrame:
-    """Those of ``pairs`` (a, b) that link, by the full sets."""
+def overlaps(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """``pairs`` (a, b) with both sizes and the exact size of the intersection."""
     side = lambda x: sets.select(F.col("class").alias(x), F.col("n").alias(f"n_{x}"), F.col("tokens").alias(f"t_{x}"))
     both = pairs.join(side("b"), "b").join(side("a"), "a")
-    shared = F.size(F.array_intersect("t_a", "t_b"))
-    return (both.select("a", "b", "n_a", "n_b", shared.alias("shared"))
-            .where(F.col("shared") * 100 >= (F.col("n_a") + F.col("n_b") - F.col("shared")) * cfg.percent).select("a", "b"))
+    return both.select("a", "b", "n_a", "n_b", F.size(F.array_intersect("t_a", "t_b")).cast("long").alias("shared"))
 
 
-def _sizes_allow(n: str, m: str, cfg: Join) -> Column:
-    return F.least(n, m) * 100 >= F.greatest(n, m) * cfg.percent
+def _links(shared: Column, n: Column, m: Column, cfg: Join) -> Column:
+    return shared * 100 >= (n + m - shared) * cfg.percent
 
 
 def links(sets: DataFrame, cfg: Join) -> DataFrame:
     """(a, b): linked pairs of classes whose components are the components of all links."""
     lists = written(adaptive_prefixes(sets, cfg), "lists")
-    member = F.struct("class", "n")
-    ends = lists.groupBy("token").agg(F.min(member).alias("low"), F.max(member).alias("high")).where("low <> high")
-    star = lists.join(ends, "token").select("class", "n", F.explode(F.array("low", "high")).alias("center"))
-    star = (star.where(_sizes_allow("n", "center.n", cfg) & (F.col("class") != F.col("center.class")))
-            .select(F.least("class", "center.class").alias("a"), F.greatest("class", "center.class").alias("b")).distinct())
-    tried = written(star, "stars")
-    first = written(linked(tried, sets, cfg), "first-links")
+    center = lists.groupBy("token").agg(F.max(F.struct("typical", "class")).alias("c"), F.count(F.lit(1)).alias("size"))
+    center = center.where("size > 1").select("token", F.col("c.class").alias("center"))
+    placed = written(lists.drop("typical").join(center, "token"), "placed")
+    star = placed.where("class <> center").select(F.col("class").alias("b"), F.col("center").alias("a")).distinct()
+    tried = written(overlaps(star, sets), "stars")
+    first = tried.where(_links(F.col("shared"), F.col("n_a"), F.col("n_b"), cfg)).select("a", "b")
 
     group = components(first).withColumnRenamed("node", "class")
-    placed = lists.join(group, "class", "left").withColumn("component", F.coalesce("component", "class"))
-    mixed = placed.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high")
-    placed = written(placed.join(mixed, "token", "left_semi"), "rest")
-    left, right = placed.alias("x"), placed.alias("y")
-    pairs = (left.join(right, "token")
-             .where((F.col("x.class") < F.col("y.class")) & (F.col("x.component") != F.col("y.component"))
-                    & _sizes_allow("x.n", "y.n", cfg))
-             .groupBy(F.col("x.class").alias("a"), F.col("y.class").alias("b"))
-             .agg(F.count(F.lit(1)).alias("met"), F.min(F.least("x.matches", "y.matches")).alias("needed"))
-             .where("met >= needed").select("a", "b").join(tried, ["a", "b"], "left_anti"))
-    rest = written(linked(pairs, sets, cfg), "rest-links")
-    return first.union(rest)
+    known = tried.select(F.col("a").alias("center"), F.col("b").alias("class"), "shared")
+    members = (placed.select("center", "class", "n", "held", "matches").distinct()
+               .join(known, ["center", "class"], "left").join(group, "class", "left")
+               .select("center", "class", "n", "matches", F.coalesce("component", "class").alias("component"),
+                       # What it shares with the center, and what it shares with others only.
+                       F.coalesce("shared", "n").alias("inner"), (F.col("held") - F.coalesce("shared", "held")).alias("outer")))
+    home = members.where("class = center").select("center", F.col("component").alias("home"))
+    members = written(members.join(home, "center"), "members")
+    x, y = members.where("component <> home").alias("x"), members.alias("y")
+    # Two classes share at most the smaller inner and the smaller outer part.
+    most = F.least("x.inner", "y.inner") + F.least("x.outer", "y.outer")
+    pairs = (x.join(y, "center")
+             .where((F.col("x.component") != F.col("y.component"))
+                    & ((F.col("y.component") == F.col("y.home")) | (F.col("x.class") < F.col("y.class")))
+                    & _links(most, F.col("x.n"), F.col("y.n"), cfg))
+             .select(F.least("x.class", "y.class").alias("a"), F.greatest("x.class", "y.class").alias("b"),
+                     F.least("x.matches", "y.matches").alias("needed")).distinct())
+    done = tried.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    prefixes = placed.groupBy("class").agg(F.collect_list("token").alias("prefix"))
+    side = lambda c: prefixes.select(F.col("class").alias(c), F.col("prefix").alias(f"prefix_{c}"))
+    met = (pairs.join(done, ["a", "b"], "left_anti").join(side("a"), "a").join(side("b"), "b")
+           .where(F.size(F.array_intersect("prefix_a", "prefix_b")) >= F.col("needed")).select("a", "b"))
+    more = overlaps(met, sets).where(_links(F.col("shared"), F.col("n_a"), F.col("n_b"), cfg)).select("a", "b")
+    return first.union(written(more, "rest-links"))
 
 
 def near_duplicates(docs: DataFrame, cfg: Join = Join()) -> DataFrame:
