@@ -8,6 +8,7 @@ special strings, and chunks longer than CHUNK_CHARS, go to the library as they a
 from __future__ import annotations
 
 import json
+import os
 import re
 
 import numpy as np
@@ -15,10 +16,15 @@ import numpy as np
 # The characters with the Unicode property White_Space, as a class body.
 WHITE_SPACE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
 
+# A run of Latin letters, or of ASCII marks without the apostrophe, ends a word of the usual patterns
+# if an ASCII character (for marks: no apostrophe or control character) or nothing follows.
+LATIN_RUN = "[A-Za-z\\xc0-\\xd6\\xd8-\\xf6\\xf8-\\xff]++(?![^\\x00-\\x7f])"
+MARKS_RUN = "[!-&(-/:-@\\[-`{-~]++(?!['\\x00-\\x08\\x0e-\\x1f\\x7f-\\U0010ffff])"
+
 # Byte-level tokenizers with the usual word pattern: a word takes the one space before it.
-SPACED_CHUNKS = f" ?[^{WHITE_SPACE}]+|[{WHITE_SPACE}]+(?![^{WHITE_SPACE}])|[{WHITE_SPACE}]+"
+SPACED_CHUNKS = f" ?(?:{LATIN_RUN}|{MARKS_RUN}|[^{WHITE_SPACE}]+)|[{WHITE_SPACE}]+(?![^{WHITE_SPACE}])|[{WHITE_SPACE}]+"
 # Tokenizers that drop white space and join nothing across it.
-WORD_CHUNKS = f"[^{WHITE_SPACE}]+"
+WORD_CHUNKS = f"{LATIN_RUN}|{MARKS_RUN}|[^{WHITE_SPACE}]+"
 
 CHUNK_CHARS = 100
 KEPT_CHUNKS = 400_000
@@ -32,6 +38,8 @@ class ChunkEncoder:
     """
 
     def __init__(self, spec: bytes, chunks: str):
+        # A task has one core; the library's threads would only compete with other tasks.
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(spec.decode())
@@ -46,11 +54,11 @@ class ChunkEncoder:
         return [np.array(e.ids, "<u4").tobytes() for e in found]
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        known = self.known
-        if len(known) > KEPT_CHUNKS:
-            known.clear()
         whole = [any(s in t for s in self.special) for t in texts]
         cut = [[t] if w else self.split(t) for t, w in zip(texts, whole, strict=True)]
+        if len(self.known) > KEPT_CHUNKS:  # the chunks at hand stay, and with them the frequent ones
+            self.known = {c: self.known[c] for parts in cut for c in parts if c in self.known}
+        known = self.known
         new = list({c for parts, w in zip(cut, whole, strict=True) if not w for c in parts if c not in known})
         known.update(zip(new, self._encode(new), strict=True))
         out = [b"" if w else b"".join(map(known.__getitem__, parts)) for parts, w in zip(cut, whole, strict=True)]
