@@ -10,8 +10,7 @@ from __future__ import annotations
 import json
 import os
 import re
-
-import numpy as np
+import struct
 
 # The characters with the Unicode property White_Space, as a class body.
 WHITE_SPACE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
@@ -30,6 +29,11 @@ CHUNK_CHARS = 100
 KEPT_CHUNKS = 400_000
 
 
+def pack(ids: list[int]) -> bytes:
+    """Ids as little-endian unsigned 32-bit bytes."""
+    return struct.pack(f"<{len(ids)}I", *ids)
+
+
 class ChunkEncoder:
     """Ids of whole texts as little-endian unsigned 32-bit bytes.
 
@@ -47,11 +51,25 @@ class ChunkEncoder:
         self.tokenizer.no_truncation()
         self.special = [t["content"] for t in json.loads(spec)["added_tokens"]]
         self.split = re.compile(chunks).findall
+        self.lower = '"Lowercase"' in json.dumps(json.loads(spec)["normalizer"])
         self.known: dict[str, bytes] = {}
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(e.ids, "<u4").tobytes() for e in found]
+        return [pack(e.ids) for e in found]
+
+    def _learn(self, chunks: list[str]) -> None:
+        """Encodes chunks that are new.  One of ASCII letters is a single word to the pattern, and its
+        bytes stand for themselves (the space before it as U+0120), so the model alone is asked."""
+        known, tokenize, rest = self.known, self.tokenizer.model.tokenize, []
+        for c in chunks:
+            word = c[1:] if c[0] == " " else c
+            if word.isascii() and word.isalpha():
+                marked = word if word is c else "\u0120" + word
+                known[c] = pack([t.id for t in tokenize(marked.lower() if self.lower else marked)])
+            else:
+                rest.append(c)
+        known.update(zip(rest, self._encode(rest), strict=True))
 
     def encode(self, texts: list[str]) -> list[bytes]:
         whole = [any(s in t for s in self.special) for t in texts]
@@ -60,7 +78,7 @@ class ChunkEncoder:
             self.known = {c: self.known[c] for parts in cut for c in parts if c in self.known}
         known = self.known
         new = list({c for parts, w in zip(cut, whole, strict=True) if not w for c in parts if c not in known})
-        known.update(zip(new, self._encode(new), strict=True))
+        self._learn(new)
         out = [b"" if w else b"".join(map(known.__getitem__, parts)) for parts, w in zip(cut, whole, strict=True)]
         for i in (i for i, w in enumerate(whole) if w):
             out[i] = self._encode([texts[i]])[0]
