@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hourcast.llm.common import DOCUMENT_COLUMNS, read_table, written
-from hourcast.llm.line_dedup import line_dedup
+from hourcast.llm.line_dedup import WHITE, line_dedup
 from hourcast.llm.ngram_join import one_of_each
 from hourcast.llm.packing import pack
 from hourcast.llm.quality_classifier import score_quality
@@ -30,10 +30,19 @@ def keep_by_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     return scored.where("predicted = 1").select(DOCUMENT_COLUMNS)
 
 
+def _has_text():
+    return F.coalesce(F.btrim("text", F.lit(WHITE)) != "", F.lit(False))
+
+
 def cut_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document, without the later repeated runs of lines; n_chars follows the text."""
-    cut = line_dedup(docs.select(DOCUMENT_COLUMNS))
-    return cut.withColumn("n_chars", F.length("text").cast("long")).select(DOCUMENT_COLUMNS)
+    """Documents without the later repeated runs of lines; n_chars follows the text.
+
+    A document all of whose lines stood before has nothing left and goes; one that had no
+    text to begin with stays.
+    """
+    cut = line_dedup(docs.select(DOCUMENT_COLUMNS).withColumn("had", _has_text()))
+    left = cut.where(~F.col("had") | _has_text())
+    return left.withColumn("n_chars", F.length("text").cast("long")).select(DOCUMENT_COLUMNS)
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -188,9 +188,12 @@ def test_pipeline_stages_and_effects(spark):
         if name == "quality classifier":
             assert all(labels.get(i) != 1 for i in had - ids)          # no clean document goes
         if name == "line dedup":
-            assert ids == had and after.where("n_chars <> length(text)").count() == 0
+            assert after.where("n_chars <> length(text) or trim(text) = ''").count() == 0
+            texts = {r.doc_id: r.text for r in before.collect()}
+            kept = {t for i, t in texts.items() if i in ids}
+            assert all(texts[i] in kept or len(texts[i]) >= 150 for i in had - ids)      # only copies go
         before = after
-    assert docs.count() > sizes[0] >= sizes[1] == sizes[2] > sizes[3] > 0
+    assert docs.count() > sizes[0] >= sizes[1] > sizes[2] >= sizes[3] > 0
     packed = corpus_pipeline.STAGES[-1][1](spark, before, sf)
     assert {r.doc_id for r in packed.collect()} == ids
     assert sorted(map(tuple, corpus_pipeline.run(spark, sf).collect())) == sorted(map(tuple, packed.collect()))
