@@ -20,6 +20,14 @@ Lines without a character other than white space are not compared.
 
 A deleted line always equals an earlier one, so the first occurrence of every line stays.
 
+These fingerprints miss a repeat of 2 or 3 short lines between the window minima, and one whose
+fingerprints first stood in other surroundings.  ``dropped_lines`` keeps to them, as its SQL does.
+``line_dedup``, and ``dropped_lines`` with ``whole``, find every repeat: of each line the shortest
+run from it, and the shortest run up to it, of ``min_chars`` characters are keyed by their content
+(64 bits); every occurrence of a key but the first is deleted.  Each line of a repeated run of
+``min_chars`` characters lies in such a run inside it: in the one from its first line, or in the one
+up to the line itself.  A document has at most two runs a line, and no two documents are compared.
+
 Defined results
 ---------------
 * null or empty text: no lines, nothing deleted, text returned as it is.
@@ -42,6 +50,8 @@ LINE_END = r"(?<=\n)|(?<=[.!?] )"
 WHITE = " \t\n\x0b\x0c\r"
 # Longer than any array, and a start can be added to it.
 REST = 1 << 30
+# Lines looked at first for a run's end; longer runs are counted again.
+FEW_LINES = 8
 
 
 @dataclass(frozen=True)
@@ -166,11 +176,51 @@ def repeated_lines(lines: DataFrame, cfg: Winnow) -> DataFrame:
             .groupBy("k").agg(F.array_distinct(F.flatten(F.collect_list("runs"))).alias("runs")))
 
 
-def dropped_lines(docs: DataFrame, cfg: Winnow = Winnow()) -> DataFrame:
+def shortest_runs(lines: DataFrame, min_chars: int) -> DataFrame:
+    """(doc_id, k, every): per document struct(fp, a, b) of the shortest runs of ``min_chars`` characters
+    from each line, and up to each line.  ``lines`` is read from files, so that lambdas see stored arrays."""
+    full = min_chars * REST
+
+    # Characters in the upper bits, lines in the lower ones; lines beyond the last needed add nothing.
+    def counted(i: Column, most: int) -> Column:
+        return F.aggregate(F.slice("chars", i + 1, most), F.lit(0).cast("long"),
+                           lambda s, c: F.when(s >= full, s).otherwise(s + F.least(c, F.lit(min_chars)).cast("long") * REST + 1))
+
+    few = F.transform("chars", lambda _, i: counted(i, FEW_LINES))
+    enough = F.transform(few, lambda s, i: F.when(s >= full, s).otherwise(counted(i, min_chars)))
+    ends = F.transform(F.filter(enough, lambda s: s >= full), lambda s, i: (s % REST).cast("int") + i - 1)
+    n = F.size("hashes")
+    # Ends grow with the starts; those between two of them end the shortest run up to them at the first start.
+    runs = F.transform("ends", lambda e, a: F.transform(
+        F.sequence(e, F.greatest(e, F.coalesce(F.get("ends", a + 1), n) - 1)),
+        lambda b: F.struct(F.xxhash64(F.slice("hashes", a + 1, b - a + 1)).alias("fp"), a.alias("a"), b.alias("b"))))
+    return lines.select("doc_id", "k", "hashes", ends.alias("ends")).select("doc_id", "k", F.flatten(runs).alias("every"))
+
+
+def all_repeated_lines(lines: DataFrame, cfg: Winnow) -> DataFrame:
+    """As ``repeated_lines``, with every run that stood before; runs are apart."""
+    prints = written(shortest_runs(lines, cfg.min_chars), "shortest-runs")
+    prints = prints.select("doc_id", "k", F.explode("every").alias("f")).select("f.fp", "doc_id", "k", "f.a", "f.b")
+    # Numbers instead of a struct, so the aggregate hashes; most runs stand once and end here.
+    often = prints.groupBy("fp").agg(F.min("k").alias("k0"), F.max("k").alias("k1"), F.min("a").alias("a0"), F.max("a").alias("a1"))
+    often = often.where("k0 <> k1 or a0 <> a1").select("fp")
+    hits = written(prints.join(often, "fp"), "repeated-runs")
+    place = F.struct("doc_id", "k", "a")
+    first = hits.groupBy("fp").agg(F.min(place).alias("first"))
+    later = hits.join(first, "fp").where(place != F.col("first"))
+    found = later.groupBy("k").agg(F.sort_array(F.collect_set(F.struct("a", "b"))).alias("found"))
+    # In order of their starts the ends are in order too.
+    begins = F.transform("found", lambda r, i: F.when(r["a"] <= F.get("found", i - 1)["b"] + 1, None).otherwise(r["a"]))
+    stops = F.transform("found", lambda r, i: F.when(F.get("found", i + 1)["a"] <= r["b"] + 1, None).otherwise(r["b"] + 1))
+    return found.select("k", F.zip_with(F.filter(begins, lambda x: x.isNotNull()), F.filter(stops, lambda x: x.isNotNull()),
+                                        lambda a, b: F.struct(a.alias("a"), b.alias("b"))).alias("runs"))
+
+
+def dropped_lines(docs: DataFrame, cfg: Winnow = Winnow(), whole: bool = False) -> DataFrame:
     """(doc_id, n_lines, n_dropped, dropped_chars, dropped) for every row of ``docs``; ``dropped``
-    lists the deleted lines' positions among the compared lines."""
+    lists the deleted lines' positions among the compared lines.  ``whole`` finds every repeat."""
     lines = written(line_table(docs), "lines")
-    out = lines.join(repeated_lines(lines, cfg), "k", "left")
+    out = lines.join((all_repeated_lines if whole else repeated_lines)(lines, cfg), "k", "left")
     gone = F.filter(F.transform("chars", lambda n, i: F.struct(i.alias("i"), n.alias("n"))),
                     lambda x: F.exists("runs", lambda r: (r["a"] <= x["i"]) & (x["i"] < r["b"])))
     gone = F.coalesce(F.when(F.col("runs").isNotNull(), gone), F.array().cast("array<struct<i:int,n:int>>"))
@@ -186,7 +236,7 @@ def line_dedup(docs: DataFrame, cfg: Winnow = Winnow()) -> DataFrame:
     lines = written(line_table(docs), "lines")
     places = lines.select("k", "at").dropDuplicates(["k"])
     spans = F.transform("runs", lambda r: F.struct(F.get("at", r["a"]).alias("a"), F.get("at", r["b"] - 1).alias("b")))
-    cuts = repeated_lines(lines, cfg).join(places, "k").select(F.col("k").alias("__k"), spans.alias("__cuts"))
+    cuts = all_repeated_lines(lines, cfg).join(places, "k").select(F.col("k").alias("__k"), spans.alias("__cuts"))
     kept = docs.withColumn("__k", _key()).join(cuts, "__k", "left")
     rest = F.filter(_segments(F.col("text")), lambda s, i: ~F.exists("__cuts", lambda r: (r["a"] <= i) & (i <= r["b"])))
     cut = F.when(F.col("__cuts").isNotNull(), F.array_join(rest, "")).otherwise(F.col("text"))

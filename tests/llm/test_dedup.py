@@ -78,6 +78,55 @@ def test_line_dedup_equals_brute_force(spark, seed):
     assert sum(r[2] for r in want) > 20
 
 
+def brute_whole(docs, least):
+    """Every line of an equal run of ``least`` characters that stood before, from all pairs of places."""
+    table = [(i, [x for x in (s.strip(LD.WHITE) for s in re.split(r"(?<=\n)|(?<=[.!?] )", t)) if x]) for i, t in docs]
+    out = []
+    for d, (doc_id, lines) in enumerate(table):
+        gone = set()
+        for e in range(d + 1):
+            other = table[e][1]
+            for shift in range(1 if e == d else 1 - len(other), len(lines)):
+                run = []
+                for i in range(max(shift, 0), len(lines) + 1):
+                    if i < len(lines) and i - shift < len(other) and lines[i] == other[i - shift]:
+                        run.append(i)
+                        continue
+                    if sum(len(lines[j]) for j in run) >= least:
+                        gone.update(run)
+                    run = []
+        out.append((doc_id, len(lines), len(gone), sum(len(lines[i]) for i in gone), sorted(gone)))
+    return out
+
+
+def test_whole_line_dedup_equals_all_pairs_of_places(spark):
+    """Repeats of 2 and 3 lines, runs put together from several documents, single characters as lines."""
+    rng = random.Random(4)
+    pool = [rng.choice("abcdefghij") * rng.choice([1, 2, 25, 30, 35, 45, 70]) + str(i) for i in range(30)]
+    a, b, c = "a" * 25, "b" * 25, "c" * 25
+    texts = [f"{a}\n{b}", f"{b}\n{c}", f"{a}\n{b}\n{c}", f"x {a}\n{a}\n{b}\n{c}\nend", "", "\n".join("pqrst" * 40), "\n".join("zpqrst" * 40)]
+    for _ in range(70):
+        lines = [rng.choice(pool) for _ in range(rng.randint(0, 9))]
+        source = rng.choice(texts).split("\n")
+        at = rng.randrange(len(source))
+        texts.append("\n".join(lines[:4] + source[at:at + rng.randint(1, 4)] + lines[4:]))
+    docs = list(enumerate(texts))
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    got = {tuple(r[:4]) + (tuple(r.dropped),) for r in LD.dropped_lines(df, LD.Winnow(min_chars=60), whole=True).collect()}
+    want = {(*r[:4], tuple(r[4])) for r in brute_whole(docs, 60)}
+    assert got == want
+    first = brute_dropped(docs, LD.Winnow(min_chars=60))
+    assert sum(r[2] for r in first) < sum(r[2] for r in want)      # what fingerprints at their first places miss
+
+
+def test_line_dedup_cuts_two_lines_in_any_surroundings(spark):
+    rng = random.Random(3)
+    one, two = "one " * 25 + "end.", "two " * 25 + "end."
+    docs = [(i, "\n".join([str(rng.random()) for _ in range(4)] + [one, two] + [str(rng.random()) for _ in range(4)])) for i in range(30)]
+    got = LD.line_dedup(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+    assert sum(one in r.text or two in r.text for r in got) == 1
+
+
 def test_line_dedup_cuts_the_later_passage(spark):
     passage = "It was a long passage that stood in many texts. It had a second sentence as well. And then a third that told some more. The fourth ended it all."
     docs = spark.createDataFrame([(1, f"First words.\n{passage}\nEnd of one."), (2, f"Other start. {passage} Other end."),
