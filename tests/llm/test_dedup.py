@@ -119,6 +119,13 @@ def test_whole_line_dedup_equals_all_pairs_of_places(spark):
     assert sum(r[2] for r in first) < sum(r[2] for r in want)      # what fingerprints at their first places miss
 
 
+def test_line_dedup_cuts_a_run_whose_parts_first_stood_elsewhere(spark):
+    a, b, c = "a" * 60, "b" * 60, "c" * 60
+    docs = [(1, f"{a}\n{b}"), (2, f"{b}\n{c}"), (3, f"{a}\n{b}\n{c}"), (4, f"{a}\n{b}\n{c}")]
+    got = {r.doc_id: r.text for r in LD.line_dedup(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    assert got == dict(docs) | {4: ""}
+
+
 def test_line_dedup_cuts_two_lines_in_any_surroundings(spark):
     rng = random.Random(3)
     one, two = "one " * 25 + "end.", "two " * 25 + "end."
