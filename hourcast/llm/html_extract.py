@@ -4,8 +4,10 @@ The standard library's parser streams its events into lines, one for each block
 (paragraph, heading, list item, table row).  A line's ratio is its characters over its
 tags.  The ratios are smoothed with a Gaussian kernel, and lines at or above a threshold (a share of
 the ratios' standard deviation) form the content clusters.  The region is the deepest
-element that holds nearly all characters of these clusters; all its lines are the article,
-short ones too, as only an element's role drops a line: menus, headers, footers, sidebars,
+element that holds nearly all characters of these clusters, widened to the article it is a part of:
+the article or main element around it if there is one (main, if only that has the headings), else
+out of lists, tables, sections and the like, to a heading if it holds none, and on while nothing but
+text is added beside it, that is no navigation, sidebar or page footer.  All its lines are the article, short ones too, as only an element's role drops a line: menus, headers, footers, sidebars,
 notices, adverts, forms, scripts, styles and reader comments, known by tag, role, class or
 id, hidden elements, and lines that are nothing but several links.
 
@@ -39,6 +41,12 @@ BLOCKS = set("address article aside blockquote body caption center dd details di
              "figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol p pre search section "
              "summary table tbody tfoot thead tr ul".split())
 REGIONS = set("article blockquote body center details dialog div dl fieldset figure html main ol section table ul".split())
+# Regions that are a part of a text, never a whole one.
+PARTS = set("blockquote center details dl fieldset figure ol section table ul".split())
+PAGE_TAGS = set("aside menu nav".split())
+PAGE_NAMES = set("banner complementary contentinfo footer header masthead menu menubar nav navbar navigation sidebar toolbar "
+                 "topbar".split())
+PAGE_LEVELS = {"", "html", "body"}
 SPACES = {"br", "td", "th", "wbr"}
 # An end tag may be left out; a new element of the list ends an open one.
 IMPLIED_END = {"p": BLOCKS, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr"}, "option": {"option"}}
@@ -82,13 +90,25 @@ def is_dropped(tag: str, attrs: list[tuple[str, str | None]]) -> bool:
     return False
 
 
+def is_of_page(tag: str, attrs: list[tuple[str, str | None]], region: str) -> bool:
+    """True if a dropped element in a region of that name is the page's, not a part of an article."""
+    if tag in PAGE_TAGS or tag in ("header", "footer") and region in PAGE_LEVELS:
+        return True
+    parts = (p.lower() for name, value in attrs if name in ("class", "id", "role") for p in NAME_PARTS(value or ""))
+    return tag not in ("header", "footer") and not PAGE_NAMES.isdisjoint(parts)
+
+
 class Lines(HTMLParser):
-    """Collects a page's lines: text, tags, characters in links, links, region, whether dropped."""
+    """Collects a page's lines: text, tags, characters in links, links, region, whether dropped.
+
+    ``regions`` has the regions' element names, ``heads`` and ``of_page`` the headings and the page's
+    dropped elements right in them."""
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.lines: list[tuple[str, int, int, int, int, bool]] = []
         self.parents = [-1]
+        self.regions, self.heads, self.of_page = [""], [0], [0]
         self.stack: list[tuple[str, int, bool]] = [("", 0, False)]
         self.text: list[str] = []
         self.tags = self.link_chars = self.links = self.in_link = 0
@@ -120,9 +140,15 @@ class Lines(HTMLParser):
         drop = dropped or is_dropped(tag, attrs)
         if drop != dropped:
             self.end_line()
+            self.of_page[region] += is_of_page(tag, attrs, self.regions[region])
         if tag in REGIONS and not drop:
             self.parents.append(region)
+            self.regions.append(tag)
+            self.heads.append(0)
+            self.of_page.append(0)
             region = len(self.parents) - 1
+        if tag in ("h1", "h2") and not drop:
+            self.heads[region] += 1
         if drop or tag in BLOCKS:
             self.stack.append((tag, region, drop))
 
@@ -159,8 +185,31 @@ def smoothed(ratios: np.ndarray) -> np.ndarray:
     return np.convolve(ratios, kernel)[middle] / np.convolve(np.ones(len(ratios)), kernel)[middle]
 
 
-def main_region(lines: list[tuple], parents: list[int]) -> set[int]:
-    """The regions inside the deepest one that holds REGION_SHARE of the content clusters' characters."""
+def widened(best: int, page: Lines) -> int:
+    """The region of the whole text that region ``best`` is a part of."""
+    around = [best]
+    while page.parents[around[-1]] >= 0:
+        around.append(page.parents[around[-1]])
+    heads, of_page = list(page.heads), list(page.of_page)
+    for region in range(len(page.parents) - 1, 0, -1):
+        heads[page.parents[region]] += heads[region]
+        of_page[page.parents[region]] += of_page[region]
+    articles = [r for r in around if page.regions[r] == "article"]
+    mains = [r for r in around if page.regions[r] == "main"]
+    if articles and (heads[articles[-1]] or not mains or not heads[mains[-1]]):
+        return articles[-1]
+    if mains:
+        return mains[-1]
+    at = next((i for i, r in enumerate(around) if page.regions[r] not in PARTS))
+    at = next((i for i in range(at, len(around)) if heads[around[i]]), at)
+    while at + 1 < len(around) and of_page[around[at + 1]] == of_page[around[at]]:
+        at += 1
+    return around[at]
+
+
+def main_region(lines: list[tuple], page: Lines) -> set[int]:
+    """The regions inside the widened deepest one that holds REGION_SHARE of the content clusters' characters."""
+    parents = page.parents
     size = np.array([len(line[0]) for line in lines], float)
     ratio = smoothed(size / np.maximum(1, [line[1] for line in lines]))
     content = ratio >= THRESHOLD * ratio.std()
@@ -171,7 +220,7 @@ def main_region(lines: list[tuple], parents: list[int]) -> set[int]:
             inside[region] += n
             region = parents[region]
     # Parents come before their children, so the last region that holds enough is the deepest.
-    best = int(np.flatnonzero(inside >= REGION_SHARE * inside[0])[-1])
+    best = widened(int(np.flatnonzero(inside >= REGION_SHARE * inside[0])[-1]), page)
     found = {best}
     for region, parent in enumerate(parents):
         if parent in found:
@@ -189,7 +238,7 @@ def extract(html: str) -> str:
     lines = [x for x in lines if not (x[3] > 1 and x[2] >= len(x[0].replace(" ", "")))]
     if not lines:
         return ""
-    region = main_region(lines, parser.parents)
+    region = main_region(lines, parser)
     return "\n\n".join(line[0] for line in lines if line[4] in region)
 
 

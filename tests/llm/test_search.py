@@ -107,6 +107,18 @@ def test_extract(page, want):
     assert HX.extract(page) == "\n\n".join(" ".join(w.split()) for w in want)
 
 
+@pytest.mark.parametrize("page, want", [
+    (f"<body><nav>n</nav><article><h1>T</h1><div class=entry><p>{LONG}</p></div></article><div>x</div><footer>f</footer></body>", ["T", LONG]),
+    (f"<nav>n</nav><article><section>{LONG * 40}</section><section>One more.</section></article><div>x</div>", [LONG * 40, "One more."]),
+    (f"<main><h1>T</h1><article><p>{LONG}</p></article></main>", ["T", LONG]),
+    (f"<body><nav>n</nav><div id=c><p>Intro.</p><ul>{f'<li>{LONG}' * 30}</ul></div><div>x</div></body>", ["Intro.", *[LONG] * 30]),
+    (f"<body><nav>n</nav><p>Intro.</p><table>{f'<tr><td>{LONG}' * 30}</table><p>End.</p><footer>f</footer></body>", ["Intro.", *[LONG] * 30, "End."]),
+    (f"<body><nav>n</nav><div class=post><h1>T</h1><div><p>{LONG}</p></div><div class=comments>c</div></div><div>x</div></body>", ["T", LONG]),
+    (f"<body><nav>n</nav><div><p>By line</p><div><div><h2>T</h2><p>{LONG}</p></div></div></div><div>x</div></body>", ["By line", "T", LONG])])
+def test_extract_keeps_the_article_around_its_longest_part(page, want):
+    assert HX.extract(page) == "\n\n".join(" ".join(w.split()) for w in want)
+
+
 def test_pages_edges(spark):
     df = spark.createDataFrame([(1, None, None, 3), (1, "u", "", 3), (2, "u", "<p>x", 3), (2, "u", "<p>x", 3), (3, "u", "<" * 5000, 3)],
                                "page_id long, url string, html string, extra int")
