@@ -43,6 +43,7 @@ NOTICES = {
     "Unlicense": """This is free and unencumbered software released into the public domain. Anyone is free to copy,
         modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled
         binary, for any purpose, commercial or non-commercial, and by any means.""",
+    "All rights reserved notice": """All rights reserved.""",
     "All rights reserved": """Copyright. All rights reserved. No part of this publication may be reproduced, distributed,
         or transmitted in any form or by any means, without the prior written permission of the publisher.""",
 }

@@ -5,6 +5,7 @@ import random
 import re
 
 import numpy as np
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -146,6 +147,22 @@ def test_licence_query_finds_every_notice(spark):
     assert hits > 10
 
 
+PLANTED = ["Licensed under the Apache License, Version 2.0.", "Released under the MIT License.", "Licensed under CC BY-NC 4.0.",
+           "This work is licensed under the GNU General Public License, version 3.", "All rights reserved."]
+
+
+def test_licence_scan_reports_every_planted_line():
+    docs = [r["text"] for r in pq.read_table("/root/testdata/sf0.01/documents.parquet", columns=["text"]).to_pylist()]
+    scanner, seen = LS.Scanner(NOTICES, LS.Scan()), set()
+    for text in docs:
+        for line in PLANTED:
+            at = (text or "").find(line)
+            if at >= 0:
+                seen.add(line)
+                assert any(m.start <= at and m.end >= at + len(line) - 1 for m in scanner.scan(text)), line
+    assert seen == set(PLANTED)
+
+
 @pytest.mark.parametrize("name", sorted(NOTICES))
 def test_notices_are_found_with_edits_and_spans(name):
     scanner = LS.Scanner(NOTICES, LS.Scan())
