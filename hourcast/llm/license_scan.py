@@ -144,6 +144,8 @@ class Scanner:
         words = WORD.findall(lower)
         found = []
         for n, low, high in self.candidates(self.grams(words)):
+            if len(words) * 100 < self.cfg.least_pct * len(self.notices[n]):
+                continue        # it cannot hold enough of the notice
             matched, first, behind = align(self.notices[n], words, low - self.cfg.band, high + self.cfg.band)
             if matched * 100 >= self.cfg.least_pct * len(self.notices[n]):
                 found.append((matched, matched / len(self.notices[n]), -first, behind, n))

@@ -1,4 +1,36 @@
-"""Licence notices to look for.  Fixed values: public texts, named by licence and form."""
+"""Licence notices to look for.  Fixed values: public texts, named by licence and form.
+
+A text is the whole licence; its first part is a notice of its own, for texts that are cut there."""
+
+_MIT = """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and
+    associated documentation files (the "Software"), to deal in the Software without restriction, including without
+    limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the
+    Software, and to permit persons to whom the Software is furnished to do so, subject to the following
+    conditions: The above copyright notice and this permission notice shall be included in all copies or
+    substantial portions of the Software. THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS
+    OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE
+    AND NONINFRINGEMENT."""
+_BSD = """Redistribution and use in source and binary forms, with or without modification, are permitted provided
+    that the following conditions are met: Redistributions of source code must retain the above copyright notice,
+    this list of conditions and the following disclaimer. Redistributions in binary form must reproduce the above
+    copyright notice, this list of conditions and the following disclaimer in the documentation and/or other
+    materials provided with the distribution."""
+_BSD_ADVERTISING = """All advertising materials mentioning features or use of this software must display the following
+    acknowledgement: This product includes software developed by the organization."""
+_BSD_NAMES = """Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote
+    products derived from this software without specific prior written permission."""
+_BSD_END = """THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES,
+    INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE
+    DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL,
+    SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR
+    SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY,
+    WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE
+    OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."""
+_ISC = """Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is
+    hereby granted, provided that the above copyright notice and this permission notice appear in all copies."""
+_UNLICENSE = """This is free and unencumbered software released into the public domain. Anyone is free to copy,
+    modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled
+    binary, for any purpose, commercial or non-commercial, and by any means."""
 
 NOTICES = {
     "Apache-2.0 notice": """Licensed under the Apache License, Version 2.0.""",
@@ -9,21 +41,20 @@ NOTICES = {
         either express or implied. See the License for the specific language governing permissions and limitations
         under the License.""",
     "MIT notice": """Released under the MIT License.""",
-    "MIT text": """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and
-        associated documentation files (the "Software"), to deal in the Software without restriction, including without
-        limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the
-        Software, and to permit persons to whom the Software is furnished to do so, subject to the following
-        conditions: The above copyright notice and this permission notice shall be included in all copies or
-        substantial portions of the Software. THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS
-        OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE
-        AND NONINFRINGEMENT.""",
-    "BSD text": """Redistribution and use in source and binary forms, with or without modification, are permitted provided
-        that the following conditions are met: Redistributions of source code must retain the above copyright notice,
-        this list of conditions and the following disclaimer. Redistributions in binary form must reproduce the above
-        copyright notice, this list of conditions and the following disclaimer in the documentation and/or other
-        materials provided with the distribution.""",
-    "ISC text": """Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is
-        hereby granted, provided that the above copyright notice and this permission notice appear in all copies.""",
+    "MIT text, first part": _MIT,
+    "MIT text": _MIT + """ IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY,
+        WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR
+        THE USE OR OTHER DEALINGS IN THE SOFTWARE.""",
+    "BSD text, first part": _BSD,
+    "BSD-2-Clause text": f"{_BSD} {_BSD_END}",
+    "BSD-3-Clause text": f"{_BSD} {_BSD_NAMES} {_BSD_END}",
+    "BSD-4-Clause text": f"{_BSD} {_BSD_ADVERTISING} {_BSD_NAMES} {_BSD_END}",
+    "ISC text, first part": _ISC,
+    "ISC text": _ISC + """ THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE
+        INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY
+        SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA
+        OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN
+        CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE.""",
     "GPL-3.0 notice": """This work is licensed under the GNU General Public License, version 3.""",
     "GPL-2.0 notice": """This work is licensed under the GNU General Public License, version 2.""",
     "GPL header": """This program is free software: you can redistribute it and/or modify it under the terms of the GNU
@@ -32,17 +63,36 @@ NOTICES = {
         WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU
         General Public License for more details.""",
     "LGPL-3.0 notice": """This work is licensed under the GNU Lesser General Public License, version 3.""",
+    "AGPL-3.0 notice": """This work is licensed under the GNU Affero General Public License, version 3.""",
     "MPL-2.0 header": """This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of
         the MPL was not distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/.""",
     "CC-BY-4.0 notice": """Licensed under CC BY 4.0.""",
     "CC-BY-SA-4.0 notice": """Licensed under CC BY-SA 4.0.""",
     "CC-BY-NC-4.0 notice": """Licensed under CC BY-NC 4.0.""",
+    "CC-BY-ND-4.0 notice": """Licensed under CC BY-ND 4.0.""",
+    "CC-BY-NC-SA-4.0 notice": """Licensed under CC BY-NC-SA 4.0.""",
+    "CC-BY-NC-ND-4.0 notice": """Licensed under CC BY-NC-ND 4.0.""",
     "CC-BY-4.0 work": """This work is licensed under a Creative Commons Attribution 4.0 International License.""",
     "CC-BY-SA-4.0 work": """This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International
         License.""",
-    "Unlicense": """This is free and unencumbered software released into the public domain. Anyone is free to copy,
-        modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled
-        binary, for any purpose, commercial or non-commercial, and by any means.""",
+    "CC-BY-NC-4.0 work": """This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International
+        License.""",
+    "CC-BY-ND-4.0 work": """This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International
+        License.""",
+    "CC-BY-NC-SA-4.0 work": """This work is licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International
+        License.""",
+    "CC-BY-NC-ND-4.0 work": """This work is licensed under a Creative Commons Attribution-NonCommercial-NoDerivatives 4.0 International
+        License.""",
+    "Unlicense, first part": _UNLICENSE,
+    "Unlicense": _UNLICENSE + """ In jurisdictions that recognize copyright laws, the author or authors of this software dedicate
+        any and all copyright interest in the software to the public domain. We make this dedication for the benefit of
+        the public at large and to the detriment of our heirs and successors. We intend this dedication to be an overt
+        act of relinquishment in perpetuity of all present and future rights to this software under copyright law. THE
+        SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO
+        THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE
+        AUTHORS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR
+        OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE
+        SOFTWARE. For more information, please refer to http://unlicense.org""",
     "All rights reserved notice": """All rights reserved.""",
     "All rights reserved": """Copyright. All rights reserved. No part of this publication may be reproduced, distributed,
         or transmitted in any form or by any means, without the prior written permission of the publisher.""",

@@ -163,6 +163,30 @@ def test_licence_scan_reports_every_planted_line():
     assert seen == set(PLANTED)
 
 
+@pytest.mark.parametrize("name, start, end", [
+    ("MIT text", "Permission is hereby granted", "OTHER DEALINGS IN THE SOFTWARE"),
+    ("ISC text", "Permission to use", "PERFORMANCE OF THIS SOFTWARE"),
+    ("BSD-2-Clause text", "Redistribution and use", "POSSIBILITY OF SUCH DAMAGE"),
+    ("BSD-3-Clause text", "Redistribution and use", "POSSIBILITY OF SUCH DAMAGE"),
+    ("BSD-4-Clause text", "Redistribution and use", "POSSIBILITY OF SUCH DAMAGE"),
+    ("Unlicense", "This is free", "please refer to http://unlicense.org")])
+def test_whole_licences_are_covered_to_their_end(name, start, end):
+    text = f"Copyright 2020 someone. {NOTICES[name]} More."
+    found = LS.Scanner(NOTICES, LS.Scan()).scan(text)
+    assert [(m.notice, m.coverage) for m in found] == [(name, 1.0)]
+    span = " ".join(text[found[0].start:found[0].end].split())
+    assert span.startswith(start) and span.endswith(end)
+
+
+@pytest.mark.parametrize("text, name", [
+    ("Permission is hereby granted, free of charge, to any person obtaining a copy", None),
+    ("Licensed under CC BY-NC-SA 4.0.", "CC-BY-NC-SA-4.0 notice"), ("Licensed under CC BY-ND 4.0.", "CC-BY-ND-4.0 notice"),
+    ("Licensed under CC BY-NC 4.0.", "CC-BY-NC-4.0 notice"), ("Licensed under CC BY 4.0.", "CC-BY-4.0 notice"),
+    ("This work is licensed under the GNU Affero General Public License, version 3.", "AGPL-3.0 notice")])
+def test_licence_variants_have_their_own_names(text, name):
+    assert [m.notice for m in LS.Scanner(NOTICES, LS.Scan()).scan(text)] == ([name] if name else [])
+
+
 @pytest.mark.parametrize("name", sorted(NOTICES))
 def test_notices_are_found_with_edits_and_spans(name):
     scanner = LS.Scanner(NOTICES, LS.Scan())
