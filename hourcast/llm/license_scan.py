@@ -2,9 +2,9 @@
 
 Texts are compared as words ([a-z0-9]+ of the lower-cased text).  Every window of ``window``
 consecutive ``gram``-word hashes of a notice gives its minimum to an inverted index of
-(hash, notice, position).  A document's grams are looked up in it; hits of one notice on near
+(hash, notice, position); of a notice shorter than a window and the band, every gram is in it.  A document's grams are looked up in it; hits of one notice on near
 diagonals form a candidate, which is aligned with the notice inside a band around them
-(local alignment: a match 2, a mismatch or a gap -1).  A candidate with at least ``least_pct``
+(local alignment: a match 2, a mismatch or a gap -1), and again left and right of a place found.  A candidate with at least ``least_pct``
 percent of the notice's words matched is reported with its coverage and its span of
 characters.  Of reports that overlap, the one with more matched words stays, then the one
 with the higher coverage.
@@ -23,6 +23,7 @@ from __future__ import annotations
 
 import re
 from collections import defaultdict
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -92,8 +93,9 @@ class Scanner:
         index = defaultdict(list)
         for n, words in enumerate(self.notices):
             grams = self.grams(words)
-            for a in range(max(1, len(grams) - cfg.window + 1)):
-                part = grams[a:a + cfg.window]
+            window = cfg.window if len(words) >= cfg.window + cfg.gram - 1 + cfg.band else 1
+            for a in range(max(1, len(grams) - window + 1)):
+                part = grams[a:a + window]
                 if len(part):
                     at = a + int(np.argmin(part))
                     index[int(grams[at])].append((n, at))
@@ -139,16 +141,27 @@ class Scanner:
             found.append((n, low, high))
         return found
 
+    def places(self, n: int, words: list[str], low: int, high: int, start: int, stop: int) -> Iterator[tuple[int, int, int]]:
+        """(matches, first, behind the last) of notice ``n`` in the band at words start to stop, each place it has there."""
+        todo, need = [(start, stop)], self.cfg.least_pct * len(self.notices[n])
+        while todo:
+            start, stop = todo.pop()
+            if (stop - start) * 100 < need:
+                continue        # too few words are left
+            matched, first, behind = align(self.notices[n], words[start:stop], low - start, high - start)
+            if matched * 100 >= need:
+                yield matched, start + first, start + behind
+                todo += [(start, start + first), (start + behind, stop)]
+
     def scan(self, text: str) -> list[Match]:
         lower = text.lower()
         words = WORD.findall(lower)
         found = []
         for n, low, high in self.candidates(self.grams(words)):
-            if len(words) * 100 < self.cfg.least_pct * len(self.notices[n]):
-                continue        # it cannot hold enough of the notice
-            matched, first, behind = align(self.notices[n], words, low - self.cfg.band, high + self.cfg.band)
-            if matched * 100 >= self.cfg.least_pct * len(self.notices[n]):
-                found.append((matched, matched / len(self.notices[n]), -first, behind, n))
+            low, high = low - self.cfg.band, high + self.cfg.band
+            size = len(self.notices[n])
+            for matched, first, behind in self.places(n, words, low, high, max(0, low), min(len(words), high + size)):
+                found.append((matched, matched / size, -first, behind, n))
         chosen = []
         for matched, _, first, behind, n in sorted(found, reverse=True):
             if all(behind <= a or -first >= b for _, a, b, _ in chosen):

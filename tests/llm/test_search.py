@@ -201,6 +201,23 @@ def test_notices_are_found_with_edits_and_spans(name):
     assert found[0].coverage >= (0.9 if len(words) > 20 else 1.0)
 
 
+@pytest.mark.parametrize("between", ["\n", " ", " one two ", " one two three four five six seven eight nine ten "])
+def test_short_notices_in_a_row_are_each_found(between):
+    notice = "Released under the MIT License."
+    text = f"Some words. {between.join([notice] * 4)} All rights reserved. All rights reserved."
+    found = LS.Scanner(NOTICES, LS.Scan()).scan(text)
+    assert [m.notice for m in found] == ["MIT notice"] * 4 + ["All rights reserved notice"] * 2
+    assert all(text[m.start:m.end] + "." in (notice, "All rights reserved.") for m in found)
+
+
+def test_short_notice_with_one_word_changed():
+    words = "Released under the MIT License".split()
+    scanner = LS.Scanner(NOTICES, LS.Scan())
+    for at in (0, 4):       # a word in the middle leaves no three in a row
+        text = " ".join([*words[:at], "Other", *words[at + 1:]])
+        assert [(m.notice, m.matched) for m in scanner.scan(text)] == [("MIT notice", 4)]
+
+
 def test_alignment_equals_full_alignment():
     """Inside a band that holds everything, the score is that of an unbanded local alignment."""
     rng = random.Random(2)
