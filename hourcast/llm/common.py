@@ -28,7 +28,9 @@ def id_and_text(docs: DataFrame) -> DataFrame:
 
 
 ARROW_TYPES = {"long": pa.int64(), "int": pa.int32(), "double": pa.float64(), "boolean": pa.bool_(),
-               "string": pa.string(), "binary": pa.binary(), "array<long>": pa.list_(pa.int64())}
+               "string": pa.string(), "binary": pa.binary(), "array<long>": pa.list_(pa.int64()),
+               "array<struct<kind:string,start:int,end:int,disguised:boolean>>": pa.list_(pa.struct(
+                   [("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32()), ("disguised", pa.bool_())]))}
 
 
 def append_columns(df: DataFrame, new: dict[str, str], start: Callable[[], Callable], column: str = "text") -> DataFrame:
@@ -41,9 +43,8 @@ def append_columns(df: DataFrame, new: dict[str, str], start: Callable[[], Calla
     taken = {c.lower() for c in df.columns} & {c.lower() for c in new}
     if taken:
         raise ValueError(f"the input already has columns {sorted(taken)}")
-    schema = StructType(list(df.schema.fields))
-    for name, kind in new.items():
-        schema = schema.add(name, kind)
+    added_fields = StructType.fromDDL(", ".join(f"`{name}` {kind}" for name, kind in new.items()))
+    schema = StructType([*df.schema.fields, *added_fields.fields])
     fields = [pa.field(name, ARROW_TYPES[kind]) for name, kind in new.items()]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -7,17 +7,20 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hourcast.llm.common import id_and_text, read_table
+from hourcast.llm.hard_negatives import mine
 from hourcast.llm.html_extract import extract_pages
 from hourcast.llm.knn import top_k
 from hourcast.llm.license_scan import scan_licenses
 from hourcast.llm.line_dedup import dropped_lines
 from hourcast.llm.ngram_join import near_duplicates
 from hourcast.llm.packing import pack
+from hourcast.llm.personal_data import KINDS, find_personal_data
 from hourcast.llm.quality_classifier import score_quality
 from hourcast.llm.quality_rules import quality_rules
 from hourcast.llm.sentencepiece_codec import encode_texts
 from hourcast.llm.sql import SQL  # noqa: F401
 from hourcast.llm.token_counts import token_counts
+from hourcast.llm.whitening import whiten
 from hourcast.session import scratch_path
 
 
@@ -76,6 +79,30 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_licenses(id_and_text(read_table(spark, sf_dir, "documents"))).drop("text")
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every 50th vector, one label step on for every 7th one."""
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return mine(read_table(spark, sf_dir, "embeddings").withColumn("label", label), F.col("vec_id") % 50 == 0)
+
+
+def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every vector on the first eight whitened components; ``deviation`` is null beyond a long."""
+    found = whiten(read_table(spark, sf_dir, "embeddings"))
+    return found.withColumn("deviation", F.col("deviation").try_cast("long"))
+
+
+def op13_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts and digest of the base spans, and all spans, of every document."""
+    docs = find_personal_data(id_and_text(read_table(spark, sf_dir, "documents")))
+
+    def text(spans):
+        return F.concat_ws(",", F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))))
+    base = F.filter("personal_data", lambda s: ~s["disguised"])
+    kinds = F.transform(base, lambda s: s["kind"])
+    counts = [(F.size(kinds) - F.size(F.array_remove(kinds, kind))).cast("long").alias(f"n_{kind}") for kind in KINDS]
+    return docs.select("doc_id", *counts, F.sha2(text(base), 256).alias("base_sha256"), text("personal_data").alias("spans"))
+
+
 REGISTRY = {
     "op1_line_dedup": op1_line_dedup,
     "op2_quality_classifier": op2_quality_classifier,
@@ -87,4 +114,7 @@ REGISTRY = {
     "op8_token_counts": op8_token_counts,
     "op9_exact_top_k": op9_exact_top_k,
     "op10_license_scan": op10_license_scan,
+    "op11_hard_negatives": op11_hard_negatives,
+    "op12_embedding_whitening": op12_embedding_whitening,
+    "op13_personal_data": op13_personal_data,
 }

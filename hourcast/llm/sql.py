@@ -62,3 +62,18 @@ s as (select query_id, vec_id, list_dot_product(q::double[], v::double[])::bigin
       from q join v on v.vec_id <> q.query_id and len(v) = len(q)),
 r as (select *, row_number() over (partition by query_id order by score desc, vec_id) as rank from s)
 select query_id, rank::int as rank, vec_id, score from r where rank <= 5"""
+
+SQL["op11_hard_negatives"] = """with v as (
+  select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+         list_transform(embedding, lambda x: floor(256 * x::double)::bigint) as v from embeddings
+  where vec_id is not null and label is not null and len(embedding) > 0
+    and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+a as (select vec_id as anchor_id, min({'l': label, 'v': v}) as a from v where vec_id % 50 = 0 group by vec_id),
+s as (select anchor_id, vec_id, label = a.l as same, list_dot_product(a.v::double[], v::double[])::bigint as score
+      from a join v on v.vec_id <> a.anchor_id and len(v) = len(a.v)),
+p as (select anchor_id, vec_id as positive_id, score as positive_score from s where same
+      qualify row_number() over (partition by anchor_id order by score desc, vec_id) <= 5)
+select anchor_id, positive_id, row_number() over (partition by anchor_id, positive_id order by score desc, vec_id)::int as rank,
+       vec_id as negative_id, positive_score, score as negative_score
+from p join s using (anchor_id) where not same and 100 * score between 50 * positive_score and 95 * positive_score
+qualify rank <= 3"""
