@@ -1,7 +1,7 @@
 """Scoring measured hours against the expected volume and raising alerts.
 
 Per row: ``measured = floor(raw count)``, ``predicted = floor(exp(prediction))``
-and ``error_pct = 100 * (predicted - measured) / measured``.  A positive error
+(after rounding to 6 decimals) and ``error_pct = 100 * (predicted - measured) / measured``.  A positive error
 means fewer successes than expected.  A row alerts when the error exceeds the
 threshold, or when nothing was measured although something was expected (a
 total outage, +Infinity in IEEE arithmetic).  0 measured and 0 expected is no
@@ -20,7 +20,8 @@ from hourcast.operators.evaluate import ALERT_PCT
 def score_errors(scored: DataFrame, prediction: str = "prediction", raw: str = "raw_label",
                  threshold: float = ALERT_PCT) -> DataFrame:
     measured = trunc_to_long(F.col(raw))
-    predicted = trunc_to_long(F.exp(F.col(prediction)))
+    # 6 decimals first: a leaf of rows that all measured 2 predicts 2, whatever the last bits of its mean.
+    predicted = trunc_to_long(round_half_up(F.exp(F.col(prediction)), 6))
     out = scored.withColumns({"measured": measured, "predicted": predicted})
     err = F.try_divide((F.col("predicted") - F.col("measured")).cast("double"),
                        F.col("measured").cast("double")) * F.lit(100.0)

@@ -115,7 +115,7 @@ def segment_trees(spark: SparkSession, root: str) -> DataFrame:
     return read_trees(spark, f"{root}/segment=*/stages/*DecisionTree*/data", ["segment"])
 
 
-def _walk(values: Column, levels: Column) -> Column:
+def walk(values: Column, levels: Column) -> Column:
     """The node reached in the row's ``nodes`` after at most ``levels`` splits."""
     def step(at, _):
         node = F.get("nodes", at)
@@ -125,7 +125,7 @@ def _walk(values: Column, levels: Column) -> Column:
     return F.get("nodes", F.when(levels > 0, end).otherwise(F.lit(0)))
 
 
-def _checked(features: list[str]) -> Column:
+def checked(features: list[str]) -> Column:
     """The features as an array; a NULL or NaN raises, as it does when a vector is assembled."""
     cells = [F.col(c).cast("double") for c in features]
     bad = F.lit(False)
@@ -142,8 +142,8 @@ def score_trees(df: DataFrame, trees: DataFrame, features: list[str], keep: list
     feature raises.  The tree table has one row per segment; the planner
     broadcasts it when its measured size allows and shuffles otherwise.
     """
-    rows = df.select(*keep, *[c for c in ["segment"] if c not in keep], _checked(features).alias("_x"))
-    leaf = F.when(F.col("nodes").isNotNull(), _walk(F.col("_x"), F.col("depth"))["prediction"])
+    rows = df.select(*keep, *[c for c in ["segment"] if c not in keep], checked(features).alias("_x"))
+    leaf = F.when(F.col("nodes").isNotNull(), walk(F.col("_x"), F.col("depth"))["prediction"])
     return rows.join(trees, "segment", "left").select(*keep, leaf.alias("prediction"))
 
 
@@ -191,9 +191,9 @@ def grid_search(spark: SparkSession, train: DataFrame, features: list[str], segm
         _pool_map(fit_deep, [(p, seg, b) for p, seg in zip(parts, segments) for b in bins], parallelism)
 
     trees = read_trees(spark, f"{scratch}/bins=*/segment=*/data", ["segment", "bins"])
-    rows = validation.select("segment", F.col(label).alias("_y"), _checked(features).alias("_x"))
+    rows = validation.select("segment", F.col(label).alias("_y"), checked(features).alias("_x"))
     at_depth = [F.struct(F.lit(d).alias("max_depth"),
-                         _walk(F.col("_x"), F.least("depth", F.lit(d)))["prediction"].alias("p")) for d in depths]
+                         walk(F.col("_x"), F.least("depth", F.lit(d)))["prediction"].alias("p")) for d in depths]
     candidates = rows.join(trees, "segment").select("segment", "bins", "_y", F.inline(F.array(*at_depth)))
     rmse = candidates.groupBy("segment", "max_depth", F.col("bins").alias("max_bins")).agg(
         F.count(F.lit(1)).alias("n_validation"), F.sqrt(F.avg((F.col("_y") - F.col("p")) ** 2)).alias("validation_rmse"))

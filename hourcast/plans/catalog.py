@@ -13,10 +13,12 @@ from pyspark.sql import functions as F
 
 from hourcast.functions.numeric import canonical
 from hourcast import schema as S
+from hourcast.operators import elastic as EN
 from hourcast.operators import evaluate as EVL
 from hourcast.operators import features as FE
 from hourcast.operators import linear as LN
 from hourcast.operators import monitor as MON
+from hourcast.operators import pooled_trees as PT
 from hourcast.operators import profile as P
 from hourcast.operators import tree as TR
 from hourcast.session import is_directory, scratch_path, table_path
@@ -543,19 +545,20 @@ STUMP_FEATURES = ["hour_of_day", "week_of_month"]
 
 @register("tree_stump")
 def q_tree_stump(spark, sf_dir):
-    """Trees of depth 1 on hour and week: the rules, which plain SQL can find as well."""
+    """Trees of depth 1 on hour and week: leaves and squared error of the fitted split per segment,
+    which is the least of all splits, however ties between splits are broken."""
     train, _ = raw_tree_frames(spark, sf_dir)
     _, trees = saved_trees(spark, train, STUMP_FEATURES, "stumps", max_depth=1)
-    rules = TR.tree_rules(trees, STUMP_FEATURES)
-    return canonical(rules.select("segment", "conditions", "prediction"))
+    leaves = TR.tree_rules(trees, STUMP_FEATURES).groupBy("segment").agg(F.count(F.lit(1)).alias("n_leaves"))
+    scored = TR.score_trees(train, trees, STUMP_FEATURES, ["segment", "row_key", "label"])
+    errors = scored.groupBy("segment").agg(F.sum((F.col("label") - F.col("prediction")) ** 2).alias("squared_error"))
+    return canonical(leaves.join(errors, "segment"))
 
 
 @register("grid_search_report")
 def q_grid_search_report(spark, sf_dir):
-    """Depth x bins grid per segment (one deep fit per bins value, depths by truncation)."""
-    frame = profile_frame(spark, sf_dir)
-    report, _ = TR.grid_search(spark, frame, S.FEATURES_6, segment_ids(frame), scratch_path(spark, "grid"))
-    return report
+    """Depth x bins grid of all segments (one fit grows all trees, depths by truncation)."""
+    return canonical(PT.grid_search(profile_frame(spark, sf_dir), S.FEATURES_6, scratch_path(spark, "grid")))
 
 
 @register("grid_search_candidates")
@@ -575,26 +578,36 @@ def q_tree_rules(spark, sf_dir):
 
 @register("train_segments_report")
 def q_train_segments_report(spark, sf_dir):
-    """Per segment: 90/10 split, grid search on 90, save the best pipeline, score the 10, one metrics pass."""
+    """Per segment: 90/10 split, grid search on 90, save the best tree, load it, score the 10, one metrics pass."""
     frame = FE.with_split_flag(profile_frame(spark, sf_dir), train_pct=90)
     train, test = frame.where(F.col("is_train")), frame.where(~F.col("is_train"))
-    segs = segment_ids(train)
-    _, best = TR.grid_search(spark, train, S.FEATURES_6, segs, scratch_path(spark, "grid"))
-    root = TR.save_segment_models(best, scratch_path(spark, "best-models"))   # best pipeline per segment
-    scored = TR.score_trees(test, TR.segment_trees(spark, root), S.FEATURES_6, ["segment", "label"])
+    scratch = scratch_path(spark, "train-segments")
+    report = PT.grid_search(train, S.FEATURES_6, f"{scratch}/grid")
+    path = PT.save_trees(PT.refit_best(train, report, S.FEATURES_6, f"{scratch}/refit"), f"{scratch}/best-trees")
+    trees = PT.load_trees(spark, path)
+    scored = TR.score_trees(test, trees.select("segment", "nodes", "depth"), S.FEATURES_6, ["segment", "label"])
     met = EVL.metrics(scored, by=["segment"], one_sided_t=0.1)
-    params = spark.createDataFrame(
-        [(int(s), TR.tree_of(m).getMaxDepth(), TR.tree_of(m).getMaxBins(), TR.tree_of(m).numNodes)
-         for s, m in best.items()],
-        "segment int, max_depth int, max_bins int, num_nodes int")
-    return params.join(met, "segment", "left")
+    params = trees.select("segment", "max_depth", "max_bins", PT.n_nodes().alias("num_nodes"))
+    return canonical(params.join(met, "segment", "left"))
+
+
+def pooled_trees(spark, sf_dir):
+    """The test rows and the trees of all segments, from one fit."""
+    train, test = raw_tree_frames(spark, sf_dir)
+    return test, PT.fit_trees(train, FE.FEATURES_7, scratch_path(spark, "pooled-trees")).drop("max_bins")
+
+
+@register("pooled_tree_scores")
+def q_pooled_tree_scores(spark, sf_dir):
+    """Every held-out row scored by its segment's tree; all trees grown together."""
+    test, trees = pooled_trees(spark, sf_dir)
+    return canonical(TR.score_trees(test, trees, FE.FEATURES_7, ["segment", "row_key", "label"]))
 
 
 @register("feature_file_alerts")
 def q_feature_file_alerts(spark, sf_dir):
-    """A feature file scored with saved trees: alerts with the named feature values."""
-    train, _ = raw_tree_frames(spark, sf_dir)
-    _, trees = saved_trees(spark, train, FE.FEATURES_7, "tree-models")
+    """A feature file scored with the trees of all segments: alerts with the named feature values."""
+    _, trees = pooled_trees(spark, sf_dir)
     path = WR.write_feature_csv(features(spark, sf_dir), scratch_path(spark, "features-csv"))
     rows = RD.read_feature_csv(spark, path).withColumns({
         "segment": F.col("carrier_id").cast("int"), "raw_label": F.col(S.LABEL_RAW),
@@ -603,12 +616,35 @@ def q_feature_file_alerts(spark, sf_dir):
     return canonical(MON.alerts(scored, features=MON.features_text(FE.FEATURES_7)))
 
 
+ELASTIC = [(name, reg, alpha) for name, reg, alpha, _ in TR.ELASTIC_FAMILY]
+
+
+def elastic_models(spark, sf_dir):
+    """Lasso, ridge and elastic net of every segment, from the moments of the 80 % part, and the other rows."""
+    train, test = FE.hash_split(profile_frame(spark, sf_dir), train_pct=80)
+    fits = EN.elastic_fit(EN.centred_moments(train, S.FEATURES_6), len(S.FEATURES_6), ELASTIC)
+    return persisted(spark, fits, "elastic-models"), test
+
+
 @register("elastic_family_rmse")
 def q_elastic_family_rmse(spark, sf_dir):
-    frame = profile_frame(spark, sf_dir)
-    train, _ = FE.hash_split(frame, train_pct=80)
-    fits = TR.fit_elastic_family(train, S.FEATURES_6, segment_ids(train))
-    return TR.elastic_report(spark, train, S.FEATURES_6, fits)
+    """Training summary of the family: all segments and settings from one pass of moments."""
+    fits, _ = elastic_models(spark, sf_dir)
+    return canonical(fits.select("segment", "model", "reg_param", "elastic_net_param", "num_instances", "rmse", "r2"))
+
+
+@register("elastic_coefs")
+def q_elastic_coefs(spark, sf_dir):
+    fits, _ = elastic_models(spark, sf_dir)
+    return canonical(LN.coefs_long(fits.drop("reg_param", "elastic_net_param"), S.FEATURES_6))
+
+
+@register("elastic_score_join")
+def q_elastic_score_join(spark, sf_dir):
+    """The held-out rows scored by the whole family."""
+    fits, test = elastic_models(spark, sf_dir)
+    scored = LN.score_linear(test, fits.select("model", "segment", "weights", "intercept"), S.FEATURES_6)
+    return canonical(scored.select("model", "segment", "row_key", "label", "prediction"))
 
 
 # ---------------------------------------------------------------- streaming

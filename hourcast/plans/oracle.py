@@ -7,7 +7,8 @@ Shared common table expressions are composed from the fragments below.
 
 from __future__ import annotations
 
-from hourcast.operators.tree import GRID_BINS, GRID_DEPTHS
+from hourcast.operators.elastic import MAX_SWEEPS, TOLERANCE
+from hourcast.operators.tree import ELASTIC_FAMILY, GRID_BINS, GRID_DEPTHS
 from hourcast.schema import FEATURE_COLUMNS, FEATURES_6, FEATURES_7, MEASURES, SUM_MEASURES
 
 R = 6  # rounding digits, same as the Spark side
@@ -318,7 +319,7 @@ select model, r6(avg({_TWO})) as accuracy_two_sided from pred group by model"""
 
 ALERTS = GD + """,
 sc as (select segment, row_key, floor(raw_label)::bigint as measured,
-              floor(exp(prediction))::bigint as predicted from pred where model = 'linear'),
+              floor(r6(exp(prediction)))::bigint as predicted from pred where model = 'linear'),
 se as (select *, case when measured <> 0 then (predicted - measured)::double / measured * 100.0 end as error_pct
        from sc),
 al as (select segment, row_key, measured, predicted, error_pct,
@@ -357,9 +358,13 @@ best as (select * from (select *, row_number() over (partition by segment order
          where nth = 1)"""
 
 SQL["tree_stump"] = f"""with {LABELED}{STUMP}
-select segment, name || ' <= ' || t::varchar as conditions, r6(low) as prediction from best
-union all
-select segment, name || ' > ' || t::varchar, r6(high) from best"""
+select segment, 2::bigint as n_leaves, r6(err) as squared_error from best"""
+
+
+def _two_digits(c: str) -> str:
+    """The leading 39 bits, half up at 2 decimals: one rounding, as on the Spark side."""
+    return f"floor(({c} * 16385e0 - ({c} * 16385e0 - {c})) * 100.0 + 0.5) / 100.0"
+
 
 # Days (segment x date, hour 0), scored by the best single split of their segment.
 DAILY = ENRICHED + """,
@@ -367,13 +372,13 @@ d as (select carrier_id, datepart, week_of_month, 0 as hour_of_day,
              sum(avg_response_time * total_attempts) / sum(total_attempts) as avg_response_time, """ + ", ".join(
     f"sum({m}) as {m}" for m in SUM_MEASURES) + """ from w group by 1, 2, 3)"""
 DAY_LABELED = DAILY + LABELED.removeprefix(ENRICHED).replace("from w)", "from d)")
-_TEXT = " || ', ' || ".join(f"'{c}=' || printf('%.2f', floor(r6({c}) * 100.0 + 0.5) / 100.0)" for c in F7)
+_TEXT = " || ', ' || ".join(f"'{c}=' || printf('%.2f', {_two_digits(c)})" for c in F7)
 DAY_ALERTS = DAY_LABELED + STUMP + f""",
 dp as (select segment, row_key, raw_label, {_TEXT} as text,
               case when t is null then (select avg(label) from tr where tr.segment = te.segment)
                    when (case f when 0 then hour_of_day else week_of_month end) <= t then low else high end as prediction
        from te left join best using (segment)),
-ds as (select *, floor(raw_label)::bigint as measured, floor(exp(prediction))::bigint as predicted from dp),
+ds as (select *, floor(raw_label)::bigint as measured, floor(r6(exp(prediction)))::bigint as predicted from dp),
 de as (select *, case when measured <> 0 then (predicted - measured)::double / measured * 100.0 end as error_pct from ds),
 da as (select *, coalesce(error_pct > 45.0, false) or (measured = 0 and predicted > 0) as is_alert from de)"""
 
@@ -395,6 +400,177 @@ select segment, max_depth, max_bins, n_validation, 1::bigint as n_winners
 from n cross join (select unnest({GRID_DEPTHS}) as max_depth) cross join (select unnest({GRID_BINS}) as max_bins)
 where n_validation > 0"""
 
+# ---------------------------------------------------------------- trees of any depth
+
+def tree_ctes(p: str, src: str, features: list[str], depth: int, bins: list[int]) -> str:
+    """Trees grown level by level, as common table expressions whose names begin with ``p``.
+
+    ``src`` has segment, row_key, label, is_fit and the features.  {p}r<d> has the node (root 1,
+    children 2i and 2i + 1) that every row reaches after d splits, per bins value b, and {p}m<d>
+    the mean label of the fit rows of each of these nodes.
+    """
+    long = " union all ".join(f"select segment, row_key, is_fit, {i} as f, {c}::double as x from {src}" for i, c in enumerate(features))
+    t = f"""{p}tot as materialized (select segment, avg(label) as centre, sqrt(var_pop(label) * count(*)) as scale
+                            from {src} where is_fit group by 1),
+{p}long as materialized ({long}),
+{p}val as materialized (select *, row_number() over (partition by segment, f order by x) as i, count(*) over (partition by segment, f) as m,
+                        sum(n) over (partition by segment, f) as total, lag(x) over (partition by segment, f order by x) as before
+                 from (select segment, f, x, count(*) as n from {p}long where is_fit group by 1, 2, 3) u),
+{p}all as materialized (select v.*, b, least(b, total) - 1 as n_splits from {p}val v cross join (select unnest({bins}) as b)),
+{p}walk as (select segment, f, b, i, n::bigint as seen, (total / (n_splits + 1))::double as target, (total / (n_splits + 1))::double as stride, null::double as t
+           from {p}all where i = 1 and m - 1 > n_splits
+           union all
+           select w.segment, w.f, w.b, v.i, w.seen + v.n,
+                  case when abs(w.seen - w.target) < abs(w.seen + v.n - w.target) then w.target + w.stride else w.target end, w.stride,
+                  case when abs(w.seen - w.target) < abs(w.seen + v.n - w.target) then (v.before + v.x) / 2 end
+           from {p}walk w join {p}val v on v.segment = w.segment and v.f = w.f and v.i = w.i + 1),
+{p}cuts as materialized (select segment, f, b, (before + x) / 2 as t from {p}all where m - 1 <= n_splits and i > 1
+           union all select segment, f, b, t from {p}walk where t is not null),
+{p}cell as materialized (select l.segment, l.row_key, k.b, l.f, count(c.t) as cell
+           from {p}long l cross join (select unnest({bins}) as b) k
+           left join {p}cuts c on c.segment = l.segment and c.f = l.f and c.b = k.b and c.t < l.x group by all),
+{p}r0 as materialized (select s.segment, s.row_key, s.is_fit, s.label, b, 1::bigint as node,
+                       case when scale > 0 then (s.label - centre) / scale else 0.0 end as y
+           from {src} s join {p}tot using (segment) cross join (select unnest({bins}) as b))"""
+    sse = lambda n, s, q: f"(({q}) - ({s}) * ({s}) / ({n}))"
+    fall = f"{sse('tn', 'ts', 'tq')} - {sse('ln', 'ls', 'lq')} - {sse('tn - ln', 'ts - ls', 'tq - lq')}"
+    for d in range(depth):
+        t += f""",
+{p}h{d} as (select segment, b, node, f, cell, count(*) as n, sum(y) as s, sum(y * y) as q
+           from {p}r{d} join {p}cell using (segment, row_key, b) where is_fit and node >= {1 << d} group by all),
+{p}c{d} as (select *, sum(n) over w as ln, sum(s) over w as ls, sum(q) over w as lq, sum(n) over a as tn, sum(s) over a as ts, sum(q) over a as tq
+           from {p}h{d} window a as (partition by segment, b, node, f),
+                               w as (partition by segment, b, node, f order by cell rows between unbounded preceding and current row)),
+{p}u{d} as (select *, floor(({fall}) * 1e9 + 0.5) as units from {p}c{d} where ln < tn),
+{p}b{d} as materialized (select segment, b, node, f as bf, cell as bc from {p}u{d} where units >= 1
+           qualify row_number() over (partition by segment, b, node order by units desc, f, cell) = 1),
+{p}r{d + 1} as materialized (select r.segment, r.row_key, r.is_fit, r.label, r.b,
+                  case when bf is null then node else node * 2 + (cell > bc)::int end as node, r.y
+           from {p}r{d} r left join {p}b{d} using (segment, b, node)
+           left join {p}cell c on c.segment = r.segment and c.row_key = r.row_key and c.b = r.b and c.f = bf)"""
+    for d in range(depth + 1):
+        t += f""",
+{p}m{d} as (select segment, b, node, any_value(centre) + any_value(scale) * sum(y) / count(*) as prediction
+           from {p}r{d} join {p}tot using (segment) where is_fit group by all)"""
+    return t
+
+
+POOLED = "recursive " + LABELED + """,
+ts as (select *, is_train as is_fit from lb),
+""" + tree_ctes("t", "ts", F7, 7, [32]) + """,
+tp as (select segment, row_key, label, is_fit, prediction from tr7 join tm7 using (segment, b, node))"""
+
+SQL["pooled_tree_scores"] = f"""with {POOLED}
+select segment, row_key, r6(label) as label, r6(prediction) as prediction from tp where not is_fit"""
+
+SQL["feature_file_alerts"] = f"""with {POOLED},
+fa as (select tp.segment, concat_ws('|', printf('%.1f', f.carrier_id), printf('%.1f', f.week_of_month), printf('%.1f', f.hour_of_day)) as row_key,
+              floor(f.successful_charges)::bigint as measured, floor(r6(exp(prediction)))::bigint as predicted, {_TEXT} as text
+       from tp join f using (segment, row_key)),
+fe as (select *, case when measured <> 0 then (predicted - measured)::double / measured * 100.0 end as error_pct from fa)
+select segment, row_key, measured, predicted, r6(error_pct) as error_pct,
+       concat('[ALERT] segment ', segment, ' hour ', row_key, ': measured ', measured, ', predicted ', predicted,
+              ', error ', case when measured = 0 then 'outage' else concat(floor(error_pct + 0.5)::bigint, '%') end,
+              ' (', text, ')') as message
+from fe where coalesce(error_pct > 45.0, false) or (measured = 0 and predicted > 0)"""
+
+# Labelled rows of the running profile.
+PROFILE_ROWS = CUMULATIVE + """,
+pr as (select carrier_id as segment, concat_ws('|', carrier_id, week_of_month, hour_of_day) as row_key, ln(successful_charges) as label,
+              """ + ", ".join(f"{c}::double as {c}" for c in F6) + """,
+              ('0x' || substr(md5(concat_ws('|', carrier_id, week_of_month, hour_of_day)), 1, 8))::bigint % 100 as bucket
+       from c where successful_charges > 0)"""
+
+
+def grid_ctes(p: str, src: str) -> str:
+    """The grid's report over the trees ``p``: {p}rep."""
+    scored = " union all ".join(
+        f"select segment, {d} as max_depth, b as max_bins, label, prediction from {p}r{d} join {p}m{d} using (segment, b, node) where not is_fit"
+        for d in GRID_DEPTHS)
+    return tree_ctes(p, src, F6, max(GRID_DEPTHS), GRID_BINS) + f""",
+{p}rmse as (select segment, max_depth, max_bins, count(*) as n_validation, sqrt(avg((label - prediction) * (label - prediction))) as validation_rmse
+            from ({scored}) u group by all),
+{p}rep as materialized (select *, row_number() over (partition by segment order by floor(validation_rmse * 1e9 + 0.5), max_depth, max_bins) = 1 as is_best
+            from {p}rmse)"""
+
+
+SQL["grid_search_report"] = f"""with recursive {PROFILE_ROWS},
+gs as (select *, bucket < 80 as is_fit from pr),
+{grid_ctes('g', 'gs')}
+select segment, max_depth, max_bins, n_validation, r6(validation_rmse) as validation_rmse, is_best from grep"""
+
+_BEST_ROWS = " union all ".join(
+    f"select segment, label, prediction, is_fit, {d} as max_depth, b as max_bins from fr{d} join fm{d} using (segment, b, node)" for d in GRID_DEPTHS)
+_BEST_NODES = " union all ".join(
+    f"select segment, b as max_bins, {d} as level, count(distinct node) as n from fr{d} where is_fit and node >= {1 << d} group by all" for d in range(max(GRID_DEPTHS) + 1))
+_ONE_AT = "case when (exp(label) - exp(prediction)) / exp(label) > 0.1 then 0.0 else 1.0 end"
+SQL["train_segments_report"] = f"""with recursive {PROFILE_ROWS},
+gs as (select *, bucket < 80 as is_fit from pr where bucket < 90),
+{grid_ctes('g', 'gs')},
+fs as (select *, bucket < 90 as is_fit from pr),
+{tree_ctes('f', 'fs', F6, max(GRID_DEPTHS), GRID_BINS)},
+bw as (select segment, max_depth, max_bins from grep where is_best),
+k as (select segment, max_depth, max_bins, sum(n)::int as num_nodes from bw join ({_BEST_NODES}) u using (segment, max_bins) where level <= max_depth group by all),
+e as (select segment, count(*) as n, avg({_SQ}) as mse, sqrt(avg({_SQ})) as rmse, avg(abs(label - prediction)) as mae, {_MREL} as mean_rel_error,
+             1.0 - sum({_SQ}) / nullif(var_pop(label) * count(*), 0) as r2, avg({_ONE_AT}) as one, avg({_TWO}) as two
+      from bw join ({_BEST_ROWS}) u using (segment, max_depth, max_bins) where not is_fit group by segment)
+select segment, max_depth, max_bins, num_nodes, n, r6(mse) as mse, r6(rmse) as rmse, r6(mae) as mae, r6(mean_rel_error) as mean_rel_error,
+       r6(r2) as r2, r6(one) as accuracy_one_sided, r6(two) as accuracy_two_sided
+from k left join e using (segment)"""
+
+# ---------------------------------------------------------------- elastic net
+
+_D6 = range(len(F6))
+
+
+def _weight(j: int) -> str:
+    """The new weight of coordinate j in a sweep, given the names of the others' current values."""
+    others = " - ".join(f"em.r{min(i, j)}_{max(i, j)} * {'n' if i < j else 'w'}{i}" for i in _D6 if i != j)
+    rest = f"(em.c{j} - {others})"
+    return (f"case when em.r{j}_{j} > 0 then sign({rest}) * greatest(abs({rest}) - em.lasso, 0.0) / (em.r{j}_{j} + em.ridge) else 0.0 end")
+
+
+def _sweep() -> str:
+    """One sweep: a chain of subqueries, one for each coordinate."""
+    inner = "select e.model, e.segment, e.i, " + ", ".join(f"e.w{i}" for i in _D6) + " from ed e where not e.done and e.i < " + str(MAX_SWEEPS)
+    for j in _D6:
+        inner = f"select s.*, {_weight(j)} as n{j} from ({inner}) s join em using (model, segment)"
+    moved = ", ".join(f"abs(n{i} - w{i})" for i in _D6)
+    return f"select model, segment, i + 1, {', '.join(f'n{i}' for i in _D6)}, greatest({moved}) < {TOLERANCE} from ({inner}) t"
+
+
+_SPREAD = {i: f"sqrt(covar_pop({F6[i]}, {F6[i]}))" for i in _D6}
+ELASTIC = "recursive " + PROFILE_ROWS + """,
+et as (select * from pr where bucket < 80),
+eu as (select segment, count(*) as n, avg(label) as label_mean, var_pop(label) as label_var, """ + ", ".join(
+    [f"avg({F6[i]}) as m{i}, covar_pop({F6[i]}, label) as k{i}" for i in _D6]
+    + [f"covar_pop({F6[i]}, {F6[j]}) as v{i}_{j}" for i in _D6 for j in range(i, len(F6))]) + """ from et group by segment),
+ei as (select *, sqrt(label_var) as ystd, case when label_var > 0 then 1 / sqrt(label_var) else 0.0 end as yi, """ + ", ".join(
+    f"case when v{i}_{i} > 0 then 1 / sqrt(v{i}_{i}) else 0.0 end as i{i}" for i in _D6) + """ from eu),
+em as materialized (select model, segment, n, label_mean, label_var, ystd, reg, alpha, reg * yi * alpha as lasso, reg * yi * (1.0 - alpha) as ridge, """ + ", ".join(
+    [f"i{i}, m{i}, k{i} * i{i} * yi as c{i}" for i in _D6] + [f"v{i}_{j} * i{j} * i{i} as r{i}_{j}" for i in _D6 for j in range(i, len(F6))]) + """
+      from ei cross join (values """ + ", ".join(f"('{name}', {float(reg)}::double, {float(alpha)}::double)" for name, reg, alpha, _ in ELASTIC_FAMILY) + """) k(model, reg, alpha)),
+ed as (select model, segment, 0 as i, """ + ", ".join(f"0.0::double as w{i}" for i in _D6) + f""", false as done from em
+       union all {_sweep()}),
+ew as (select model, segment, {', '.join(f'arg_max(w{i}, i) as w{i}' for i in _D6)} from ed group by 1, 2),
+ec as (select em.*, {', '.join(f'w{i}, w{i} * i{i} * ystd as b{i}' for i in _D6)} from em join ew using (model, segment)),
+ee as (select *, label_mean - ({' + '.join(f'b{i} * m{i}' for i in _D6)}) as intercept,
+              greatest(1.0 - 2.0 * ({' + '.join(f'w{i} * c{i}' for i in _D6)}) + ({' + '.join(f'w{i} * w{j} * r{min(i, j)}_{max(i, j)}' for i in _D6 for j in _D6)}), 0.0) * label_var as mse
+       from ec)"""
+
+SQL["elastic_family_rmse"] = f"""with {ELASTIC}
+select segment, model, r6(reg) as reg_param, r6(alpha) as elastic_net_param, n as num_instances, r6(sqrt(mse)) as rmse,
+       r6(1.0 - mse / nullif(label_var, 0)) as r2 from ee"""
+
+SQL["elastic_coefs"] = f"""with {ELASTIC}
+select model, segment, feature, r6(weight) as weight from (
+  select model, segment, unnest([{', '.join(repr(c) for c in F6)}, 'intercept']) as feature,
+         unnest([{', '.join(f'b{i}' for i in _D6)}, intercept]) as weight from ee) u"""
+
+SQL["elastic_score_join"] = f"""with {ELASTIC}
+select model, pr.segment, row_key, r6(label) as label, r6(intercept + {' + '.join(f'b{i} * {F6[i]}' for i in _D6)}) as prediction
+from pr join ee on ee.segment = pr.segment where bucket >= 80"""
+
 SQL["feature_vector_scan"] = f"with {FEATURES} select {rnd(F8)} from f"
 SQL["feature_parquet_scan"] = SQL["feature_vector_scan"]
 SQL["stream_hourly_replay"] = SQL["hourly_from_events"]
@@ -419,7 +595,7 @@ spred as (select t.segment, t.row_key, t.raw_label,
                  c.w[8] + list_dot_product(c.w[1:7], [{', '.join('t.' + c for c in F7)}]) as prediction
           from sls t join coefs c on c.segment = t.segment and c.model = 'linear'),
 ssc as (select segment, row_key, floor(raw_label)::bigint as measured,
-               floor(exp(prediction))::bigint as predicted from spred),
+               floor(r6(exp(prediction)))::bigint as predicted from spred),
 sse as (select *, case when measured <> 0 then (predicted - measured)::double / measured * 100.0 end as error_pct
         from ssc),
 sal as (select segment, row_key, measured, predicted, error_pct,
