@@ -59,3 +59,19 @@ def alerts(scored: DataFrame, prediction: str = "prediction", raw: str = "raw_la
     return (s.where(F.col("is_alert"))
              .select("segment", "row_key", "measured", "predicted", "error_pct",
                      alert_message(features).alias("message")))
+
+
+def incidents(alerting: DataFrame, gap: str = "1 hour") -> DataFrame:
+    """Alerting hours of a segment that follow each other, as one incident each.
+
+    ``alerting`` has segment, hour (timestamp of its start), measured and predicted.  Hours at most
+    ``gap`` apart belong together (``session_window``: with the default an hour that does not alert
+    ends the incident).  Result: segment, started, ended (end of the last hour), n_hours, the
+    volume measured, expected and lost, and n_silent, the hours in which nothing was measured.
+    """
+    # A session lasts ``gap`` beyond its last row's start and takes in a row that starts right there.
+    session = F.session_window("hour", gap)
+    out = alerting.withColumn("hour", F.col("hour").cast("timestamp")).groupBy("segment", session).agg(
+        F.min("hour").alias("started"), (F.max("hour") + F.make_dt_interval(hours=F.lit(1))).alias("ended"), F.count(F.lit(1)).alias("n_hours"),
+        F.sum("measured").alias("measured"), F.sum("predicted").alias("predicted"), F.count_if(F.col("measured") == 0).alias("n_silent"))
+    return out.select("segment", "started", "ended", "n_hours", "measured", "predicted", (F.col("predicted") - F.col("measured")).alias("lost"), "n_silent")

@@ -6,6 +6,7 @@ shared scratch folder), so its work grows with the data.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -20,6 +21,8 @@ from hourcast.operators import linear as LN
 from hourcast.operators import monitor as MON
 from hourcast.operators import pooled_trees as PT
 from hourcast.operators import profile as P
+from hourcast.operators import profile_state as PS
+from hourcast.operators import silent as SI
 from hourcast.operators import tree as TR
 from hourcast.session import is_directory, scratch_path, table_path
 from hourcast.sources import events as EV
@@ -139,6 +142,17 @@ def q_hourly_profile(spark, sf_dir):
     return canonical(profile(spark, sf_dir))
 
 
+@register("incremental_profile")
+def q_incremental_profile(spark, sf_dir):
+    """The profile from a state that the log is merged into, a week of days after the other."""
+    events = EV.load_table(spark, sf_dir, "events")
+    path = scratch_path(spark, "profile-state")
+    first, last = events.select(F.to_date(F.min("ts")), F.to_date(F.max("ts"))).first()
+    for offset in range(0, (last - first).days + 1 if first else 0, 7):
+        PS.merge_days(spark, events, path, first + dt.timedelta(days=offset), min(last, first + dt.timedelta(days=offset + 6)))
+    return canonical(PS.profile_of(spark, path))
+
+
 @register("cumulative_profile")
 def q_cumulative_profile(spark, sf_dir):
     return canonical(cumulative(spark, sf_dir))
@@ -399,6 +413,13 @@ def q_accuracy_thresholds(spark, sf_dir):
     return canonical(p.groupBy("model", "segment").agg(pct(0.1).alias("pct_at_01"), pct(0.2).alias("pct_at_02")))
 
 
+@register("accuracy_curve")
+def q_accuracy_curve(spark, sf_dir):
+    """One-sided accuracy at seven thresholds, all read off one sketch per model and segment."""
+    p = linear_predictions(spark, sf_dir)
+    return canonical(EVL.accuracy_curve(p, ["model", "segment"], [0.05, 0.1, 0.15, 0.2, 0.25, 0.3, 0.35]))
+
+
 @register("accuracy_two_sided")
 def q_accuracy_two_sided(spark, sf_dir):
     p = linear_predictions(spark, sf_dir)
@@ -433,6 +454,54 @@ def q_alert_message(spark, sf_dir):
     return a.select("row_key", "message")
 
 
+# ---------------------------------------------------------------- silent hours
+
+@register("completed_hours")
+def q_completed_hours(spark, sf_dir):
+    """Every segment and hour between the first and the last hour, silent ones with zero counts."""
+    rows = persisted(spark, hourly(spark, sf_dir), "hourly")
+    return canonical(SI.completed_hours(rows, SI.expected_hours(rows)).drop("first_attempt", "last_attempt"))
+
+
+def batch_models(spark, sf_dir):
+    """Coefficients and scaler of the linear model, trained on the training hours."""
+    frame = ml_frame(spark, sf_dir)
+    train = frame.where(F.col("is_train")).drop("is_train")
+    std = FE.fit_scaler(train)
+    return persisted(spark, LN.gd_fit(LN.moments(FE.apply_scaler(train, std))), "hour-coefs"), std
+
+
+def silent_scores(spark, sf_dir):
+    """Silent hours scored by the linear model with the usual features of their hour."""
+    rows = persisted(spark, hourly(spark, sf_dir), "hourly")
+    silent = SI.silent_rows(rows, P.hourly_profile(P.with_week_of_month(rows)), SI.expected_hours(rows))
+    coefs, std = batch_models(spark, sf_dir)
+    scored = LN.score_linear(FE.apply_scaler(FE.labeled(FE.feature_rows(silent)), std), coefs.where("model = 'linear'"), how="left")
+    return MON.score_errors(scored)
+
+
+@register("silent_hour_scores")
+def q_silent_hour_scores(spark, sf_dir):
+    """Every hour in which a segment sent nothing: expected volume, and whether it alerts."""
+    return canonical(silent_scores(spark, sf_dir).select("segment", "row_key", "measured", "predicted", "error_pct", "is_alert"))
+
+
+def key_hour():
+    """The start of the hour that a row key (segment|date|hour) names."""
+    part = F.split("row_key", "[|]")
+    return F.to_timestamp_ntz(part[1], F.lit("yyyy-MM-dd")) + F.make_dt_interval(hours=part[2].cast("int"))
+
+
+@register("incidents")
+def q_incidents(spark, sf_dir):
+    """Alerting hours, measured and silent ones, joined to incidents with their lost volume."""
+    columns = ["segment", key_hour().alias("hour"), "measured", "predicted"]
+    measured = MON.score_errors(linear_alert_input(spark, sf_dir)).where("is_alert").select(columns)
+    silent = silent_scores(spark, sf_dir).where("is_alert").select(columns)
+    found = MON.incidents(measured.unionByName(silent))
+    return canonical(found.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("started", "ended")}))
+
+
 def daily(spark, sf_dir):
     """Events at the grain of segment x day (hour 0), where counts are well above 1."""
     rows = enriched(spark, sf_dir).groupBy("carrier_id", "datepart", "week_of_month").agg(
@@ -679,6 +748,35 @@ def q_stream_hourly_replay(spark, sf_dir):
     return canonical(RD.read_parquet(spark, out))
 
 
+@register("stream_silent_replay")
+def q_stream_silent_replay(spark, sf_dir):
+    """Closed hours of the event stream with heartbeats: the alerts of silent hours."""
+    rows = persisted(spark, hourly(spark, sf_dir), "hourly")
+    beats = ST.write_heartbeats(SI.expected_hours(rows), scratch_path(spark, "heartbeats"))
+    usual = persisted(spark, P.hourly_profile(P.with_week_of_month(rows)), "profile")
+    coefs, std = batch_models(spark, sf_dir)
+    out = scratch_path(spark, "stream-silent")
+    path, glob = event_source(spark, sf_dir)
+    ST.run_monitor(spark, path, EV.load_table(spark, sf_dir, "events").schema, ST.linear_scorer(coefs, std, profile=usual), out,
+                   scratch_path(spark, "stream-silent-ckpt"), glob=glob, state_partitions=state_partitions(spark),
+                   heartbeats=ST.read_heartbeats(spark, beats))
+    alerts = RD.read_parquet(spark, out).join(rows.select(FE.row_key(*SI.HOUR_KEYS).alias("row_key")), "row_key", "left_anti")
+    return canonical(alerts.select("segment", "row_key", "measured", "predicted", "message"))
+
+
+@register("stream_once_replay")
+def q_stream_once_replay(spark, sf_dir):
+    """The event table delivered twice, replayed without counting an event twice."""
+    events = EV.load_table(spark, sf_dir, "events")
+    path = scratch_path(spark, "events-twice")
+    for copy in ("first", "again"):
+        events.write.parquet(f"{path}/{copy}")
+    stream = ST.once(ST.read_event_stream(spark, f"{path}/*", events.schema), "1 hour")
+    out = ST.replay_to_parquet(ST.stream_hourly(stream), scratch_path(spark, "stream-once"), scratch_path(spark, "stream-once-ckpt"),
+                               state_partitions=state_partitions(spark))
+    return canonical(RD.read_parquet(spark, out))
+
+
 @register("stream_alerts_replay")
 def q_stream_alerts_replay(spark, sf_dir):
     """Closed hours from the stream scored with the batch-trained linear model."""

@@ -115,6 +115,7 @@ select carrier_id, hour_of_day, week_of_month, {rnd(MEASURES)} from g"""
 SQL["cumulative_profile"] = f"""with {CUMULATIVE}
 select carrier_id, hour_of_day, week_of_month, {rnd(MEASURES)} from c"""
 
+SQL["incremental_profile"] = SQL["hourly_profile"]
 SQL["checkpoint_roundtrip"] = SQL["cumulative_profile"]
 SQL["union_segments"] = SQL["cumulative_profile"]
 
@@ -314,6 +315,11 @@ def _pct(t: float) -> str:
 SQL["accuracy_thresholds"] = f"""with recursive {GD}
 select model, segment, {_pct(0.1)} as pct_at_01, {_pct(0.2)} as pct_at_02 from pred group by model, segment"""
 
+SQL["accuracy_curve"] = f"""with recursive {GD}
+select model, segment, r6(threshold) as threshold,
+       r6(avg(case when (exp(label) - exp(prediction)) / exp(label) > threshold then 0.0 else 1.0 end)) as accuracy_one_sided
+from pred cross join (select unnest([0.05, 0.1, 0.15, 0.2, 0.25, 0.3, 0.35])::double as threshold) group by model, segment, threshold"""
+
 SQL["accuracy_two_sided"] = f"""with recursive {GD}
 select model, r6(avg({_TWO})) as accuracy_two_sided from pred group by model"""
 
@@ -575,6 +581,59 @@ SQL["feature_vector_scan"] = f"with {FEATURES} select {rnd(F8)} from f"
 SQL["feature_parquet_scan"] = SQL["feature_vector_scan"]
 SQL["stream_hourly_replay"] = SQL["hourly_from_events"]
 
+# ---------------------------------------------------------------- silent hours
+
+_HOUR = "datepart::timestamp + hour_of_day * interval 1 hour"
+EXPECTED = f"""xb as (select min({_HOUR}) as a, max({_HOUR}) as b from h),
+xs as (select carrier_id, t::date as datepart, hour(t)::int as hour_of_day
+       from (select distinct carrier_id from h) s cross join (select unnest(generate_series(a, b, interval 1 hour)) as t from xb))"""
+
+SQL["completed_hours"] = f"""with {HOURLY},
+{EXPECTED}
+select carrier_id, datepart::varchar as datepart, hour_of_day, r6(avg_response_time) as avg_response_time, """ + ", ".join(
+    f"r6(coalesce({m}, 0.0)) as {m}" for m in SUM_MEASURES) + """, total_attempts is null as is_silent
+from xs left join h using (carrier_id, datepart, hour_of_day)"""
+
+_USUAL = [m for m in MEASURES if m != "successful_charges"]
+# Silent hours with the profile's means as features, scaled and scored like the others.
+SILENT = GD + f""",
+{EXPECTED},
+xw as (select *, (floor((day(datepart) + dayofweek(date_trunc('month', datepart)::date) - 1) / 7) + 1)::double as week_of_month
+       from xs anti join h using (carrier_id, datepart, hour_of_day)),
+xg as (select carrier_id, hour_of_day, week_of_month, {', '.join(f'avg({m}) as {m}' for m in _USUAL)} from w group by 1, 2, 3),
+xh as (select carrier_id, hour_of_day, {', '.join(f'avg({m}) as {m}' for m in _USUAL)} from xg group by 1, 2),
+xf as (select xw.carrier_id as segment, concat_ws('|', xw.carrier_id, xw.datepart, xw.hour_of_day) as row_key, 0.0 as label, 0.0 as raw_label,
+              {_HOUR.replace('datepart', 'xw.datepart').replace('hour_of_day', 'xw.hour_of_day')} as starts,
+              xw.carrier_id::double as carrier_id, xw.hour_of_day::double as hour_of_day, xw.week_of_month,
+              {', '.join(f'coalesce(xg.{m}, xh.{m}) as {m}' for m in _USUAL)}
+       from xw left join xg on xg.carrier_id = xw.carrier_id and xg.hour_of_day = xw.hour_of_day and xg.week_of_month = xw.week_of_month
+       left join xh on xh.carrier_id = xw.carrier_id and xh.hour_of_day = xw.hour_of_day),
+xc as ({_scaled('xf')}),
+xp as (select t.segment, t.row_key, 0::bigint as measured, floor(r6(exp(c.w[8] + list_dot_product(c.w[1:7], [{', '.join('t.' + c for c in F7)}]))))::bigint as predicted
+       from xc t left join coefs c on c.segment = t.segment and c.model = 'linear'
+       where {' and '.join(f't.{c} is not null' for c in F7)}
+       union all select segment, row_key, 0, null from xf where {' or '.join(f'{c} is null' for c in F7)})"""
+
+SQL["silent_hour_scores"] = f"""with recursive {SILENT}
+select segment, row_key, measured, predicted, null::double as error_pct, coalesce(predicted > 0, false) as is_alert from xp"""
+
+# Gaps and islands: hours minus their rank are equal within an incident.
+SQL["incidents"] = f"""with recursive {SILENT}{ALERTS.removeprefix(GD)},
+ih as (select segment, split_part(row_key, '|', 2)::timestamp + split_part(row_key, '|', 3)::int * interval 1 hour as t, measured, predicted
+       from (select segment, row_key, measured, predicted from al union all select segment, row_key, measured, predicted from xp where predicted > 0) u),
+ii as (select *, t - row_number() over (partition by segment order by t) * interval 1 hour as island from ih)
+select segment, min(t)::varchar as started, (max(t) + interval 1 hour)::varchar as ended, count(*) as n_hours, sum(measured)::bigint as measured,
+       sum(predicted)::bigint as predicted, (sum(predicted) - sum(measured))::bigint as lost, count(*) filter (where measured = 0) as n_silent
+from ii group by segment, island"""
+
+SQL["stream_silent_replay"] = f"""with recursive {SILENT}
+select segment, row_key, measured, predicted,
+       concat('[ALERT] segment ', segment, ' hour ', row_key, ': measured 0, predicted ', predicted, ', error outage') as message
+from xp join xf using (segment, row_key)
+where predicted > 0 and starts + interval 1 hour <= (select max(ts) from events) - interval 1 hour"""
+
+SQL["stream_once_replay"] = SQL["hourly_from_events"]
+
 SQL = {k: _expand_r6(v) for k, v in SQL.items()}
 
 # Streaming alerts: every hour whose window the final watermark (max event time

@@ -29,6 +29,16 @@ def segment_of(user_col: Column, n_segments: int = DEFAULT_SEGMENTS) -> Column:
     return F.pmod(user_col, F.lit(n_segments)).cast("int")
 
 
+def once_per_id(events: DataFrame) -> DataFrame:
+    """The log without repeats of an ``event_id``, the batch twin of ``streaming.once``; of
+    repeats that differ, the first in time stays.  Events without an id are all kept."""
+    others = [c for c in events.columns if c != "event_id"]
+    known = events.where(F.col("event_id").isNotNull())
+    # An aggregate rather than a window: repeats meet in the partial step of their task.
+    first = known.groupBy("event_id").agg(F.min_by(F.struct(*others), F.struct("ts", F.xxhash64(*others))).alias("first"))
+    return first.select("event_id", "first.*").select(events.columns).unionByName(events.where(F.col("event_id").isNull()))
+
+
 def hourly_from_events(events: DataFrame, n_segments: int = DEFAULT_SEGMENTS,
                        segment: Column | None = None, since=None, until=None) -> DataFrame:
     """events(ts, user_id, event_type, value) -> HOURLY_SCHEMA rows.
