@@ -128,6 +128,35 @@ def test_pages_edges(spark):
     assert HX.extract_pages(df.where("false")).count() == 0
 
 
+WORDS = "The council met on Tuesday to talk about the bridge, and nobody had read the report that it had paid for. "
+TEXT = f"<p>{WORDS * 3}</p><p>{WORDS * 2}</p>"
+PLAIN = "\n\n".join([(WORDS * 3).strip(), (WORDS * 2).strip()])
+MENU = "<nav><a href=1>Home</a> <a href=2>News</a></nav>"
+NOISE = "<div class=sidebar><p>Most read today: a list of things.</p></div><footer>All rights.</footer>"
+
+
+@pytest.mark.parametrize("body, want", [
+    (f"{MENU}<div class='content-sidebar-wrap'><article><h1>Head</h1>{TEXT}</article>{NOISE}</div>", "Head\n\n" + PLAIN),
+    (f"{MENU}<div class='page-with-sidebar'><article><h1>Head</h1>{TEXT}</article></div>{NOISE}", "Head\n\n" + PLAIN),
+    (f"{MENU}<div id=main class='header-large'><article><h1>Head</h1>{TEXT}</article></div>{NOISE}", "Head\n\n" + PLAIN),
+    (f"{MENU}<div class='elementor-widget-container'><article><h1>Head</h1>{TEXT}</article></div>{NOISE}", "Head\n\n" + PLAIN),
+    (f"<form action=x>{MENU}<main><h1>Head</h1>{TEXT}</main>{NOISE}</form>", "Head\n\n" + PLAIN),
+    (f"{MENU}<article><h1>Head</h1><div class='post-body share-enabled'>{TEXT}</div></article>{NOISE}", "Head\n\n" + PLAIN),
+    (f"{MENU}<article><header><h1>Head</h1><p>By Ann, 3 May</p></header>{TEXT}</article>{NOISE}", "Head\n\n" + PLAIN),
+    (f"{MENU}<div class='widget-area'><div class='sidebar-left'><h1>Head</h1>{TEXT}</div></div>{NOISE}", "Head\n\n" + PLAIN),
+    (f"<header><h1>The Site</h1></header>{MENU}<article>{TEXT}</article>{NOISE}", PLAIN),
+    # Long comments, notices and teasers stay out beside a short article.
+    (f"{MENU}<article><h1>Head</h1><p>{WORDS}</p></article><div class=comments>{TEXT * 4}</div>", "Head\n\n" + WORDS.strip()),
+    (f"{MENU}<article><h1>Head</h1><p>{WORDS}</p></article><div class='cookie-notice'><h1>Cookies</h1>{TEXT}</div>", "Head\n\n" + WORDS.strip()),
+    (f"{MENU}<main><h1>Head</h1><p>{WORDS}</p></main><div class=related><article>{TEXT}</article></div>", "Head\n\n" + WORDS.strip()),
+    (f"<div style='display:none'><article><h1>Old</h1>{TEXT}</article></div><div><p>{WORDS}</p></div>", WORDS.strip()),
+    (f"<div class=comments>{TEXT}</div>", ""),
+])
+def test_wrappers_are_looked_through(body, want):
+    assert HX.extract(f"<html><head><title>T</title></head><body>{body}</body></html>") == want
+
+
+
 # ---------------------------------------------------------------- licences
 
 def test_licence_query_finds_every_notice(spark):
