@@ -70,12 +70,6 @@ def save_segment_models(models: dict[int, PipelineModel], root: str,
     return root
 
 
-def load_segment_models(root: str, segments: list[int],
-                        parallelism: int = DEFAULT_POOL) -> dict[int, PipelineModel]:
-    return dict(_pool_map(lambda seg: (seg, PipelineModel.load(f"{root}/segment={seg}")),
-                          segments, parallelism))
-
-
 def tree_of(model: PipelineModel) -> DecisionTreeRegressionModel:
     return model.stages[-1]
 
