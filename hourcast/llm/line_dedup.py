@@ -4,33 +4,31 @@ A line ends at a line feed or after ``.``, ``!`` or ``?`` followed by a space (a
 break), so a passage is found whether it stands on lines of its own or inside a paragraph.
 Lines without a character other than white space are not compared.
 
-1. Each line is hashed.  Pairs of neighbouring line hashes form grams; of every window of
-   ``window`` grams the rightmost minimum is a fingerprint.  So any run of ``window + 1`` lines
-   that two places share gives both the same fingerprint.  A line of ``min_chars`` characters
-   or more is a fingerprint by itself.
-2. Fingerprints are joined by hash: a document's first occurrence of one with the first of all,
-   in the order of (doc_id, text hash, line); a later occurrence with the one before it in the
-   same document.  This is linear in the occurrences, however common one is: the
-   first occurrence is found with map-side partial aggregates, and the join is a plain
+A repeat is a run of neighbouring lines with ``min_chars`` characters or more that stood before, in
+an earlier document or earlier in its own, in the order of (doc_id, text hash, line).  All lines of
+all repeats are deleted, in whatever surroundings and however short or long their lines are.
+
+1. Each line is hashed.  The windows are the shortest runs of ``min_chars`` characters, from each line
+   on and up to each line.  The smallest line hash of a window (of equal ones the first) is its
+   fingerprint.  A repeat holds such windows, and the run that it equals holds the same ones with
+   the same minima, so the two share a fingerprint.
+2. Fingerprints are joined by hash with those that stand at two places or more.  The places of one
+   fingerprint are never paired with each other, so this is linear in the occurrences, however
+   common one is; they are counted with map-side partial aggregates, and the join is a plain
    equi-join whose hot partitions the adaptive planner splits.
-3. Each joined pair of positions gives a diagonal of two documents (or of one document with
-   itself); matches are extended both ways along it to maximal runs of equal lines.
-4. The later one of two equal runs is deleted when its lines have ``min_chars`` characters.
-   Lines of white space inside a deleted run go with it.
+3. A joined place is extended both ways to the windows that hold it, each known by the content of
+   its lines (64 bits).  Every occurrence of a window but the first is a repeat; repeated windows that
+   overlap or touch are extended into one run.  Each line of a repeat lies in a window inside it: in
+   the one from its first line, or in the one up to the line itself.
+4. The runs are deleted.  Lines of white space inside a deleted run go with it.
 
 A deleted line always equals an earlier one, so the first occurrence of every line stays.
 
-These fingerprints miss a repeat of 2 or 3 short lines between the window minima, and one whose
-fingerprints first stood in other surroundings.  ``dropped_lines`` keeps to them, as its SQL does.
-``line_dedup``, and ``dropped_lines`` with ``whole``, find every repeat: of each line the shortest
-run from it, and the shortest run up to it, of ``min_chars`` characters are keyed by their content
-(64 bits); every occurrence of a key but the first is deleted.  Each line of a repeated run of
-``min_chars`` characters lies in such a run inside it: in the one from its first line, or in the one
-up to the line itself.  A document has at most two runs a line, and no two documents are compared.
-
 Defined results
 ---------------
 * null or empty text: no lines, nothing deleted, text returned as it is.
+* very long texts: compared whole; work and arrays grow with the number of their lines.
+* equal runs: the one that comes first in the order above stays.
 * rows that repeat the same doc_id and text are one document: each gets the same result.
   Rows that share a doc_id but differ in text are different documents.  A null doc_id
   is allowed and comes first.
@@ -56,7 +54,6 @@ FEW_LINES = 8
 
 @dataclass(frozen=True)
 class Winnow:
-    window: int = 3
     min_chars: int = 150
 
 
@@ -68,117 +65,20 @@ def _segments(text: Column) -> Column:
     return F.filter(F.split(text, LINE_END, -1), lambda s: s != "")
 
 
-def _hash(line: Column) -> Column:
-    """60 bits of the digest; the same value in any SQL engine."""
-    return F.conv(F.substring(F.md5(line), 1, 15), 16, 10).cast("long")
-
-
 def line_table(docs: DataFrame) -> DataFrame:
     """(doc_id, k, hashes, chars, at): the compared lines of each document in order; ``at`` is a
     line's place among all segments of the text."""
     trimmed = F.transform(_segments(F.col("text")), lambda s, i: F.struct(F.btrim(s, F.lit(WHITE)).alias("line"), i.alias("at")))
     lines = F.coalesce(F.filter(trimmed, lambda x: x["line"] != ""), F.array().cast("array<struct<line:string,at:int>>"))
-    made = F.transform(lines, lambda x: F.struct(_hash(x["line"]).alias("h"), F.length(x["line"]).alias("n"), x["at"].alias("at")))
+    made = F.transform(lines, lambda x: F.struct(F.xxhash64(x["line"]).alias("h"), F.length(x["line"]).alias("n"), x["at"].alias("at")))
     return (docs.select("doc_id", _key().alias("k"), made.alias("made"))
             .select("doc_id", "k", F.col("made.h").alias("hashes"), F.col("made.n").alias("chars"), F.col("made.at").alias("at")))
 
 
-def _is_minimum(gram, i: Column, w: int) -> Column:
-    """True if value i is the rightmost minimum of a window of w values that holds it.
-
-    It is, if the values next to it that are no smaller (on the left) or larger (on the right)
-    make up the rest of a window.  Fewer than w values are one window.
-    """
-    here = gram(i)
-    left, right = [F.lit(True)], [F.lit(True)]
-    for j in range(1, w):
-        left.append(left[-1] & F.coalesce(gram(i - j) >= here, F.lit(False)))
-        right.append(right[-1] & F.coalesce(gram(i + j) > here, F.lit(False)))
-    found = F.lit(False)
-    for j in range(w):
-        found = found | (left[j] & right[w - 1 - j])
-    return found
-
-
-def fingerprint_table(lines: DataFrame, cfg: Winnow) -> DataFrame:
-    """(doc_id, k, every): per document struct(fp, pos) of the window minima of the pair hashes, and of
-    the long lines.  ``lines`` is read from files, so that lambdas see stored arrays."""
-    h, w = F.col("hashes"), cfg.window
-
-    def gram(i: Column) -> Column:
-        return F.get(h, i).bitwiseXOR(F.shiftright(F.get(h, i + 1), 1))
-
-    n = F.size(h) - 1
-    none = F.array().cast("array<struct<fp:bigint,pos:int>>")
-    all_of_few = F.array_max(F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.struct((-gram(i)).alias("g"), i.alias("i"))))
-    chosen = (F.when(n >= w, F.filter(F.sequence(F.lit(0), n - 1), lambda i: _is_minimum(gram, i, w)))
-              .when(n > 0, F.array(all_of_few["i"])).otherwise(F.array().cast("array<int>")))
-    long_lines = F.filter(F.transform("chars", lambda c, i: F.when(c >= cfg.min_chars, F.struct((-F.get(h, i)).alias("fp"), i.alias("pos")))),
-                          lambda x: x.isNotNull())
-    every = F.concat(F.transform(chosen, lambda i: F.struct(gram(i).alias("fp"), i.alias("pos"))), F.coalesce(long_lines, none))
-    return lines.select("doc_id", "k", every.alias("every"))
-
-
-def with_previous(prints: DataFrame) -> DataFrame:
-    """(fp, doc_id, k, pos, prev), one row for each fingerprint of ``prints`` (doc_id, k, every).
-    ``prev`` is the place of the same fingerprint before in the document, null for its first there."""
-    every = F.col("every")
-    in_order = F.array_sort(every)
-    shifted = F.concat(F.array(F.lit(None).cast("struct<fp:bigint,pos:int>")), F.slice(in_order, 1, REST))
-    # The shifted copy is one longer; its last pair has no fingerprint of its own.
-    paired = F.filter(F.zip_with(in_order, shifted, lambda x, y: F.struct(
-        x["fp"].alias("fp"), x["pos"].alias("pos"), F.when(x["fp"] == y["fp"], y["pos"]).alias("prev"))),
-        lambda x: x["fp"].isNotNull())
-    single = F.transform(every, lambda x: F.struct(x["fp"].alias("fp"), x["pos"].alias("pos"), F.lit(None).cast("int").alias("prev")))
-    repeats = F.size(F.array_distinct(every["fp"])) < F.size(every)
-    return (prints.select("doc_id", "k", F.explode(F.when(repeats, paired).otherwise(single)).alias("f"))
-            .select("f.fp", "doc_id", "k", "f.pos", "f.prev"))
-
-
-def diagonals(prints: DataFrame) -> DataFrame:
-    """(k, first_k, shift): a document, the earlier one (or itself) it shares a fingerprint with, and
-    the difference of the lines' positions."""
-    within = prints.where("prev is not null").select("k", F.col("k").alias("first_k"), (F.col("pos") - F.col("prev")).alias("shift"))
-    heads = prints.where("prev is null")
-    place = F.struct("doc_id", "k", "pos")
-    first = heads.groupBy("fp").agg(F.min(place).alias("first"), F.max(place).alias("last"))
-    first = first.where(F.col("first") != F.col("last")).select("fp", "first")
-    across = (heads.join(first, "fp").where(place != F.col("first"))
-              .select("k", F.col("first.k").alias("first_k"), (F.col("pos") - F.col("first.pos")).alias("shift")))
-    return within.union(across).distinct()
-
-
-def _runs(eq: Column) -> Column:
-    """Maximal runs of true, as struct(a, b) with b behind the last."""
-    breaks = F.filter(F.transform(eq, lambda x, i: F.when(~x, i)), lambda i: i.isNotNull())
-    return F.filter(
-        F.zip_with(F.concat(F.array(F.lit(-1)), breaks), F.concat(breaks, F.array(F.size(eq))),
-                   lambda a, b: F.struct((a + 1).alias("a"), b.alias("b"))),
-        lambda r: r["b"] > r["a"])
-
-
-def repeated_lines(lines: DataFrame, cfg: Winnow) -> DataFrame:
-    """(k, runs): for documents that have any, the runs of lines to delete, as struct(a, b) of the
-    first line and the one behind the last; runs may overlap."""
-    prints = written(fingerprint_table(lines, cfg), "fingerprints")
-    found = diagonals(with_previous(prints))
-    sides = lines.select("k", "hashes", "chars").dropDuplicates(["k"])
-    earlier = sides.select(F.col("k").alias("first_k"), F.col("hashes").alias("first_hashes"))
-    both = found.join(earlier, "first_k").join(sides, "k")
-    begin = F.greatest("shift", F.lit(0))
-    eq = F.zip_with(F.slice("hashes", begin + 1, REST),
-                    F.slice("first_hashes", F.greatest(-F.col("shift"), F.lit(0)) + 1, REST),
-                    lambda x, y: F.coalesce(x == y, F.lit(False)))
-    runs = F.transform(_runs(eq), lambda r: F.struct((r["a"] + begin).alias("a"), (r["b"] + begin).alias("b")))
-    long_enough = F.filter(runs, lambda r: F.aggregate(
-        F.slice("chars", r["a"] + 1, r["b"] - r["a"]), F.lit(0), lambda s, c: s + c) >= cfg.min_chars)
-    return (both.select("k", long_enough.alias("runs")).where(F.size("runs") > 0)
-            .groupBy("k").agg(F.array_distinct(F.flatten(F.collect_list("runs"))).alias("runs")))
-
-
-def shortest_runs(lines: DataFrame, min_chars: int) -> DataFrame:
-    """(doc_id, k, every): per document struct(fp, a, b) of the shortest runs of ``min_chars`` characters
-    from each line, and up to each line.  ``lines`` is read from files, so that lambdas see stored arrays."""
+def fingerprint_table(lines: DataFrame, min_chars: int) -> DataFrame:
+    """(doc_id, k, every): per document struct(fp, pos, windows) of the fingerprints in order, each with the
+    windows whose minimum it is, as struct(content, a, b) of their first and last line.  ``lines`` is
+    read from files, so that lambdas see stored arrays."""
     full = min_chars * REST
 
     # Characters in the upper bits, lines in the lower ones; lines beyond the last needed add nothing.
@@ -190,24 +90,41 @@ def shortest_runs(lines: DataFrame, min_chars: int) -> DataFrame:
     enough = F.transform(few, lambda s, i: F.when(s >= full, s).otherwise(counted(i, min_chars)))
     ends = F.transform(F.filter(enough, lambda s: s >= full), lambda s, i: (s % REST).cast("int") + i - 1)
     n = F.size("hashes")
+
+    def window(a: Column, b: Column) -> Column:
+        inside = F.slice("hashes", a + 1, b - a + 1)
+        place = a + F.array_position(inside, F.array_min(inside)).cast("int") - 1
+        return F.struct(place.alias("pos"), F.xxhash64(inside).alias("content"), a.alias("a"), b.alias("b"))
+
     # Ends grow with the starts; those between two of them end the shortest run up to them at the first start.
-    runs = F.transform("ends", lambda e, a: F.transform(
-        F.sequence(e, F.greatest(e, F.coalesce(F.get("ends", a + 1), n) - 1)),
-        lambda b: F.struct(F.xxhash64(F.slice("hashes", a + 1, b - a + 1)).alias("fp"), a.alias("a"), b.alias("b"))))
-    return lines.select("doc_id", "k", "hashes", ends.alias("ends")).select("doc_id", "k", F.flatten(runs).alias("every"))
-
-
-def all_repeated_lines(lines: DataFrame, cfg: Winnow) -> DataFrame:
-    """As ``repeated_lines``, with every run that stood before; runs are apart."""
-    prints = written(shortest_runs(lines, cfg.min_chars), "shortest-runs")
-    prints = prints.select("doc_id", "k", F.explode("every").alias("f")).select("f.fp", "doc_id", "k", "f.a", "f.b")
-    # Numbers instead of a struct, so the aggregate hashes; most runs stand once and end here.
-    often = prints.groupBy("fp").agg(F.min("k").alias("k0"), F.max("k").alias("k1"), F.min("a").alias("a0"), F.max("a").alias("a1"))
-    often = often.where("k0 <> k1 or a0 <> a1").select("fp")
-    hits = written(prints.join(often, "fp"), "repeated-runs")
+    windows = F.transform("ends", lambda e, a: F.transform(
+        F.sequence(e, F.greatest(e, F.coalesce(F.get("ends", a + 1), n) - 1)), lambda b: window(a, b)))
+    # Windows move on, and their minima with them: those of one minimum stand together.
+    first = F.filter(F.transform("windows", lambda w, i: F.when((i == 0) | (w["pos"] != F.get("windows", i - 1)["pos"]), i)),
+                     lambda i: i.isNotNull())
+    every = F.zip_with("first", F.concat(F.slice("first", 2, REST), F.array(F.size("windows"))), lambda x, y: F.struct(
+        F.get("hashes", F.get("windows", x)["pos"]).alias("fp"), F.get("windows", x)["pos"].alias("pos"),
+        F.transform(F.slice("windows", x + 1, y - x), lambda w: F.struct(w["content"], w["a"], w["b"])).alias("windows")))
+    return (lines.select("doc_id", "k", "hashes", ends.alias("ends")).where(F.size("ends") > 0)
+            .select("doc_id", "k", "hashes", F.flatten(windows).alias("windows"))
+            .select("doc_id", "k", "hashes", "windows", first.alias("first"))
+            .select("doc_id", "k", every.alias("every")))
+
+
+def repeated_lines(lines: DataFrame, cfg: Winnow) -> DataFrame:
+    """(k, runs): for documents that have any, the runs of lines to delete, as struct(a, b) of the
+    first line and the one behind the last; runs are in order and apart."""
+    prints = written(fingerprint_table(lines, cfg.min_chars), "fingerprints")
+    prints = prints.select("doc_id", "k", F.explode("every").alias("f")).select("f.fp", "doc_id", "k", "f.pos", "f.windows")
+    # Numbers instead of a struct, so the aggregate hashes; most fingerprints stand once and end here.
+    often = prints.groupBy("fp").agg(F.min("k").alias("k0"), F.max("k").alias("k1"), F.min("pos").alias("p0"), F.max("pos").alias("p1"))
+    often = often.where("k0 <> k1 or p0 <> p1").select("fp")
+    hits = prints.join(often, "fp").select("doc_id", "k", F.explode("windows").alias("w"))
+    hits = written(hits.select("w.content", "doc_id", "k", "w.a", "w.b"), "repeated-fingerprints")
     place = F.struct("doc_id", "k", "a")
-    first = hits.groupBy("fp").agg(F.min(place).alias("first"))
-    later = hits.join(first, "fp").where(place != F.col("first"))
+    first = hits.groupBy("content").agg(F.min(place).alias("first"), F.max(place).alias("last"))
+    first = first.where(F.col("first") != F.col("last")).select("content", "first")
+    later = hits.join(first, "content").where(place != F.col("first"))
     found = later.groupBy("k").agg(F.sort_array(F.collect_set(F.struct("a", "b"))).alias("found"))
     # In order of their starts the ends are in order too.
     begins = F.transform("found", lambda r, i: F.when(r["a"] <= F.get("found", i - 1)["b"] + 1, None).otherwise(r["a"]))
@@ -216,18 +133,17 @@ def all_repeated_lines(lines: DataFrame, cfg: Winnow) -> DataFrame:
                                         lambda a, b: F.struct(a.alias("a"), b.alias("b"))).alias("runs"))
 
 
-def dropped_lines(docs: DataFrame, cfg: Winnow = Winnow(), whole: bool = False) -> DataFrame:
+def dropped_lines(docs: DataFrame, cfg: Winnow = Winnow()) -> DataFrame:
     """(doc_id, n_lines, n_dropped, dropped_chars, dropped) for every row of ``docs``; ``dropped``
-    lists the deleted lines' positions among the compared lines.  ``whole`` finds every repeat."""
+    lists the deleted lines' positions among the compared lines."""
     lines = written(line_table(docs), "lines")
-    out = lines.join((all_repeated_lines if whole else repeated_lines)(lines, cfg), "k", "left")
-    gone = F.filter(F.transform("chars", lambda n, i: F.struct(i.alias("i"), n.alias("n"))),
-                    lambda x: F.exists("runs", lambda r: (r["a"] <= x["i"]) & (x["i"] < r["b"])))
-    gone = F.coalesce(F.when(F.col("runs").isNotNull(), gone), F.array().cast("array<struct<i:int,n:int>>"))
-    return out.select("doc_id", F.size("hashes").cast("long").alias("n_lines"), gone.alias("gone")).select(
-        "doc_id", "n_lines", F.size("gone").cast("long").alias("n_dropped"),
-        F.aggregate("gone", F.lit(0).cast("long"), lambda s, x: s + x["n"]).alias("dropped_chars"),
-        F.col("gone.i").alias("dropped"))
+    counted = lines.select("doc_id", "k", F.size("chars").cast("long").alias("n_lines"), "chars")
+    out = counted.join(repeated_lines(lines, cfg), "k", "left")
+    places = F.flatten(F.transform("runs", lambda r: F.sequence(r["a"], r["b"] - 1)))
+    gone = F.coalesce(places, F.array().cast("array<int>"))
+    return out.select("doc_id", "n_lines", "chars", gone.alias("dropped")).select(
+        "doc_id", "n_lines", F.size("dropped").cast("long").alias("n_dropped"),
+        F.aggregate("dropped", F.lit(0).cast("long"), lambda s, i: s + F.get("chars", i)).alias("dropped_chars"), "dropped")
 
 
 def line_dedup(docs: DataFrame, cfg: Winnow = Winnow()) -> DataFrame:
@@ -236,7 +152,7 @@ def line_dedup(docs: DataFrame, cfg: Winnow = Winnow()) -> DataFrame:
     lines = written(line_table(docs), "lines")
     places = lines.select("k", "at").dropDuplicates(["k"])
     spans = F.transform("runs", lambda r: F.struct(F.get("at", r["a"]).alias("a"), F.get("at", r["b"] - 1).alias("b")))
-    cuts = all_repeated_lines(lines, cfg).join(places, "k").select(F.col("k").alias("__k"), spans.alias("__cuts"))
+    cuts = repeated_lines(lines, cfg).join(places, "k").select(F.col("k").alias("__k"), spans.alias("__cuts"))
     kept = docs.withColumn("__k", _key()).join(cuts, "__k", "left")
     rest = F.filter(_segments(F.col("text")), lambda s, i: ~F.exists("__cuts", lambda r: (r["a"] <= i) & (i <= r["b"])))
     cut = F.when(F.col("__cuts").isNotNull(), F.array_join(rest, "")).otherwise(F.col("text"))

@@ -10,27 +10,15 @@ _WHITE = r"chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 SQL: dict[str, str] = {}
 
 # Lines end after a line feed or after . ! ? and a space; U+0001, which no text holds, marks the ends.
-SQL["op1_line_dedup"] = rf"""with docs as (select doc_id, coalesce(text, '') as text, row_number() over (order by doc_id, text) as d from documents),
+# From the definition: equal lines of any two places make diagonals, their runs count from min_chars characters on.
+SQL["op1_line_dedup"] = rf"""with docs as (select doc_id, coalesce(text, '') as text, dense_rank() over (order by doc_id, coalesce(text, '')) as d from documents),
 parts as (select d, unnest(list_filter(string_split(regexp_replace(text, '([.!?] |\n)', '\1' || chr(1), 'g'), chr(1)), lambda s: s <> '')) as part,
                  generate_subscripts(list_filter(string_split(regexp_replace(text, '([.!?] |\n)', '\1' || chr(1), 'g'), chr(1)), lambda s: s <> ''), 1) as nth
-          from docs),
-l as (select d, trim(part, {_WHITE}) as line, row_number() over (partition by d order by nth) - 1 as p
+          from (select distinct d, text from docs)),
+h as (select d, trim(part, {_WHITE}) as line, length(trim(part, {_WHITE})) as n, row_number() over (partition by d order by nth) - 1 as p
       from parts where trim(part, {_WHITE}) <> ''),
-h as (select d, p, length(line) as n, ('0x' || substr(md5(line), 1, 15))::bigint as h from l),
-g as (select d, p, xor(h, lead(h) over (partition by d order by p) >> 1) as g,
-             count(*) over (partition by d) - 1 as n_grams from h),
-gr as (select * from g where g is not null),
-win as (select a.d, a.p as start, arg_max(b.p, (-b.g, b.p)) as p
-        from gr a join gr b on a.d = b.d and b.p between a.p and a.p + {_CFG.window - 1}
-        where a.p <= greatest(a.n_grams - {_CFG.window}, 0) group by 1, 2),
-fps as (select gr.d, gr.p, gr.g as fp from (select distinct d, p from win) w join gr using (d, p)
-        union all select d, p, -h from h where n >= {_CFG.min_chars}),
-prev as (select *, lag(p) over (partition by d, fp order by p) as before, min((d, p)) over (partition by fp) as first from fps),
-diag as (select distinct d, case when before is not null then d else first[1] end as e,
-                case when before is not null then p - before else p - first[2] end as shift
-         from prev where before is not null or (d, p) <> first),
-eq as (select x.d, x.p, x.n, g.e, g.shift, x.p - row_number() over (partition by x.d, g.e, g.shift order by x.p) as run
-       from diag g join h x on x.d = g.d join h y on y.d = g.e and y.p = x.p - g.shift and y.h = x.h),
+eq as (select x.d, x.p, x.n, y.d as e, x.p - y.p as shift, x.p - row_number() over (partition by x.d, y.d, x.p - y.p order by x.p) as run
+       from h x join h y on x.line = y.line and (y.d < x.d or y.d = x.d and y.p < x.p)),
 runs as (select d, min(p) as a, max(p) as b from eq group by d, e, shift, run having sum(n) >= {_CFG.min_chars}),
 gone as (select distinct h.d, h.p, h.n from runs join h on h.d = runs.d and h.p between runs.a and runs.b),
 per as (select d, count(*) as n_dropped, sum(n)::bigint as dropped_chars, string_agg(p, ',' order by p) as dropped from gone group by d)

@@ -3,7 +3,6 @@
 import random
 import re
 from collections import defaultdict
-from hashlib import md5
 
 import pytest
 
@@ -18,67 +17,7 @@ SF = "/root/testdata/sf0.001"
 
 # ---------------------------------------------------------------- line dedup
 
-def brute_dropped(docs, cfg):
-    """The same definition, written over plain lists."""
-    def lines_of(text):
-        parts = [s for s in re.split(r"(?<=\n)|(?<=[.!?] )", text or "") if s]
-        return [x for x in (s.strip(LD.WHITE) for s in parts) if x]
-    table = [(i, lines_of(t)) for i, t in docs]
-    h = {}
-
-    def hashed(line):
-        return h.setdefault(line, int(md5(line.encode()).hexdigest()[:15], 16))
-    prints, first = [], {}
-    for d, (doc_id, lines) in enumerate(table):
-        grams = [hashed(a) ^ (hashed(b) >> 1) for a, b in zip(lines, lines[1:])]
-        chosen = set()
-        for a in range(max(1, len(grams) - cfg.window + 1) if grams else 0):
-            part = grams[a:a + cfg.window]
-            chosen.add(max((-g, a + j) for j, g in enumerate(part))[1])
-        found = [(grams[i], i) for i in chosen] + [(-hashed(x), i) for i, x in enumerate(lines) if len(x) >= cfg.min_chars]
-        prints.append(sorted(found, key=lambda f: f[1]))
-        for fp, i in sorted(found, key=lambda f: f[1]):
-            first[fp] = min(first.get(fp, (doc_id, d, i)), (doc_id, d, i))
-    out = []
-    for d, (doc_id, lines) in enumerate(table):
-        gone, last, diagonals = set(), {}, set()
-        for fp, i in prints[d]:
-            if fp in last:
-                diagonals.add((d, i - last[fp]))
-            elif first[fp] != (doc_id, d, i):
-                diagonals.add((first[fp][1], i - first[fp][2]))
-            last[fp] = i
-        for e, shift in diagonals:
-            other, run = table[e][1], []
-            for i in range(max(shift, 0), len(lines) + 1):
-                if i < len(lines) and i - shift < len(other) and lines[i] == other[i - shift]:
-                    run.append(i)
-                    continue
-                if sum(len(lines[j]) for j in run) >= cfg.min_chars:
-                    gone.update(run)
-                run = []
-        out.append((doc_id, len(lines), len(gone), sum(len(lines[i]) for i in gone), sorted(gone)))
-    return out
-
-
-@pytest.mark.parametrize("seed", [1, 2, 3])
-def test_line_dedup_equals_brute_force(spark, seed):
-    rng = random.Random(seed)
-    pool = [" ".join(rng.choice("abcdefghij") * rng.randint(1, 9) for _ in range(rng.randint(1, 9))) for _ in range(25)]
-    docs = []
-    for i in range(60):
-        lines = [rng.choice(pool) for _ in range(rng.randint(0, 14))]
-        if docs and rng.random() < 0.4:
-            lines += docs[rng.randrange(len(docs))][1].split("\n")[:rng.randint(1, 9)]
-        docs.append((i, "\n".join(lines)))
-    cfg = LD.Winnow(window=3, min_chars=60)
-    got = LD.dropped_lines(spark.createDataFrame(docs, "doc_id long, text string").repartition(3), cfg).collect()
-    want = brute_dropped(docs, cfg)
-    assert sorted(tuple(r) for r in got) == sorted(want)
-    assert sum(r[2] for r in want) > 20
-
-
-def brute_whole(docs, least):
+def brute_dropped(docs, least):
     """Every line of an equal run of ``least`` characters that stood before, from all pairs of places."""
     table = [(i, [x for x in (s.strip(LD.WHITE) for s in re.split(r"(?<=\n)|(?<=[.!?] )", t)) if x]) for i, t in docs]
     out = []
@@ -99,24 +38,49 @@ def brute_whole(docs, least):
     return out
 
 
-def test_whole_line_dedup_equals_all_pairs_of_places(spark):
-    """Repeats of 2 and 3 lines, runs put together from several documents, single characters as lines."""
+def assert_dropped(spark, docs, least):
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    got = {tuple(r[:4]) + (tuple(r.dropped),) for r in LD.dropped_lines(df, LD.Winnow(min_chars=least)).collect()}
+    want = {(*r[:4], tuple(r[4])) for r in brute_dropped(docs, least)}
+    assert got == want
+    assert sum(r[2] for r in want) > 20
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_line_dedup_equals_all_pairs_of_places(spark, seed):
+    rng = random.Random(seed)
+    pool = [" ".join(rng.choice("abcdefghij") * rng.randint(1, 9) for _ in range(rng.randint(1, 9))) for _ in range(25)]
+    docs = []
+    for i in range(60):
+        lines = [rng.choice(pool) for _ in range(rng.randint(0, 14))]
+        if docs and rng.random() < 0.4:
+            lines += docs[rng.randrange(len(docs))][1].split("\n")[:rng.randint(1, 9)]
+        docs.append((i, "\n".join(lines)))
+    assert_dropped(spark, docs, 60)
+
+
+def test_line_dedup_equals_all_pairs_for_short_lines_and_mixed_runs(spark):
+    """Repeats of 2 and 3 lines, runs put together from several documents, single characters as lines,
+    equal lines in a row."""
     rng = random.Random(4)
     pool = [rng.choice("abcdefghij") * rng.choice([1, 2, 25, 30, 35, 45, 70]) + str(i) for i in range(30)]
     a, b, c = "a" * 25, "b" * 25, "c" * 25
-    texts = [f"{a}\n{b}", f"{b}\n{c}", f"{a}\n{b}\n{c}", f"x {a}\n{a}\n{b}\n{c}\nend", "", "\n".join("pqrst" * 40), "\n".join("zpqrst" * 40)]
+    texts = [f"{a}\n{b}", f"{b}\n{c}", f"{a}\n{b}\n{c}", f"x {a}\n{a}\n{b}\n{c}\nend", "", "\n".join("pqrst" * 40), "\n".join("zpqrst" * 40),
+             "\n".join([a] * 9), "\n".join([b] + [a] * 5 + [b] + [a] * 5), "\n".join("q" * 200)]
     for _ in range(70):
         lines = [rng.choice(pool) for _ in range(rng.randint(0, 9))]
         source = rng.choice(texts).split("\n")
         at = rng.randrange(len(source))
         texts.append("\n".join(lines[:4] + source[at:at + rng.randint(1, 4)] + lines[4:]))
-    docs = list(enumerate(texts))
-    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
-    got = {tuple(r[:4]) + (tuple(r.dropped),) for r in LD.dropped_lines(df, LD.Winnow(min_chars=60), whole=True).collect()}
-    want = {(*r[:4], tuple(r[4])) for r in brute_whole(docs, 60)}
-    assert got == want
-    first = brute_dropped(docs, LD.Winnow(min_chars=60))
-    assert sum(r[2] for r in first) < sum(r[2] for r in want)      # what fingerprints at their first places miss
+    assert_dropped(spark, list(enumerate(texts)), 60)
+
+
+def test_line_dedup_copies_no_document_to_the_matches(spark):
+    """A joined place carries its own windows only: no array of line hashes goes through a shuffle after the fingerprints."""
+    docs = [(i, "\n".join(f"line {j} of many in this text, it is of some length" for j in range(6))) for i in range(4)]
+    lines = LD.written(LD.line_table(spark.createDataFrame(docs, "doc_id long, text string")), "lines-test")
+    plan = LD.repeated_lines(lines, LD.Winnow())._jdf.queryExecution().optimizedPlan().toString()
+    assert "hashes" not in plan and "Join Inner" in plan
 
 
 def test_line_dedup_cuts_a_run_whose_parts_first_stood_elsewhere(spark):
