@@ -48,8 +48,9 @@ LINE_END = r"(?<=\n)|(?<=[.!?] )"
 WHITE = " \t\n\x0b\x0c\r"
 # Longer than any array, and a start can be added to it.
 REST = 1 << 30
-# Lines looked at first for a run's end; longer runs are counted again.
+# Lines looked at first for a window's end, and then; longer ones are counted in full.
 FEW_LINES = 8
+MORE_LINES = 32
 
 
 @dataclass(frozen=True)
@@ -83,30 +84,35 @@ def fingerprint_table(lines: DataFrame, min_chars: int) -> DataFrame:
 
     # Characters in the upper bits, lines in the lower ones; lines beyond the last needed add nothing.
     def counted(i: Column, most: int) -> Column:
-        return F.aggregate(F.slice("chars", i + 1, most), F.lit(0).cast("long"),
+        both = F.aggregate(F.slice("chars", i + 1, most), F.lit(0).cast("long"),
                            lambda s, c: F.when(s >= full, s).otherwise(s + F.least(c, F.lit(min_chars)).cast("long") * REST + 1))
-
-    few = F.transform("chars", lambda _, i: counted(i, FEW_LINES))
-    enough = F.transform(few, lambda s, i: F.when(s >= full, s).otherwise(counted(i, min_chars)))
-    ends = F.transform(F.filter(enough, lambda s: s >= full), lambda s, i: (s % REST).cast("int") + i - 1)
-    n = F.size("hashes")
-
-    def window(a: Column, b: Column) -> Column:
-        inside = F.slice("hashes", a + 1, b - a + 1)
-        place = a + F.array_position(inside, F.array_min(inside)).cast("int") - 1
-        return F.struct(place.alias("pos"), F.xxhash64(inside).alias("content"), a.alias("a"), b.alias("b"))
-
+        return F.when(both >= full, (both % REST).cast("int") + i - 1)
+
+    def near(i: Column) -> Column:
+        chars = F.get("chars", i)
+        found = F.when(chars >= min_chars, i)
+        for j in range(1, FEW_LINES):
+            chars = chars + F.get("chars", i + j)
+            found = found.when(chars >= min_chars, i + j)
+        return found.when(chars.isNull(), -1).otherwise(F.coalesce(counted(i, MORE_LINES), counted(i, min_chars), F.lit(-1)))
+
+    # Last line of the window from each line on; lines near the text's end have none.
+    ends = F.filter(F.transform("chars", lambda _, i: near(i)), lambda e: e >= 0)
     # Ends grow with the starts; those between two of them end the shortest run up to them at the first start.
-    windows = F.transform("ends", lambda e, a: F.transform(
-        F.sequence(e, F.greatest(e, F.coalesce(F.get("ends", a + 1), n) - 1)), lambda b: window(a, b)))
+    spans = F.flatten(F.transform("ends", lambda e, a: F.transform(
+        F.sequence(e, F.greatest(e, F.coalesce(F.get("ends", a + 1), F.size("hashes")) - 1)),
+        lambda b: F.struct(F.slice("hashes", a + 1, b - a + 1).alias("inside"), a.alias("a"), b.alias("b")))))
+    windows = F.transform(spans, lambda w: F.struct(
+        (w["a"] + F.array_position(w["inside"], F.array_min(w["inside"])).cast("int") - 1).alias("pos"),
+        F.xxhash64(w["inside"]).alias("content"), w["a"].alias("a"), w["b"].alias("b")))
     # Windows move on, and their minima with them: those of one minimum stand together.
     first = F.filter(F.transform("windows", lambda w, i: F.when((i == 0) | (w["pos"] != F.get("windows", i - 1)["pos"]), i)),
                      lambda i: i.isNotNull())
     every = F.zip_with("first", F.concat(F.slice("first", 2, REST), F.array(F.size("windows"))), lambda x, y: F.struct(
         F.get("hashes", F.get("windows", x)["pos"]).alias("fp"), F.get("windows", x)["pos"].alias("pos"),
         F.transform(F.slice("windows", x + 1, y - x), lambda w: F.struct(w["content"], w["a"], w["b"])).alias("windows")))
-    return (lines.select("doc_id", "k", "hashes", ends.alias("ends")).where(F.size("ends") > 0)
-            .select("doc_id", "k", "hashes", F.flatten(windows).alias("windows"))
+    return (lines.select("doc_id", "k", "hashes", ends.alias("ends"))
+            .select("doc_id", "k", "hashes", windows.alias("windows"))
             .select("doc_id", "k", "hashes", "windows", first.alias("first"))
             .select("doc_id", "k", every.alias("every")))
 
