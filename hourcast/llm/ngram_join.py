@@ -21,11 +21,14 @@ share the smaller one.
    shingles (of a group of copies, the one they were made from).  This is linear in the lists
    and joins the bulk of a large group.
 4. Rest: two classes of lists with one center share at most the smaller of what they share with
-   the center, and the smaller of what each shares with others but not with the center.  For a
-   class that did not reach its center's component, the pairs in different components for
-   which this bound allows a link, and which share the smaller l of the two prefixes, are
-   verified.  A pair left out has no link, a pair in one component needs none, so the
-   components are exact.
+   the center, and the smaller of what each shares with others but not with the center.  Classes
+   alike in their size and in both parts are one kind, and this bound is taken between kinds, so
+   a family that shares much with its center but links nowhere ends here.  For kinds that it lets
+   through, one class of a pair outside the center's component, a second prefix is taken inside
+   the family: of the shingles outside the center where a link needs some of them, else of all,
+   the rarest in the family first.  Pairs in different components that meet there, and that share the
+   smaller l of the two first prefixes, are verified.  A pair left out has no link, a pair in one
+   component needs none, so the components are exact.
 
 Verification is exact on the full sets.
 
@@ -239,6 +242,51 @@ def _links(shared: Column, n: Column, m: Column, cfg: Join) -> Column:
     return shared * 100 >= (n + m - shared) * cfg.percent
 
 
+def _kinds_may_link(x: str, y: str, cfg: Join) -> Column:
+    """Two classes share at most the smaller inner and the smaller outer part."""
+    most = F.least(f"{x}.inner", f"{y}.inner") + F.least(f"{x}.outer", f"{y}.outer")
+    return _links(most, F.col(f"{x}.n"), F.col(f"{y}.n"), cfg)
+
+
+def kind_needs(members: DataFrame, cfg: Join) -> DataFrame:
+    """(center, kind, apart, need): the kinds of members (n, inner, outer) that may link with another
+    kind of their center, one of the two outside the center's component.
+
+    ``apart``: links that need shingles outside the center, ``need`` of them at least; of the
+    others ``need`` is the least number of shingles shared in all.  Only kinds are compared here,
+    whose number is bounded by the sizes of sets and not by how many classes there are.
+    """
+    kinds = members.groupBy("center", "kind").agg(F.max(F.col("component") != F.col("home")).alias("away"))
+    x, y = kinds.where("away").alias("x"), kinds.alias("y")
+    both = x.join(y, "center").where(_kinds_may_link("x.kind", "y.kind", cfg))
+    least = F.ceil((F.col("x.kind.n") + F.col("y.kind.n")) * cfg.percent / (100 + cfg.percent))
+    outside = least - F.least("x.kind.inner", "y.kind.inner")
+    return (both.select("center", F.explode(F.array("x.kind", "y.kind")).alias("kind"), (outside > 0).alias("apart"),
+                        F.when(outside > 0, outside).otherwise(least).alias("need"))
+            .groupBy("center", "kind", "apart").agg(F.min("need").alias("need")))
+
+
+def rest_lists(members: DataFrame, needs: DataFrame, sets: DataFrame) -> DataFrame:
+    """``members`` of the kinds in ``needs`` with one row per (apart, token) of their prefixes.
+
+    The shingles (``apart``: those outside the center) that several such members hold, in the order of
+    their frequency among these; two that share ``need`` meet in the first held - need + 1.
+    """
+    of = sets.select("class", "tokens")
+    centers = of.select(F.col("class").alias("center"), F.col("tokens").alias("central"))
+    mine = members.join(needs, ["center", "kind"]).join(of, "class").join(centers, "center")
+    tokens = F.when(F.col("apart"), F.array_except("tokens", "central")).otherwise(F.col("tokens"))
+    rows = mine.select("center", "apart", "class", "need", F.explode(tokens).alias("token"))
+    rows = written(rows, "rest-tokens")
+    often = rows.groupBy("center", "apart", "token").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
+    one = Window.partitionBy("center", "apart", "class")
+    prefix = (rows.join(often, ["center", "apart", "token"])
+              .withColumn("nth", F.row_number().over(one.orderBy("df", "token")))
+              .withColumn("held", F.count(F.lit(1)).over(one)).where("nth <= held - need + 1")
+              .select("center", "apart", "class", "token"))
+    return prefix.join(members, ["center", "class"])
+
+
 def links(sets: DataFrame, cfg: Join) -> DataFrame:
     """(a, b): linked pairs of classes whose components are the components of all links."""
     lists = written(adaptive_prefixes(sets, cfg), "lists")
@@ -257,14 +305,13 @@ def links(sets: DataFrame, cfg: Join) -> DataFrame:
                        # What it shares with the center, and what it shares with others only.
                        F.coalesce("shared", "n").alias("inner"), (F.col("held") - F.coalesce("shared", "held")).alias("outer")))
     home = members.where("class = center").select("center", F.col("component").alias("home"))
-    members = written(members.join(home, "center"), "members")
-    x, y = members.where("component <> home").alias("x"), members.alias("y")
-    # Two classes share at most the smaller inner and the smaller outer part.
-    most = F.least("x.inner", "y.inner") + F.least("x.outer", "y.outer")
-    pairs = (x.join(y, "center")
+    members = written(members.join(home, "center").withColumn("kind", F.struct("n", "inner", "outer")), "members")
+    rest = written(rest_lists(members, kind_needs(members, cfg), sets), "rest")
+    x, y = rest.where("component <> home").alias("x"), rest.alias("y")
+    pairs = (x.join(y, ["center", "apart", "token"])
              .where((F.col("x.component") != F.col("y.component"))
                     & ((F.col("y.component") == F.col("y.home")) | (F.col("x.class") < F.col("y.class")))
-                    & _links(most, F.col("x.n"), F.col("y.n"), cfg))
+                    & _kinds_may_link("x.kind", "y.kind", cfg))
              .select(F.least("x.class", "y.class").alias("a"), F.greatest("x.class", "y.class").alias("b"),
                      F.least("x.matches", "y.matches").alias("needed")).distinct())
     done = tried.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))

@@ -188,3 +188,47 @@ def test_components_of_a_chain(spark):
 def test_oracle(spark, name):
     _, problems = compare(spark, name, SF, queries()[name], oracle_sql()[name])
     assert not problems, problems
+
+
+def family(kind, n, seed=5):
+    """Texts that share much with one of them: ``apart`` (no links), ``few`` (some twins), ``twins``
+    (each links with one other, none with the rest) and ``excerpts`` of one long text."""
+    rng = random.Random(seed)
+    fresh = iter(range(10**9))
+    own = lambda k: [f"w{next(fresh)}" for _ in range(k)]
+    common, texts = own(84), []
+    if kind == "excerpts":
+        long = own(40 * n)
+        texts = [long] + [long[i * 37:i * 37 + 90] for i in range(n)]
+        return [(i, " ".join(t)) for i, t in enumerate(texts)]
+    while len(texts) < n:
+        words = common + own(18)
+        texts.append(words)
+        if kind == "twins" or (kind == "few" and rng.random() < 0.03):
+            texts.append(words[:100] + own(2))
+    rng.shuffle(texts)
+    return [(i, " ".join(t)) for i, t in enumerate(texts[:n])]
+
+
+@pytest.mark.parametrize("kind", ["apart", "few", "twins", "excerpts"])
+def test_join_of_a_family_equals_brute_force(spark, kind):
+    docs = family(kind, 150)
+    rows = NJ.near_duplicates(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+    assert sorted((str(r.doc_id), r.n_shingles, str(r.component_id)) for r in rows) == brute_components(docs)
+
+
+@pytest.mark.parametrize("kind", ["apart", "twins"])
+def test_join_of_a_family_compares_no_product(spark, monkeypatch, kind):
+    sizes, made = {}, NJ.written
+
+    def counting(df, name):
+        out = made(df, name)
+        sizes[name] = out.count()
+        return out
+
+    monkeypatch.setattr(NJ, "written", counting)
+    n = 600
+    NJ.near_duplicates(spark.createDataFrame(family(kind, n), "doc_id long, text string")).collect()
+    # No shingle is left to meet on in a family without links; twins meet on their own shingles alone.
+    assert sizes["rest"] <= (0 if kind == "apart" else 40 * n)
+    assert sizes["rest-links"] <= n
