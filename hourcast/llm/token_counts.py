@@ -35,7 +35,9 @@ CACHE_SCHEMA = "digest binary, n_tokens long"
 
 
 def one_space(text: Column) -> Column:
-    return F.btrim(F.regexp_replace(text, f"[{WHITE_SPACE}]+", " "), F.lit(" "))
+    """White space as one space; a lone space is no match, so usual texts are read and not rebuilt."""
+    other = f"[{WHITE_SPACE}&&[^ ]][{WHITE_SPACE}]*"
+    return F.btrim(F.regexp_replace(text, f"{other}| [{WHITE_SPACE}]+", " "), F.lit(" "))
 
 
 def read_cache(spark, folder: str) -> DataFrame:
