@@ -21,10 +21,11 @@ Iteration stops after ``max_iter`` steps or, from the second step on, when
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hourcast.schema import FEATURES_7
+from hourcast.sources.writers import write_bucketed
 
 # Optimiser defaults of the original trainer.
 STEP_SIZE = 0.1
@@ -138,8 +139,39 @@ def score_linear(df: DataFrame, coefs: DataFrame, features: list[str] | None = N
     shuffle join otherwise.  ``how='left'`` keeps rows of unseen segments with
     a NULL prediction.
     """
-    features = features or FEATURES_7
-    dot = F.col("intercept")
-    for i, c in enumerate(features):
-        dot = dot + F.col("weights")[i] * F.col(c)
-    return df.join(coefs, on="segment", how=how).withColumn("prediction", dot).drop("weights", "intercept")
+    return df.join(coefs, on="segment", how=how).withColumn("prediction", dot(features)).drop("weights", "intercept")
+
+
+def dot(features: list[str] | None = None) -> Column:
+    """w . x + intercept of a joined row."""
+    out = F.col("intercept")
+    for i, c in enumerate(features or FEATURES_7):
+        out = out + F.col("weights")[i] * F.col(c)
+    return out
+
+
+def bucketed_rows(df: DataFrame, table: str, path: str, buckets: int, parts: int, key: str = "row_key") -> DataFrame:
+    """Rows saved for scoring without an exchange, bucketed by (segment, part).
+
+    ``part`` deals a segment's rows to ``parts`` buckets by a hash of ``key``, so a segment
+    that holds a third of all rows is no single task.
+    """
+    rows = df.withColumn("part", F.pmod(F.xxhash64(key), F.lit(parts)).cast("int"))
+    return write_bucketed(rows, table, path, ["segment", "part"], buckets)
+
+
+def bucketed_models(coefs: DataFrame, table: str, path: str, buckets: int, parts: int) -> DataFrame:
+    """The model table beside ``bucketed_rows``: each model once per part."""
+    models = coefs.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
+    return write_bucketed(models, table, path, ["segment", "part"], buckets)
+
+
+def score_bucketed(rows: DataFrame, models: DataFrame, features: list[str] | None = None,
+                   how: str = "inner") -> DataFrame:
+    """``score_linear`` on tables of the two functions above, of equal ``buckets`` and ``parts``.
+
+    Both sides are read bucket by bucket, so neither is shuffled nor broadcast: the merge hint
+    keeps the co-located join whatever the models' size is.
+    """
+    joined = rows.hint("merge").join(models, on=["segment", "part"], how=how)
+    return joined.withColumn("prediction", dot(features)).drop("weights", "intercept", "part")

@@ -80,6 +80,16 @@ def union_segments(frames: list[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), frames)
 
 
+def of_segments(df: DataFrame, segments: DataFrame, segment: str = SEGMENT) -> DataFrame:
+    """Rows of all segments that ``segments`` lists, rows without one if it lists NULL.
+
+    The union of their frames in one plan: a semi join, which prunes the partitions of a
+    table partitioned by segment.
+    """
+    wanted = segments.select(F.col(segment).alias("_wanted"))
+    return df.join(wanted, F.col(segment).eqNullSafe(F.col("_wanted")), "left_semi")
+
+
 def preview(df: DataFrame, order_by: list[str], n: int = 5) -> DataFrame:
     """First n rows in a deterministic order (a top-n sort, not a full sort)."""
     return df.orderBy(*order_by).limit(n)

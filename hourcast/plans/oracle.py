@@ -283,6 +283,8 @@ select model, segment, feature, r6(weight) as weight from (
 SQL["linear_score_join"] = f"""with recursive {GD}
 select model, segment, row_key, r6(label) as label, r6(prediction) as prediction from pred"""
 
+SQL["bucketed_score_join"] = SQL["linear_score_join"]
+
 _ONE = "case when (exp(label) - exp(prediction)) / exp(label) > 0.35 then 0.0 else 1.0 end"
 _TWO = ("case when exp(label) = 0 then (case when exp(prediction) = 0 then 1.0 else 0.0 end) "
         "when abs((exp(label) - exp(prediction)) / exp(label)) < 0.15 then 1.0 else 0.0 end")

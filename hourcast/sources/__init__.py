@@ -10,6 +10,7 @@ from hourcast.sources.readers import (
 )
 from hourcast.sources.writers import (
     append_alerts,
+    write_bucketed,
     write_checkpoint,
     write_feature_csv,
     write_feature_parquet,
@@ -19,6 +20,6 @@ from hourcast.sources.writers import (
 __all__ = [
     "hourly_from_events", "load_table",
     "read_hourly_csv", "read_feature_csv", "read_feature_parquet", "read_parquet", "read_jdbc",
-    "write_checkpoint", "write_hourly_csv", "write_feature_csv", "write_feature_parquet",
+    "write_bucketed", "write_checkpoint", "write_hourly_csv", "write_feature_csv", "write_feature_parquet",
     "append_alerts",
 ]

@@ -1,3 +1,5 @@
+import uuid
+
 import numpy as np
 import pytest
 from pyspark.mllib.regression import LabeledPoint, LassoWithSGD, LinearRegressionWithSGD, RidgeRegressionWithSGD
@@ -149,3 +151,21 @@ def test_scaler_refit_option(spark, synthetic):
     r = test.first()
     assert t_fixed.first()["x0"] == pytest.approx(r["x0"] / s_train["x0"])
     assert t_refit.first()["x0"] == pytest.approx(r["x0"] / s_test["x0"])
+
+
+def test_bucketed_scoring_shuffles_nothing(spark, synthetic, tmp_path):
+    coefs = LN.gd_fit(LN.moments(synthetic, FEATS), kinds=["linear", "ridge"])
+    keyed = synthetic.withColumn("row_key", F.concat_ws("-", "segment", "label"))
+    extra = spark.createDataFrame([(9, 0.0, *[1.0] * 7, "unseen"), (None, 0.0, *[1.0] * 7, "none")], keyed.schema)
+    given = keyed.unionByName(extra)
+    name = f"t_{uuid.uuid4().hex}"
+    rows = LN.bucketed_rows(given, f"{name}_rows", f"{tmp_path}/rows", buckets=6, parts=3)
+    models = LN.bucketed_models(coefs, f"{name}_models", f"{tmp_path}/models", buckets=6, parts=3)
+    for how in ("inner", "left"):
+        scored = LN.score_bucketed(rows, models, FEATS, how)
+        plan = scored._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Exchange" not in plan
+        want = LN.score_linear(given, coefs, FEATS, how).select(*scored.columns)
+        assert sorted(map(str, scored.collect())) == sorted(map(str, want.collect()))
+    # One segment's rows lie in several buckets.
+    assert rows.where("segment = 0").select("part").distinct().count() == 3

@@ -41,3 +41,8 @@ def test_tree_scoring_joins_once(spark):
 def test_linear_scoring_broadcasts_the_model_table(spark):
     plan = plan_of(queries()["linear_score_join"](spark, SF))
     assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+
+
+def test_union_of_segments_is_one_plan(spark):
+    plan = plan_of(queries()["union_segments"](spark, SF))
+    assert "Union" not in plan and plan.count("Join") == 1
