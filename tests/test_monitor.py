@@ -38,3 +38,20 @@ def test_message_names_the_features(spark):
     row = _scored(spark, [(1, "k", 10.0, math.log(40.0))]).withColumns({"errors": F.lit(3.0), "no_credit": F.lit(None).cast("double")})
     r = MON.alerts(row, features=MON.features_text(["errors", "no_credit"])).first()
     assert r.message.endswith("(errors=3.00, no_credit=null)")
+
+
+def test_outage_alerts_without_any_alert(spark, tmp_path):
+    """Even traffic raises no alert: the alerts table stays without a file and is read as empty."""
+    from hourcast.plans.catalog import REGISTRY
+
+    hours = spark.range(5 * 30 * 6).selectExpr(
+        "id % 5 as user_id", "cast(floor(id / 5) % 30 as int) as d", "cast(floor(id / 150) as int) as h")
+    events = hours.selectExpr("user_id", "d", "h", "explode(sequence(1, 30 + h + d % 3)) as i").selectExpr(
+        "monotonically_increasing_id() as event_id", "make_timestamp_ntz(2024, 1, d + 1, h, i, 0) as ts", "user_id",
+        "case when i <= 20 + h then 'purchase' when i % 2 = 0 then 'view' else 'error' end as event_type",
+        "cast(i as double) as value", "cast(null as string) as props")
+    events.write.parquet(str(tmp_path / "events.parquet"))
+    assert REGISTRY["score_alerts"](spark, str(tmp_path)).count() == 0
+    out = REGISTRY["outage_alerts"](spark, str(tmp_path))
+    assert out.collect() == []
+    assert out.columns == ["segment", "row_key", "measured", "predicted", "message"]
