@@ -141,6 +141,60 @@ def score_trees(df: DataFrame, trees: DataFrame, features: list[str], keep: list
     return rows.join(trees, "segment", "left").select(*keep, leaf.alias("prediction"))
 
 
+# ---------------------------------------------------------------- ties
+
+# Falls of the squared error are compared in this part of a segment's whole squared error.
+TIE = 1e-9
+
+
+def settle_ties(trees: DataFrame, train: DataFrame, features: list[str], label: str = "label") -> DataFrame:
+    """Trees of depth 1 with ties settled: of all splits as good as the fitted one, up to ``TIE``, the first
+    by feature and threshold stands.
+
+    MLlib takes the split whose gain is the largest to the last bit, and last bits depend on the order
+    in which rows are added.  A tree whose split is no tie stays as it was fitted; a split without
+    a fall of one ``TIE`` becomes a leaf.  The features must have fewer values than the trees had
+    bins, so that every midpoint was a candidate.  ``trees`` is as from ``read_trees`` by segment.
+    """
+    root = F.get("nodes", 0)
+    rows = train.join(trees.select("segment", root.alias("root")), "segment").select(
+        "segment", "root", (F.col(label) - F.col("root.prediction")).alias("y"), F.posexplode(checked(features)).alias("feature", "value"))
+    # One row per segment, feature and value reaches the windows.
+    hist = rows.groupBy("segment", "feature", "value").agg(
+        F.first("root").alias("root"), F.count(F.lit(1)).alias("n"), F.sum("y").alias("s"), F.sum(F.col("y") * F.col("y")).alias("q"))
+    whole = Window.partitionBy("segment", "feature")
+    order = whole.orderBy("value")
+    below = order.rowsBetween(Window.unboundedPreceding, 0)
+    sums = hist.select("segment", "feature", "value", "root", F.lead("value").over(order).alias("above"),
+                       *[F.sum(c).over(w).alias(f"{p}{c}") for p, w in (("l", below), ("t", whole)) for c in "nsq"])
+    right_n, right_s = F.col("tn") - F.col("ln"), F.col("ts") - F.col("ls")
+    error = F.col("tq") - F.col("ts") * F.col("ts") / F.col("tn")
+    fall = F.col("ls") * F.col("ls") / F.col("ln") + F.try_divide(right_s * right_s, right_n) - F.col("ts") * F.col("ts") / F.col("tn")
+    # Labels that differ in their last bits only have no error to share out.
+    spread = F.sqrt(F.greatest(error, F.lit(0.0)) / F.col("tn")) > TIE * F.greatest(F.abs(F.col("root.prediction")), F.lit(1.0))
+    units = F.when(spread, F.floor(fall / error / TIE + 0.5))
+    mean = F.col("root.prediction")
+    splits = sums.where("above is not null").select(
+        "segment", "root", "feature", ((F.col("value") + F.col("above")) / 2.0).alias("threshold"), units.alias("units"),
+        ((F.col("root.feature") == F.col("feature")) & (F.col("root.threshold") >= F.col("value"))
+         & (F.col("root.threshold") < F.col("above"))).alias("fitted"),
+        (mean + F.col("ls") / F.col("ln")).alias("low"), (mean + F.try_divide(right_s, right_n)).alias("high"))
+    fitted = splits.where("fitted and units >= 1").select("segment", "units")
+    first = splits.join(fitted, ["segment", "units"]).groupBy("segment").agg(
+        F.min(F.struct("feature", "threshold", "fitted", "low", "high")).alias("first"))
+
+    def renewed(node):
+        at = F.when(node["id"] == 0, node["prediction"]).when(node["id"] == root["left"], F.col("first.low")).otherwise(F.col("first.high"))
+        return F.struct(node["id"].alias("id"), at.alias("prediction"), node["left"].alias("left"), node["right"].alias("right"),
+                        F.when(node["id"] == 0, F.col("first.feature")).otherwise(node["feature"]).alias("feature"),
+                        F.when(node["id"] == 0, F.col("first.threshold")).otherwise(node["threshold"]).alias("threshold"))
+    leaf = F.array(F.struct(F.lit(0).alias("id"), root["prediction"].alias("prediction"), F.lit(-1).alias("left"), F.lit(-1).alias("right"),
+                            F.lit(-1).alias("feature"), F.lit(None).cast("double").alias("threshold")))
+    kept = F.when(F.col("first").isNull(), leaf).when(F.col("first.fitted"), F.col("nodes")).otherwise(F.transform("nodes", renewed))
+    settled = trees.join(first, "segment", "left").select("segment", kept.alias("nodes"))
+    return settled.withColumn("depth", _depth(F.col("nodes")))
+
+
 # ---------------------------------------------------------------- grid search
 
 @contextmanager

@@ -126,3 +126,29 @@ def test_elastic_report_matches_training_summary(spark):
         assert rep[key].r2 == pytest.approx(s.r2, rel=1e-9)
         assert rep[key].num_instances == s.numInstances
         assert rep[key].iterations == s.totalIterations
+
+
+@pytest.mark.parametrize("feature, threshold", [(0, 2.5), (1, 4.5)])
+def test_ties_between_splits_go_to_the_first(spark, feature, threshold):
+    """b mirrors a, so ``a <= 2.5`` and ``b <= 4.5`` part the rows alike; segment 2 has no error to split."""
+    data = [(s, f"{s}|{i}", float(i % 8), float(7 - i % 8), float(s == 1) * (0.1 if i % 8 < 3 else 0.7) + 0.1 * (i % 3))
+            for s in (1, 3) for i in range(240)] + [(2, f"2|{i}", float(i % 8), 0.0, 0.3) for i in range(50)]
+    df = spark.createDataFrame(data, "segment int, row_key string, a double, b double, label double")
+    low, high = (0.2, 0.8) if feature == 0 else (0.8, 0.2)
+    trees = spark.createDataFrame(
+        [(s, [(0, mean, 1, 2, feature, threshold), (1, low, -1, -1, -1, None), (2, high, -1, -1, -1, None)], 1)
+         for s, mean in [(1, 0.575), (2, 0.3)]],
+        "segment int, nodes array<struct<id:int,prediction:double,left:int,right:int,feature:int,threshold:double>>, depth int")
+    rules = TR.tree_rules(TR.settle_ties(trees, df, FEATS), FEATS).select("segment", "conditions", "prediction").collect()
+    got = {(r.segment, r.conditions): r.prediction for r in rules}
+    assert got == pytest.approx({(1, "a <= 2.5"): 0.2, (1, "a > 2.5"): 0.8, (2, ""): 0.3})
+
+
+def test_stump_query_returns_the_rules(spark):
+    from hourcast.plans.catalog import REGISTRY
+
+    out = REGISTRY["tree_stump"](spark, "/root/testdata/sf0.001")
+    assert out.columns == ["segment", "conditions", "prediction", "n_leaves", "squared_error"]
+    for segment, rows in out.toPandas().groupby("segment"):
+        assert len(rows) == rows.n_leaves.iloc[0] == 2
+        assert {c.split()[1] for c in rows.conditions} == {"<=", ">"} and {c.split()[0] for c in rows.conditions} <= {"hour_of_day", "week_of_month"}
