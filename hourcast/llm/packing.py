@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from hourcast.llm.common import id_and_text, vocabulary_bytes, written
-from hourcast.llm.tokens import SPACED_CHUNKS, ChunkEncoder
+from hourcast.llm.tokens import SPACED_CHUNKS, worker_encoder
 
 END = b"\0\0\0\0"
 # Pieces that one worker ranks together.
@@ -61,7 +61,7 @@ def pieces(docs: DataFrame, tokenizer: str, cfg: Packing = Packing(), chunks: st
     spec = vocabulary_bytes(tokenizer)
 
     def run(batches):
-        encoder = ChunkEncoder(spec, chunks)
+        encoder = worker_encoder(spec, chunks)
         row = TaskContext.get().partitionId() << 40
         for batch in batches:
             ids, texts = batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()

@@ -11,6 +11,8 @@ import json
 import os
 import re
 import struct
+from collections.abc import Callable
+from functools import lru_cache
 
 # The characters with the Unicode property White_Space, as a class body.
 WHITE_SPACE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
@@ -26,7 +28,7 @@ SPACED_CHUNKS = f" ?(?:{LATIN_RUN}|{MARKS_RUN}|[^{WHITE_SPACE}]+)|[{WHITE_SPACE}
 WORD_CHUNKS = f"{LATIN_RUN}|{MARKS_RUN}|[^{WHITE_SPACE}]+"
 
 CHUNK_CHARS = 100
-KEPT_CHUNKS = 400_000
+KEPT_CHUNKS = 600_000
 
 
 def pack(ids: list[int]) -> bytes:
@@ -34,11 +36,37 @@ def pack(ids: list[int]) -> bytes:
     return struct.pack(f"<{len(ids)}I", *ids)
 
 
+def byte_marks() -> dict[int, str]:
+    """The characters that byte-level tokenizers write for the bytes, as a translation of latin-1 text."""
+    shown = {*range(0x21, 0x7f), *range(0xa1, 0xad), *range(0xae, 0x100)}
+    return {b: chr(0x100 + n) for n, b in enumerate(b for b in range(0x100) if b not in shown)}
+
+
+class _Known(dict):
+    """Encoded chunks; one that is asked for and not here is encoded.  When KEPT_CHUNKS are held they
+    become the older ones, and those of the older ones that are not asked for meanwhile go."""
+
+    def __init__(self, encode: Callable[[str], bytes]):
+        super().__init__()
+        self.encode_chunk, self.older = encode, {}
+
+    def __missing__(self, chunk: str) -> bytes:
+        found = self.older.get(chunk)
+        if found is None:
+            found = self.encode_chunk(chunk)
+        if len(chunk) <= CHUNK_CHARS:
+            if len(self) >= KEPT_CHUNKS:
+                self.older = dict(self)
+                self.clear()
+            self[chunk] = found
+        return found
+
+
 class ChunkEncoder:
     """Ids of whole texts as little-endian unsigned 32-bit bytes.
 
     ``spec`` is the content of a tokenizers file, ``chunks`` the pattern that cuts a text into
-    chunks.  At most KEPT_CHUNKS encoded chunks are remembered.
+    chunks.  At most two times KEPT_CHUNKS encoded chunks are remembered.
     """
 
     def __init__(self, spec: bytes, chunks: str):
@@ -49,40 +77,40 @@ class ChunkEncoder:
         self.tokenizer = Tokenizer.from_str(spec.decode())
         self.tokenizer.no_padding()
         self.tokenizer.no_truncation()
-        self.special = [t["content"] for t in json.loads(spec)["added_tokens"]]
+        self.tokenize = self.tokenizer.model.tokenize
+        parsed = json.loads(spec)
+        self.special = [t["content"] for t in parsed["added_tokens"]]
         self.split = re.compile(chunks).findall
-        self.lower = '"Lowercase"' in json.dumps(json.loads(spec)["normalizer"])
-        self.known: dict[str, bytes] = {}
-
-    def _encode(self, texts: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [pack(e.ids) for e in found]
-
-    def _learn(self, chunks: list[str]) -> None:
-        """Encodes chunks that are new.  One of ASCII letters is a single word to the pattern, and its
-        bytes stand for themselves (the space before it as U+0120), so the model alone is asked."""
-        known, tokenize, rest = self.known, self.tokenizer.model.tokenize, []
-        for c in chunks:
-            word = c[1:] if c[0] == " " else c
-            if word.isascii() and word.isalpha():
-                marked = word if word is c else "\u0120" + word
-                known[c] = pack([t.id for t in tokenize(marked.lower() if self.lower else marked)])
-            else:
-                rest.append(c)
-        known.update(zip(rest, self._encode(rest), strict=True))
+        self.lower = '"Lowercase"' in json.dumps(parsed["normalizer"])
+        # Latin letters beyond ASCII stand for their bytes where nothing is normalised before.
+        self.by_bytes = parsed["normalizer"] is None and (parsed["pre_tokenizer"] or {}).get("type") == "ByteLevel"
+        self.marks = byte_marks()
+        self.known = _Known(self._encode_chunk)
+
+    def _encode(self, text: str) -> bytes:
+        return pack(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids)
+
+    def _encode_chunk(self, chunk: str) -> bytes:
+        """A chunk of Latin letters is a single word to the pattern, and its bytes stand for themselves
+        or for their marks (the space before it as U+0120), so the model alone is asked."""
+        word = chunk[1:] if chunk[0] == " " else chunk
+        if word.isalpha():
+            marked = word
+            if not word.isascii():
+                if not self.by_bytes or max(word) > "\xff":
+                    return self._encode(chunk)
+                marked = word.encode().decode("latin-1").translate(self.marks)
+            elif self.lower:
+                marked = word.lower()
+            return pack([t.id for t in self.tokenize(marked if word is chunk else "\u0120" + marked)])
+        return self._encode(chunk)
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        whole = [any(s in t for s in self.special) for t in texts]
-        cut = [[t] if w else self.split(t) for t, w in zip(texts, whole, strict=True)]
-        if len(self.known) > KEPT_CHUNKS:  # the chunks at hand stay, and with them the frequent ones
-            self.known = {c: self.known[c] for parts in cut for c in parts if c in self.known}
-        known = self.known
-        new = list({c for parts, w in zip(cut, whole, strict=True) if not w for c in parts if c not in known})
-        self._learn(new)
-        out = [b"" if w else b"".join(map(known.__getitem__, parts)) for parts, w in zip(cut, whole, strict=True)]
-        for i in (i for i, w in enumerate(whole) if w):
-            out[i] = self._encode([texts[i]])[0]
-        for c in new:
-            if len(c) > CHUNK_CHARS:
-                del known[c]
-        return out
+        find, special, split = self.known.__getitem__, self.special, self.split
+        return [self._encode(t) if any(s in t for s in special) else b"".join(map(find, split(t))) for t in texts]
+
+
+@lru_cache(maxsize=1)
+def worker_encoder(spec: bytes, chunks: str) -> ChunkEncoder:
+    """The encoder of a Python worker: its later tasks find it loaded, with the chunks it knows."""
+    return ChunkEncoder(spec, chunks)

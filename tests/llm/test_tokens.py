@@ -200,3 +200,24 @@ def test_odd_texts_count_like_the_library(spark):
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     got = {r.doc_id: r.n_tokens for r in TC.token_counts(df, WORD_BPE, scratch_path(spark, "t-cache")).collect()}
     assert got == {i: len(tokenizer.encode(t, add_special_tokens=False).ids) for i, t in enumerate(texts)}
+
+
+def test_worker_keeps_its_encoder_and_its_frequent_chunks(monkeypatch):
+    """Tasks of one worker share an encoder; chunks in use stay known, and all ids are the library's."""
+    from hourcast.llm import tokens
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    with open(path, "rb") as f:
+        spec = f.read()
+    encoder = tokens.worker_encoder(spec, SPACED_CHUNKS)
+    assert tokens.worker_encoder(bytes(bytearray(spec)), SPACED_CHUNKS) is encoder
+    monkeypatch.setattr(tokens, "KEPT_CHUNKS", 50)
+    encoder, asked = tokens.ChunkEncoder(spec, SPACED_CHUNKS), []
+    once = encoder.known.encode_chunk
+    monkeypatch.setattr(encoder.known, "encode_chunk", lambda c: (asked.append(c), once(c))[1])
+    texts = [f" the Éai ñ œuvre\xa0ß\xad ªº µ İx word{i} {'x' * i}é \t\n été{chr(0xc0 + i % 64)}, l'été" for i in range(300)]
+    library = Tokenizer.from_file(path)
+    assert encoder.encode(texts) == [tokens.pack(library.encode(t, add_special_tokens=False).ids) for t in texts]
+    assert asked.count(" the") == 1
+    assert len(encoder.known) <= 50 and len(encoder.known.older) <= 50
+    assert max(map(len, encoder.known)) <= tokens.CHUNK_CHARS
