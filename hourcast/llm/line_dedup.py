@@ -44,7 +44,8 @@ from pyspark.sql import functions as F
 
 from hourcast.llm.common import written
 
-LINE_END = r"(?<=\n)|(?<=[.!?] )"
+# The first look-behind is cheap and fails at most characters.
+LINE_END = r"(?<=[\n ])(?<=\n|[.!?] )"
 WHITE = " \t\n\x0b\x0c\r"
 # Longer than any array, and a start can be added to it.
 REST = 1 << 30
@@ -83,10 +84,12 @@ def fingerprint_table(lines: DataFrame, min_chars: int) -> DataFrame:
     full = min_chars * REST
 
     # Characters in the upper bits, lines in the lower ones; lines beyond the last needed add nothing.
+    # The sum is read in its last step, as an expression that is named twice in a lambda runs twice.
     def counted(i: Column, most: int) -> Column:
-        both = F.aggregate(F.slice("chars", i + 1, most), F.lit(0).cast("long"),
-                           lambda s, c: F.when(s >= full, s).otherwise(s + F.least(c, F.lit(min_chars)).cast("long") * REST + 1))
-        return F.when(both >= full, (both % REST).cast("int") + i - 1)
+        lines_needed = F.aggregate(F.slice("chars", i + 1, most), F.lit(0).cast("long"),
+                                   lambda s, c: F.when(s >= full, s).otherwise(s + (c.cast("long") * REST + 1)),
+                                   lambda s: F.when(s >= full, (s % REST).cast("int")))
+        return lines_needed + i - 1
 
     def near(i: Column) -> Column:
         chars = F.get("chars", i)
