@@ -16,6 +16,8 @@ DOCUMENT_COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 # A vocabulary file travels to the executors with the task; larger files are refused.
 MAX_VOCABULARY_BYTES = 32 << 20
+# Bytes of an Arrow batch that a worker turns into Python objects at a time.
+SLICE_BYTES = 4 << 20
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -33,8 +35,17 @@ ARROW_TYPES = {"long": pa.int64(), "int": pa.int32(), "double": pa.float64(), "b
                    [("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32()), ("disguised", pa.bool_())]))}
 
 
+def slices(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows of ``batches`` in slices of about SLICE_BYTES, one row at least.  A worker stays alive
+    over its tasks and keeps what its largest slice took, beside the executor's heap."""
+    for batch in batches:
+        step = max(1, batch.num_rows * SLICE_BYTES // max(1, batch.nbytes))
+        for i in range(0, batch.num_rows, step):
+            yield batch.slice(i, step)
+
+
 def append_columns(df: DataFrame, new: dict[str, str], start: Callable[[], Callable], column: str = "text") -> DataFrame:
-    """``df`` with columns computed from the text in ``column``, in Arrow batches.
+    """``df`` with columns computed from the text in ``column``, in slices of Arrow batches.
 
     ``new`` maps names to types (keys of ARROW_TYPES).  ``start()`` runs once in each task and
     returns a function from a list of texts (null as empty) to one tuple per text.  All columns
@@ -49,9 +60,7 @@ def append_columns(df: DataFrame, new: dict[str, str], start: Callable[[], Calla
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         compute = start()
-        for batch in batches:
-            if not batch.num_rows:
-                continue
+        for batch in slices(batches):
             rows = list(compute([t or "" for t in batch.column(column).to_pylist()]))
             added = [pa.array(values, f.type) for values, f in zip(zip(*rows, strict=True), fields, strict=True)]
             yield pa.RecordBatch.from_arrays([*batch.columns, *added], schema=pa.schema([*batch.schema, *fields]))

@@ -50,7 +50,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from hourcast.llm.common import by_size, written
+from hourcast.llm.common import by_size, slices, written
 from hourcast.llm.components import components
 
 MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -124,7 +124,8 @@ def document_table(docs: DataFrame, cfg: Join) -> DataFrame:
             first = cls is not None and cls not in seen
             seen.add(cls)
             rows.append([doc_id, k, len(shingles), cls, None, None])
-            halves.append(shingles[:(len(shingles) + 1) // 2] if first else shingles[:0])
+            # A copy, so the other half of the set goes with its row.
+            halves.append(shingles[:(len(shingles) + 1) // 2].copy() if first else shingles[:0].copy())
         every = np.concatenate(halves)
         tokens, where, counts = np.unique(every, return_inverse=True, return_counts=True)
         shared = counts[where] > 1
@@ -139,13 +140,13 @@ def document_table(docs: DataFrame, cfg: Join) -> DataFrame:
 
     def run(batches):
         shingler = Shingler(cfg.ngram)
-        for batch in batches:
-            given = zip(batch.column("doc_id").to_pylist(), batch.column("k").to_pylist(),
-                        (t or "" for t in batch.column("text").to_pylist()), strict=True)
-            for block in by_size(given, lambda r: len(r[2]), BLOCK_CHARS):
-                rows = block_rows(block, shingler)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], names=names)
+        given = (row for batch in slices(batches)
+                 for row in zip(batch.column("doc_id").to_pylist(), batch.column("k").to_pylist(),
+                                (t or "" for t in batch.column("text").to_pylist()), strict=True))
+        for block in by_size(given, lambda r: len(r[2]), BLOCK_CHARS):
+            rows = block_rows(block, shingler)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], names=names)
 
     return (docs.select("doc_id", F.xxhash64("doc_id", "text").alias("k"), "text")
             .mapInArrow(run, "doc_id long, k long, n_shingles long, class long, met long, tokens array<long>"))
@@ -182,7 +183,7 @@ def shingle_sets(docs: DataFrame, classes: DataFrame, cfg: Join) -> DataFrame:
 
     def run(batches):
         shingler, sent = Shingler(cfg.ngram), set()  # a task sends each class once
-        for batch in batches:
+        for batch in slices(batches):
             ids, sets = [], []
             for text in batch.column("text").to_pylist():
                 shingles = shingler(text or "")

@@ -27,7 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from hourcast.llm.common import id_and_text, vocabulary_bytes, written
+from hourcast.llm.common import id_and_text, slices, vocabulary_bytes, written
 from hourcast.llm.tokens import SPACED_CHUNKS, worker_encoder
 
 END = b"\0\0\0\0"
@@ -63,7 +63,7 @@ def pieces(docs: DataFrame, tokenizer: str, cfg: Packing = Packing(), chunks: st
     def run(batches):
         encoder = worker_encoder(spec, chunks)
         row = TaskContext.get().partitionId() << 40
-        for batch in batches:
+        for batch in slices(batches):
             ids, texts = batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()
             for i in range(0, len(ids), 500):
                 found = []

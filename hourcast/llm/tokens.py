@@ -28,7 +28,8 @@ SPACED_CHUNKS = f" ?(?:{LATIN_RUN}|{MARKS_RUN}|[^{WHITE_SPACE}]+)|[{WHITE_SPACE}
 WORD_CHUNKS = f"{LATIN_RUN}|{MARKS_RUN}|[^{WHITE_SPACE}]+"
 
 CHUNK_CHARS = 100
-KEPT_CHUNKS = 600_000
+# Two generations of so many take about 125 MB; a worker holds them beside the executor's heap.
+KEPT_CHUNKS = 300_000
 
 
 def pack(ids: list[int]) -> bytes:

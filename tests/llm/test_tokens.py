@@ -6,6 +6,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import sentencepiece
 from pyspark.sql import functions as F
@@ -221,3 +222,19 @@ def test_worker_keeps_its_encoder_and_its_frequent_chunks(monkeypatch):
     assert asked.count(" the") == 1
     assert len(encoder.known) <= 50 and len(encoder.known.older) <= 50
     assert max(map(len, encoder.known)) <= tokens.CHUNK_CHARS
+
+
+def test_a_worker_makes_few_texts_python_objects_at_a_time(spark):
+    """A batch is handed over in slices of bounded size, a longer row alone, and no row is lost."""
+    from hourcast.llm import common
+
+    step = common.SLICE_BYTES // 8
+    df = spark.range(200).selectExpr("id", f"repeat('x', int(if(id = 7, {2 * common.SLICE_BYTES}, {step}))) text").coalesce(1)
+    out = common.append_columns(df, {"together": "long"}, lambda: lambda texts: [(sum(map(len, texts)),)] * len(texts))
+    got = {r.id: r.together for r in out.select("id", "together").collect()}
+    assert sorted(got) == list(range(200))
+    assert max(n for i, n in got.items() if i > 100) <= 2 * common.SLICE_BYTES
+    batch = pa.RecordBatch.from_pydict({"text": ["y" * 1000] * 20_000})
+    parts = list(common.slices([batch, batch.slice(0, 0)]))
+    assert sum(p.num_rows for p in parts) == 20_000 and len(parts) > 3
+    assert max(p.nbytes for p in parts) <= common.SLICE_BYTES
